@@ -31,7 +31,7 @@ def global_row_number(df: DataFrame, order_cols: list[Column | str], name: str =
     if checkpoint:
         ensure_checkpoint_dir(spark)
         ordered = ordered.checkpoint(eager=True)
-    part = (F.col("_ll_mid") >> _ROW_BITS)
+    part = F.shiftright(F.col("_ll_mid"), _ROW_BITS)
     counts = ordered.groupBy(part.alias("_ll_part")).agg(F.count(F.lit(1)).alias("_ll_n"))
     offsets = counts.select(
         "_ll_part",

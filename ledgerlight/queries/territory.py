@@ -1 +1,108 @@
-"""placeholder"""
+"""Territory report queries."""
+
+from __future__ import annotations
+
+from ledgerlight.catalog import AS_OF, d, model, register, with_views
+from ledgerlight.operators import report_md, territory
+
+
+def sql_quote(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+TERRITORY_CTE = f"""
+owned AS (
+  SELECT t.territory_id, t.agent_id AS owner_id, a.agent_name AS owner_name, t.city, t.district
+  FROM territory t JOIN agent a ON a.agent_id = t.agent_id
+), per_seller AS (
+  SELECT s.territory_id, s.agent_id AS seller_id, a.agent_name AS seller_name, sum(s.amount_sold) AS qty
+  FROM sale s JOIN agent a ON a.agent_id = s.agent_id
+  WHERE s.date_sold < {d(AS_OF)}
+  GROUP BY s.territory_id, s.agent_id, a.agent_name
+), district_sales AS (
+  SELECT o.territory_id, o.owner_id, o.owner_name, o.city, o.district,
+         CAST(coalesce(sum(CASE WHEN p.seller_id = o.owner_id THEN p.qty ELSE 0 END), 0) AS BIGINT) AS qty_own,
+         CAST(coalesce(sum(CASE WHEN p.seller_id <> o.owner_id THEN p.qty ELSE 0 END), 0) AS BIGINT)
+           AS qty_competitor
+  FROM owned o LEFT JOIN per_seller p ON p.territory_id = o.territory_id
+  GROUP BY o.territory_id, o.owner_id, o.owner_name, o.city, o.district
+), rolled AS (
+  SELECT owner_id, city, district, CAST(GROUPING(district) AS INTEGER) AS is_total,
+         CAST(sum(qty_own) AS BIGINT) AS qty_own, CAST(sum(qty_competitor) AS BIGINT) AS qty_competitor,
+         CAST(sum(qty_own + qty_competitor) AS BIGINT) AS qty_total
+  FROM district_sales
+  GROUP BY ROLLUP (owner_id, city, district)
+  HAVING GROUPING(city) = 0
+), rollup_lines AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY owner_id, city
+                 ORDER BY is_total, regexp_replace(district, '[^\\p{{L}}\\p{{N}}]', '', 'g'), district) AS BIGINT)
+              AS line_no
+  FROM rolled
+), sections AS (
+  SELECT CAST(row_number() OVER (ORDER BY owner_id, city) AS BIGINT) AS section_no, owner_id, city, owner_name
+  FROM (SELECT DISTINCT owner_id, city, owner_name FROM owned) x
+), ranking AS (
+  SELECT o.owner_id, o.city, p.seller_id, p.seller_name, CAST(sum(p.qty) AS BIGINT) AS qty_sold,
+         CAST(row_number() OVER (PARTITION BY o.owner_id, o.city
+                                 ORDER BY sum(p.qty) DESC, p.seller_name, p.seller_id) AS BIGINT) AS rank_no
+  FROM per_seller p JOIN owned o ON o.territory_id = p.territory_id
+  GROUP BY o.owner_id, o.city, p.seller_id, p.seller_name
+)"""
+
+
+def markdown_sql(h: report_md.Headings = report_md.ENGLISH) -> str:
+    parts = []
+    heading = [h.title, "", *h.intro, ""]
+    for i, line in enumerate(heading):
+        parts.append(f"SELECT CAST(0 AS BIGINT) AS section_no, 0 AS block, CAST({i + 1} AS BIGINT) AS line_no, "
+                     f"{sql_quote(line)} AS line")
+    n = "CAST(section_no AS VARCHAR)"
+    templates = {
+        0: [f"'## ' || {n} || ') ' || city", "''", f"'### ' || {n} || {sql_quote('.1) ' + h.overall)}", "''",
+            f"{sql_quote('**' + h.managed_by + ': ')} || owner_name || '**'", "''",
+            sql_quote(h.table_header), sql_quote(h.table_rule)],
+        2: ["''", f"'### ' || {n} || {sql_quote('.2) ' + h.individual)}", "''"],
+        4: ["''"],
+    }
+    for block, exprs in templates.items():
+        for i, expr in enumerate(exprs):
+            parts.append(f"SELECT section_no, {block}, CAST({i + 1} AS BIGINT), {expr} FROM sections")
+    parts.append(f"""SELECT s.section_no, 1, r.line_no,
+  CASE WHEN r.is_total = 1
+       THEN {sql_quote('| **' + h.total + '** | **')} || CAST(r.qty_own AS VARCHAR) || '** | **'
+            || CAST(r.qty_competitor AS VARCHAR) || '** | **' || CAST(r.qty_total AS VARCHAR) || '** |'
+       ELSE '| ' || r.district || ' | ' || CAST(r.qty_own AS VARCHAR) || ' | ' || CAST(r.qty_competitor AS VARCHAR)
+            || ' | ' || CAST(r.qty_total AS VARCHAR) || ' |' END
+FROM rollup_lines r JOIN sections s ON s.owner_id = r.owner_id AND s.city = r.city""")
+    parts.append("""SELECT s.section_no, 3, k.rank_no,
+  CAST(k.rank_no AS VARCHAR) || ') ' || k.seller_name || ' - ' || CAST(k.qty_sold AS VARCHAR)
+FROM ranking k JOIN sections s ON s.owner_id = k.owner_id AND s.city = k.city""")
+    return with_views(TERRITORY_CTE + "\n" + "\nUNION ALL\n".join(parts))
+
+
+@register("territory_district_sales", with_views(TERRITORY_CTE + """
+SELECT territory_id, owner_id, owner_name, city, district, qty_own, qty_competitor,
+       qty_own + qty_competitor AS qty_total
+FROM district_sales"""))
+def territory_district_sales(spark, sf_dir):
+    return territory.district_sales(model(spark, sf_dir), AS_OF)
+
+
+@register("territory_rollup", with_views(TERRITORY_CTE + "\nSELECT * FROM rollup_lines"))
+def territory_rollup(spark, sf_dir):
+    return territory.territory_rollup(model(spark, sf_dir), AS_OF)
+
+
+@register("territory_sections", with_views(TERRITORY_CTE + "\nSELECT * FROM sections"))
+def territory_sections(spark, sf_dir):
+    return territory.sections(model(spark, sf_dir))
+
+
+@register("seller_ranking", with_views(TERRITORY_CTE + "\nSELECT * FROM ranking"))
+def seller_ranking(spark, sf_dir):
+    return territory.seller_ranking(model(spark, sf_dir), AS_OF)
+
+
+@register("territory_markdown", markdown_sql())
+def territory_markdown(spark, sf_dir):
+    return report_md.territory_markdown(model(spark, sf_dir), AS_OF)
