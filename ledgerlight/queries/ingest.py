@@ -1 +1,121 @@
-"""placeholder"""
+"""Ingest queries.
+
+The invoice files these queries load are written from the generated
+tables (facts with keys replaced by names) into a fresh folder under the
+session's checkpoint directory, then read back through the real readers.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerlight.catalog import AS_OF, model, register, with_views
+from ledgerlight.operators import ingest
+from ledgerlight.plans.session import scratch_path
+from ledgerlight.plans.sinks import Warehouse
+from ledgerlight.sources import invoices
+from ledgerlight.streaming.invoices import run_invoice_streams
+
+STAGE_CTE = """
+purchase_stage AS (
+  SELECT b.date_bought, p.product_name, a.agent_name, b.amount_bought
+  FROM purchase b JOIN agent a ON a.agent_id = b.agent_id JOIN product p ON p.product_id = b.product_id
+), sale_stage AS (
+  SELECT s.date_sold, p.product_name, a.agent_name, t.city, t.district, s.amount_sold, s.price
+  FROM sale s JOIN agent a ON a.agent_id = s.agent_id JOIN product p ON p.product_id = s.product_id
+  JOIN territory t ON t.territory_id = s.territory_id
+), sale_key_counts AS (
+  SELECT date_sold, product_id, agent_id, count(*) AS n FROM sale GROUP BY 1, 2, 3
+)"""
+
+
+@register("stage_purchase_resolved", with_views(STAGE_CTE + """
+SELECT s.date_bought, s.product_name, s.agent_name, s.amount_bought, a.agent_id, p.product_id
+FROM purchase_stage s LEFT JOIN agent a ON a.agent_name = s.agent_name
+LEFT JOIN product p ON p.product_name = s.product_name"""))
+def stage_purchase_resolved(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return ingest.resolve_purchases(invoices.purchase_stage(m), m)
+
+
+@register("stage_sale_resolved", with_views(STAGE_CTE + """
+SELECT s.date_sold, s.product_name, s.agent_name, s.city, s.district, s.amount_sold, s.price,
+       a.agent_id, p.product_id, t.territory_id
+FROM sale_stage s LEFT JOIN agent a ON a.agent_name = s.agent_name
+LEFT JOIN product p ON p.product_name = s.product_name
+LEFT JOIN territory t ON t.city = s.city AND t.district = s.district"""))
+def stage_sale_resolved(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return ingest.resolve_sales(invoices.sale_stage(m), m)
+
+
+@register("csv_scan", with_views(STAGE_CTE + "\nSELECT * FROM purchase_stage"))
+def csv_scan(spark, sf_dir):
+    folder = scratch_path(spark, "csv")
+    invoices.write_invoice(invoices.purchase_stage(model(spark, sf_dir)), f"{folder}/purchase")
+    return invoices.read_purchase_invoice(spark, f"{folder}/purchase")
+
+
+def _warehouse(spark, sf_dir, label: str) -> tuple[Warehouse, str]:
+    folder = scratch_path(spark, label)
+    wh = Warehouse(f"{folder}/warehouse")
+    wh.write_dimensions(model(spark, sf_dir))
+    return wh, folder
+
+
+@register("stream_ingest_sales", with_views(STAGE_CTE + """
+SELECT s.date_sold, s.product_id, s.agent_id, s.territory_id, s.amount_sold, s.price
+FROM sale s JOIN sale_key_counts k
+  ON k.date_sold = s.date_sold AND k.product_id = s.product_id AND k.agent_id = s.agent_id
+WHERE k.n = 1"""))
+def stream_ingest_sales(spark, sf_dir):
+    wh, folder = _warehouse(spark, sf_dir, "stream")
+    invoices.write_invoice(invoices.sale_stage(model(spark, sf_dir)), f"{folder}/in/sale")
+    run_invoice_streams(spark, None, f"{folder}/in/sale", wh, f"{folder}/checkpoints",
+                        mode="quarantine", refresh_as_of=AS_OF)
+    return wh.read_fact(spark, "sale")
+
+
+@register("invoice_load_report", with_views(STAGE_CTE + """
+SELECT 'purchase' AS table_name, 'loaded' AS outcome, CAST(count(*) AS BIGINT) AS n_rows FROM purchase
+UNION ALL
+SELECT 'sale', CASE WHEN k.n = 1 THEN 'loaded' ELSE 'duplicate key in batch' END, CAST(sum(k.n) AS BIGINT)
+FROM sale_key_counts k GROUP BY 1, 2"""))
+def invoice_load_report(spark, sf_dir):
+    wh, folder = _warehouse(spark, sf_dir, "load")
+    m = model(spark, sf_dir)
+    invoices.write_invoice(invoices.purchase_stage(m), f"{folder}/in/purchase")
+    invoices.write_invoice(invoices.sale_stage(m), f"{folder}/in/sale")
+    result = ingest.ingest_invoices(spark, f"{folder}/in/purchase", f"{folder}/in/sale", wh,
+                                    mode="quarantine", refresh_as_of=AS_OF)
+    rows = [(t, "loaded", n) for t, n in result.loaded.items()]
+    rows += [(t, reason, n) for t, counts in result.rejected.items() for reason, n in counts.items()]
+    return spark.createDataFrame(rows, "table_name string, outcome string, n_rows bigint")
+
+
+@register("snapshot_after_load", with_views(STAGE_CTE + """,
+clean_sale AS (
+  SELECT s.* FROM sale s JOIN sale_key_counts k
+    ON k.date_sold = s.date_sold AND k.product_id = s.product_id AND k.agent_id = s.agent_id
+  WHERE k.n = 1
+), sold_pairs AS (
+  SELECT agent_id, product_id, CAST(sum(amount_sold) AS BIGINT) AS qty_sold, CAST(sum(price) AS BIGINT) AS revenue
+  FROM clean_sale WHERE date_sold <= DATE '1999-01-01' GROUP BY 1, 2
+), bought_pairs AS (
+  SELECT b.agent_id, b.product_id, CAST(sum(b.amount_bought) AS BIGINT) AS qty_bought,
+         CAST(sum(p.unit_price * b.amount_bought) AS BIGINT) AS cost
+  FROM purchase b JOIN product p ON p.product_id = b.product_id
+  WHERE b.date_bought <= DATE '1998-12-01' GROUP BY 1, 2
+)
+SELECT b.agent_id, b.product_id, b.qty_bought, b.cost, s.qty_sold, s.revenue,
+       b.qty_bought - coalesce(s.qty_sold, 0) AS debt, s.revenue - b.cost AS profit
+FROM bought_pairs b LEFT JOIN sold_pairs s ON s.agent_id = b.agent_id AND s.product_id = b.product_id"""))
+def snapshot_after_load(spark, sf_dir):
+    """Stream both invoices in (purchases first), then read the refreshed snapshot."""
+    wh, folder = _warehouse(spark, sf_dir, "snapshot")
+    m = model(spark, sf_dir)
+    invoices.write_invoice(invoices.purchase_stage(m), f"{folder}/in/purchase")
+    invoices.write_invoice(invoices.sale_stage(m), f"{folder}/in/sale")
+    run_invoice_streams(spark, f"{folder}/in/purchase", f"{folder}/in/sale", wh, f"{folder}/checkpoints",
+                        mode="quarantine", refresh_as_of=AS_OF)
+    return (spark.read.parquet(wh.snapshot_path()).filter(F.col("as_of") == F.lit(AS_OF)).drop("as_of"))
