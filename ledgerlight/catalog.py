@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlight.sources.testdata import ORACLE_VIEWS, load_model
+from ledgerlight.sources.testdata import ORACLE_VIEWS, load_model, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,10 @@ def model(spark: SparkSession, sf_dir: str):
     return load_model(spark, sf_dir)
 
 
+def read_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_table(spark, sf_dir, name)
+
+
 def with_views(body: str) -> str:
     """Prefix an oracle body (starting with further CTEs or SELECT) with the model views."""
     body = body.strip()

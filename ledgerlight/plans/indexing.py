@@ -58,8 +58,8 @@ def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Colum
         salt = F.xxhash64(*[F.col(c) for c in df.columns])
     bucketed = df.withColumn("_ll_salt", F.pmod(salt, F.lit(salt_buckets)))
     w1 = Window.partitionBy(*group_cols, "_ll_salt").orderBy(*order_cols)
-    survivors = (bucketed.withColumn("_ll_r", F.row_number().over(w1))
-                 .filter(F.col("_ll_r") <= k).drop("_ll_r", "_ll_salt"))
+    survivors = (bucketed.withColumn("_ll_topk_rn", F.row_number().over(w1))
+                 .filter(F.col("_ll_topk_rn") <= k).drop("_ll_topk_rn", "_ll_salt"))
     w2 = Window.partitionBy(*group_cols).orderBy(*order_cols)
     return (survivors.withColumn(rank_name, F.row_number().over(w2))
             .filter(F.col(rank_name) <= k))
