@@ -18,8 +18,8 @@ DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024
 def estimated_size_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` in bytes, or None when unavailable."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(size.toString())
     except Exception:  # Spark Connect or an unexpected plan: no estimate
         return None
 
