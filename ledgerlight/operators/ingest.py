@@ -91,10 +91,24 @@ def _checked(flagged: DataFrame) -> DataFrame:
     return flagged.checkpoint(eager=True)
 
 
+def _loaded_rows(warehouse: Warehouse, table: str, stage: DataFrame, date_col: str,
+                 batch_id: str) -> DataFrame:
+    """Rows already loaded in the stage's date span (month partitions pruned)."""
+    spark = stage.sparkSession
+    span = stage.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
+    if span is None or span["lo"] is None:
+        return warehouse.read_fact(spark, table, exclude_batch=batch_id).limit(0)
+    return warehouse.read_fact(spark, table, exclude_batch=batch_id, between=(span["lo"], span["hi"]))
+
+
 def load_batch(model: Model, warehouse: Warehouse, purchase_stage: DataFrame | None = None,
                sale_stage: DataFrame | None = None, mode: str = "fail", batch_id: str | None = None,
                refresh_as_of: DateLike | None = None, refresh: bool = True) -> LoadResult:
-    """Check and append one batch of staged invoices (either may be None)."""
+    """Check and append one batch of staged invoices (either may be None).
+
+    ``model`` supplies the dimensions; keys already loaded are looked up in
+    the warehouse's facts, reading only the months the batch covers.
+    """
     if mode not in ("fail", "quarantine"):
         raise ValueError("mode must be 'fail' or 'quarantine'")
     spark = (purchase_stage if purchase_stage is not None else sale_stage).sparkSession
@@ -102,10 +116,11 @@ def load_batch(model: Model, warehouse: Warehouse, purchase_stage: DataFrame | N
     checked: dict[str, DataFrame] = {}
     rejected: dict[str, dict[str, int]] = {}
     if purchase_stage is not None:
-        checked["purchase"] = _checked(quality.flag_purchases(resolve_purchases(purchase_stage, model),
-                                                              model.purchase))
+        loaded_p = _loaded_rows(warehouse, "purchase", purchase_stage, "date_bought", batch_id)
+        checked["purchase"] = _checked(quality.flag_purchases(resolve_purchases(purchase_stage, model), loaded_p))
     if sale_stage is not None:
-        checked["sale"] = _checked(quality.flag_sales(resolve_sales(sale_stage, model), model.sale))
+        loaded_s = _loaded_rows(warehouse, "sale", sale_stage, "date_sold", batch_id)
+        checked["sale"] = _checked(quality.flag_sales(resolve_sales(sale_stage, model), loaded_s))
     loaded: dict[str, int] = {}
     for table, frame in checked.items():
         counts = outcome_counts(frame)

@@ -41,15 +41,13 @@ def with_duplicate_flag(df: DataFrame, key: list[str]) -> DataFrame:
             .withColumn("_ll_dup", F.coalesce(F.col("_ll_dup"), F.lit(False))))
 
 
-def existing_keys(fact: DataFrame, batch: DataFrame, key: list[str], date_col: str) -> DataFrame:
-    """Keys of ``batch`` already present in ``fact`` (fact scan limited to the batch's dates)."""
-    span = batch.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
-    if span is None or span["lo"] is None:
-        return fact.select(*key).limit(0).withColumn("_ll_loaded", F.lit(True))
-    loaded = (fact.filter(F.col(date_col).between(F.lit(span["lo"]), F.lit(span["hi"])))
-              .select(*key)
-              .join(batch.select(*key), key, "left_semi")
-              .distinct())
+def existing_keys(fact: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
+    """Keys of ``batch`` already present in ``fact``.
+
+    Callers pass the facts already limited to the batch's date span (see
+    ``ingest.load_batch``) so only those partitions are scanned.
+    """
+    loaded = fact.select(*key).join(batch.select(*key), key, "left_semi").distinct()
     return loaded.withColumn("_ll_loaded", F.lit(True))
 
 
@@ -71,7 +69,7 @@ def flag_purchases(resolved: DataFrame, loaded: DataFrame | None = None) -> Data
     """Resolved purchase stage with a ``reason`` column (NULL = row may be loaded)."""
     df = with_duplicate_flag(resolved, PURCHASE_KEY)
     if loaded is not None:
-        df = df.join(existing_keys(loaded, resolved, PURCHASE_KEY, "date_bought"), PURCHASE_KEY, "left")
+        df = df.join(existing_keys(loaded, resolved, PURCHASE_KEY), PURCHASE_KEY, "left")
     else:
         df = df.withColumn("_ll_loaded", F.lit(None).cast("boolean"))
     flagged = df.withColumn(REASON, reasons(
@@ -89,7 +87,7 @@ def flag_sales(resolved: DataFrame, loaded: DataFrame | None = None) -> DataFram
     """Resolved sale stage with a ``reason`` column (NULL = row may be loaded)."""
     df = with_duplicate_flag(resolved, SALE_KEY)
     if loaded is not None:
-        df = df.join(existing_keys(loaded, resolved, SALE_KEY, "date_sold"), SALE_KEY, "left")
+        df = df.join(existing_keys(loaded, resolved, SALE_KEY), SALE_KEY, "left")
     else:
         df = df.withColumn("_ll_loaded", F.lit(None).cast("boolean"))
     flagged = df.withColumn(REASON, reasons(

@@ -26,6 +26,7 @@ from ledgerlight.model import Model
 from ledgerlight.operators import stats
 from ledgerlight.plans.indexing import global_row_number
 from ledgerlight.plans.joins import maybe_broadcast
+from ledgerlight.plans.session import ensure_checkpoint_dir
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
@@ -145,9 +146,11 @@ def agent_document_fragments(totals: DataFrame, named: DataFrame, root: str = "a
 def agent_documents(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
                     root: str = "agents", agent_keys: dict[str, str] = AGENT_KEYS,
                     product_keys: dict[str, str] = PRODUCT_KEYS) -> DataFrame:
-    snapshot = stats.agent_product_stats(model, as_of, agent_id=agent_id)
-    totals = stats.agent_stats(model, as_of, agent_id=agent_id, snapshot=snapshot)
-    named = stats.agent_product_named(model, as_of, agent_id=agent_id, snapshot=snapshot)
+    # the pairs feed the children, the first-child marks and the totals: materialise
+    # them once in the shared checkpoint folder instead of scanning the facts three times
+    ensure_checkpoint_dir(model.sale.sparkSession)
+    named = stats.agent_product_named(model, as_of, agent_id=agent_id).checkpoint(eager=True)
+    totals = stats.agent_stats_from_named(model, named, agent_id)
     return agent_document_fragments(totals, named, root, agent_keys, product_keys)
 
 

@@ -19,13 +19,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerlight.plans.joins import broadcast_limit, estimated_size_bytes
 from ledgerlight.plans.session import ensure_checkpoint_dir
 
 _ROW_BITS = 33
 
 
 def global_row_number(df: DataFrame, order_cols: list[Column | str], name: str = "row_no",
-                      checkpoint: bool = True) -> DataFrame:
+                      checkpoint: bool = True, small_limit: int | None = None) -> DataFrame:
+    """Rows numbered 1..n in ``order_cols`` order.
+
+    When Catalyst's size estimate of ``df`` (an upper bound for scans,
+    filters and aggregates) is within the broadcast limit, the frame is
+    small enough for one task and a plain window numbers it.  Otherwise the
+    distributed path below runs.
+    """
+    size = estimated_size_bytes(df)
+    bound = broadcast_limit(df, small_limit)
+    if size is not None and 0 <= size <= bound:
+        cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*cols)).cast("bigint"))
     spark = df.sparkSession
     ordered = df.orderBy(*order_cols).withColumn("_ll_mid", F.monotonically_increasing_id())
     if checkpoint:
@@ -42,7 +55,7 @@ def global_row_number(df: DataFrame, order_cols: list[Column | str], name: str =
     )
     numbered = ordered.join(F.broadcast(offsets), part == F.col("_ll_part"))
     pos = F.col("_ll_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return numbered.withColumn(name, F.col("_ll_offset") + pos + F.lit(1)).drop(
+    return numbered.withColumn(name, (F.col("_ll_offset") + pos + F.lit(1)).cast("bigint")).drop(
         "_ll_mid", "_ll_part", "_ll_offset")
 
 

@@ -57,14 +57,24 @@ class Warehouse:
         fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         return bool(fs.exists(hadoop_path))
 
-    def read_fact(self, spark: SparkSession, table: str, exclude_batch: str | None = None) -> DataFrame:
-        """All loaded rows of a fact table; ``exclude_batch`` hides one batch's own earlier output."""
+    def read_fact(self, spark: SparkSession, table: str, exclude_batch: str | None = None,
+                  between: tuple | None = None) -> DataFrame:
+        """Loaded rows of a fact table.
+
+        ``exclude_batch`` hides one batch's own earlier output; ``between``
+        (first, last date) prunes month partitions before any file is read.
+        """
         schema = FACT_SCHEMAS[table]
         if not self.has_fact(spark, table):
             return spark.createDataFrame([], schema)
         df = spark.read.option("basePath", self.path(table)).parquet(self.path(table))
         if exclude_batch is not None:
             df = df.filter(F.col("batch").cast("string") != F.lit(exclude_batch))
+        if between is not None:
+            lo, hi = between
+            day = F.col(DATE_COLUMN[table])
+            df = df.filter(F.col("month").cast("date").between(F.trunc(F.lit(lo), "month"), F.lit(hi))
+                           & day.between(F.lit(lo), F.lit(hi)))
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
     def model(self, spark: SparkSession, exclude_batch: str | None = None) -> Model:
@@ -76,6 +86,16 @@ class Warehouse:
             sale=self.read_fact(spark, "sale", exclude_batch),
         )
 
+    def materialize(self, model: Model, batch_id: str = "initial") -> None:
+        """Write a whole model (dimensions and facts) into this warehouse once.
+
+        Queries then read the month-partitioned facts instead of re-deriving
+        them from their sources on every run.
+        """
+        self.write_dimensions(model)
+        self.append_fact(model.purchase, "purchase", batch_id)
+        self.append_fact(model.sale, "sale", batch_id)
+
     # quarantine -----------------------------------------------------------
     def write_quarantine(self, df: DataFrame, table: str, batch_id: str) -> None:
         df.write.mode("overwrite").parquet(self.path("quarantine", table, f"batch={batch_id}"))

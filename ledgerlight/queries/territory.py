@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerlight.catalog import AS_OF, d, model, register, with_views
 from ledgerlight.operators import report_md, territory
 
@@ -10,10 +12,14 @@ def sql_quote(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-TERRITORY_CTE = f"""
+def territory_cte(owner_filter: str = "") -> str:
+    return TERRITORY_CTE_TEMPLATE.replace("{owner_filter}", owner_filter)
+
+
+TERRITORY_CTE_TEMPLATE = f"""
 owned AS (
   SELECT t.territory_id, t.agent_id AS owner_id, a.agent_name AS owner_name, t.city, t.district
-  FROM territory t JOIN agent a ON a.agent_id = t.agent_id
+  FROM territory t JOIN agent a ON a.agent_id = t.agent_id {{owner_filter}}
 ), per_seller AS (
   SELECT s.territory_id, s.agent_id AS seller_id, a.agent_name AS seller_name, sum(s.amount_sold) AS qty
   FROM sale s JOIN agent a ON a.agent_id = s.agent_id
@@ -50,7 +56,11 @@ owned AS (
 )"""
 
 
-def markdown_sql(h: report_md.Headings = report_md.ENGLISH) -> str:
+TERRITORY_CTE = territory_cte()
+FIRST_OWNER_SQL = "WHERE t.agent_id = (SELECT min(agent_id) FROM territory)"
+
+
+def markdown_sql(h: report_md.Headings = report_md.ENGLISH, owner_filter: str = "") -> str:
     parts = []
     heading = [h.title, "", *h.intro, ""]
     for i, line in enumerate(heading):
@@ -77,7 +87,7 @@ FROM rollup_lines r JOIN sections s ON s.owner_id = r.owner_id AND s.city = r.ci
     parts.append("""SELECT s.section_no, 3, k.rank_no,
   CAST(k.rank_no AS VARCHAR) || ') ' || k.seller_name || ' - ' || CAST(k.qty_sold AS VARCHAR)
 FROM ranking k JOIN sections s ON s.owner_id = k.owner_id AND s.city = k.city""")
-    return with_views(TERRITORY_CTE + "\n" + "\nUNION ALL\n".join(parts))
+    return with_views(territory_cte(owner_filter) + "\n" + "\nUNION ALL\n".join(parts))
 
 
 @register("territory_district_sales", with_views(TERRITORY_CTE + """
@@ -106,3 +116,14 @@ def seller_ranking(spark, sf_dir):
 @register("territory_markdown", markdown_sql())
 def territory_markdown(spark, sf_dir):
     return report_md.territory_markdown(model(spark, sf_dir), AS_OF)
+
+
+def first_owner(m) -> int:
+    """Lowest owner id among the territories (a single aggregated value)."""
+    return int(m.territory.agg(F.min("agent_id").alias("o")).first()["o"])
+
+
+@register("territory_markdown_one", markdown_sql(owner_filter=FIRST_OWNER_SQL))
+def territory_markdown_one(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return report_md.territory_markdown(m, AS_OF, agent_id=first_owner(m))

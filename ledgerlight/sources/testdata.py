@@ -16,8 +16,8 @@ territory  nation x region: nation -> district, region -> city; the owner
 Everything is lazy; only the columns a query touches are read (Catalyst
 prunes the rest at the Parquet scan).  The two fact adapters are the only
 big joins (lineitem with orders on the order key, then customer on the
-customer key); at production scale run ``materialize`` once and point the
-queries at the written tables instead.
+customer key); at production scale write them once with
+``Warehouse.materialize`` and point the queries at the written tables.
 """
 
 from __future__ import annotations
@@ -29,8 +29,22 @@ from ledgerlight.model import Model
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+_FRAMES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Lazy frame of one generated table, reused per session (the files are read-only).
+
+    Reusing the frame skips a repeated file listing and footer read; it
+    holds no data.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    frame = _FRAMES.get(key)
+    if frame is None:
+        frame = spark.read.parquet(path)
+        _FRAMES[key] = frame
+    return frame
 
 
 def cents(c: F.Column) -> F.Column:

@@ -9,11 +9,12 @@ from ledgerlight.plans.joins import estimated_size_bytes, maybe_broadcast
 
 def test_global_row_number_is_dense_and_ordered(spark):
     df = spark.range(0, 5000, 1, 13).withColumn("k", (F.col("id") * 7919) % 5003)
-    out = global_row_number(df, [F.col("k"), F.col("id")], "rn").collect()
-    assert sorted(r.rn for r in out) == list(range(1, 5001))
-    by_rn = sorted(out, key=lambda r: r.rn)
-    keys = [(r.k, r.id) for r in by_rn]
-    assert keys == sorted(keys)
+    for limit in (1, None):  # distributed path, then the small-frame window
+        out = global_row_number(df, [F.col("k"), F.col("id")], "rn", small_limit=limit).collect()
+        assert sorted(r.rn for r in out) == list(range(1, 5001))
+        by_rn = sorted(out, key=lambda r: r.rn)
+        keys = [(r.k, r.id) for r in by_rn]
+        assert keys == sorted(keys)
 
 
 def test_top_k_matches_brute_force(spark):
