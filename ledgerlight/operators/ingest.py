@@ -84,11 +84,11 @@ class LoadResult:
     rejected: dict[str, dict[str, int]]
 
 
-def _checked(flagged: DataFrame) -> DataFrame:
-    # materialise once in the shared checkpoint folder: the same rows feed the
-    # reject count, the quarantine write and the append, and survive executor loss
-    ensure_checkpoint_dir(flagged.sparkSession)
-    return flagged.checkpoint(eager=True)
+def _checked(resolved: DataFrame) -> DataFrame:
+    # materialise once in the shared checkpoint folder: the same rows feed the date
+    # span, the checks, the reject count and both writes, and survive executor loss
+    ensure_checkpoint_dir(resolved.sparkSession)
+    return resolved.checkpoint(eager=True)
 
 
 def _loaded_rows(warehouse: Warehouse, table: str, stage: DataFrame, date_col: str,
@@ -116,11 +116,13 @@ def load_batch(model: Model, warehouse: Warehouse, purchase_stage: DataFrame | N
     checked: dict[str, DataFrame] = {}
     rejected: dict[str, dict[str, int]] = {}
     if purchase_stage is not None:
-        loaded_p = _loaded_rows(warehouse, "purchase", purchase_stage, "date_bought", batch_id)
-        checked["purchase"] = _checked(quality.flag_purchases(resolve_purchases(purchase_stage, model), loaded_p))
+        resolved = _checked(resolve_purchases(purchase_stage, model))  # the file is parsed once
+        loaded_p = _loaded_rows(warehouse, "purchase", resolved, "date_bought", batch_id)
+        checked["purchase"] = quality.flag_purchases(resolved, loaded_p)
     if sale_stage is not None:
-        loaded_s = _loaded_rows(warehouse, "sale", sale_stage, "date_sold", batch_id)
-        checked["sale"] = _checked(quality.flag_sales(resolve_sales(sale_stage, model), loaded_s))
+        resolved = _checked(resolve_sales(sale_stage, model))
+        loaded_s = _loaded_rows(warehouse, "sale", resolved, "date_sold", batch_id)
+        checked["sale"] = quality.flag_sales(resolved, loaded_s)
     loaded: dict[str, int] = {}
     for table, frame in checked.items():
         counts = outcome_counts(frame)
