@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlight.functions.dates import DateLike, as_date, shift_months
 from ledgerlight.model import Model
-from ledgerlight.plans.joins import maybe_broadcast
+from ledgerlight.plans.joins import keep_known, maybe_broadcast
 
 MEASURES = ["qty_bought", "cost", "qty_sold", "revenue", "debt", "profit"]
 PAIR = ["agent_id", "product_id"]
@@ -44,8 +44,8 @@ def sales_by_pair(model: Model, as_of: DateLike | None = None, agent_id: int | N
         F.sum("amount_sold").alias("qty_sold"),
         F.sum("price").alias("revenue"),
     )
-    # seller must be a known agent (key-only join, applied to the small side)
-    return pairs.join(maybe_broadcast(model.agent.select("agent_id")), "agent_id", "left_semi")
+    # the seller must be a known agent (key-only filter on the aggregated pairs)
+    return keep_known(pairs, model.agent, "agent_id")
 
 
 def purchases_by_pair(model: Model, as_of: DateLike | None = None, lag_months: int = 1,
@@ -55,8 +55,7 @@ def purchases_by_pair(model: Model, as_of: DateLike | None = None, lag_months: i
     bought = _for_agent(model.purchase, agent_id).filter(F.col("date_bought") <= F.lit(cutoff))
     pairs = bought.groupBy(*PAIR).agg(F.sum("amount_bought").alias("qty_bought"))
     prices = maybe_broadcast(model.product.select("product_id", "unit_price"))
-    return (pairs
-            .join(maybe_broadcast(model.agent.select("agent_id")), "agent_id", "left_semi")
+    return (keep_known(pairs, model.agent, "agent_id")
             .join(prices, "product_id")
             .select(*PAIR, "qty_bought", (F.col("unit_price") * F.col("qty_bought")).alias("cost")))
 

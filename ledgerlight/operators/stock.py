@@ -22,14 +22,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlight.functions.dates import DateLike, as_date, shift_months
 from ledgerlight.model import Model
-from ledgerlight.plans.joins import maybe_broadcast
+from ledgerlight.plans.joins import keep_known
 
 PAIR = ["agent_id", "product_id"]
 
 
 def _known_pairs(df: DataFrame, model: Model) -> DataFrame:
-    return (df.join(maybe_broadcast(model.agent.select("agent_id")), "agent_id", "left_semi")
-            .join(maybe_broadcast(model.product.select("product_id")), "product_id", "left_semi"))
+    return keep_known(keep_known(df, model.agent, "agent_id"), model.product, "product_id")
 
 
 def outstanding_stock(model: Model, as_of: DateLike | None = None, only_positive: bool = True) -> DataFrame:

@@ -41,3 +41,22 @@ def maybe_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
     if size is not None and 0 <= size <= bound:
         return F.broadcast(df)
     return df
+
+
+def keep_known(df: DataFrame, keys: DataFrame, on: list[str] | str, limit: int | None = None) -> DataFrame:
+    """Rows of ``df`` whose key exists in ``keys`` (a foreign-key filter).
+
+    When the key set is small it is a broadcast semi join, which Catalyst
+    may push below aggregations down to the scan (cheap: no shuffle).
+    When it is not, a semi join pushed that far would shuffle the raw fact
+    rows by the key (and put a hot key in one task), so the filter is
+    written as an inner join with the distinct keys instead: Catalyst does
+    not move an inner join below an aggregate, so it applies to the
+    already aggregated rows, and AQE can split a skewed key.
+    """
+    cols = [on] if isinstance(on, str) else list(on)
+    key_frame = keys.select(*cols)
+    size = estimated_size_bytes(key_frame)
+    if size is not None and 0 <= size <= broadcast_limit(key_frame, limit):
+        return df.join(F.broadcast(key_frame), cols, "left_semi")
+    return df.join(key_frame.distinct(), cols, "inner")
