@@ -93,6 +93,55 @@ def agent_product_json(named: DataFrame, keys: dict[str, str] | None = None) ->
     return named.select("agent_id", "product_id", json_object(keys).alias("doc"))
 
 
+ARRAY_COLUMNS = ["doc_part", "item_no", "fragment"]
+
+
+def array_fragments(docs: DataFrame, order_cols: list[str], doc_col: str = "doc") -> DataFrame:
+    """A JSON array of per-row objects as ordered fragments: ``[``, items, ``]``.
+
+    Items are numbered with the distributed ``global_row_number``; every item
+    but the first carries a leading comma.  No rows give the document
+    ``null`` (an aggregate over nothing), as the original functions return.
+    """
+    items = global_row_number(docs, [F.col(c) for c in order_cols], "item_no")
+    body = items.select(
+        F.lit(1).alias("doc_part"), "item_no",
+        F.concat(F.when(F.col("item_no") > 1, F.lit(",")).otherwise(F.lit("")), F.col(doc_col)).alias("fragment"))
+    n = docs.agg(F.count(F.lit(1)).alias("n"))
+    edges = n.select(F.explode(F.array(
+        F.struct(F.lit(0).alias("doc_part"), F.when(F.col("n") == 0, F.lit("null")).otherwise(F.lit("["))
+                 .alias("fragment")),
+        F.struct(F.lit(2).alias("doc_part"), F.when(F.col("n") == 0, F.lit("")).otherwise(F.lit("]"))
+                 .alias("fragment")),
+    )).alias("e")).select(F.col("e.doc_part").alias("doc_part"), F.lit(0).cast("bigint").alias("item_no"),
+                          F.col("e.fragment").alias("fragment"))
+    return edges.unionByName(body).select(*ARRAY_COLUMNS)
+
+
+def render_array(fragments: DataFrame, limit_rows: int = 100_000) -> str:
+    rows = fragments.orderBy("doc_part", "item_no").select("fragment").limit(limit_rows + 1).collect()
+    if len(rows) > limit_rows:
+        raise ValueError(f"document has more than {limit_rows} fragments; write it as text parts")
+    return "".join(r.fragment for r in rows)
+
+
+def agent_stats_document(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
+                         keys: dict[str, str] = AGENT_KEYS) -> DataFrame:
+    """Per-agent totals as one JSON array ordered by agent name (numbers as numbers)."""
+    totals = stats.agent_stats(model, as_of, agent_id=agent_id)
+    docs = totals.select("agent_id", "agent_name", json_object(keys).alias("doc"))
+    return array_fragments(docs, ["agent_name", "agent_id"])
+
+
+def agent_product_document(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
+                           keys: dict[str, str] | None = None) -> DataFrame:
+    """Per-pair statistics as one JSON array ordered by agent then product name."""
+    keys = keys or {"agent_name": "agent_name", **PRODUCT_KEYS}
+    named = stats.agent_product_named(model, as_of, agent_id=agent_id)
+    docs = named.select("agent_name", "agent_id", "product_name", "product_id", json_object(keys).alias("doc"))
+    return array_fragments(docs, ["agent_name", "agent_id", "product_name", "product_id"])
+
+
 def agent_document_fragments(totals: DataFrame, named: DataFrame, root: str = "agents",
                              agent_keys: dict[str, str] = AGENT_KEYS,
                              product_keys: dict[str, str] = PRODUCT_KEYS) -> DataFrame:

@@ -80,3 +80,16 @@ def profit_by_product_pairs(spark, sf_dir):
 SELECT agent_id, product_id, product_name, """ + ", ".join(MEASURES) + " FROM named"))
 def json_roundtrip(spark, sf_dir):
     return report_json.parse_children(report_json.agent_documents(model(spark, sf_dir), AS_OF))
+
+
+@register("agent_totals_json_array", with_views(NAMED_CTE + f"""
+, items AS (
+  SELECT row_number() OVER (ORDER BY agent_name, agent_id) AS item_no, {_json_obj('agent_name', False)} AS doc
+  FROM totals
+)
+SELECT 0 AS doc_part, CAST(0 AS BIGINT) AS item_no,
+       CASE WHEN (SELECT count(*) FROM totals) = 0 THEN 'null' ELSE '[' END AS fragment
+UNION ALL SELECT 2, 0, CASE WHEN (SELECT count(*) FROM totals) = 0 THEN '' ELSE ']' END
+UNION ALL SELECT 1, item_no, CASE WHEN item_no > 1 THEN ',' ELSE '' END || doc FROM items"""))
+def agent_totals_json_array(spark, sf_dir):
+    return report_json.agent_stats_document(model(spark, sf_dir), AS_OF)

@@ -49,3 +49,13 @@ def test_stats_json_lines(spark):
     docs = {r.agent_id: json.loads(r.doc) for r in report_json.agent_stats_json(totals).collect()}
     assert docs[1] == {"agent_name": "A", "qty_bought": 19, "cost": 162, "qty_sold": 11, "revenue": 140,
                        "debt": 8, "profit": -10}
+
+
+def test_array_documents(spark):
+    m = edge_model(spark)
+    doc = json.loads(report_json.render_array(report_json.agent_stats_document(m, "2024-03-31")))
+    assert [d["agent_name"] for d in doc] == ["A", "B", "C"] and doc[2]["qty_bought"] == 0
+    pairs = json.loads(report_json.render_array(report_json.agent_product_document(m, "2024-03-31")))
+    assert [(d["agent_name"], d["product_name"]) for d in pairs] == [("A", "P1"), ("A", "P2"), ("B", "P1")]
+    none = report_json.render_array(report_json.agent_product_document(m, "2024-03-31", agent_id=3))
+    assert none == "null"

@@ -27,3 +27,15 @@ def test_orphans_and_duplicates(spark):
     broken = m.with_facts(sale=m.sale.withColumn("territory_id", m.sale.territory_id + 10))
     reasons = {r.reason for r in quality.orphan_rows(broken).collect()}
     assert reasons == {"unknown territory"}
+
+
+def test_build_dimensions_serial_keys(spark):
+    import pytest
+
+    from ledgerlight.sources.dimensions import build_dimensions
+    dims = build_dimensions(spark, [("A", None), ("B", None)], [("P1", 10)],
+                            [("A", "North", "n1"), (None, "West", "w1")])
+    assert [tuple(r) for r in dims["territory"].orderBy("territory_id").collect()] == [
+        (1, 1, "North", "n1"), (2, None, "West", "w1")]
+    with pytest.raises(ValueError):
+        build_dimensions(spark, [("A", None)], [], [("Z", "c", "d")])
