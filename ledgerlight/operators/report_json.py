@@ -144,9 +144,20 @@ def agent_product_document(model: Model, as_of: DateLike | None = None, agent_id
 
 def agent_document_fragments(totals: DataFrame, named: DataFrame, root: str = "agents",
                              agent_keys: dict[str, str] = AGENT_KEYS,
-                             product_keys: dict[str, str] = PRODUCT_KEYS) -> DataFrame:
-    """Fragments of the combined document (see module docstring)."""
-    agents = global_row_number(totals, [F.col("agent_name"), F.col("agent_id")], "agent_no")
+                             product_keys: dict[str, str] = PRODUCT_KEYS,
+                             agents: DataFrame | None = None) -> DataFrame:
+    """Fragments of the combined document (see module docstring).
+
+    ``agents`` (agent_id, agent_name), when given, is the dimension the
+    totals were built from (one totals row per agent); numbering it instead
+    of the derived totals lets the size check see a plain table scan.
+    """
+    if agents is not None:
+        numbers = global_row_number(agents.select("agent_id", "agent_name"),
+                                    [F.col("agent_name"), F.col("agent_id")], "agent_no")
+        agents = totals.join(numbers.select("agent_id", "agent_no"), "agent_id")
+    else:
+        agents = global_row_number(totals, [F.col("agent_name"), F.col("agent_id")], "agent_no")
     firsts = (named.groupBy("agent_id")
               .agg(F.min(F.struct("product_name", "product_id")).alias("_first"),
                    F.count(F.lit(1)).alias("n_children")))
@@ -200,7 +211,8 @@ def agent_documents(model: Model, as_of: DateLike | None = None, agent_id: int |
     ensure_checkpoint_dir(model.sale.sparkSession)
     named = stats.agent_product_named(model, as_of, agent_id=agent_id).checkpoint(eager=True)
     totals = stats.agent_stats_from_named(model, named, agent_id)
-    return agent_document_fragments(totals, named, root, agent_keys, product_keys)
+    dim = model.agent if agent_id is None else model.agent.filter(F.col("agent_id") == F.lit(agent_id))
+    return agent_document_fragments(totals, named, root, agent_keys, product_keys, agents=dim)
 
 
 def ordered_fragments(fragments: DataFrame) -> DataFrame:
