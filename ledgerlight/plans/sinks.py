@@ -4,6 +4,7 @@
 <root>/agent, <root>/product, <root>/territory        Parquet dimensions
 <root>/purchase/batch=<id>/month=<yyyy-MM-01>/...      appended facts
 <root>/sale/batch=<id>/month=<yyyy-MM-01>/...
+<root>/summary/<table>/batch=<id>/...                  per (agent, product, month) sums of a batch
 <root>/snapshot/as_of=<date>/...                       statistics snapshots
 <root>/quarantine/<table>/batch=<id>/...               rejected invoice rows
 ```
@@ -58,12 +59,30 @@ class Warehouse:
          .write.mode("overwrite").partitionBy("month")
          .parquet(self.path(table, f"batch={batch_id}")))
 
-    def has_fact(self, spark: SparkSession, table: str) -> bool:
+    def write_summary(self, df: DataFrame, table: str, batch_id: str) -> None:
+        """Per (agent, product, month) sums of one batch (overwritten with the batch)."""
+        amount = "amount_bought" if table == "purchase" else "amount_sold"
+        sums = [F.sum(amount).alias("amount")]
+        if table == "sale":
+            sums.append(F.sum("price").alias("price"))
+        (df.groupBy("agent_id", "product_id", F.trunc(F.col(DATE_COLUMN[table]), "month").alias("month"))
+         .agg(*sums)
+         .write.mode("overwrite").parquet(self.path("summary", table, f"batch={batch_id}")))
+
+    def read_summary(self, spark: SparkSession, table: str) -> DataFrame | None:
+        if not self.exists(spark, self.path("summary", table)):
+            return None
+        return spark.read.parquet(self.path("summary", table)).drop("batch")
+
+    def exists(self, spark: SparkSession, path: str) -> bool:
         jvm = spark.sparkContext._jvm
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(self.path(table))
+        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
         fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         return bool(fs.exists(hadoop_path))
 
+    def has_fact(self, spark: SparkSession, table: str) -> bool:
+        return self.exists(spark, self.path(table))
+
     def read_fact(self, spark: SparkSession, table: str, exclude_batch: str | None = None,
                   between: tuple | None = None) -> DataFrame:
         """Loaded rows of a fact table.
@@ -100,8 +119,10 @@ class Warehouse:
         them from their sources on every run.
         """
         self.write_dimensions(model)
-        self.append_fact(model.purchase, "purchase", batch_id)
-        self.append_fact(model.sale, "sale", batch_id)
+        for table in ("purchase", "sale"):
+            rows = getattr(model, table)
+            self.append_fact(rows, table, batch_id)
+            self.write_summary(rows, table, batch_id)
 
     # quarantine -----------------------------------------------------------
     def write_quarantine(self, df: DataFrame, table: str, batch_id: str) -> None:
