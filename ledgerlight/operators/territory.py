@@ -14,12 +14,12 @@ on per-territory or per-seller rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerlight.functions.dates import DateLike, as_date
 from ledgerlight.functions.text import district_sort_key
 from ledgerlight.model import Model
-from ledgerlight.plans.indexing import global_row_number
+from ledgerlight.plans.indexing import global_row_number, row_number_within
 from ledgerlight.plans.joins import maybe_broadcast
 
 SECTION = ["owner_id", "city"]
@@ -68,7 +68,7 @@ def district_sales(model: Model, as_of: DateLike | None = None, agent_id: int |
 
 
 def territory_rollup(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
-                     districts: DataFrame | None = None) -> DataFrame:
+                     districts: DataFrame | None = None, small_limit: int | None = None) -> DataFrame:
     """District rows plus one total row per section, with the table line number.
 
     ``ROLLUP(owner, city, district)`` keeps the (owner, city, district) and
@@ -85,14 +85,14 @@ def territory_rollup(model: Model, as_of: DateLike | None = None, agent_id: int
                    F.grouping("district").alias("is_total"))
               .filter(F.col("_g_city") == 0)
               .drop("_g_city"))
-    w = Window.partitionBy(*SECTION).orderBy(F.col("is_total"), district_sort_key("district"), F.col("district"))
-    return rolled.select(
+    shaped = rolled.select(
         "owner_id", "city", "district", F.col("is_total").cast("int").alias("is_total"),
         F.col("qty_own").cast("bigint").alias("qty_own"),
         F.col("qty_competitor").cast("bigint").alias("qty_competitor"),
         F.col("qty_total").cast("bigint").alias("qty_total"),
-        F.row_number().over(w).cast("bigint").alias("line_no"),
     )
+    order = [F.col("is_total"), district_sort_key("district"), F.col("district")]
+    return row_number_within(shaped, SECTION, order, "line_no", small_limit=small_limit)
 
 
 def seller_ranking(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
@@ -103,5 +103,6 @@ def seller_ranking(model: Model, as_of: DateLike | None = None, agent_id: int |
     per_section = (sold.join(maybe_broadcast(owned), "territory_id")
                    .groupBy(*SECTION, "seller_id", "seller_name")
                    .agg(F.sum("qty").cast("bigint").alias("qty_sold")))
-    w = Window.partitionBy(*SECTION).orderBy(F.col("qty_sold").desc(), F.col("seller_name"), F.col("seller_id"))
-    return per_section.withColumn("rank_no", F.row_number().over(w).cast("bigint"))
+    # a section can hold every seller of the model: number it without a per-section window task
+    return row_number_within(per_section, SECTION,
+                             [F.col("qty_sold").desc(), F.col("seller_name"), F.col("seller_id")], "rank_no")

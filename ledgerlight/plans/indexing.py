@@ -76,3 +76,38 @@ def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Colum
     w2 = Window.partitionBy(*group_cols).orderBy(*order_cols)
     return (survivors.withColumn(rank_name, F.row_number().over(w2))
             .filter(F.col(rank_name) <= k))
+
+
+def row_number_within(df: DataFrame, group_cols: list[str], order_cols: list[Column], name: str = "row_no",
+                      small_limit: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY group ORDER BY order)`` without one task per group.
+
+    A window puts every row of a group in one task; a hot group (one
+    section holding a third of the rows) would then be sorted by a single
+    task.  Here rows are range-partitioned by (group, order) instead, which
+    splits a hot group over several partitions, and each row's number is
+    its position in its partition plus the rows of the same group in
+    earlier partitions.  The per-(partition, group) counts have at most
+    #partitions + #groups rows.  Frames whose size estimate is within the
+    broadcast limit use the plain window.
+    """
+    size = estimated_size_bytes(df)
+    if size is not None and 0 <= size <= broadcast_limit(df, small_limit):
+        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = [F.col(c) for c in group_cols] + list(order_cols)
+    ordered = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+               .withColumn("_ll_mid", F.monotonically_increasing_id())
+               .checkpoint(eager=True))
+    part = F.shiftright(F.col("_ll_mid"), _ROW_BITS)
+    pos = F.col("_ll_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    spans = (ordered.groupBy(part.alias("_ll_part"), *group_cols)
+             .agg(F.count(F.lit(1)).alias("_ll_n"), F.min(pos).alias("_ll_first")))
+    earlier = Window.partitionBy(*group_cols).orderBy("_ll_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = spans.select("_ll_part", *group_cols, "_ll_first",
+                           F.coalesce(F.sum("_ll_n").over(earlier), F.lit(0)).alias("_ll_offset"))
+    from ledgerlight.plans.joins import maybe_broadcast
+    numbered = ordered.withColumn("_ll_part", part).join(maybe_broadcast(offsets), ["_ll_part", *group_cols])
+    return (numbered.withColumn(name, (F.col("_ll_offset") + pos - F.col("_ll_first") + F.lit(1)).cast("bigint"))
+            .drop("_ll_mid", "_ll_part", "_ll_first", "_ll_offset"))

@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.random import rand_key
-from ledgerlight.plans.indexing import global_row_number, top_k_per_group
+from ledgerlight.plans.indexing import global_row_number, row_number_within, top_k_per_group
 from ledgerlight.plans.joins import estimated_size_bytes, maybe_broadcast
 
 
@@ -44,3 +44,14 @@ def test_rand_key_is_deterministic_and_spread(spark):
     b = [r.r for r in df.collect()]
     assert a == b
     assert len(set(a)) > 990 and min(a) >= 0 and max(a) < 2147483647
+
+
+def test_row_number_within_hot_group(spark):
+    # group 0 holds most rows; the distributed path must equal the window
+    df = spark.range(0, 6000, 1, 9).select(
+        F.when(F.col("id") % 10 < 7, F.lit(0)).otherwise(F.col("id") % 5).alias("g"),
+        ((F.col("id") * 7919) % 1000).alias("v"), F.col("id"))
+    order = [F.col("v").desc(), F.col("id")]
+    dist = {(r.g, r.id): r.rn for r in row_number_within(df, ["g"], order, "rn", small_limit=1).collect()}
+    win = {(r.g, r.id): r.rn for r in row_number_within(df, ["g"], order, "rn").collect()}
+    assert dist == win and len(dist) == 6000
