@@ -25,6 +25,7 @@ from ledgerlight.functions.dates import DateLike
 from ledgerlight.model import Model
 from ledgerlight.operators import territory as terr
 from ledgerlight.plans.joins import maybe_broadcast
+from ledgerlight.plans.session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -129,7 +130,9 @@ def territory_markdown(model: Model, as_of: DateLike | None = None, agent_id: in
                        headings: Headings = ENGLISH) -> DataFrame:
     """All lines of the report: (section_no, block, line_no, line)."""
     spark = model.sale.sparkSession
-    per_seller = terr.sales_by_territory_seller(model, as_of)
+    # the one pass over the sales: (territory, seller) sums feed both the table and the ranking
+    ensure_checkpoint_dir(spark)
+    per_seller = terr.sales_by_territory_seller(model, as_of).checkpoint(eager=True)
     secs = terr.sections(model, agent_id)
     rollup = terr.territory_rollup(model, districts=terr.district_sales(model, as_of, agent_id, per_seller))
     ranking = terr.seller_ranking(model, as_of, agent_id, per_seller)

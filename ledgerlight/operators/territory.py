@@ -48,7 +48,8 @@ def sales_by_territory_seller(model: Model, as_of: DateLike | None = None) -> Da
 def sections(model: Model, agent_id: int | None = None) -> DataFrame:
     """Report sections: one per (owner, city), numbered 1..n by owner id then city."""
     heads = owned_territories(model, agent_id).select(*SECTION, "owner_name").distinct()
-    return global_row_number(heads, [F.col("owner_id"), F.col("city")], "section_no")
+    # never more sections than territories
+    return global_row_number(heads, [F.col("owner_id"), F.col("city")], "section_no", bounded_by=model.territory)
 
 
 def district_sales(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
@@ -92,7 +93,9 @@ def territory_rollup(model: Model, as_of: DateLike | None = None, agent_id: int
         F.col("qty_total").cast("bigint").alias("qty_total"),
     )
     order = [F.col("is_total"), district_sort_key("district"), F.col("district")]
-    return row_number_within(shaped, SECTION, order, "line_no", small_limit=small_limit)
+    # one line per territory plus one total per section: bounded by the territory table
+    bound = model.territory if small_limit is None else None
+    return row_number_within(shaped, SECTION, order, "line_no", small_limit=small_limit, bounded_by=bound)
 
 
 def seller_ranking(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,

@@ -25,18 +25,32 @@ from ledgerlight.plans.session import ensure_checkpoint_dir
 _ROW_BITS = 33
 
 
+def _is_small(df: DataFrame, small_limit: int | None, bounded_by: DataFrame | None) -> bool:
+    """True when ``df`` provably fits one task.
+
+    The bound is Catalyst's size estimate of ``df`` or, when the caller
+    knows ``df`` has at most as many rows as another frame (sections of a
+    territory table, say), the estimate of that frame times two.
+    """
+    limit = broadcast_limit(df, small_limit)
+    size = estimated_size_bytes(df)
+    if size is not None and 0 <= size <= limit:
+        return True
+    if bounded_by is not None:
+        base = estimated_size_bytes(bounded_by)
+        return base is not None and 0 <= 2 * base <= limit
+    return False
+
+
 def global_row_number(df: DataFrame, order_cols: list[Column | str], name: str = "row_no",
-                      checkpoint: bool = True, small_limit: int | None = None) -> DataFrame:
+                      checkpoint: bool = True, small_limit: int | None = None,
+                      bounded_by: DataFrame | None = None) -> DataFrame:
     """Rows numbered 1..n in ``order_cols`` order.
 
-    When Catalyst's size estimate of ``df`` (an upper bound for scans,
-    filters and aggregates) is within the broadcast limit, the frame is
-    small enough for one task and a plain window numbers it.  Otherwise the
-    distributed path below runs.
+    When the frame provably fits one task (``_is_small``) a plain window
+    numbers it.  Otherwise the distributed path below runs.
     """
-    size = estimated_size_bytes(df)
-    bound = broadcast_limit(df, small_limit)
-    if size is not None and 0 <= size <= bound:
+    if _is_small(df, small_limit, bounded_by):
         cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
         return df.withColumn(name, F.row_number().over(Window.orderBy(*cols)).cast("bigint"))
     spark = df.sparkSession
@@ -79,7 +93,7 @@ def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Colum
 
 
 def row_number_within(df: DataFrame, group_cols: list[str], order_cols: list[Column], name: str = "row_no",
-                      small_limit: int | None = None) -> DataFrame:
+                      small_limit: int | None = None, bounded_by: DataFrame | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY group ORDER BY order)`` without one task per group.
 
     A window puts every row of a group in one task; a hot group (one
@@ -88,11 +102,10 @@ def row_number_within(df: DataFrame, group_cols: list[str], order_cols: list[Col
     splits a hot group over several partitions, and each row's number is
     its position in its partition plus the rows of the same group in
     earlier partitions.  The per-(partition, group) counts have at most
-    #partitions + #groups rows.  Frames whose size estimate is within the
-    broadcast limit use the plain window.
+    #partitions + #groups rows.  Frames that provably fit one task
+    (``_is_small``) use the plain window.
     """
-    size = estimated_size_bytes(df)
-    if size is not None and 0 <= size <= broadcast_limit(df, small_limit):
+    if _is_small(df, small_limit, bounded_by):
         w = Window.partitionBy(*group_cols).orderBy(*order_cols)
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     ensure_checkpoint_dir(df.sparkSession)
