@@ -29,21 +29,23 @@ from ledgerlight.model import Model
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-_FRAMES: dict[tuple[int, str], DataFrame] = {}
+_FRAMES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy frame of one generated table, reused per session (the files are read-only).
+    """Lazy frame of one generated table, reused per live session (the files are read-only).
 
     Reusing the frame skips a repeated file listing and footer read; it
-    holds no data.
+    holds no data.  The entry keeps its session, so a frame is only handed
+    back to that same, still running session.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    frame = _FRAMES.get(key)
-    if frame is None:
-        frame = spark.read.parquet(path)
-        _FRAMES[key] = frame
+    key = (id(spark), path)
+    hit = _FRAMES.get(key)
+    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
+        return hit[1]
+    frame = spark.read.parquet(path)
+    _FRAMES[key] = (spark, frame)
     return frame
 
 
