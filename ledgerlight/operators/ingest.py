@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlight.functions.dates import DateLike, as_date, shift_months
+from ledgerlight.functions.dates import DateLike, as_date
 from ledgerlight.model import Model
 from ledgerlight.operators import quality, stats
 from ledgerlight.plans.joins import maybe_broadcast
@@ -156,30 +156,6 @@ def ingest_invoices(spark: SparkSession, purchase_path: str | None, sale_path: s
     return load_batch(model, warehouse, p, s, mode, batch_id, refresh_as_of)
 
 
-def _facts_to(spark: SparkSession, warehouse: Warehouse, table: str, cutoff: dt.date) -> DataFrame:
-    """Fact rows up to ``cutoff`` (inclusive), read cheaply for a snapshot.
-
-    Whole months before the cutoff's month come from the per-batch monthly
-    summaries (one row per pair and month, dated the 1st); only the cutoff's
-    own month is read from the raw facts, with the other month partitions
-    pruned.  Both parts carry the fact columns the statistics read.
-    """
-    summary = warehouse.read_summary(spark, table)
-    first = cutoff.replace(day=1)
-    date_col = "date_bought" if table == "purchase" else "date_sold"
-    amount_col = "amount_bought" if table == "purchase" else "amount_sold"
-    recent = warehouse.read_fact(spark, table, between=(first, cutoff))
-    cols = [date_col, "agent_id", "product_id", amount_col] + (["price"] if table == "sale" else [])
-    recent = recent.select(*cols)
-    if summary is None:
-        return warehouse.read_fact(spark, table).select(*cols)
-    older = (summary.filter(F.col("month") < F.lit(first))
-             .select(F.col("month").alias(date_col), "agent_id", "product_id",
-                     F.col("amount").cast("bigint").alias(amount_col),
-                     *([F.col("price").cast("bigint").alias("price")] if table == "sale" else [])))
-    return older.unionByName(recent)
-
-
 def refresh_snapshot(spark: SparkSession, warehouse: Warehouse, as_of: DateLike | None = None,
                      lag_months: int = 1) -> dt.date:
     """Recompute the statistics snapshot at ``as_of`` (default today) from the loaded facts.
@@ -189,11 +165,6 @@ def refresh_snapshot(spark: SparkSession, warehouse: Warehouse, as_of: DateLike
     not rescan the whole history.
     """
     day = as_date(as_of)
-    base = warehouse.model(spark)
-    purchases = _facts_to(spark, warehouse, "purchase", shift_months(day, -lag_months))
-    sales = _facts_to(spark, warehouse, "sale", day)
-    model = Model(agent=base.agent, product=base.product, territory=base.territory,
-                  purchase=purchases,
-                  sale=sales.withColumn("territory_id", F.lit(None).cast("bigint")))
+    model = warehouse.stats_model(spark, day, lag_months)
     write_snapshot(stats.agent_product_stats(model, day, lag_months), warehouse.snapshot_path(), day)
     return day

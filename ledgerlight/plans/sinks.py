@@ -112,6 +112,46 @@ class Warehouse:
             sale=self.read_fact(spark, "sale", exclude_batch),
         )
 
+    def facts_up_to(self, spark: SparkSession, table: str, cutoff) -> DataFrame:
+        """Fact rows up to ``cutoff`` (inclusive), read cheaply for the statistics.
+
+        Whole months before the cutoff's month come from the per-batch
+        monthly summaries (one row per pair and month, dated the 1st); only
+        the cutoff's own month is read from the raw facts, the other month
+        partitions pruned.  Sale rows carry no territory (NULL): use these
+        frames for the agent / product statistics, not the territory report.
+        """
+        date_col = DATE_COLUMN[table]
+        amount_col = "amount_bought" if table == "purchase" else "amount_sold"
+        extra = ["price"] if table == "sale" else []
+        cols = [date_col, "agent_id", "product_id", amount_col, *extra]
+        summary = self.read_summary(spark, table)
+        if summary is None:
+            rows = self.read_fact(spark, table).select(*cols)
+        else:
+            first = cutoff.replace(day=1)
+            recent = self.read_fact(spark, table, between=(first, cutoff)).select(*cols)
+            older = (summary.filter(F.col("month") < F.lit(first))
+                     .select(F.col("month").alias(date_col), "agent_id", "product_id",
+                             F.col("amount").cast("bigint").alias(amount_col),
+                             *[F.col(c).cast("bigint").alias(c) for c in extra]))
+            rows = older.unionByName(recent)
+        if table == "sale":
+            rows = rows.withColumn("territory_id", F.lit(None).cast("bigint"))
+        return rows
+
+    def stats_model(self, spark: SparkSession, as_of, lag_months: int = 1) -> Model:
+        """A model for ``operators.stats`` at ``as_of`` reading summaries for whole months."""
+        from ledgerlight.functions.dates import as_date, shift_months
+        day = as_date(as_of)
+        return Model(
+            agent=self.read_dimension(spark, "agent"),
+            product=self.read_dimension(spark, "product"),
+            territory=self.read_dimension(spark, "territory"),
+            purchase=self.facts_up_to(spark, "purchase", shift_months(day, -lag_months)),
+            sale=self.facts_up_to(spark, "sale", day),
+        )
+
     def materialize(self, model: Model, batch_id: str = "initial") -> None:
         """Write a whole model (dimensions and facts) into this warehouse once.
 

@@ -118,3 +118,14 @@ def test_stream_equals_batch(spark, workdir):
     # a second run finds nothing new (checkpointed), so nothing is duplicated
     run_invoice_streams(spark, f"{workdir}/pin", f"{workdir}/sin", wh, f"{workdir}/ckpt", mode="fail")
     assert wh.model(spark).sale.count() == 34
+
+
+def test_materialized_summaries_give_same_statistics(spark, workdir):
+    from ledgerlight.sources.testdata import load_model
+    m = load_model(spark, "/root/testdata/sf0.001")
+    wh = Warehouse(f"{workdir}/wh")
+    wh.materialize(m)
+    for day in ("1996-03-15", "1998-12-31", "1999-01-01"):
+        direct = sorted(stats.agent_stats(m, day).collect())
+        summarised = sorted(stats.agent_stats(wh.stats_model(spark, day), day).collect())
+        assert direct == summarised, day
