@@ -14,6 +14,7 @@ and writes the rejected ones, with their reasons, next to the facts.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import uuid
 from dataclasses import dataclass
 
@@ -146,10 +147,37 @@ def load_batch(model: Model, warehouse: Warehouse, purchase_stage: DataFrame | N
     return LoadResult(batch_id, loaded, rejected)
 
 
+def files_batch_id(spark: SparkSession, paths: list[str]) -> str:
+    """A batch id determined by the input files (path, size, modification time).
+
+    Re-running a load of the same files (after a failure part-way through)
+    gets the same id, so it replaces its own earlier output; new or changed
+    files get a new id.  Only file metadata is listed, nothing is read.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    entries = []
+    for path in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(conf)
+        files = fs.listFiles(hpath, True)
+        while files.hasNext():
+            st = files.next()
+            entries.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
+    digest = hashlib.sha1("\n".join(sorted(entries)).encode("utf-8")).hexdigest()[:16]
+    return f"load-{digest}"
+
+
 def ingest_invoices(spark: SparkSession, purchase_path: str | None, sale_path: str | None,
                     warehouse: Warehouse, mode: str = "fail", batch_id: str | None = None,
                     refresh_as_of: DateLike | None = None) -> LoadResult:
-    """Read both invoice files and load them as one batch."""
+    """Read both invoice files and load them as one batch.
+
+    Without ``batch_id`` the id is derived from the files, so running the
+    same load again is idempotent.
+    """
+    if batch_id is None:
+        batch_id = files_batch_id(spark, [p for p in (purchase_path, sale_path) if p])
     model = warehouse.model(spark, exclude_batch=batch_id)
     p = read_purchase_invoice(spark, purchase_path) if purchase_path else None
     s = read_sale_invoice(spark, sale_path) if sale_path else None

@@ -129,3 +129,14 @@ def test_materialized_summaries_give_same_statistics(spark, workdir):
         direct = sorted(stats.agent_stats(m, day).collect())
         summarised = sorted(stats.agent_stats(wh.stats_model(spark, day), day).collect())
         assert direct == summarised, day
+
+
+def test_rerun_of_same_files_is_idempotent(spark, workdir):
+    wh = fresh_warehouse(spark, workdir)
+    p = write_csv(f"{workdir}/in/p.csv", PURCHASE_HEADER, purchase_lines())
+    s = write_csv(f"{workdir}/in/s.csv", SALE_HEADER, sale_lines())
+    first = ingest.ingest_invoices(spark, p, s, wh, mode="fail", refresh_as_of="2024-04-01")
+    again = ingest.ingest_invoices(spark, p, s, wh, mode="fail", refresh_as_of="2024-04-01")
+    assert first.batch_id == again.batch_id
+    assert again.loaded == {"purchase": 34, "sale": 34}
+    assert wh.model(spark).sale.count() == 34
