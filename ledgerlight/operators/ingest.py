@@ -18,6 +18,7 @@ import hashlib
 import uuid
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlight.functions.dates import DateLike, as_date
@@ -115,7 +116,6 @@ def load_batch(model: Model, warehouse: Warehouse, purchase_stage: DataFrame | N
     spark = (purchase_stage if purchase_stage is not None else sale_stage).sparkSession
     batch_id = batch_id or f"load-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     checked: dict[str, DataFrame] = {}
-    rejected: dict[str, dict[str, int]] = {}
     if purchase_stage is not None:
         resolved = _checked(resolve_purchases(purchase_stage, model))  # the file is parsed once
         loaded_p = _loaded_rows(warehouse, "purchase", resolved, "date_bought", batch_id)
@@ -124,6 +124,20 @@ def load_batch(model: Model, warehouse: Warehouse, purchase_stage: DataFrame | N
         resolved = _checked(resolve_sales(sale_stage, model))
         loaded_s = _loaded_rows(warehouse, "sale", resolved, "date_sold", batch_id)
         checked["sale"] = quality.flag_sales(resolved, loaded_s)
+    # the flags feed the counts and up to three writes; keep them cached (their lineage is
+    # short and starts at the reliable checkpoint above, so a lost block recomputes the same rows)
+    for frame in checked.values():
+        frame.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _write_checked(spark, warehouse, checked, mode, batch_id, refresh_as_of, refresh)
+    finally:
+        for frame in checked.values():
+            frame.unpersist()
+
+
+def _write_checked(spark: SparkSession, warehouse: Warehouse, checked: dict[str, DataFrame], mode: str,
+                   batch_id: str, refresh_as_of: DateLike | None, refresh: bool) -> LoadResult:
+    rejected: dict[str, dict[str, int]] = {}
     loaded: dict[str, int] = {}
     for table, frame in checked.items():
         counts = outcome_counts(frame)
