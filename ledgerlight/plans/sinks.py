@@ -32,17 +32,22 @@ DATE_COLUMN = {"purchase": "date_bought", "sale": "date_sold"}
 @dataclass(frozen=True)
 class Warehouse:
     root: str
+    dims_root: str | None = None  # dimensions kept elsewhere (shared, read-only), else under root
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
+    def dim_path(self, name: str) -> str:
+        base = (self.dims_root or self.root).rstrip("/")
+        return f"{base}/{name}"
+
     # dimensions -----------------------------------------------------------
     def write_dimensions(self, model: Model) -> None:
         for name in DIM_SCHEMAS:
-            getattr(model, name).write.mode("overwrite").parquet(self.path(name))
+            getattr(model, name).write.mode("overwrite").parquet(self.dim_path(name))
 
     def read_dimension(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.schema(DIM_SCHEMAS[name]).parquet(self.path(name))
+        return spark.read.schema(DIM_SCHEMAS[name]).parquet(self.dim_path(name))
 
     # facts ----------------------------------------------------------------
     def append_fact(self, df: DataFrame, table: str, batch_id: str) -> None:

@@ -1,8 +1,10 @@
 """Ingest queries.
 
 The invoice files these queries load are written from the generated
-tables (facts with keys replaced by names) into a fresh folder under the
-session's checkpoint directory, then read back through the real readers.
+tables (facts with keys replaced by names) once per session and data set,
+into a folder under the session's checkpoint directory, and read back
+through the real readers; every query loads them into its own fresh
+warehouse.
 """
 
 from __future__ import annotations
@@ -56,11 +58,33 @@ def csv_scan(spark, sf_dir):
     return invoices.read_purchase_invoice(spark, f"{folder}/purchase")
 
 
-def _warehouse(spark, sf_dir, label: str) -> tuple[Warehouse, str]:
+_INPUTS: dict[tuple[int, str], tuple[object, str]] = {}
+
+
+def _inputs(spark, sf_dir) -> str:
+    """Dimensions and both invoices of the generated tables, written once per session and data set.
+
+    ``<folder>/dims/{agent,product,territory}``, ``<folder>/in/purchase``,
+    ``<folder>/in/sale``; the ingest queries only read them.
+    """
+    key = (id(spark), sf_dir.rstrip("/"))
+    hit = _INPUTS.get(key)
+    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
+        return hit[1]
+    folder = scratch_path(spark, "inputs")
+    m = model(spark, sf_dir)
+    Warehouse(folder, dims_root=f"{folder}/dims").write_dimensions(m)
+    invoices.write_invoice(invoices.purchase_stage(m), f"{folder}/in/purchase")
+    invoices.write_invoice(invoices.sale_stage(m), f"{folder}/in/sale")
+    _INPUTS[key] = (spark, folder)
+    return folder
+
+
+def _warehouse(spark, sf_dir, label: str) -> tuple[Warehouse, str, str]:
+    """A fresh, empty warehouse over the shared dimensions, plus the invoice folder."""
+    inputs = _inputs(spark, sf_dir)
     folder = scratch_path(spark, label)
-    wh = Warehouse(f"{folder}/warehouse")
-    wh.write_dimensions(model(spark, sf_dir))
-    return wh, folder
+    return Warehouse(f"{folder}/warehouse", dims_root=f"{inputs}/dims"), folder, f"{inputs}/in"
 
 
 @register("stream_ingest_sales", with_views(STAGE_CTE + """
@@ -69,9 +93,8 @@ FROM sale s JOIN sale_key_counts k
   ON k.date_sold = s.date_sold AND k.product_id = s.product_id AND k.agent_id = s.agent_id
 WHERE k.n = 1"""))
 def stream_ingest_sales(spark, sf_dir):
-    wh, folder = _warehouse(spark, sf_dir, "stream")
-    invoices.write_invoice(invoices.sale_stage(model(spark, sf_dir)), f"{folder}/in/sale")
-    run_invoice_streams(spark, None, f"{folder}/in/sale", wh, f"{folder}/checkpoints",
+    wh, folder, inbox = _warehouse(spark, sf_dir, "stream")
+    run_invoice_streams(spark, None, f"{inbox}/sale", wh, f"{folder}/checkpoints",
                         mode="quarantine", refresh_as_of=AS_OF)
     return wh.read_fact(spark, "sale")
 
@@ -82,11 +105,8 @@ UNION ALL
 SELECT 'sale', CASE WHEN k.n = 1 THEN 'loaded' ELSE 'duplicate key in batch' END, CAST(sum(k.n) AS BIGINT)
 FROM sale_key_counts k GROUP BY 1, 2"""))
 def invoice_load_report(spark, sf_dir):
-    wh, folder = _warehouse(spark, sf_dir, "load")
-    m = model(spark, sf_dir)
-    invoices.write_invoice(invoices.purchase_stage(m), f"{folder}/in/purchase")
-    invoices.write_invoice(invoices.sale_stage(m), f"{folder}/in/sale")
-    result = ingest.ingest_invoices(spark, f"{folder}/in/purchase", f"{folder}/in/sale", wh,
+    wh, _, inbox = _warehouse(spark, sf_dir, "load")
+    result = ingest.ingest_invoices(spark, f"{inbox}/purchase", f"{inbox}/sale", wh,
                                     mode="quarantine", refresh_as_of=AS_OF)
     rows = [(t, "loaded", n) for t, n in result.loaded.items()]
     rows += [(t, reason, n) for t, counts in result.rejected.items() for reason, n in counts.items()]
@@ -112,10 +132,7 @@ SELECT b.agent_id, b.product_id, b.qty_bought, b.cost, s.qty_sold, s.revenue,
 FROM bought_pairs b LEFT JOIN sold_pairs s ON s.agent_id = b.agent_id AND s.product_id = b.product_id"""))
 def snapshot_after_load(spark, sf_dir):
     """Stream both invoices in (purchases first), then read the refreshed snapshot."""
-    wh, folder = _warehouse(spark, sf_dir, "snapshot")
-    m = model(spark, sf_dir)
-    invoices.write_invoice(invoices.purchase_stage(m), f"{folder}/in/purchase")
-    invoices.write_invoice(invoices.sale_stage(m), f"{folder}/in/sale")
-    run_invoice_streams(spark, f"{folder}/in/purchase", f"{folder}/in/sale", wh, f"{folder}/checkpoints",
+    wh, folder, inbox = _warehouse(spark, sf_dir, "snapshot")
+    run_invoice_streams(spark, f"{inbox}/purchase", f"{inbox}/sale", wh, f"{folder}/checkpoints",
                         mode="quarantine", refresh_as_of=AS_OF)
     return (spark.read.parquet(wh.snapshot_path()).filter(F.col("as_of") == F.lit(AS_OF)).drop("as_of"))
