@@ -158,10 +158,11 @@ def agent_document_fragments(totals: DataFrame, named: DataFrame, root: str = "a
         agents = totals.join(numbers.select("agent_id", "agent_no"), "agent_id")
     else:
         agents = global_row_number(totals, [F.col("agent_name"), F.col("agent_id")], "agent_no")
-    firsts = (named.groupBy("agent_id")
-              .agg(F.min(F.struct("product_name", "product_id")).alias("_first"),
-                   F.count(F.lit(1)).alias("n_children")))
-    heads = agents.join(maybe_broadcast(firsts), "agent_id", "left")
+    if "_first" in totals.columns:  # computed with the totals in one aggregation
+        heads = agents
+    else:
+        firsts = named.groupBy("agent_id").agg(F.min(F.struct("product_name", "product_id")).alias("_first"))
+        heads = agents.join(maybe_broadcast(firsts), "agent_id", "left")
     head_json = json_object(agent_keys, as_text=True)
     head_body = F.expr("substr(_ll_obj, 1, length(_ll_obj) - 1)")
     head = (heads.withColumn("_ll_obj", head_json)
@@ -210,7 +211,9 @@ def agent_documents(model: Model, as_of: DateLike | None = None, agent_id: int |
     # them once in the shared checkpoint folder instead of scanning the facts three times
     ensure_checkpoint_dir(model.sale.sparkSession)
     named = stats.agent_product_named(model, as_of, agent_id=agent_id).checkpoint(eager=True)
-    totals = stats.agent_stats_from_named(model, named, agent_id)
+    # one aggregation per agent gives both the totals and the first product (for the commas)
+    totals = stats.agent_stats_from_named(
+        model, named, agent_id, extra=[F.min(F.struct("product_name", "product_id")).alias("_first")])
     dim = model.agent if agent_id is None else model.agent.filter(F.col("agent_id") == F.lit(agent_id))
     return agent_document_fragments(totals, named, root, agent_keys, product_keys, agents=dim)
 

@@ -84,17 +84,21 @@ def agent_stats(model: Model, as_of: DateLike | None = None, agent_id: int | Non
                     *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in MEASURES]))
 
 
-def agent_stats_from_named(model: Model, named: DataFrame, agent_id: int | None = None) -> DataFrame:
+def agent_stats_from_named(model: Model, named: DataFrame, agent_id: int | None = None,
+                           extra: list[F.Column] | None = None) -> DataFrame:
     """Totals per agent from zero-filled pair rows (same result as ``agent_stats``).
 
     Summing zero-filled values equals zero-filling the sums, so a caller
     that already holds the named pairs avoids a second pass over the facts.
+    ``extra`` aggregates (aliased) are computed in the same pass and kept.
     """
-    totals = named.groupBy("agent_id").agg(*[F.sum(m).alias(m) for m in MEASURES])
+    extra = extra or []
+    totals = named.groupBy("agent_id").agg(*[F.sum(m).alias(m) for m in MEASURES], *extra)
     agents = _for_agent(model.agent.select("agent_id", "agent_name"), agent_id)
+    kept = [c for c in totals.columns if c not in MEASURES and c != "agent_id"]
     return (agents.join(totals, "agent_id", "left")
             .select("agent_id", "agent_name",
-                    *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in MEASURES]))
+                    *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in MEASURES], *kept))
 
 
 def agent_product_named(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
