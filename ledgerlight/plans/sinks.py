@@ -53,14 +53,15 @@ class Warehouse:
     def append_fact(self, df: DataFrame, table: str, batch_id: str) -> None:
         """Write one batch of fact rows under ``batch=<id>``, partitioned by month.
 
-        Rows are range-partitioned by (month, agent, product) first: each
-        task writes one or a few month folders (few, large files), and a
-        month bigger than one task is still split across several.
+        ``REBALANCE(month)`` groups each month's rows into few tasks (few
+        files per month folder) while AQE splits a large month into chunks
+        of the advisory partition size, so file and task sizes stay bounded
+        whatever the batch volume.
         """
         cols = [f.name for f in FACT_SCHEMAS[table].fields]
         (df.select(*cols)
          .withColumn("month", F.trunc(F.col(DATE_COLUMN[table]), "month"))
-         .repartitionByRange("month", "agent_id", "product_id")
+         .hint("rebalance", "month")
          .write.mode("overwrite").partitionBy("month")
          .parquet(self.path(table, f"batch={batch_id}")))
 
