@@ -248,6 +248,11 @@ def parse_children(fragments: DataFrame, product_keys: dict[str, str] = PRODUCT_
     return parsed.select("agent_id", "product_id", *cols)
 
 
+def profit_by_agent(totals: DataFrame) -> DataFrame:
+    """Chart input: (agent, profit) for every agent (zero when nothing was sold)."""
+    return totals.select("agent_id", "agent_name", "profit")
+
+
 def profit_by_product(named: DataFrame) -> DataFrame:
     """Chart input: (product, agent, profit) for every agent that has products."""
     return named.select("product_id", "product_name", "agent_id", "agent_name", "profit")

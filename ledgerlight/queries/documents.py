@@ -70,6 +70,12 @@ def agent_product_json(spark, sf_dir):
     return report_json.agent_product_json(stats.agent_product_named(model(spark, sf_dir), AS_OF))
 
 
+@register("profit_by_agent", with_views(NAMED_CTE + """
+SELECT agent_id, agent_name, profit FROM totals"""))
+def profit_by_agent(spark, sf_dir):
+    return report_json.profit_by_agent(stats.agent_stats(model(spark, sf_dir), AS_OF))
+
+
 @register("profit_by_product_pairs", with_views(NAMED_CTE + """
 SELECT product_id, product_name, agent_id, agent_name, profit FROM named"""))
 def profit_by_product_pairs(spark, sf_dir):
