@@ -99,13 +99,16 @@ def territory_rollup(model: Model, as_of: DateLike | None = None, agent_id: int
 
 
 def seller_ranking(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
-                   per_seller: DataFrame | None = None) -> DataFrame:
+                   per_seller: DataFrame | None = None, small_limit: int | None = None) -> DataFrame:
     """Sellers in each section ranked by quantity (desc), ties by name then id."""
     owned = owned_territories(model, agent_id).select("territory_id", *SECTION)
     sold = per_seller if per_seller is not None else sales_by_territory_seller(model, as_of)
     per_section = (sold.join(maybe_broadcast(owned), "territory_id")
                    .groupBy(*SECTION, "seller_id", "seller_name")
                    .agg(F.sum("qty").cast("bigint").alias("qty_sold")))
-    # a section can hold every seller of the model: number it without a per-section window task
+    # a section ranks distinct sellers, so it never has more rows than the agent table: a
+    # per-section window is safe while that table is small; beyond it the ranks are
+    # computed without putting a section in one task
     return row_number_within(per_section, SECTION,
-                             [F.col("qty_sold").desc(), F.col("seller_name"), F.col("seller_id")], "rank_no")
+                             [F.col("qty_sold").desc(), F.col("seller_name"), F.col("seller_id")], "rank_no",
+                             small_limit=small_limit, group_bounded_by=model.agent)

@@ -93,7 +93,8 @@ def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Colum
 
 
 def row_number_within(df: DataFrame, group_cols: list[str], order_cols: list[Column], name: str = "row_no",
-                      small_limit: int | None = None, bounded_by: DataFrame | None = None) -> DataFrame:
+                      small_limit: int | None = None, bounded_by: DataFrame | None = None,
+                      group_bounded_by: DataFrame | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY group ORDER BY order)`` without one task per group.
 
     A window puts every row of a group in one task; a hot group (one
@@ -102,10 +103,14 @@ def row_number_within(df: DataFrame, group_cols: list[str], order_cols: list[Col
     splits a hot group over several partitions, and each row's number is
     its position in its partition plus the rows of the same group in
     earlier partitions.  The per-(partition, group) counts have at most
-    #partitions + #groups rows.  Frames that provably fit one task
-    (``_is_small``) use the plain window.
+    #partitions + #groups rows.  The plain window is used when one task
+    provably holds any group: the whole frame is small (``bounded_by``), or
+    every group has at most as many rows as ``group_bounded_by`` (a section
+    ranks distinct agents, say) and that frame is small.
     """
-    if _is_small(df, small_limit, bounded_by):
+    if _is_small(df, small_limit, bounded_by) or (
+            group_bounded_by is not None and small_limit is None
+            and _is_small(group_bounded_by, None, None)):
         w = Window.partitionBy(*group_cols).orderBy(*order_cols)
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     ensure_checkpoint_dir(df.sparkSession)

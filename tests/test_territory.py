@@ -24,7 +24,11 @@ def test_invoice_territories_strict_date(spark):
 
 
 def test_invoice_seller_ranking(spark):
-    ranking = territory.seller_ranking(invoice_model(spark), "2024-04-02")
+    m = invoice_model(spark)
+    window = sorted(territory.seller_ranking(m, "2024-04-02").collect())
+    distributed = sorted(territory.seller_ranking(m, "2024-04-02", small_limit=1).collect())
+    assert window == distributed
+    ranking = territory.seller_ranking(m, "2024-04-02")
     got = {}
     for r in ranking.orderBy("owner_id", "rank_no").collect():
         got.setdefault(r.owner_id, []).append((r.seller_name, r.qty_sold))
