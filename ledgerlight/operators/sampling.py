@@ -25,15 +25,17 @@ from ledgerlight.plans.joins import maybe_broadcast
 
 
 def sample_products_per_agent_month(model: Model, seed: int = 7, max_k: int = 7,
-                                    salt_buckets: int = 16) -> DataFrame:
+                                    salt_buckets: int = 16, always_salt: bool = False) -> DataFrame:
     bought = (model.purchase
               .withColumn("month", F.trunc("date_bought", "month"))
               .groupBy("agent_id", "month", "product_id")
               .agg(F.sum("amount_bought").cast("bigint").alias("qty")))
     keyed = bought.withColumn("_ll_rand", rand_key(seed, F.col("agent_id"), month_number(F.col("month")),
                                                  F.col("product_id")))
+    # a group holds distinct products: bounded by the product table when that is small
     top = top_k_per_group(keyed, ["agent_id", "month"], [F.col("_ll_rand"), F.col("product_id")], max_k,
-                          salt=F.col("product_id"), salt_buckets=salt_buckets, rank_name="pick_no")
+                          salt=F.col("product_id"), salt_buckets=salt_buckets, rank_name="pick_no",
+                          group_bounded_by=None if always_salt else model.product)
     group_k = F.lit(1) + rand_key(seed + 1, F.col("agent_id"), month_number(F.col("month"))) % F.lit(max_k)
     return (top.filter(F.col("pick_no") <= group_k)
             .select("agent_id", "month", "product_id", "qty", F.col("pick_no").cast("bigint").alias("pick_no")))

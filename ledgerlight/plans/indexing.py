@@ -75,12 +75,17 @@ def global_row_number(df: DataFrame, order_cols: list[Column | str], name: str =
 
 def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Column], k: int,
                     salt: Column | None = None, salt_buckets: int = 16,
-                    rank_name: str = "rank_no") -> DataFrame:
+                    rank_name: str = "rank_no", group_bounded_by: DataFrame | None = None) -> DataFrame:
     """Rows ranked 1..k within each group by ``order_cols`` (ties broken by the order given).
 
     ``salt`` must be a deterministic column (for example a hash of the row's
-    key); rows of one group are pre-reduced per salt bucket.
+    key); rows of one group are pre-reduced per salt bucket.  When every
+    group provably has at most as many rows as ``group_bounded_by`` and that
+    frame is small, one window pass suffices.
     """
+    if group_bounded_by is not None and _is_small(group_bounded_by, None, None):
+        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+        return df.withColumn(rank_name, F.row_number().over(w)).filter(F.col(rank_name) <= k)
     if salt is None:
         salt = F.xxhash64(*[F.col(c) for c in df.columns])
     bucketed = df.withColumn("_ll_salt", F.pmod(salt, F.lit(salt_buckets)))

@@ -55,3 +55,12 @@ def test_row_number_within_hot_group(spark):
     dist = {(r.g, r.id): r.rn for r in row_number_within(df, ["g"], order, "rn", small_limit=1).collect()}
     win = {(r.g, r.id): r.rn for r in row_number_within(df, ["g"], order, "rn").collect()}
     assert dist == win and len(dist) == 6000
+
+
+def test_sampling_paths_agree(spark):
+    from ledgerlight.operators import sampling
+    from ledgerlight.sources.testdata import load_model
+    m = load_model(spark, "/root/testdata/sf0.001")
+    one = sorted(sampling.sample_products_per_agent_month(m).collect())
+    salted = sorted(sampling.sample_products_per_agent_month(m, always_salt=True).collect())
+    assert one == salted and len(one) > 0
