@@ -90,11 +90,12 @@ class Warehouse:
         return self.exists(spark, self.path(table))
 
     def read_fact(self, spark: SparkSession, table: str, exclude_batch: str | None = None,
-                  between: tuple | None = None) -> DataFrame:
+                  between: tuple | None = None, up_to=None) -> DataFrame:
         """Loaded rows of a fact table.
 
         ``exclude_batch`` hides one batch's own earlier output; ``between``
-        (first, last date) prunes month partitions before any file is read.
+        (first, last date) and ``up_to`` (last date) prune month partitions
+        before any file is read.
         """
         schema = FACT_SCHEMAS[table]
         if not self.has_fact(spark, table):
@@ -102,20 +103,23 @@ class Warehouse:
         df = spark.read.option("basePath", self.path(table)).parquet(self.path(table))
         if exclude_batch is not None:
             df = df.filter(F.col("batch").cast("string") != F.lit(exclude_batch))
+        day = F.col(DATE_COLUMN[table])
         if between is not None:
             lo, hi = between
-            day = F.col(DATE_COLUMN[table])
             df = df.filter(F.col("month").cast("date").between(F.trunc(F.lit(lo), "month"), F.lit(hi))
                            & day.between(F.lit(lo), F.lit(hi)))
+        if up_to is not None:
+            df = df.filter((F.col("month").cast("date") <= F.lit(up_to)) & (day <= F.lit(up_to)))
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
-    def model(self, spark: SparkSession, exclude_batch: str | None = None) -> Model:
+    def model(self, spark: SparkSession, exclude_batch: str | None = None, up_to=None) -> Model:
+        """Dimensions and facts; ``up_to`` (a date) reads only the months up to it."""
         return Model(
             agent=self.read_dimension(spark, "agent"),
             product=self.read_dimension(spark, "product"),
             territory=self.read_dimension(spark, "territory"),
-            purchase=self.read_fact(spark, "purchase", exclude_batch),
-            sale=self.read_fact(spark, "sale", exclude_batch),
+            purchase=self.read_fact(spark, "purchase", exclude_batch, up_to=up_to),
+            sale=self.read_fact(spark, "sale", exclude_batch, up_to=up_to),
         )
 
     def facts_up_to(self, spark: SparkSession, table: str, cutoff) -> DataFrame:
