@@ -96,14 +96,16 @@ def agent_product_json(named: DataFrame, keys: dict[str, str] | None = None) ->
 ARRAY_COLUMNS = ["doc_part", "item_no", "fragment"]
 
 
-def array_fragments(docs: DataFrame, order_cols: list[str], doc_col: str = "doc") -> DataFrame:
+def array_fragments(docs: DataFrame, order_cols: list[str], doc_col: str = "doc",
+                    bounded_by: DataFrame | None = None) -> DataFrame:
     """A JSON array of per-row objects as ordered fragments: ``[``, items, ``]``.
 
-    Items are numbered with the distributed ``global_row_number``; every item
-    but the first carries a leading comma.  No rows give the document
+    Items are numbered with ``global_row_number`` (distributed unless the
+    items are provably few: ``bounded_by`` has at least as many rows); every
+    item but the first carries a leading comma.  No rows give the document
     ``null`` (an aggregate over nothing), as the original functions return.
     """
-    items = global_row_number(docs, [F.col(c) for c in order_cols], "item_no")
+    items = global_row_number(docs, [F.col(c) for c in order_cols], "item_no", bounded_by=bounded_by)
     body = items.select(
         F.lit(1).alias("doc_part"), "item_no",
         F.concat(F.when(F.col("item_no") > 1, F.lit(",")).otherwise(F.lit("")), F.col(doc_col)).alias("fragment"))
@@ -119,6 +121,7 @@ def array_fragments(docs: DataFrame, order_cols: list[str], doc_col: str = "doc"
 
 
 def render_array(fragments: DataFrame, limit_rows: int = 100_000) -> str:
+    """Whole array document on the driver: opt-in, for small results and tests."""
     rows = fragments.orderBy("doc_part", "item_no").select("fragment").limit(limit_rows + 1).collect()
     if len(rows) > limit_rows:
         raise ValueError(f"document has more than {limit_rows} fragments; write it as text parts")
@@ -130,7 +133,7 @@ def agent_stats_document(model: Model, as_of: DateLike | None = None, agent_id:
     """Per-agent totals as one JSON array ordered by agent name (numbers as numbers)."""
     totals = stats.agent_stats(model, as_of, agent_id=agent_id)
     docs = totals.select("agent_id", "agent_name", json_object(keys).alias("doc"))
-    return array_fragments(docs, ["agent_name", "agent_id"])
+    return array_fragments(docs, ["agent_name", "agent_id"], bounded_by=model.agent)  # one item per agent
 
 
 def agent_product_document(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
