@@ -9,17 +9,24 @@ executor loss and re-execution, and per-partition row counts (one row per
 partition, so their size is bounded by the partition count) are turned
 into offsets and broadcast back.
 
+``row_number_within`` does the same inside groups (a window's PARTITION
+BY) with per-(partition, group) offsets, so one hot group is split across
+tasks.
+
 ``top_k_per_group`` keeps the k first rows of each group.  A hot group is
 first cut into ``salt_buckets`` sub-groups, each reduced to its own top k,
 so no task ever ranks more than the rows of one sub-group plus
 ``k * salt_buckets`` survivors.
+
+All three fall back to a plain window only when one task provably holds
+the data (see ``_is_small``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerlight.plans.joins import broadcast_limit, estimated_size_bytes
+from ledgerlight.plans.joins import broadcast_limit, estimated_size_bytes, maybe_broadcast
 from ledgerlight.plans.session import ensure_checkpoint_dir
 
 _ROW_BITS = 33
@@ -130,7 +137,6 @@ def row_number_within(df: DataFrame, group_cols: list[str], order_cols: list[Col
     earlier = Window.partitionBy(*group_cols).orderBy("_ll_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = spans.select("_ll_part", *group_cols, "_ll_first",
                            F.coalesce(F.sum("_ll_n").over(earlier), F.lit(0)).alias("_ll_offset"))
-    from ledgerlight.plans.joins import maybe_broadcast
     numbered = ordered.withColumn("_ll_part", part).join(maybe_broadcast(offsets), ["_ll_part", *group_cols])
     return (numbered.withColumn(name, (F.col("_ll_offset") + pos - F.col("_ll_first") + F.lit(1)).cast("bigint"))
             .drop("_ll_mid", "_ll_part", "_ll_first", "_ll_offset"))
