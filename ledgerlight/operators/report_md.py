@@ -133,9 +133,13 @@ def territory_markdown(model: Model, as_of: DateLike | None = None, agent_id: in
     # the one pass over the sales: (territory, seller) sums feed both the table and the ranking
     ensure_checkpoint_dir(spark)
     per_seller = terr.sales_by_territory_seller(model, as_of).checkpoint(eager=True)
-    secs = terr.sections(model, agent_id)
-    rollup = terr.territory_rollup(model, districts=terr.district_sales(model, as_of, agent_id, per_seller))
-    ranking = terr.seller_ranking(model, as_of, agent_id, per_seller)
+    # the owned territories (a few rows, possibly derived from big tables) feed the
+    # sections, the table and the ranking: materialise them once as well
+    owned = terr.owned_territories(model, agent_id).checkpoint(eager=True)
+    secs = terr.sections(model, agent_id, owned=owned)
+    districts = terr.district_sales(model, as_of, agent_id, per_seller, owned=owned)
+    rollup = terr.territory_rollup(model, districts=districts)
+    ranking = terr.seller_ranking(model, as_of, agent_id, per_seller, owned=owned)
     return (heading_lines(spark, headings)
             .unionByName(section_lines(secs, headings))
             .unionByName(table_lines(secs, rollup, headings))

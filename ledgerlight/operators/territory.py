@@ -26,7 +26,12 @@ SECTION = ["owner_id", "city"]
 
 
 def owned_territories(model: Model, agent_id: int | None = None) -> DataFrame:
-    """Territories whose owner exists, with the owner's name."""
+    """Territories whose owner exists, with the owner's name (at most one row per territory).
+
+    The territory dimension may itself be derived from large tables; a
+    report that uses it several times materialises it once (see
+    ``report_md.territory_markdown``).
+    """
     owners = model.agent.select(F.col("agent_id").alias("owner_id"), F.col("agent_name").alias("owner_name"))
     t = model.territory.filter(F.col("agent_id").isNotNull())
     if agent_id is not None:
@@ -45,17 +50,18 @@ def sales_by_territory_seller(model: Model, as_of: DateLike | None = None) -> Da
     return per_seller.join(maybe_broadcast(sellers), "seller_id")
 
 
-def sections(model: Model, agent_id: int | None = None) -> DataFrame:
+def sections(model: Model, agent_id: int | None = None, owned: DataFrame | None = None) -> DataFrame:
     """Report sections: one per (owner, city), numbered 1..n by owner id then city."""
-    heads = owned_territories(model, agent_id).select(*SECTION, "owner_name").distinct()
+    owned = owned if owned is not None else owned_territories(model, agent_id)
+    heads = owned.select(*SECTION, "owner_name").distinct()
     # never more sections than territories
     return global_row_number(heads, [F.col("owner_id"), F.col("city")], "section_no", bounded_by=model.territory)
 
 
 def district_sales(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
-                   per_seller: DataFrame | None = None) -> DataFrame:
+                   per_seller: DataFrame | None = None, owned: DataFrame | None = None) -> DataFrame:
     """Every owned territory with owner / competitor / total quantity (zero when nothing sold)."""
-    owned = owned_territories(model, agent_id)
+    owned = owned if owned is not None else owned_territories(model, agent_id)
     sold = per_seller if per_seller is not None else sales_by_territory_seller(model, as_of)
     keyed = sold.join(maybe_broadcast(owned.select("territory_id", "owner_id")), "territory_id")
     own = F.when(F.col("seller_id") == F.col("owner_id"), F.col("qty")).otherwise(F.lit(0))
@@ -99,9 +105,10 @@ def territory_rollup(model: Model, as_of: DateLike | None = None, agent_id: int
 
 
 def seller_ranking(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
-                   per_seller: DataFrame | None = None, small_limit: int | None = None) -> DataFrame:
+                   per_seller: DataFrame | None = None, small_limit: int | None = None,
+                   owned: DataFrame | None = None) -> DataFrame:
     """Sellers in each section ranked by quantity (desc), ties by name then id."""
-    owned = owned_territories(model, agent_id).select("territory_id", *SECTION)
+    owned = (owned if owned is not None else owned_territories(model, agent_id)).select("territory_id", *SECTION)
     sold = per_seller if per_seller is not None else sales_by_territory_seller(model, as_of)
     per_section = (sold.join(maybe_broadcast(owned), "territory_id")
                    .groupBy(*SECTION, "seller_id", "seller_name")
