@@ -140,3 +140,18 @@ def test_rerun_of_same_files_is_idempotent(spark, workdir):
     assert first.batch_id == again.batch_id
     assert again.loaded == {"purchase": 34, "sale": 34}
     assert wh.model(spark).sale.count() == 34
+
+
+def test_warehouse_reads_prune_months(spark, workdir):
+    import datetime as dt
+
+    from ledgerlight.sources.testdata import load_model
+    wh = Warehouse(f"{workdir}/wh")
+    wh.materialize(load_model(spark, "/root/testdata/sf0.001"))
+    upto = wh.read_fact(spark, "sale", up_to=dt.date(1996, 1, 1))
+    plan = upto._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "1996-01-01" in plan
+    span = wh.read_fact(spark, "purchase", between=(dt.date(1997, 3, 5), dt.date(1997, 4, 20)))
+    assert span.agg(F.min("date_bought"), F.max("date_bought")).first()[0] >= dt.date(1997, 3, 5)
+    span_plan = span._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in span_plan and "1997-03-01" in span_plan
