@@ -107,19 +107,19 @@ def section_lines(secs: DataFrame, h: Headings) -> DataFrame:
             .select("section_no", "p.block", "p.line_no", "p.line"))
 
 
-def table_lines(secs: DataFrame, rollup: DataFrame, h: Headings) -> DataFrame:
+def table_lines(secs: DataFrame, rollup: DataFrame, h: Headings, bound: DataFrame | None = None) -> DataFrame:
     detail = F.concat(F.lit("| "), F.col("district"), F.lit(" | "), _s("qty_own"), F.lit(" | "),
                       _s("qty_competitor"), F.lit(" | "), _s("qty_total"), F.lit(" |"))
     total = F.concat(F.lit(f"| **{h.total}** | **"), _s("qty_own"), F.lit("** | **"),
                      _s("qty_competitor"), F.lit("** | **"), _s("qty_total"), F.lit("** |"))
-    keys = maybe_broadcast(secs.select("section_no", *terr.SECTION))
+    keys = maybe_broadcast(secs.select("section_no", *terr.SECTION), bounded_by=bound)
     return (rollup.join(keys, terr.SECTION)
             .select("section_no", F.lit(1).alias("block"), "line_no",
                     F.when(F.col("is_total") == 1, total).otherwise(detail).alias("line")))
 
 
-def ranking_lines(secs: DataFrame, ranking: DataFrame) -> DataFrame:
-    keys = maybe_broadcast(secs.select("section_no", *terr.SECTION))
+def ranking_lines(secs: DataFrame, ranking: DataFrame, bound: DataFrame | None = None) -> DataFrame:
+    keys = maybe_broadcast(secs.select("section_no", *terr.SECTION), bounded_by=bound)
     return (ranking.join(keys, terr.SECTION)
             .select("section_no", F.lit(3).alias("block"), F.col("rank_no").alias("line_no"),
                     F.concat(_s("rank_no"), F.lit(") "), F.col("seller_name"), F.lit(" - "),
@@ -135,15 +135,16 @@ def territory_markdown(model: Model, as_of: DateLike | None = None, agent_id: in
     per_seller = terr.sales_by_territory_seller(model, as_of).checkpoint(eager=True)
     # the owned territories (a few rows, possibly derived from big tables) feed the
     # sections, the table and the ranking: materialise them once as well
-    owned = terr.owned_territories(model, agent_id).checkpoint(eager=True)
+    owned = maybe_broadcast(terr.owned_territories(model, agent_id).checkpoint(eager=True),
+                            bounded_by=model.territory)
     secs = terr.sections(model, agent_id, owned=owned)
     districts = terr.district_sales(model, as_of, agent_id, per_seller, owned=owned)
     rollup = terr.territory_rollup(model, districts=districts)
     ranking = terr.seller_ranking(model, as_of, agent_id, per_seller, owned=owned)
     return (heading_lines(spark, headings)
             .unionByName(section_lines(secs, headings))
-            .unionByName(table_lines(secs, rollup, headings))
-            .unionByName(ranking_lines(secs, ranking)))
+            .unionByName(table_lines(secs, rollup, headings, bound=model.territory))
+            .unionByName(ranking_lines(secs, ranking, bound=model.territory)))
 
 
 def ordered_lines(lines: DataFrame) -> DataFrame:

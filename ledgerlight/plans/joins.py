@@ -34,12 +34,21 @@ def broadcast_limit(df: DataFrame, limit: int | None = None) -> int:
         return DEFAULT_BROADCAST_LIMIT
 
 
-def maybe_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when its estimated size is within ``limit``."""
+def maybe_broadcast(df: DataFrame, limit: int | None = None, bounded_by: DataFrame | None = None) -> DataFrame:
+    """``F.broadcast(df)`` when its estimated size is within ``limit``.
+
+    ``bounded_by`` is a frame with at least as many rows as ``df`` (the
+    owned territories of a territory table, say); its estimate, doubled,
+    stands in when ``df`` has none (a checkpointed frame).
+    """
     size = estimated_size_bytes(df)
     bound = broadcast_limit(df, limit)
     if size is not None and 0 <= size <= bound:
         return F.broadcast(df)
+    if bounded_by is not None:
+        base = estimated_size_bytes(bounded_by)
+        if base is not None and 0 <= 2 * base <= bound:
+            return F.broadcast(df)
     return df
 
 
