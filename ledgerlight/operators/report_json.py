@@ -155,6 +155,7 @@ def agent_document_fragments(totals: DataFrame, named: DataFrame, root: str = "a
     totals were built from (one totals row per agent); numbering it instead
     of the derived totals lets the size check see a plain table scan.
     """
+    dim = agents
     if agents is not None:
         numbers = global_row_number(agents.select("agent_id", "agent_name"),
                                     [F.col("agent_name"), F.col("agent_id")], "agent_no")
@@ -181,7 +182,7 @@ def agent_document_fragments(totals: DataFrame, named: DataFrame, root: str = "a
              .select(F.lit(1).alias("doc_part"), "agent_no", "agent_id", F.lit(2).alias("part"),
                      F.lit(None).cast("string").alias("child_name"), F.lit(None).cast("bigint").alias("child_id"),
                      F.lit("]}").alias("fragment")))
-    numbered = maybe_broadcast(heads.select("agent_id", "agent_no", "_first"))
+    numbered = maybe_broadcast(heads.select("agent_id", "agent_no", "_first"), bounded_by=dim)  # one row per agent
     children = (named.join(numbered, "agent_id")
                 .select(
                     F.lit(1).alias("doc_part"), "agent_no", "agent_id", F.lit(1).alias("part"),
