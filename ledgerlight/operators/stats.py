@@ -79,7 +79,8 @@ def agent_stats(model: Model, as_of: DateLike | None = None, agent_id: int | Non
     pairs = snapshot if snapshot is not None else agent_product_stats(model, as_of, agent_id=agent_id)
     totals = pairs.groupBy("agent_id").agg(*[F.sum(m).alias(m) for m in MEASURES])
     agents = _for_agent(model.agent.select("agent_id", "agent_name"), agent_id)
-    return (agents.join(totals, "agent_id", "left")
+    # one totals row per agent: broadcastable whenever the agent table is
+    return (agents.join(maybe_broadcast(totals, bounded_by=model.agent), "agent_id", "left")
             .select("agent_id", "agent_name",
                     *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in MEASURES]))
 
@@ -96,7 +97,7 @@ def agent_stats_from_named(model: Model, named: DataFrame, agent_id: int | None
     totals = named.groupBy("agent_id").agg(*[F.sum(m).alias(m) for m in MEASURES], *extra)
     agents = _for_agent(model.agent.select("agent_id", "agent_name"), agent_id)
     kept = [c for c in totals.columns if c not in MEASURES and c != "agent_id"]
-    return (agents.join(totals, "agent_id", "left")
+    return (agents.join(maybe_broadcast(totals, bounded_by=model.agent), "agent_id", "left")
             .select("agent_id", "agent_name",
                     *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in MEASURES], *kept))
 
