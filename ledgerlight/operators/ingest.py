@@ -141,7 +141,7 @@ def load_batch(model: Model, warehouse: Warehouse, purchase_stage: DataFrame | N
 def _write_checked(spark: SparkSession, warehouse: Warehouse, checked: dict[str, DataFrame], mode: str,
                    batch_id: str, refresh_as_of: DateLike | None, refresh: bool) -> LoadResult:
     # independent Spark jobs (one per table and output) are submitted from a few threads so
-    # the cluster runs them side by side; every count finishes before the first write
+    # the scheduler runs them side by side; every count finishes before the first write
     with ThreadPoolExecutor(max_workers=4) as pool:
         counted = dict(zip(checked, pool.map(outcome_counts, checked.values())))
         loaded = {table: counts.pop(LOADED, 0) for table, counts in counted.items()}

@@ -17,6 +17,8 @@ written with dynamic partition overwrite, replacing only their ``as_of``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,6 +27,17 @@ from ledgerlight.model import Model
 from ledgerlight.schema import AGENT, PRODUCT, PURCHASE, SALE, TERRITORY
 
 FACT_SCHEMAS = {"purchase": PURCHASE, "sale": SALE}
+
+
+def run_concurrently(*jobs: Callable[[], object], workers: int = 4) -> list[object]:
+    """Run independent Spark actions (writes) from a few driver threads.
+
+    Each is its own Spark job, so the scheduler runs them side by side
+    instead of one after another; the first failure is re-raised.
+    """
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = [pool.submit(job) for job in jobs]
+        return [f.result() for f in futures]
 DIM_SCHEMAS = {"agent": AGENT, "product": PRODUCT, "territory": TERRITORY}
 DATE_COLUMN = {"purchase": "date_bought", "sale": "date_sold"}
 
@@ -43,8 +56,9 @@ class Warehouse:
 
     # dimensions -----------------------------------------------------------
     def write_dimensions(self, model: Model) -> None:
-        for name in DIM_SCHEMAS:
-            getattr(model, name).write.mode("overwrite").parquet(self.dim_path(name))
+        run_concurrently(*[
+            (lambda n=name: getattr(model, n).write.mode("overwrite").parquet(self.dim_path(n)))
+            for name in DIM_SCHEMAS])
 
     def read_dimension(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.schema(DIM_SCHEMAS[name]).parquet(self.dim_path(name))
@@ -168,11 +182,12 @@ class Warehouse:
         Queries then read the month-partitioned facts instead of re-deriving
         them from their sources on every run.
         """
-        self.write_dimensions(model)
+        jobs = [lambda: self.write_dimensions(model)]
         for table in ("purchase", "sale"):
             rows = getattr(model, table)
-            self.append_fact(rows, table, batch_id)
-            self.write_summary(rows, table, batch_id)
+            jobs.append(lambda r=rows, t=table: self.append_fact(r, t, batch_id))
+            jobs.append(lambda r=rows, t=table: self.write_summary(r, t, batch_id))
+        run_concurrently(*jobs)
 
     # quarantine -----------------------------------------------------------
     def write_quarantine(self, df: DataFrame, table: str, batch_id: str) -> None:

@@ -16,7 +16,7 @@ from ledgerlight.operators import ingest, report_md, stats
 from ledgerlight.queries.stats import _agent_totals_sql
 from ledgerlight.queries.territory import markdown_sql
 from ledgerlight.plans.session import scratch_path
-from ledgerlight.plans.sinks import Warehouse
+from ledgerlight.plans.sinks import Warehouse, run_concurrently
 from ledgerlight.sources import invoices
 from ledgerlight.streaming.invoices import run_invoice_streams
 
@@ -75,9 +75,10 @@ def _inputs(spark, sf_dir) -> str:
         return hit[1]
     folder = scratch_path(spark, "inputs")
     m = model(spark, sf_dir)
-    Warehouse(folder, dims_root=f"{folder}/dims").write_dimensions(m)
-    invoices.write_invoice(invoices.purchase_stage(m), f"{folder}/in/purchase")
-    invoices.write_invoice(invoices.sale_stage(m), f"{folder}/in/sale")
+    run_concurrently(
+        lambda: Warehouse(folder, dims_root=f"{folder}/dims").write_dimensions(m),
+        lambda: invoices.write_invoice(invoices.purchase_stage(m), f"{folder}/in/purchase"),
+        lambda: invoices.write_invoice(invoices.sale_stage(m), f"{folder}/in/sale"))
     _INPUTS[key] = (spark, folder)
     return folder
 
