@@ -59,3 +59,19 @@ def test_array_documents(spark):
     assert [(d["agent_name"], d["product_name"]) for d in pairs] == [("A", "P1"), ("A", "P2"), ("B", "P1")]
     none = report_json.render_array(report_json.agent_product_document(m, "2024-03-31", agent_id=3))
     assert none == "null"
+
+
+def test_written_parts_concatenate_to_the_document(spark, workdir):
+    import glob
+
+    from ledgerlight.operators import report_md
+    from ledgerlight.sources.testdata import load_model
+    m = load_model(spark, "/root/testdata/sf0.001")
+    frags = report_json.agent_documents(m, "1999-01-01")
+    report_json.write_document(frags, f"{workdir}/doc")
+    parts = "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(f"{workdir}/doc/part-*")))
+    assert json.loads(parts) == json.loads(report_json.render(frags))
+    lines = report_md.territory_markdown(m, "1999-01-01")
+    report_md.write_lines(lines, f"{workdir}/md")
+    text = "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(f"{workdir}/md/part-*")))
+    assert text == report_md.render(lines)
