@@ -3,8 +3,9 @@
 * ``sample_products_per_agent_month``: for every (agent, month) with
   purchases, keep a pseudo-random 1..``max_k`` of the products bought
   (the group's k is itself drawn from the seed), i.e. ORDER BY random
-  LIMIT k per group, computed as a salted two-phase top-k so a hot group
-  is ranked in pieces.
+  LIMIT k per group.  One window pass while the product table bounds every
+  group (a group holds distinct products), else a salted two-phase top-k
+  so a hot group is ranked in pieces.
 * ``agent_month_grid``: every agent x month of a calendar series with what
   the agent bought that month (zeros when it skipped the month).
 * ``restock_revenue``: the revenue of selling each outstanding pair's stock
