@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlight.catalog import AS_OF, model, register, with_views
+from ledgerlight.catalog import AS_OF, materialized, model, register, with_views
 from ledgerlight.operators import ingest, report_md, stats
 from ledgerlight.queries.stats import _agent_totals_sql
 from ledgerlight.queries.territory import markdown_sql
@@ -141,21 +141,6 @@ def snapshot_after_load(spark, sf_dir):
     return (spark.read.parquet(wh.snapshot_path()).filter(F.col("as_of") == F.lit(AS_OF)).drop("as_of"))
 
 
-_WAREHOUSES: dict[tuple[int, str], tuple[object, Warehouse]] = {}
-
-
-def materialized(spark, sf_dir) -> Warehouse:
-    """The generated tables written once per session as a warehouse (facts by month, summaries)."""
-    key = (id(spark), sf_dir.rstrip("/"))
-    hit = _WAREHOUSES.get(key)
-    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
-        return hit[1]
-    wh = Warehouse(f"{scratch_path(spark, 'warehouse')}")
-    wh.materialize(model(spark, sf_dir))
-    _WAREHOUSES[key] = (spark, wh)
-    return wh
-
-
 @register("agent_totals_warehouse", _agent_totals_sql(None))
 def agent_totals_warehouse(spark, sf_dir):
     """Per-agent totals read the production way: monthly summaries plus the cut-off months."""
