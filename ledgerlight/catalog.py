@@ -77,10 +77,20 @@ def materialized(spark: SparkSession, sf_dir: str):
     return wh
 
 
+_MODELS: dict[tuple[int, str], tuple[SparkSession, object]] = {}
+
+
 def model(spark: SparkSession, sf_dir: str):
-    if USE_WAREHOUSE:
-        return materialized(spark, sf_dir).model(spark)
-    return load_model(spark, sf_dir)
+    """The model the registered queries read (lazy frames, reused per live session)."""
+    if not USE_WAREHOUSE:
+        return load_model(spark, sf_dir)
+    key = (id(spark), sf_dir.rstrip("/"))
+    hit = _MODELS.get(key)
+    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
+        return hit[1]
+    m = materialized(spark, sf_dir).model(spark)  # lists the warehouse files once
+    _MODELS[key] = (spark, m)
+    return m
 
 
 def read_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
