@@ -77,18 +77,22 @@ def materialized(spark: SparkSession, sf_dir: str):
     return wh
 
 
-_MODELS: dict[tuple[int, str], tuple[SparkSession, object]] = {}
+_MODELS: dict[tuple, tuple[SparkSession, object]] = {}
 
 
-def model(spark: SparkSession, sf_dir: str):
-    """The model the registered queries read (lazy frames, reused per live session)."""
+def model(spark: SparkSession, sf_dir: str, up_to: dt.date | None = None):
+    """The model the registered queries read (lazy frames, reused per live session).
+
+    ``up_to``: the query only needs facts up to this date, so later month
+    partitions are pruned before any file is opened.
+    """
     if not USE_WAREHOUSE:
         return load_model(spark, sf_dir)
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (id(spark), sf_dir.rstrip("/"), up_to)
     hit = _MODELS.get(key)
     if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
         return hit[1]
-    m = materialized(spark, sf_dir).model(spark)  # lists the warehouse files once
+    m = materialized(spark, sf_dir).model(spark, up_to=up_to)  # lists the warehouse files once
     _MODELS[key] = (spark, m)
     return m
 

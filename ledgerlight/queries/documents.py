@@ -54,38 +54,38 @@ FROM agents_num a JOIN has_kids h ON h.agent_id = a.agent_id""")
 
 @register("agent_documents", DOCUMENT_SQL)
 def agent_documents(spark, sf_dir):
-    return report_json.agent_documents(model(spark, sf_dir), AS_OF)
+    return report_json.agent_documents(model(spark, sf_dir, up_to=AS_OF), AS_OF)
 
 
 @register("agent_totals_json", with_views(NAMED_CTE + f"""
 SELECT agent_id, {_json_obj('agent_name', False)} AS doc FROM totals"""))
 def agent_totals_json(spark, sf_dir):
-    return report_json.agent_stats_json(stats.agent_stats(model(spark, sf_dir), AS_OF))
+    return report_json.agent_stats_json(stats.agent_stats(model(spark, sf_dir, up_to=AS_OF), AS_OF))
 
 
 @register("agent_product_json", with_views(NAMED_CTE + """
 SELECT agent_id, product_id, json_object('agent_name', agent_name, 'product_name', product_name, """
           + ", ".join(f"'{m}', {m}" for m in MEASURES) + """)::VARCHAR AS doc FROM named"""))
 def agent_product_json(spark, sf_dir):
-    return report_json.agent_product_json(stats.agent_product_named(model(spark, sf_dir), AS_OF))
+    return report_json.agent_product_json(stats.agent_product_named(model(spark, sf_dir, up_to=AS_OF), AS_OF))
 
 
 @register("profit_by_agent", with_views(NAMED_CTE + """
 SELECT agent_id, agent_name, profit FROM totals"""))
 def profit_by_agent(spark, sf_dir):
-    return report_json.profit_by_agent(stats.agent_stats(model(spark, sf_dir), AS_OF))
+    return report_json.profit_by_agent(stats.agent_stats(model(spark, sf_dir, up_to=AS_OF), AS_OF))
 
 
 @register("profit_by_product_pairs", with_views(NAMED_CTE + """
 SELECT product_id, product_name, agent_id, agent_name, profit FROM named"""))
 def profit_by_product_pairs(spark, sf_dir):
-    return report_json.profit_by_product(stats.agent_product_named(model(spark, sf_dir), AS_OF))
+    return report_json.profit_by_product(stats.agent_product_named(model(spark, sf_dir, up_to=AS_OF), AS_OF))
 
 
 @register("json_roundtrip", with_views(NAMED_CTE + """
 SELECT agent_id, product_id, product_name, """ + ", ".join(MEASURES) + " FROM named"))
 def json_roundtrip(spark, sf_dir):
-    return report_json.parse_children(report_json.agent_documents(model(spark, sf_dir), AS_OF))
+    return report_json.parse_children(report_json.agent_documents(model(spark, sf_dir, up_to=AS_OF), AS_OF))
 
 
 @register("agent_totals_json_array", with_views(NAMED_CTE + f"""
@@ -98,4 +98,4 @@ SELECT 0 AS doc_part, CAST(0 AS BIGINT) AS item_no,
 UNION ALL SELECT 2, 0, CASE WHEN (SELECT count(*) FROM totals) = 0 THEN '' ELSE ']' END
 UNION ALL SELECT 1, item_no, CASE WHEN item_no > 1 THEN ',' ELSE '' END || doc FROM items"""))
 def agent_totals_json_array(spark, sf_dir):
-    return report_json.agent_stats_document(model(spark, sf_dir), AS_OF)
+    return report_json.agent_stats_document(model(spark, sf_dir, up_to=AS_OF), AS_OF)

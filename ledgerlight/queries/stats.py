@@ -58,36 +58,36 @@ FROM snapshot x JOIN agent a ON a.agent_id = x.agent_id JOIN product p ON p.prod
 @register("sales_by_pair", with_views(f"""{snapshot_cte()}
 SELECT agent_id, product_id, qty_sold, revenue FROM sold_pairs"""))
 def sales_by_pair(spark, sf_dir):
-    return stats.sales_by_pair(model(spark, sf_dir), AS_OF)
+    return stats.sales_by_pair(model(spark, sf_dir, up_to=AS_OF), AS_OF)
 
 
 @register("purchases_by_pair", with_views(f"""{snapshot_cte()}
 SELECT agent_id, product_id, qty_bought, cost FROM bought_pairs"""))
 def purchases_by_pair(spark, sf_dir):
-    return stats.purchases_by_pair(model(spark, sf_dir), AS_OF)
+    return stats.purchases_by_pair(model(spark, sf_dir, up_to=AS_OF), AS_OF)
 
 
 @register("agent_product_snapshot", with_views(f"""{snapshot_cte()}
 SELECT * FROM snapshot"""))
 def agent_product_snapshot(spark, sf_dir):
-    return stats.agent_product_stats(model(spark, sf_dir), AS_OF)
+    return stats.agent_product_stats(model(spark, sf_dir, up_to=AS_OF), AS_OF)
 
 
 @register("agent_totals", _agent_totals_sql(None))
 def agent_totals(spark, sf_dir):
-    return stats.agent_stats(model(spark, sf_dir), AS_OF)
+    return stats.agent_stats(model(spark, sf_dir, up_to=AS_OF), AS_OF)
 
 
 @register("agent_totals_one", _agent_totals_sql(ONE_AGENT))
 def agent_totals_one(spark, sf_dir):
-    return stats.agent_stats(model(spark, sf_dir), AS_OF, agent_id=ONE_AGENT)
+    return stats.agent_stats(model(spark, sf_dir, up_to=AS_OF), AS_OF, agent_id=ONE_AGENT)
 
 
 @register("agent_product_named", _named_sql(None))
 def agent_product_named(spark, sf_dir):
-    return stats.agent_product_named(model(spark, sf_dir), AS_OF)
+    return stats.agent_product_named(model(spark, sf_dir, up_to=AS_OF), AS_OF)
 
 
 @register("agent_product_named_one", _named_sql(ONE_AGENT))
 def agent_product_named_one(spark, sf_dir):
-    return stats.agent_product_named(model(spark, sf_dir), AS_OF, agent_id=ONE_AGENT)
+    return stats.agent_product_named(model(spark, sf_dir, up_to=AS_OF), AS_OF, agent_id=ONE_AGENT)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from ledgerlight.catalog import AS_OF, model, register, with_views
+from ledgerlight.functions.dates import shift_months
 from ledgerlight.functions.random import rand_key_sql
 from ledgerlight.operators import sampling, stock
 
@@ -93,12 +94,13 @@ FROM (
 
 @register("outstanding_stock", OUTSTANDING_SQL)
 def outstanding_stock(spark, sf_dir):
-    return stock.outstanding_stock(model(spark, sf_dir), AS_OF)
+    return stock.outstanding_stock(model(spark, sf_dir, up_to=AS_OF), AS_OF)
 
 
 @register("outstanding_stock_monthly", MONTHLY_SQL)
 def outstanding_stock_monthly(spark, sf_dir):
-    return stock.outstanding_stock_monthly(model(spark, sf_dir), SERIES_START, SERIES_MONTHS)
+    last = shift_months(SERIES_START, SERIES_MONTHS - 1)  # rows count only before the last month start
+    return stock.outstanding_stock_monthly(model(spark, sf_dir, up_to=last), SERIES_START, SERIES_MONTHS)
 
 
 @register("sample_products_per_agent", SAMPLE_SQL)
@@ -113,4 +115,4 @@ def month_agent_grid(spark, sf_dir):
 
 @register("noisy_revenue", NOISE_SQL)
 def noisy_revenue(spark, sf_dir):
-    return sampling.restock_revenue(model(spark, sf_dir), AS_OF, NOISE_SEED)
+    return sampling.restock_revenue(model(spark, sf_dir, up_to=AS_OF), AS_OF, NOISE_SEED)

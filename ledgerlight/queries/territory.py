@@ -95,27 +95,27 @@ SELECT territory_id, owner_id, owner_name, city, district, qty_own, qty_competit
        qty_own + qty_competitor AS qty_total
 FROM district_sales"""))
 def territory_district_sales(spark, sf_dir):
-    return territory.district_sales(model(spark, sf_dir), AS_OF)
+    return territory.district_sales(model(spark, sf_dir, up_to=AS_OF), AS_OF)
 
 
 @register("territory_rollup", with_views(TERRITORY_CTE + "\nSELECT * FROM rollup_lines"))
 def territory_rollup(spark, sf_dir):
-    return territory.territory_rollup(model(spark, sf_dir), AS_OF)
+    return territory.territory_rollup(model(spark, sf_dir, up_to=AS_OF), AS_OF)
 
 
 @register("territory_sections", with_views(TERRITORY_CTE + "\nSELECT * FROM sections"))
 def territory_sections(spark, sf_dir):
-    return territory.sections(model(spark, sf_dir))
+    return territory.sections(model(spark, sf_dir, up_to=AS_OF))
 
 
 @register("seller_ranking", with_views(TERRITORY_CTE + "\nSELECT * FROM ranking"))
 def seller_ranking(spark, sf_dir):
-    return territory.seller_ranking(model(spark, sf_dir), AS_OF)
+    return territory.seller_ranking(model(spark, sf_dir, up_to=AS_OF), AS_OF)
 
 
 @register("territory_markdown", markdown_sql())
 def territory_markdown(spark, sf_dir):
-    return report_md.territory_markdown(model(spark, sf_dir), AS_OF)
+    return report_md.territory_markdown(model(spark, sf_dir, up_to=AS_OF), AS_OF)
 
 
 def first_owner(m) -> int:
@@ -125,5 +125,5 @@ def first_owner(m) -> int:
 
 @register("territory_markdown_one", markdown_sql(owner_filter=FIRST_OWNER_SQL))
 def territory_markdown_one(spark, sf_dir):
-    m = model(spark, sf_dir)
+    m = model(spark, sf_dir, up_to=AS_OF)
     return report_md.territory_markdown(m, AS_OF, agent_id=first_owner(m))
