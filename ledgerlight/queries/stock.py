@@ -110,7 +110,8 @@ def sample_products_per_agent(spark, sf_dir):
 
 @register("month_agent_grid", GRID_SQL)
 def month_agent_grid(spark, sf_dir):
-    return sampling.agent_month_grid(model(spark, sf_dir), SERIES_START, SERIES_MONTHS)
+    series_end = shift_months(SERIES_START, SERIES_MONTHS) - dt.timedelta(days=1)  # last day of the series
+    return sampling.agent_month_grid(model(spark, sf_dir, up_to=series_end), SERIES_START, SERIES_MONTHS)
 
 
 @register("noisy_revenue", NOISE_SQL)
