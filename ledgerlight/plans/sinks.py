@@ -80,12 +80,18 @@ class Warehouse:
          .parquet(self.path(table, f"batch={batch_id}")))
 
     def write_summary(self, df: DataFrame, table: str, batch_id: str) -> None:
-        """Per (agent, product, month) sums of one batch (overwritten with the batch)."""
+        """Per (agent, product[, territory], month) sums of one batch (overwritten with the batch).
+
+        Sales keep their territory, so the same summary serves the agent /
+        product statistics and the territory report.
+        """
         amount = "amount_bought" if table == "purchase" else "amount_sold"
         sums = [F.sum(amount).alias("amount")]
+        keys = ["agent_id", "product_id"]
         if table == "sale":
             sums.append(F.sum("price").alias("price"))
-        (df.groupBy("agent_id", "product_id", F.trunc(F.col(DATE_COLUMN[table]), "month").alias("month"))
+            keys.append("territory_id")
+        (df.groupBy(*keys, F.trunc(F.col(DATE_COLUMN[table]), "month").alias("month"))
          .agg(*sums)
          .write.mode("overwrite").parquet(self.path("summary", table, f"batch={batch_id}")))
 
@@ -140,15 +146,15 @@ class Warehouse:
         """Fact rows up to ``cutoff`` (inclusive), read cheaply for the statistics.
 
         Whole months before the cutoff's month come from the per-batch
-        monthly summaries (one row per pair and month, dated the 1st); only
-        the cutoff's own month is read from the raw facts, the other month
-        partitions pruned.  Sale rows carry no territory (NULL): use these
-        frames for the agent / product statistics, not the territory report.
+        monthly summaries (one row per pair [and territory] and month, dated
+        the 1st); only the cutoff's own month is read from the raw facts,
+        the other month partitions pruned.
         """
         date_col = DATE_COLUMN[table]
         amount_col = "amount_bought" if table == "purchase" else "amount_sold"
         extra = ["price"] if table == "sale" else []
-        cols = [date_col, "agent_id", "product_id", amount_col, *extra]
+        keys = ["agent_id", "product_id"] + (["territory_id"] if table == "sale" else [])
+        cols = [date_col, *keys, amount_col, *extra]
         summary = self.read_summary(spark, table)
         if summary is None:
             rows = self.read_fact(spark, table).select(*cols)
@@ -156,14 +162,26 @@ class Warehouse:
             first = cutoff.replace(day=1)
             recent = self.read_fact(spark, table, between=(first, cutoff)).select(*cols)
             older = (summary.filter(F.col("month") < F.lit(first))
-                     .select(F.col("month").alias(date_col), "agent_id", "product_id",
+                     .select(F.col("month").alias(date_col), *keys,
                              F.col("amount").cast("bigint").alias(amount_col),
                              *[F.col(c).cast("bigint").alias(c) for c in extra]))
             rows = older.unionByName(recent)
-        if table == "sale":
-            rows = rows.withColumn("territory_id", F.lit(None).cast("bigint"))
         return rows
 
+    def report_model(self, spark: SparkSession, as_of) -> Model:
+        """A model for the territory report at ``as_of`` (sales strictly before it) from summaries."""
+        import datetime as _dt
+
+        from ledgerlight.functions.dates import as_date
+        day = as_date(as_of)
+        return Model(
+            agent=self.read_dimension(spark, "agent"),
+            product=self.read_dimension(spark, "product"),
+            territory=self.read_dimension(spark, "territory"),
+            purchase=spark.createDataFrame([], FACT_SCHEMAS["purchase"]),
+            sale=self.facts_up_to(spark, "sale", day - _dt.timedelta(days=1)),
+        )
+
     def stats_model(self, spark: SparkSession, as_of, lag_months: int = 1) -> Model:
         """A model for ``operators.stats`` at ``as_of`` reading summaries for whole months."""
         from ledgerlight.functions.dates import as_date, shift_months

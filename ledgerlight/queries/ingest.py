@@ -150,6 +150,6 @@ def agent_totals_warehouse(spark, sf_dir):
 
 @register("territory_markdown_warehouse", markdown_sql())
 def territory_markdown_warehouse(spark, sf_dir):
-    """The territory report over the warehouse facts, months after the report date pruned."""
+    """The territory report over the warehouse: monthly summaries plus the cut-off month."""
     wh = materialized(spark, sf_dir)
-    return report_md.territory_markdown(wh.model(spark, up_to=AS_OF), AS_OF)
+    return report_md.territory_markdown(wh.report_model(spark, AS_OF), AS_OF)

@@ -125,10 +125,13 @@ def test_materialized_summaries_give_same_statistics(spark, workdir):
     m = load_model(spark, "/root/testdata/sf0.001")
     wh = Warehouse(f"{workdir}/wh")
     wh.materialize(m)
+    from ledgerlight.operators import report_md
     for day in ("1996-03-15", "1998-12-31", "1999-01-01"):
         direct = sorted(stats.agent_stats(m, day).collect())
         summarised = sorted(stats.agent_stats(wh.stats_model(spark, day), day).collect())
         assert direct == summarised, day
+        report = report_md.render(report_md.territory_markdown(m, day))
+        assert report == report_md.render(report_md.territory_markdown(wh.report_model(spark, day), day)), day
 
 
 def test_rerun_of_same_files_is_idempotent(spark, workdir):
