@@ -56,3 +56,16 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [c[0] for c in cur.description]
     assert sorted(df.columns) == sorted(ocols)
     assert rows_by_name(df.columns, df.collect()) == rows_by_name(ocols, cur.fetchall())
+
+
+@pytest.mark.parametrize("name", ["agent_totals", "agent_documents", "territory_markdown",
+                                  "outstanding_stock_monthly", "month_agent_grid", "tables_xml"])
+def test_warehouse_and_source_paths_agree(spark, name):
+    from ledgerlight import catalog
+    warehouse = sorted(entry.queries()[name](spark, SF).collect())
+    catalog.USE_WAREHOUSE = False
+    try:
+        direct = sorted(entry.queries()[name](spark, SF).collect())
+    finally:
+        catalog.USE_WAREHOUSE = True
+    assert warehouse == direct
