@@ -158,3 +158,13 @@ def test_warehouse_reads_prune_months(spark, workdir):
     assert span.agg(F.min("date_bought"), F.max("date_bought")).first()[0] >= dt.date(1997, 3, 5)
     span_plan = span._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in span_plan and "1997-03-01" in span_plan
+
+
+def test_batch_id_follows_file_content(spark, workdir):
+    import time as _time
+    p = write_csv(f"{workdir}/in/p.csv", PURCHASE_HEADER, purchase_lines())
+    first = ingest.files_batch_id(spark, [p])
+    assert ingest.files_batch_id(spark, [p]) == first
+    _time.sleep(1.1)  # a rewrite gets a new modification time even with equal size
+    write_csv(p, PURCHASE_HEADER, purchase_lines()[:-1])
+    assert ingest.files_batch_id(spark, [p]) != first
