@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlight.plans.session import scratch_path
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (installed or shipped copies come first)."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: later jobs reread files, not lineage."""
+    share_package(df.sparkSession)
     path = f"{scratch_path(df.sparkSession, label)}/data"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

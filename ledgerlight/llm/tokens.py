@@ -18,9 +18,9 @@ import pyarrow as pa
 
 from ledgerlight.llm.text_arrays import BASE_A, BASE_B, ragged_take, span_hashes, utf8_buffer
 
-GROUP_BYTES = 12 << 20
+GROUP_BYTES = 4 << 20
 JOINED = 300  # segments per string given to the library
-KNOWN_SEGMENTS = 2_000_000  # a worker forgets its segments beyond this many (memory bound, not a limit on results)
+KNOWN_SEGMENTS = 600_000  # a worker forgets its segments beyond this many (memory bound, not a limit on results)
 
 
 def default_tokenizer() -> str:
