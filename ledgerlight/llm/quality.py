@@ -9,7 +9,7 @@ logit and one probability per document.
 
 The network is fitted on a bounded sample: at most ``PER_LABEL`` documents of
 each label (those with the smallest hashes of their id), at most ``FIT_CHUNKS``
-chunks of each, spread evenly over the document.  Scoring reads every chunk of every
+chunks of each, spread evenly over the document, and one short excerpt of each.  Scoring reads every chunk of every
 document.  Only the text is an input.  Labels of rows with
 ``crc32(doc_id as text) mod 3 = 1`` are held out and never read.
 
@@ -30,10 +30,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerlight.llm.text_arrays import utf8_buffer
 
 CHUNK, STEP, WIDTH, HOP = 400, 384, 12, 4
-DIMS, FILTERS, HIDDEN = 8, 48, 16
+DIMS, FILTERS, HIDDEN = 8, 64, 24
 WINDOWS = (CHUNK - WIDTH) // HOP + 1
-PER_LABEL, FIT_CHUNKS = 1500, 24
-EPOCHS, BATCH_DOCS, RATE = 10, 32, 3e-3
+PER_LABEL, FIT_CHUNKS = 2500, 16
+EPOCHS, BATCH_DOCS, RATE = 12, 32, 3e-3
 GROUP = 64  # chunks pushed through the network at once
 
 Model = dict[str, np.ndarray]
@@ -70,9 +70,18 @@ def _pool(model: Model, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return x, y, np.maximum(y.max(axis=1) + model["bias"], 0)
 
 
+def _filled(chunks: np.ndarray) -> np.ndarray:
+    """The share of each chunk that is text, not padding."""
+    return (chunks != 0).mean(axis=1, dtype=np.float32)
+
+
+def _middle(model: Model, pooled: np.ndarray, filled: np.ndarray) -> np.ndarray:
+    return np.maximum(pooled @ model["mid"] + filled[:, None] * model["fill"] + model["mid_bias"], 0)
+
+
 def hidden(model: Model, chunks: np.ndarray) -> np.ndarray:
     """Hidden layer of each chunk."""
-    out = [np.maximum(_pool(model, chunks[i:i + GROUP])[2] @ model["mid"] + model["mid_bias"], 0)
+    out = [_middle(model, _pool(model, chunks[i:i + GROUP])[2], _filled(chunks[i:i + GROUP]))
            for i in range(0, len(chunks), GROUP)]
     return np.concatenate(out) if out else np.zeros((0, HIDDEN), np.float32)
 
@@ -89,16 +98,18 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fit(texts: list[list[bytes]], labels: list[int], seed: int = 7, epochs: int = EPOCHS) -> Model | None:
     """Adam over mini-batches of documents (lists of chunks); None without both labels."""
-    y = np.array(labels, dtype=np.float64)
     if len(set(labels)) < 2:
         return None
     rng = np.random.default_rng(seed)
     chunks = [np.frombuffer(b"".join(t), np.uint8).reshape(-1, CHUNK) for t in texts]
+    short, short_labels = _excerpts(chunks, labels, rng)
+    chunks += short
+    y = np.array([*labels, *short_labels], dtype=np.float64)
     f = np.float32
     model: Model = {
         "bytes": rng.normal(0, 0.5, (256, DIMS)).astype(f), "filters": rng.normal(0, 0.15, (WIDTH * DIMS, FILTERS)).astype(f),
         "bias": np.zeros(FILTERS, f), "mid": rng.normal(0, 0.2, (FILTERS, HIDDEN)).astype(f),
-        "mid_bias": np.full(HIDDEN, 0.1, f), "out": rng.normal(0, 0.3, HIDDEN).astype(f), "out_bias": np.zeros(1, f)}
+        "fill": np.zeros(HIDDEN, f), "mid_bias": np.full(HIDDEN, 0.1, f), "out": rng.normal(0, 0.3, HIDDEN).astype(f), "out_bias": np.zeros(1, f)}
     model["bytes"][0] = 0  # padding
     first, second = ({k: np.zeros_like(v) for k, v in model.items()} for _ in range(2))
     weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
@@ -121,6 +132,22 @@ def fit(texts: list[list[bytes]], labels: list[int], seed: int = 7, epochs: int
     return model
 
 
+def _excerpts(chunks: list[np.ndarray], labels: list[int], rng) -> tuple[list[np.ndarray], list[int]]:
+    """Short excerpts, one per document, so that short texts are judged by what they hold and not by their padding."""
+    out, y = [], []
+    for c, label in zip(chunks, labels):
+        row = c[rng.integers(len(c))]
+        least = 12 if label else 60  # a few bytes of a bad text need not look bad
+        size = int(least * (300 / least) ** rng.random())
+        at = rng.integers(0, max(1, int((row != 0).sum()) - size))
+        part = np.zeros((1, CHUNK), np.uint8)
+        part[0, :size] = row[at:at + size]
+        if (part != 0).sum() >= least:
+            out.append(part)
+            y.append(label)
+    return out, y
+
+
 def _gradients(model: Model, x: np.ndarray, doc: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Model:
     xs, pooled, best = [], [], []
     for i in range(0, len(x), GROUP):  # only the winning window of each filter is kept for the way back
@@ -131,7 +158,8 @@ def _gradients(model: Model, x: np.ndarray, doc: np.ndarray, y: np.ndarray, weig
         pooled.append(p)
         best.append(at)
     won, p, at = np.concatenate(xs), np.concatenate(pooled), np.concatenate(best)
-    h = np.maximum(p @ model["mid"] + model["mid_bias"], 0)
+    filled = _filled(x)
+    h = _middle(model, p, filled)
     share = (1 / np.bincount(doc, minlength=len(y)))[doc]
     mean = _doc_mean(h, doc, len(y))
     prob = sigmoid(mean @ model["out"] + model["out_bias"])
@@ -143,7 +171,7 @@ def _gradients(model: Model, x: np.ndarray, doc: np.ndarray, y: np.ndarray, weig
     hit = x[np.arange(len(x))[:, None, None], (at * HOP)[:, :, None] + np.arange(WIDTH)].ravel()
     d_bytes = np.stack([np.bincount(hit, d_won.reshape(-1, DIMS)[:, k], 256) for k in range(DIMS)], axis=1)
     return {"bytes": d_bytes.astype(np.float32), "filters": np.einsum("cf,cfk->kf", d_p, won, optimize=True),
-            "bias": d_p.sum(0), "mid": (p.T @ d_h).astype(np.float32), "mid_bias": d_h.sum(0).astype(np.float32),
+            "bias": d_p.sum(0), "mid": (p.T @ d_h).astype(np.float32), "mid_bias": d_h.sum(0).astype(np.float32), "fill": (filled @ d_h).astype(np.float32),
             "out": (mean.T @ d_logit).astype(np.float32), "out_bias": np.array([d_logit.sum()], np.float32)}
 
 
