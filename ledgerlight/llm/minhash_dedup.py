@@ -12,11 +12,11 @@ and no link.  Documents are linked when ``100 * |A & B| >= percent * |A | B|``.
    0.85 a pair misses all 32 bands of 4 with probability 5e-11 (0.8: 5e-8).
    Every member is compared with its bucket's smallest member.
 3. A pair goes on when its sizes allow the threshold and its minima agree well
-   enough (``threshold - 0.25``, six standard deviations), and is confirmed on the
-   full shingle sets, rebuilt from the texts of those documents only.
-4. Buckets whose members are in different components after that are compared
-   exhaustively between components, in bounded blocks of minima, so no link is lost
-   and no bucket is ever held by one task.
+   enough (``threshold - 0.2``, six standard deviations), and is confirmed on the
+   full shingle sets, rebuilt from the texts of documents that share a bucket.
+4. Members of a bucket that are in different components after that are compared
+   exhaustively, on full sets, in bounded blocks, so no link is lost and no bucket is
+   ever held by one task.
 
 Rows that share a doc_id are one vertex.  A null doc_id takes no part (component
 null, kept).  Null text is an empty text.  An empty table gives no rows.
@@ -35,9 +35,9 @@ from ledgerlight.llm.stage import stage
 from ledgerlight.llm.text_arrays import mix, span_hashes, utf8_buffer, window_hashes, word_spans
 
 BANDS, ROWS = 32, 4
-SLACK = 0.25
+SLACK = 0.2
 GROUP_BYTES = 1 << 20
-BLOCK_MINORS, BLOCK_MEMBERS = 256, 4096
+BLOCK_MINORS, BLOCK_MEMBERS, ELEMENTS = 256, 512, 8192
 _U = np.uint64
 
 _seeds = np.random.default_rng(20240607)
@@ -125,17 +125,32 @@ def _agreement(column_a: str, column_b: str, least: float) -> Column:
     return agree(column_a, column_b)
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets reach the threshold."""
+def _full_sets(texts: DataFrame, ids: DataFrame, k: int, repeats: bool) -> DataFrame:
+    """(id, elements): the full shingle sets of some documents, written once."""
     def sets(batches):
         for batch in batches:
-            ids = batch.column("doc_id")
+            keys = batch.column("doc_id")
             for base, hashes, offs in shingle_sets(batch.column("text"), k):
+                full = np.diff(offs)
+                full = np.flatnonzero(full)
+                fp = np.zeros(len(offs) - 1, np.int64)
+                if len(full):
+                    fp[full] = np.add.reduceat(mix(hashes), offs[:-1][full]).view(np.int64)
                 bound = pa.array((offs * 8).astype(np.int32))
                 column = pa.BinaryArray.from_buffers(pa.binary(), len(offs) - 1,
                                                      [None, bound.buffers()[1], pa.py_buffer(hashes.tobytes())])
-                yield pa.RecordBatch.from_arrays([ids.slice(base, len(offs) - 1), column], ["id", "elements"])
+                yield pa.RecordBatch.from_arrays([keys.slice(base, len(offs) - 1), pa.array(fp), column],
+                                                 ["id", "fp1", "elements"])
+
+    found = (texts.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+             .mapInArrow(sets, "id bigint, fp1 bigint, elements binary"))
+    if repeats:  # several texts under one doc_id: the representative's
+        found = found.join(ids, ["id", "fp1"], "left_semi").dropDuplicates(["id"])
+    return stage(found.select("id", "elements"), "sets")
+
 
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets reach the threshold."""
     def check(batches):
         for batch in batches:
             a, b = batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()
@@ -146,19 +161,11 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    known = texts.join(ids, "doc_id", "left_semi").mapInArrow(sets, "id bigint, elements binary")
-    known = stage(known.dropDuplicates(["id"]) if _has_repeats(texts) else known, "sets")
-    joined = (pairs.join(known.select(F.col("id").alias("b"), F.col("elements").alias("set_b")), "b")
-              .join(known.select(F.col("id").alias("a"), F.col("elements").alias("set_a")), "a"))
+    joined = (pairs.join(sets.select(F.col("id").alias("b"), F.col("elements").alias("set_b")), "b")
+              .join(sets.select(F.col("id").alias("a"), F.col("elements").alias("set_a")), "a"))
     return joined.select("a", "b", "set_a", "set_b").mapInArrow(check, "a bigint, b bigint")
 
 
-def _has_repeats(texts: DataFrame) -> bool:
-    """Whether a doc_id occurs more than once."""
-    return bool(texts.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").limit(1).count())
-
-
 def _plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs whose sizes allow the threshold and whose minima agree well enough."""
     side = lambda c: reps.select(F.col("id").alias(c), F.col("n_shingles").alias(f"n_{c}"),
@@ -168,47 +175,76 @@ def _plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return sized.filter(_agreement("m_a", "m_b", percent / 100 - SLACK)).select("a", "b")
 
 
-def _across_components(members: DataFrame, reps: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Plausible pairs between different components of one bucket, which the comparison with the centre left open.
+def _block_links(percent: int):
+    """Links between one block of minors and one block of members, by exact intersection sizes.
 
-    Members outside a bucket's largest component (minors) meet all members of other
-    components.  Both sides are split into blocks, so a task holds at most one block
-    of each, whatever the bucket's size.
+    Intersections are products of 0/1 matrices over the elements both blocks have,
+    some thousand elements at a time.  One link per minor and other component is enough.
+    """
+    def compare(table: pa.Table) -> pa.Table:
+        minor = np.array(table["minor"].to_pylist(), bool)
+        ids, comp = table["id"].to_numpy(), table["c"].to_numpy()
+        sets = [np.frombuffer(e, _U) for e in table["elements"].to_pylist()]
+        size = np.array([len(e) for e in sets])
+        xs, ms = np.flatnonzero(minor), np.flatnonzero(~minor)
+        out = ([], [])
+        if len(xs) and len(ms):
+            flat = [(np.repeat(np.arange(len(w)), size[w]), np.concatenate([sets[i] for i in w])) for w in (xs, ms)]
+            shared = np.intersect1d(flat[0][1], flat[1][1])
+            both = np.zeros((len(xs), len(ms)), np.float32)
+            sides = []
+            for row, element in flat:
+                at = np.searchsorted(shared, element)
+                hit = shared[np.minimum(at, len(shared) - 1)] == element if len(shared) else np.zeros(len(at), bool)
+                order = np.argsort(at[hit], kind="stable")
+                sides.append((row[hit][order], at[hit][order]))
+            for lo in range(0, len(shared), ELEMENTS):
+                blocks = []
+                for w, (row, at) in zip((xs, ms), sides):
+                    i, j = np.searchsorted(at, (lo, lo + ELEMENTS))
+                    m = np.zeros((len(w), min(ELEMENTS, len(shared) - lo)), np.float32)
+                    m[row[i:j], at[i:j] - lo] = 1
+                    blocks.append(m)
+                both += blocks[0] @ blocks[1].T
+            total = size[xs][:, None] + size[ms] - both
+            linked = (100 * both >= percent * total) & (comp[xs][:, None] != comp[ms])
+            for i in np.flatnonzero(linked.any(axis=1)):
+                to = np.flatnonzero(linked[i])
+                to = to[np.unique(comp[ms[to]], return_index=True)[1]]
+                out[0].extend([ids[xs[i]]] * len(to))
+                out[1].extend(ids[ms[to]])
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+    return compare
+
+
+def _across_components(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of one bucket, which the comparison with the centre left open.
+
+    Buckets that still hold several components are joined to clusters (buckets with
+    a common member).  In a cluster the members outside its largest component (minors)
+    meet all members, block by block: a task holds one block of each side, whatever the
+    size of the bucket, and only links leave it.
     """
     placed = members.join(found.withColumnRenamed("component", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))
-    per_part = placed.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("n"))
-    open_ = (per_part.groupBy("bucket").agg(F.sum("n").alias("k"), F.count(F.lit(1)).alias("parts"),
-                                            F.max(F.struct("n", "c")).alias("top"))
-             .filter("parts > 1 AND k > 2")
-             .select("bucket", F.col("top.c").alias("main"), F.ceil((F.col("k") - F.col("top.n")) / BLOCK_MINORS).alias("nx"),
-                     F.ceil(F.col("k") / BLOCK_MEMBERS).alias("nm")))
-    rows = (placed.join(open_, "bucket").join(reps.select("id", "n_shingles", "minima"), "id")
-            .withColumn("h", F.abs(F.xxhash64("id") % 1_000_003)))
+    placed = stage(placed.filter("n > 2").select("bucket", "id", "centre", "c"), "placed")
+    open_ = placed.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("bucket")
+    inside = placed.join(open_, "bucket").select("id", "c", "centre").distinct()
+    cluster = connected_components(inside.select(F.col("id").alias("u"), F.col("centre").alias("v")))
+    docs = (inside.select("id", "c").distinct()
+            .join(cluster.withColumnRenamed("component", "cluster"), "id", "left")
+            .withColumn("cluster", F.coalesce("cluster", "id")))
+    parts = docs.groupBy("cluster", "c").agg(F.count(F.lit(1)).alias("n"))
+    sizes = (parts.groupBy("cluster").agg(F.sum("n").alias("k"), F.max(F.struct("n", "c")).alias("top"))
+             .select("cluster", F.col("top.c").alias("main"), F.ceil(F.col("k") / BLOCK_MEMBERS).alias("nm"),
+                     F.ceil((F.col("k") - F.col("top.n")) / BLOCK_MINORS).alias("nx")))
+    rows = docs.join(sizes, "cluster").withColumn("h", F.abs(F.xxhash64("id") % 1_000_003))
     minors = (rows.filter("c <> main").withColumn("x", F.col("h") % F.col("nx"))
               .withColumn("m", F.explode(F.sequence(F.lit(0), F.col("nm") - 1))).withColumn("minor", F.lit(True)))
     every = (rows.withColumn("m", F.col("h") % F.col("nm"))
              .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("nx") - 1))).withColumn("minor", F.lit(False)))
-    cols = ["bucket", "x", "m", "minor", "id", "c", "n_shingles", "minima"]
-    least = percent / 100 - SLACK
-
-    def compare(table: pa.Table) -> pa.Table:
-        minor = np.array(table["minor"].to_pylist(), bool)
-        ids, comp, size = (table[c].to_numpy() for c in ("id", "c", "n_shingles"))
-        minima = np.frombuffer(b"".join(table["minima"].to_pylist()), "<u2").reshape(-1, BANDS * ROWS)
-        xs, ms, a, b = np.flatnonzero(minor), np.flatnonzero(~minor), [], []
-        for i in xs:
-            other = ms[(comp[ms] != comp[i])
-                       & (100 * np.minimum(size[ms], size[i]) >= percent * np.maximum(size[ms], size[i]))]
-            near = other[(minima[other] == minima[i]).mean(axis=1) >= least] if len(other) else other
-            a.append(np.full(len(near), ids[i]))
-            b.append(ids[near])
-        if not a:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        return pa.table({"a": np.concatenate(a).astype(np.int64), "b": np.concatenate(b).astype(np.int64)})
-
-    pairs = (minors.select(cols).unionByName(every.select(cols)).groupBy("bucket", "x", "m")
-             .applyInArrow(compare, "a bigint, b bigint"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    cols = ["cluster", "x", "m", "minor", "id", "c"]
+    dealt = minors.select(cols).unionByName(every.select(cols)).join(sets, "id")
+    return dealt.groupBy("cluster", "x", "m").applyInArrow(_block_links(percent), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -224,15 +260,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     members = reps.select("id", F.explode("bands").alias("bucket"))
     centres = members.groupBy("bucket").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = stage(members.join(centres, "bucket"), "members")
+    repeats = bool(linkable.groupBy("doc_id").count().filter("count > 1").limit(1).count())
+    ids = members.select("id").distinct()
+    sets = _full_sets(texts, ids.join(reps.select("id", "fp1"), "id") if repeats else ids, k, repeats)
     star = members.select(F.col("centre").alias("a"), F.col("id").alias("b"))
-    links = stage(_confirmed(stage(_plausible(star, reps, percent), "pairs"), texts, k, percent), "links")
+    links = stage(_confirmed(stage(_plausible(star, reps, percent), "pairs"), sets, percent), "links")
     found = stage(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "found")
-    rest = stage(_across_components(members.select("bucket", "id"), reps, found, percent), "rest")
+    rest = stage(_across_components(members, found, sets, percent), "rest")
     if rest.limit(1).count():
-        more = _confirmed(rest, texts, k, percent)
-        edges = (more.select(F.col("a").alias("u"), F.col("b").alias("v"))
-                 .unionByName(found.select(F.col("id").alias("u"), F.col("component").alias("v"))))
-        found = connected_components(edges)
+        found = connected_components(rest.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
+            found.select(F.col("id").alias("u"), F.col("component").alias("v"))))
     # a doc_id repeated with different texts stands for each of them; min() joins what its rows say
     named = same.join(found, "id", "left").select("fp1", "fp2", F.coalesce("component", "id").alias("component_id"))
     return (sketch.select("doc_id", "n_shingles", "fp1", "fp2")

@@ -110,3 +110,10 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: three-word shingles, similarity 0.85."""
     from ledgerlight.llm import minhash_dedup
     return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+@register("op2_substring_dedup")
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 35-word windows removed from all documents."""
+    from ledgerlight.llm import substring_dedup
+    return substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
