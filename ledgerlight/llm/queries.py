@@ -117,3 +117,55 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 35-word windows removed from all documents."""
     from ledgerlight.llm import substring_dedup
     return substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
+LINES_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i,
+    len(string_split(coalesce(text, ''), chr(10))) AS n FROM documents),
+rolled AS (SELECT *, CASE WHEN i > 0 THEN md5(lag(md5(line)) OVER w || md5(line)) END AS r
+  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+cut AS (SELECT *, i BETWEEN 1 AND n - 3 AND r < coalesce(lag(r) OVER w, '~') AND r < lead(r) OVER w AS ends
+  FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+placed AS (SELECT *, coalesce(sum(ends::int) OVER (PARTITION BY doc_id ORDER BY i
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM cut),
+chunks AS (SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n,
+  count(*) FILTER (length(trim(line)) > 0) >= 2 AS whole FROM placed GROUP BY ALL),
+judged AS (SELECT *, whole AND row_number() OVER (PARTITION BY body, whole ORDER BY doc_id, chunk) > 1 AS gone FROM chunks)
+SELECT doc_id, cast(sum(n) AS bigint) AS n_lines, cast(coalesce(sum(n) FILTER (gone), 0) AS bigint) AS n_removed,
+  count(*) AS n_chunks, count(*) FILTER (gone) AS n_chunks_removed,
+  sha256(coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+@register("op6_line_dedup", LINES_SQL)
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated multi-line chunks removed from all documents."""
+    from ledgerlight.llm import line_dedup
+    out = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.col("n_chunks").cast("bigint").alias("n_chunks"),
+                      F.col("n_chunks_removed").cast("bigint").alias("n_chunks_removed"),
+                      F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register("op3_decontamination")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents that hold a benchmark item, with the item."""
+    from ledgerlight.llm import decontaminate
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@register("op7_learned_partitions")
+def op7_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth id, against all vectors."""
+    from ledgerlight.llm import ann
+    return ann.search(read(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+@register("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All licence notices in all documents."""
+    from ledgerlight.llm import license_scan
+    return license_scan.scan(read(spark, sf_dir, "documents"))
