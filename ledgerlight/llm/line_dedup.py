@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerlight.llm.stage import stage
+
 MIN_LINES = 2
 
 
@@ -56,7 +58,7 @@ def chunk_columns(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def _first_places(chunked: DataFrame) -> DataFrame:
     """doc_id, place, chunk text of every comparable chunk, once per document row."""
-    rows = chunked.select("doc_id", F.posexplode("_chunks").alias("place", "c"), F.col("_chunks.text").alias("_texts"))
+    rows = chunked.select("doc_id", F.posexplode_outer("_chunks").alias("place", "c"), F.col("_chunks.text").alias("_texts"))
     rows = rows.filter("c.full AND doc_id IS NOT NULL").filter(
         F.array_position("_texts", F.col("c.text")) == F.col("place") + 1)
     return rows.select("doc_id", "place", F.col("c.text").alias("chunk"))
@@ -65,15 +67,16 @@ def _first_places(chunked: DataFrame) -> DataFrame:
 def repeated_places(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, places: chunks whose text a document with a smaller id has too."""
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    # outer explodes: the inferred "size > 0" filter of the others would compute all chunks once more
     key = [F.xxhash64("chunk").alias("h1"), F.xxhash64(F.lit(1), F.col("chunk")).alias("h2")]
-    hashed = _first_places(chunk_columns(keyed)).select("doc_id", "place", *key)
+    hashed = stage(_first_places(chunk_columns(keyed)).select("doc_id", *key), "chunk-hashes")
     first = (hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
              .filter("first < last").drop("last"))
     name = F.concat_ws(":", "h1", "h2")
     wanted = (hashed.join(first, ["h1", "h2"]).groupBy("doc_id")
               .agg(F.map_from_entries(F.collect_set(F.struct(name, "first"))).alias("wanted")))
     found = (chunk_columns(keyed.join(wanted, "doc_id"))
-             .select("doc_id", "wanted", F.posexplode("_chunks").alias("place", "c")).filter("c.full")
+             .select("doc_id", "wanted", F.posexplode_outer("_chunks").alias("place", "c")).filter("c.full")
              .select("doc_id", "wanted", "place", F.col("c.text").alias("chunk")).select("*", *key))
     found = (found.select("doc_id", "place", "h1", "h2", "chunk", F.try_element_at("wanted", name).alias("first"))
              .filter("first IS NOT NULL"))
