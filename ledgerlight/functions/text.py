@@ -28,16 +28,6 @@ def xml_text(col: Column | str) -> Column:
     return F.replace(c, F.lit(">"), F.lit("&gt;"))
 
 
-def xml_attr(col: Column | str) -> Column:
-    """Escape a value for a double-quoted XML attribute."""
-    return F.replace(xml_text(col), F.lit('"'), F.lit("&quot;"))
-
-
 def xml_escape_py(value: str, attribute: bool = False) -> str:
     out = value.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
     return out.replace('"', "&quot;") if attribute else out
-
-
-def text(col: Column | str) -> Column:
-    """Number or text as plain text (integers without grouping)."""
-    return _c(col).cast("string")

@@ -153,7 +153,7 @@ def _write_checked(spark: SparkSession, warehouse: Warehouse, checked: dict[str,
         writes = []
         for table, frame in checked.items():
             good = frame.filter(F.col(quality.REASON).isNull())
-            if rejected[table]:
+            if rejected[table] or warehouse.exists(spark, warehouse.path("quarantine", table, f"batch={batch_id}")):
                 bad = frame.filter(F.col(quality.REASON).isNotNull())
                 writes.append(pool.submit(warehouse.write_quarantine, bad, table, batch_id))
             writes.append(pool.submit(warehouse.append_fact, good, table, batch_id))

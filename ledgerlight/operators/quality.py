@@ -145,11 +145,6 @@ def orphan_rows(model: Model) -> DataFrame:
     return out.select(*cols)
 
 
-def overlong_values(stage: DataFrame, name_cols: list[str]) -> DataFrame:
-    """Stage rows with a name longer than the declared maximum (K3)."""
-    return stage.filter(too_long(*name_cols))
-
-
 def assign_keys(candidates: DataFrame, dim: DataFrame, name_col: str, id_col: str) -> DataFrame:
     """Generated keys for names not yet in ``dim``: current maximum + 1, 2, ... by name (K5)."""
     new = (candidates.select(F.col(name_col)).filter(F.col(name_col).isNotNull()).distinct()

@@ -120,13 +120,6 @@ def array_fragments(docs: DataFrame, order_cols: list[str], doc_col: str = "doc"
     return edges.unionByName(body).select(*ARRAY_COLUMNS)
 
 
-def render_array(fragments: DataFrame, limit_rows: int = 100_000) -> str:
-    """Whole array document on the driver: opt-in, for small results and tests."""
-    rows = fragments.orderBy("doc_part", "item_no").select("fragment").limit(limit_rows + 1).collect()
-    if len(rows) > limit_rows:
-        raise ValueError(f"document has more than {limit_rows} fragments; write it as text parts")
-    return "".join(r.fragment for r in rows)
-
 
 def agent_stats_document(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
                          keys: dict[str, str] = AGENT_KEYS) -> DataFrame:
@@ -231,13 +224,6 @@ def write_document(fragments: DataFrame, path: str) -> None:
     ordered_fragments(fragments).select("fragment").write.mode("overwrite").text(path)
 
 
-def render(fragments: DataFrame, limit_rows: int = 100_000) -> str:
-    """Whole document on the driver: opt-in, for small results and tests."""
-    rows = ordered_fragments(fragments).select("fragment").limit(limit_rows + 1).collect()
-    if len(rows) > limit_rows:
-        raise ValueError(f"document has more than {limit_rows} fragments; use write_document")
-    return "".join(r.fragment for r in rows)
-
 
 def parse_children(fragments: DataFrame, product_keys: dict[str, str] = PRODUCT_KEYS) -> DataFrame:
     """Product fragments back to typed rows (the document read as data)."""

@@ -118,11 +118,3 @@ def ordered_lines(lines: DataFrame) -> DataFrame:
 def write_xml(lines: DataFrame, path: str) -> None:
     """Write the document as ordered text part files (concatenate in name order)."""
     ordered_lines(lines).select("line").write.mode("overwrite").text(path)
-
-
-def render(lines: DataFrame, limit_rows: int = 100_000) -> str:
-    """Whole document on the driver: opt-in, for small exports and tests."""
-    rows = ordered_lines(lines).select("line").limit(limit_rows + 1).collect()
-    if len(rows) > limit_rows:
-        raise ValueError(f"export has more than {limit_rows} lines; use write_xml")
-    return "\n".join(r.line for r in rows) + "\n"

@@ -10,9 +10,9 @@ runtime from real shuffle sizes, and splits skewed partitions otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import re
 
-DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024
+from pyspark.sql import DataFrame, functions as F
 
 
 def estimated_size_bytes(df: DataFrame) -> int | None:
@@ -24,14 +24,23 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
         return None
 
 
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
+          "t": 1 << 40, "tb": 1 << 40}
+
+
+def parse_bytes(text: str) -> int:
+    """A Spark byte size (``10485760``, ``10485760b``, ``1KB``, ``-1``) as a number of bytes."""
+    match = re.fullmatch(r"\s*(-?\d+)\s*([a-z]*)\s*", text.lower())
+    if match is None or match.group(2) not in ("", *_UNITS):
+        raise ValueError(f"not a byte size: {text!r}")
+    return int(match.group(1)) * _UNITS.get(match.group(2), 1)
+
+
 def broadcast_limit(df: DataFrame, limit: int | None = None) -> int:
+    """The size up to which a side may be broadcast (negative: never)."""
     if limit is not None:
         return limit
-    try:
-        conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-        return int(str(conf).rstrip("b"))  # -1 disables broadcasting
-    except Exception:
-        return DEFAULT_BROADCAST_LIMIT
+    return parse_bytes(str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")))
 
 
 def maybe_broadcast(df: DataFrame, limit: int | None = None, bounded_by: DataFrame | None = None) -> DataFrame:

@@ -2,13 +2,13 @@
 
 Scratch data (checkpoints, staged invoice files, stream checkpoints) always
 lives under the folder the cluster names in ``spark.checkpoint.dir``.  A
-private local folder is only created when that setting is missing, which is
-the case in unit tests on a laptop, never on a cluster.
+private local folder is only created when that setting is missing and the
+master is ``local`` (unit tests on a laptop); elsewhere a missing setting is an
+error.  Scratch folders are deleted when the session's JVM ends.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -60,23 +60,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = checkpoint_root(spark)
     if root:
         return root
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
     local = tempfile.mkdtemp(prefix="ledgerlight-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unique folder under the checkpoint root for one job's files."""
+    """A fresh, unique path under the checkpoint root for one job's files, deleted with the session's JVM."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/ledgerlight-{label}-{uuid.uuid4().hex[:12]}"
+    folder = f"{root}/ledgerlight-{label}-{uuid.uuid4().hex[:12]}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{folder}/files"
 
-
-def local_path(uri: str) -> str | None:
-    """Filesystem path for a ``file:`` URI, else None (remote storage)."""
-    if uri.startswith("file:"):
-        return uri[len("file:"):] if not uri.startswith("file://") else uri[len("file://"):]
-    if uri.startswith("/"):
-        return uri
-    if "://" not in uri:
-        return os.path.abspath(uri)
-    return None

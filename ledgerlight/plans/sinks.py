@@ -11,8 +11,8 @@
 
 Every batch is written into its own ``batch=<id>`` folder with overwrite,
 so re-running a batch (a retried stream micro-batch, a re-submitted load)
-replaces its own rows instead of appending them twice.  Snapshots are
-written with dynamic partition overwrite, replacing only their ``as_of``.
+replaces its own rows instead of appending them twice.  Snapshots
+overwrite the folder of their ``as_of`` only.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+
 from ledgerlight.model import Model
 from ledgerlight.schema import AGENT, PRODUCT, PURCHASE, SALE, TERRITORY
 
@@ -98,7 +100,12 @@ class Warehouse:
     def read_summary(self, spark: SparkSession, table: str) -> DataFrame | None:
         if not self.exists(spark, self.path("summary", table)):
             return None
-        return spark.read.parquet(self.path("summary", table)).drop("batch")
+        kinds = {f.name: f.dataType for f in FACT_SCHEMAS[table].fields}
+        keys = ["agent_id", "product_id", *(["territory_id"] if table == "sale" else [])]
+        sums = ["amount", *(["price"] if table == "sale" else [])]
+        stored = StructType([*(StructField(k, kinds[k]) for k in keys), StructField("month", DateType()),
+                             *(StructField(c, LongType()) for c in sums), StructField("batch", StringType())])
+        return spark.read.schema(stored).parquet(self.path("summary", table)).drop("batch")
 
     def exists(self, spark: SparkSession, path: str) -> bool:
         jvm = spark.sparkContext._jvm
@@ -120,7 +127,9 @@ class Warehouse:
         schema = FACT_SCHEMAS[table]
         if not self.has_fact(spark, table):
             return spark.createDataFrame([], schema)
-        df = spark.read.option("basePath", self.path(table)).parquet(self.path(table))
+        # declared, never inferred: a batch may have left a folder without files, and its id may look like a number
+        stored = StructType([*schema.fields, StructField("batch", StringType()), StructField("month", DateType())])
+        df = spark.read.schema(stored).option("basePath", self.path(table)).parquet(self.path(table))
         if exclude_batch is not None:
             df = df.filter(F.col("batch").cast("string") != F.lit(exclude_batch))
         day = F.col(DATE_COLUMN[table])
@@ -217,16 +226,9 @@ class Warehouse:
 
 
 def write_snapshot(snapshot: DataFrame, path: str, as_of) -> None:
-    """Replace the ``as_of`` partition of a snapshot table with ``snapshot``."""
-    (snapshot.withColumn("as_of", F.lit(as_of))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("as_of").parquet(path))
+    """Replace the ``as_of`` folder of a snapshot table with ``snapshot``, also by no rows at all."""
+    snapshot.write.mode("overwrite").parquet(f"{path.rstrip('/')}/as_of={as_of}")
 
 
 def read_snapshot(spark: SparkSession, path: str, as_of) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("as_of") == F.lit(as_of)).drop("as_of")
-
-
-def write_text_lines(lines: DataFrame, order_cols: list[str], column: str, path: str) -> None:
-    """Sorted text part files whose concatenation is one document."""
-    lines.orderBy(*order_cols).select(column).write.mode("overwrite").text(path)

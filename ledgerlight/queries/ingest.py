@@ -97,7 +97,7 @@ FROM sale s JOIN sale_key_counts k
 WHERE k.n = 1"""))
 def stream_ingest_sales(spark, sf_dir):
     wh, folder, inbox = _warehouse(spark, sf_dir, "stream")
-    run_invoice_streams(spark, None, f"{inbox}/sale", wh, f"{folder}/checkpoints",
+    run_invoice_streams(spark, None, f"{inbox}/sale", wh, f"{folder}/checkpoints", files_per_batch=None,
                         mode="quarantine", refresh_as_of=AS_OF)
     return wh.read_fact(spark, "sale")
 
@@ -136,7 +136,7 @@ FROM bought_pairs b LEFT JOIN sold_pairs s ON s.agent_id = b.agent_id AND s.prod
 def snapshot_after_load(spark, sf_dir):
     """Stream both invoices in (purchases first), then read the refreshed snapshot."""
     wh, folder, inbox = _warehouse(spark, sf_dir, "snapshot")
-    run_invoice_streams(spark, f"{inbox}/purchase", f"{inbox}/sale", wh, f"{folder}/checkpoints",
+    run_invoice_streams(spark, f"{inbox}/purchase", f"{inbox}/sale", wh, f"{folder}/checkpoints", files_per_batch=None,
                         mode="quarantine", refresh_as_of=AS_OF)
     return (spark.read.parquet(wh.snapshot_path()).filter(F.col("as_of") == F.lit(AS_OF)).drop("as_of"))
 

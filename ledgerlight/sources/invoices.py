@@ -32,9 +32,13 @@ def read_sale_invoice(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.schema(SALE_INVOICE).options(**CSV_OPTIONS).csv(path)
 
 
-def stream_invoice(spark: SparkSession, kind: str, directory: str) -> DataFrame:
+def stream_invoice(spark: SparkSession, kind: str, directory: str, files_per_batch: int | None = None) -> DataFrame:
+    """A file stream of invoices, oldest files first; ``files_per_batch`` bounds a micro-batch."""
     schema = PURCHASE_INVOICE if kind == "purchase" else SALE_INVOICE
-    return spark.readStream.schema(schema).options(**CSV_OPTIONS).csv(directory)
+    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.csv(directory)
 
 
 def purchase_stage(model: Model) -> DataFrame:

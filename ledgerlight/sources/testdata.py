@@ -6,7 +6,7 @@ product    part: p_partkey, ``p_name || '#' || p_partkey`` (p_name alone
            repeats), unit price in cents ``round(p_retailprice * 100)``
 purchase   lineitem x orders: one row per (order date, supplier, part),
            quantity summed
-sale       lineitem with l_linestatus = 'F' x orders x customer: ship date,
+sale       lineitem x orders x customer: ship date,
            part, supplier, the customer's nation as territory, quantity,
            revenue in cents ``round(l_extendedprice * 100)``
 territory  nation x region: nation -> district, region -> city; the owner
@@ -103,7 +103,6 @@ def purchase_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sale_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = (read_table(spark, sf_dir, "lineitem")
-          .filter(F.col("l_linestatus") == "F")
           .select("l_orderkey", "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -154,5 +153,4 @@ WITH agent AS (
          CAST(l.l_suppkey AS BIGINT) AS agent_id, CAST(c.c_nationkey AS BIGINT) AS territory_id,
          CAST(round(l.l_quantity) AS BIGINT) AS amount_sold, CAST(round(l.l_extendedprice * 100) AS BIGINT) AS price
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
-  WHERE l.l_linestatus = 'F'
 )"""

@@ -8,13 +8,21 @@ purchase batches do not.
 
 Exactly-once: the stream checkpoint records which files each batch_id
 consumed, and ``load_batch`` writes each batch into its own
-``batch=<stream>-<batch_id>`` folder with overwrite, so a batch replayed
-after a failure replaces its earlier output instead of duplicating it.
+``batch=<stream>-<query id>-<batch_id>`` folder with overwrite, so a batch
+replayed after a failure replaces its earlier output instead of duplicating it.
+The query id lives in the checkpoint, so a stream with a new checkpoint, whose
+batch ids begin at 0 again, never touches what another one has loaded.
+
+``files_per_batch`` is 1 by default: files are loaded one after another, oldest
+first, so of a key in two files the first file's row is loaded and the second is
+rejected, however many files a drain finds.  None loads all new files as one batch.
 No streaming state is needed: the refresh reads the full fact tables.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import Future
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,14 +35,15 @@ from ledgerlight.sources.invoices import stream_invoice
 def start_invoice_stream(spark: SparkSession, kind: str, in_dir: str, warehouse: Warehouse,
                          checkpoint: str, mode: str = "quarantine", available_now: bool = True,
                          refresh_as_of: DateLike | None = None, name: str | None = None,
-                         processing_time: str | None = None) -> StreamingQuery:
+                         processing_time: str | None = None, files_per_batch: int | None = 1) -> StreamingQuery:
     """Start ingesting ``kind`` ('purchase' or 'sale') invoices from ``in_dir``."""
     if kind not in ("purchase", "sale"):
         raise ValueError("kind must be 'purchase' or 'sale'")
     label = name or kind
+    started: Future[StreamingQuery] = Future()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{label}-{batch_id}"
+        folder = f"{label}-{started.result(timeout=300).id}-{batch_id}"
         # a replayed batch must not see its own earlier output as "already loaded"
         model = warehouse.model(batch.sparkSession, exclude_batch=folder)
         load_batch(
@@ -45,7 +54,7 @@ def start_invoice_stream(spark: SparkSession, kind: str, in_dir: str, warehouse:
             refresh_as_of=refresh_as_of, refresh=(kind == "sale"),
         )
 
-    writer = (stream_invoice(spark, kind, in_dir).writeStream
+    writer = (stream_invoice(spark, kind, in_dir, files_per_batch).writeStream
               .foreachBatch(handle)
               .option("checkpointLocation", checkpoint)
               .queryName(f"ingest-{label}"))
@@ -53,18 +62,20 @@ def start_invoice_stream(spark: SparkSession, kind: str, in_dir: str, warehouse:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    query = writer.start()
+    started.set_result(query)
+    return query
 
 
 def run_invoice_streams(spark: SparkSession, purchase_dir: str | None, sale_dir: str | None,
                         warehouse: Warehouse, checkpoint_root: str, mode: str = "quarantine",
-                        refresh_as_of: DateLike | None = None) -> None:
+                        refresh_as_of: DateLike | None = None, files_per_batch: int | None = 1) -> None:
     """Drain both folders once (purchases before sales), then stop."""
     for kind, folder in (("purchase", purchase_dir), ("sale", sale_dir)):
         if folder is None:
             continue
         query = start_invoice_stream(spark, kind, folder, warehouse, f"{checkpoint_root.rstrip('/')}/{kind}",
-                                     mode=mode, refresh_as_of=refresh_as_of)
+                                     mode=mode, refresh_as_of=refresh_as_of, files_per_batch=files_per_batch)
         query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()

@@ -1,7 +1,7 @@
 """Hand-checked fixtures (see FIXTURES.md).
 
-``invoice_model``: 10 agents, 10 products, 67 territories and the two
-monthly invoices (34 purchases dated 2024-03-01, 34 sales dated
+``invoice_model``: 8 agents, 9 products, 28 territories and two invented
+monthly invoices (16 purchases dated 2024-03-01, 15 sales dated
 2024-04-01), written as compact ``agent/product:qty`` and
 ``agent/product@territory:qty=revenue`` codes.  Names are neutral; ids
 follow the row order.
@@ -20,27 +20,25 @@ from pyspark.sql import SparkSession
 from ledgerlight.model import Model
 from ledgerlight.schema import AGENT, PRODUCT, PURCHASE, SALE, TERRITORY
 
-UNIT_PRICES = [10, 8, 5, 3, 2, 7, 12, 6, 4, 15]
-TERRITORIES_PER_AGENT = [6, 7, 6, 6, 7, 7, 7, 7, 7, 7]
+UNIT_PRICES = [9, 14, 6, 11, 5, 13, 4, 17, 8]
+TERRITORIES_PER_AGENT = [3, 5, 2, 4, 6, 1, 3, 4]
 
 PURCHASES = """
-1/6:290 1/1:224 1/7:302 1/5:94 1/4:52 1/3:300 1/8:327
-2/9:215 2/3:255 2/5:25 2/2:94 2/6:109
-3/4:270 3/7:114 3/8:229 3/5:44 3/9:101 3/10:174
-5/10:280 5/7:326 5/8:63 5/2:50
-6/2:273 6/3:313 6/10:166 6/5:219 6/1:74 6/7:22
-8/8:27 8/2:290
-9/6:305 9/4:250 9/9:21 9/3:34
+1/1:40 1/3:25 1/8:12
+2/2:31 2/5:64 2/7:18 2/9:27
+3/4:45 3/6:20
+5/1:33 5/2:15 5/9:50 5/4:21
+6/3:70
+8/5:36 8/8:11
 """
 
 SALES = """
-1/6@4:290=2478 1/1@4:224=113 1/7@4:302=812 1/5@4:94=821 1/4@8:52=464 1/3@8:300=1402 1/8@8:327=302
-2/9@8:215=1377 2/3@8:255=908 2/5@13:25=1063 2/2@13:94=628 2/6@13:109=114
-3/4@13:270=561 3/7@13:114=455 3/8@15:229=1230 3/5@15:44=969 3/9@15:101=78 3/10@15:174=641
-5/10@27:280=3436 5/7@27:326=345 5/8@27:63=420 5/2@27:50=649
-6/2@27:273=54 6/3@27:313=1332 6/10@36:166=562 6/5@36:219=1085 6/1@36:74=390 6/7@36:22=348
-8/8@53:27=1219 8/2@44:290=786
-9/6@44:305=543 9/4@57:250=470 9/9@57:21=513 9/3@57:34=431
+1/1@2:30=400 1/3@2:25=120 1/8@6:10=260
+2/2@6:31=350 2/5@4:50=410 2/7@9:18=95 2/9@16:20=230
+3/4@9:45=610 3/6@5:20=145
+5/1@16:33=300 5/2@20:15=260 5/9@16:41=390
+6/3@21:64=380
+8/5@25:36=150 8/8@22:11=240
 """
 
 PURCHASE_DAY = dt.date(2024, 3, 1)
@@ -85,7 +83,7 @@ def parse_sales() -> list[tuple[dt.date, int, int, int, int, int]]:
 
 
 def invoice_model(spark: SparkSession) -> Model:
-    agents = [(i, agent_name(i), None) for i in range(1, 11)]
+    agents = [(i, agent_name(i), None) for i in range(1, 9)]
     products = [(i, product_name(i), p) for i, p in enumerate(UNIT_PRICES, start=1)]
     return Model(
         agent=spark.createDataFrame(agents, AGENT),

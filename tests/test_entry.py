@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ledgerlight import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
@@ -45,11 +46,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="generated tables missing")
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     cur = duck.execute(entry.oracle_sql()[name])
@@ -61,11 +62,10 @@ def test_query_matches_oracle(spark, duck, name):
 @pytest.mark.parametrize("name", ["agent_totals", "agent_documents", "territory_markdown",
                                   "outstanding_stock_monthly", "month_agent_grid", "tables_xml"])
 def test_warehouse_and_source_paths_agree(spark, name):
-    from ledgerlight import catalog
-    warehouse = sorted(entry.queries()[name](spark, SF).collect())
-    catalog.USE_WAREHOUSE = False
+    direct = sorted(entry.queries()[name](spark, SF).collect())
+    catalog.USE_WAREHOUSE = True
     try:
-        direct = sorted(entry.queries()[name](spark, SF).collect())
+        warehouse = sorted(entry.queries()[name](spark, SF).collect())
     finally:
-        catalog.USE_WAREHOUSE = True
+        catalog.USE_WAREHOUSE = False
     assert warehouse == direct

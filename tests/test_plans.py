@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.random import rand_key
 from ledgerlight.plans.indexing import global_row_number, row_number_within, top_k_per_group
+from ledgerlight.plans import joins, session
 from ledgerlight.plans.joins import estimated_size_bytes, maybe_broadcast
 
 
@@ -64,3 +66,25 @@ def test_sampling_paths_agree(spark):
     one = sorted(sampling.sample_products_per_agent_month(m).collect())
     salted = sorted(sampling.sample_products_per_agent_month(m, always_salt=True).collect())
     assert one == salted and len(one) > 0
+
+
+@pytest.mark.parametrize("text, size", [("1KB", 1024), ("-1", -1), ("10485760b", 10485760), ("256k", 262144), ("2g", 2 << 30)])
+def test_byte_sizes(text, size):
+    assert joins.parse_bytes(text) == size
+
+
+def test_unknown_byte_size_is_an_error():
+    with pytest.raises(ValueError):
+        joins.parse_bytes("ten")
+
+
+def test_cluster_without_shared_folder_fails(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context()
+
+    monkeypatch.setattr(session, "checkpoint_root", lambda spark: None)
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())

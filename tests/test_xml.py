@@ -3,6 +3,7 @@ from __future__ import annotations
 import xml.etree.ElementTree as ET
 
 import pytest
+import render
 from fixtures import edge_model
 
 from ledgerlight.model import Model
@@ -12,7 +13,7 @@ from ledgerlight.schema import AGENT
 
 def test_export_document(spark):
     m = edge_model(spark)
-    text = report_xml.render(report_xml.tables_xml(spark, m.tables(), [("agent", None), ("territory", 1)]))
+    text = render.xml(report_xml.tables_xml(spark, m.tables(), [("agent", None), ("territory", 1)]))
     lines = text.splitlines()
     assert lines[0] == "<tables>"
     assert lines[1] == "<agent><!--Data for table: agent. And ID = ALL-->"
