@@ -273,6 +273,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # a doc_id repeated with different texts stands for each of them; min() joins what its rows say
     named = same.join(found, "id", "left").select("fp1", "fp2", F.coalesce("component", "id").alias("component_id"))
     return (sketch.select("doc_id", "n_shingles", "fp1", "fp2")
-            .join(named, (sketch.n_shingles > 0) & (sketch.fp1 == named.fp1) & (sketch.fp2 == named.fp2), "left")
+            .join(named, (sketch.n_shingles > 0) & sketch.doc_id.isNotNull() & (sketch.fp1 == named.fp1) & (sketch.fp2 == named.fp2), "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
