@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by learned partitions.
 
-On a bounded sample (``SAMPLE`` vectors with the smallest hashes of their id) an exact
+On a bounded sample (the ``SAMPLE`` distinct vectors with the smallest hashes) an exact
 neighbour graph is built and cut into balanced parts: balanced clustering, then
 sweeps that move vertices to the part of most of their neighbours while parts stay
 near equal size.  A small network learns, for a vector, how its neighbours spread
@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerlight.llm.stage import share_package, stage
+from ledgerlight.llm.stage import share_package, smallest_keys, stage
 
 SAMPLE, NEIGHBOURS = 6000, 20
 PART_ROWS, MAX_PARTS = 1000, 1024
@@ -183,9 +183,9 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, target: float = TAR
     share_package(spark)
     rows = usable(vectors)
     count = rows.count()
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()  # bounded
+    picked = smallest_keys(rows.select("vector", F.xxhash64("vector").alias("key")), "key", count, SAMPLE)
     sample = np.array([r.vector for r in picked], float)
-    router, probes = fit_router(np.unique(sample, axis=0), count, target) if count else (None, 1)
+    router, probes = fit_router(sample, count, target) if count else (None, 1)
     shared = spark.sparkContext.broadcast(router)  # a fixed number of weights per part
 
     def route(batches):

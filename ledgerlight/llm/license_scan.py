@@ -4,7 +4,7 @@ Paragraphs are lines.  Words are normalised (ASCII case and punctuation dropped)
 features are the distinct hashed word one- and two-grams of a paragraph.  A softmax
 regression over these sparse features tells licence families from an unknown class.  It is
 trained on variants of the templates below (words dropped, changed or added) and on
-a bounded sample of corpus paragraphs as unknown (``NEGATIVES``, those with the
+a bounded sample of corpus paragraphs as unknown (``NEGATIVES`` distinct ones, those with the
 smallest hashes, without ones that match a template).  A temperature, fitted on the held-out third of the
 training rows, calibrates the probabilities.
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlight.llm.decontaminate import _words
-from ledgerlight.llm.stage import share_package
+from ledgerlight.llm.stage import share_package, smallest_keys
 from ledgerlight.llm.text_arrays import mix, utf8_buffer
 
 # licence families and short notices; fixed values
@@ -176,10 +176,11 @@ def scan_column(model: dict, column: pa.Array) -> Iterator[tuple[int, int, str,
 
 def fit_licenses(docs: DataFrame, negatives: int = NEGATIVES) -> dict:
     """The model, with a bounded sample of corpus paragraphs (cut to 2,000 characters) as unknown."""
-    line = F.explode(F.split("text", "\n")).alias("line")
-    key = F.xxhash64("line")
-    rows = (docs.select(line).filter(F.length(F.trim("line")) > 0).select(F.substring("line", 1, 2000).alias("line"))
-            .withColumn("key", key).orderBy("key", "line").limit(negatives).collect())
+    lines = F.split("text", "\n")
+    count = docs.agg(F.sum(F.size(lines)).alias("n")).first().n or 0
+    rows = (docs.select(F.explode(lines).alias("line")).filter(F.length(F.trim("line")) > 0)
+            .select(F.substring("line", 1, 2000).alias("line"), F.xxhash64("line").alias("key")))
+    rows = smallest_keys(rows, "key", count, negatives)
     return fit([r.line for r in rows])
 
 
