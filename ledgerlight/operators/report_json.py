@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerlight.functions.dates import DateLike
 from ledgerlight.model import Model
 from ledgerlight.operators import stats
-from ledgerlight.plans.indexing import global_row_number
+from ledgerlight.plans.indexing import global_row_number, row_number_within
 from ledgerlight.plans.joins import maybe_broadcast
 from ledgerlight.plans.session import ensure_checkpoint_dir
 
@@ -238,6 +238,52 @@ def parse_children(fragments: DataFrame, product_keys: dict[str, str] = PRODUCT_
     return parsed.select("agent_id", "product_id", *cols)
 
 
+DOCUMENT_ROW_PRODUCTS = 8
+
+
+def document_rows(model: Model, as_of: DateLike | None = None, products: int = DOCUMENT_ROW_PRODUCTS,
+                  root: str = "agents") -> DataFrame:
+    """The combined document as rows of complete JSON text, each with at most ``products`` products of one agent.
+
+    A row holds the products of one range of ``products`` consecutive ids, so no list grows
+    with the data.  An agent without products has one row whose
+    ``data`` is null.
+    """
+    named = stats.agent_product_named(model, as_of)
+    item = F.struct("product_id", "product_name", *[F.col(c).cast("string").alias(c) for c in stats.MEASURES])
+    rows = (named.groupBy("agent_id", F.floor(F.col("product_id") / products).alias("part"))
+            .agg(F.sort_array(F.collect_list(item)).alias("data")))
+    agents = model.agent.select("agent_id", "agent_name")
+    whole = agents.join(rows, "agent_id", "left")
+    agent = F.struct("agent_id", "agent_name", "data")
+    return whole.select(F.to_json(F.struct(F.array(agent).alias(root)), JSON_OPTIONS).alias("doc"))
+
+
+def read_documents(docs: DataFrame, root: str = "agents", doc_col: str = "doc") -> DataFrame:
+    """Agent and product rows of combined JSON documents; everything comes from their text.
+
+    An agent whose ``data`` is null or empty gives one row without product.  Text that is
+    not JSON, or null, gives no rows.
+    """
+    fields = "product_id:bigint,product_name:string," + ",".join(f"{c}:string" for c in stats.MEASURES)
+    schema = f"struct<`{root}`:array<struct<agent_id:bigint,agent_name:string,data:array<struct<{fields}>>>>>"
+    agents = (docs.select(F.from_json(doc_col, schema).alias("d"))
+              .select(F.explode(F.col(f"d.`{root}`")).alias("a")))
+    pairs = agents.select("a.agent_id", "a.agent_name", F.explode_outer("a.data").alias("p"))
+    return pairs.select("agent_id", "agent_name", "p.product_id", "p.product_name",
+                        *[F.col(f"p.{c}").cast("bigint").alias(c) for c in stats.MEASURES])
+
+
+def profit_per_product(pairs: DataFrame, agents: DataFrame | None = None) -> DataFrame:
+    """Chart input grouped by product: its agents numbered by name, with their profits, as ordered rows.
+
+    ``agents`` bounds the rows of a product (one per agent).
+    """
+    rows = pairs.filter("product_id IS NOT NULL").select("product_id", "product_name", "agent_id", "agent_name", "profit")
+    return row_number_within(rows, ["product_id"], [F.col("agent_name"), F.col("agent_id")], "agent_no",
+                             group_bounded_by=agents)
+
+
 def profit_by_agent(totals: DataFrame) -> DataFrame:
     """Chart input: (agent, profit) for every agent (zero when nothing was sold)."""
     return totals.select("agent_id", "agent_name", "profit")

@@ -130,13 +130,15 @@ def territory_markdown(model: Model, as_of: DateLike | None = None, agent_id: in
                        headings: Headings = ENGLISH) -> DataFrame:
     """All lines of the report: (section_no, block, line_no, line)."""
     spark = model.sale.sparkSession
-    # the one pass over the sales: (territory, seller) sums feed both the table and the ranking
-    ensure_checkpoint_dir(spark)
-    per_seller = terr.sales_by_territory_seller(model, as_of).checkpoint(eager=True)
     # the owned territories (a few rows, possibly derived from big tables) feed the
-    # sections, the table and the ranking: materialise them once as well
+    # sections, the table and the ranking: materialise them once
+    ensure_checkpoint_dir(spark)
     owned = maybe_broadcast(terr.owned_territories(model, agent_id).checkpoint(eager=True),
                             bounded_by=model.territory)
+    # the one pass over the sales, of one owner's territories where one is asked for:
+    # (territory, seller) sums feed both the table and the ranking
+    per_seller = terr.sales_by_territory_seller(
+        model, as_of, owned if agent_id is not None else None).checkpoint(eager=True)
     secs = terr.sections(model, agent_id, owned=owned)
     districts = terr.district_sales(model, as_of, agent_id, per_seller, owned=owned)
     rollup = terr.territory_rollup(model, districts=districts)

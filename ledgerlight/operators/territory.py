@@ -40,12 +40,19 @@ def owned_territories(model: Model, agent_id: int | None = None) -> DataFrame:
             .join(maybe_broadcast(owners), "owner_id"))
 
 
-def sales_by_territory_seller(model: Model, as_of: DateLike | None = None) -> DataFrame:
-    """Quantity sold per (territory, seller) strictly before ``as_of``; seller must exist."""
+def sales_by_territory_seller(model: Model, as_of: DateLike | None = None,
+                              owned: DataFrame | None = None) -> DataFrame:
+    """Quantity sold per (territory, seller) strictly before ``as_of``; seller must exist.
+
+    ``owned``, when given, keeps only its territories.  Where it is broadcast Catalyst moves
+    that semi join below the aggregate, to the scan; otherwise it meets the summed rows.
+    """
     day = as_date(as_of)
     per_seller = (model.sale.filter(F.col("date_sold") < F.lit(day))
                   .groupBy("territory_id", F.col("agent_id").alias("seller_id"))
                   .agg(F.sum("amount_sold").alias("qty")))
+    if owned is not None:
+        per_seller = per_seller.join(owned.select("territory_id"), "territory_id", "left_semi")
     sellers = model.agent.select(F.col("agent_id").alias("seller_id"), F.col("agent_name").alias("seller_name"))
     return per_seller.join(maybe_broadcast(sellers), "seller_id")
 
@@ -62,8 +69,9 @@ def district_sales(model: Model, as_of: DateLike | None = None, agent_id: int |
                    per_seller: DataFrame | None = None, owned: DataFrame | None = None) -> DataFrame:
     """Every owned territory with owner / competitor / total quantity (zero when nothing sold)."""
     owned = owned if owned is not None else owned_territories(model, agent_id)
-    sold = per_seller if per_seller is not None else sales_by_territory_seller(model, as_of)
-    keyed = sold.join(maybe_broadcast(owned.select("territory_id", "owner_id")), "territory_id")
+    if per_seller is None:
+        per_seller = sales_by_territory_seller(model, as_of, maybe_broadcast(owned) if agent_id is not None else None)
+    keyed = per_seller.join(maybe_broadcast(owned.select("territory_id", "owner_id")), "territory_id")
     own = F.when(F.col("seller_id") == F.col("owner_id"), F.col("qty")).otherwise(F.lit(0))
     other = F.when(F.col("seller_id") != F.col("owner_id"), F.col("qty")).otherwise(F.lit(0))
     split = keyed.groupBy("territory_id").agg(F.sum(own).alias("qty_own"), F.sum(other).alias("qty_competitor"))
@@ -109,8 +117,9 @@ def seller_ranking(model: Model, as_of: DateLike | None = None, agent_id: int |
                    owned: DataFrame | None = None) -> DataFrame:
     """Sellers in each section ranked by quantity (desc), ties by name then id."""
     owned = (owned if owned is not None else owned_territories(model, agent_id)).select("territory_id", *SECTION)
-    sold = per_seller if per_seller is not None else sales_by_territory_seller(model, as_of)
-    per_section = (sold.join(maybe_broadcast(owned), "territory_id")
+    if per_seller is None:
+        per_seller = sales_by_territory_seller(model, as_of, maybe_broadcast(owned) if agent_id is not None else None)
+    per_section = (per_seller.join(maybe_broadcast(owned), "territory_id")
                    .groupBy(*SECTION, "seller_id", "seller_name")
                    .agg(F.sum("qty").cast("bigint").alias("qty_sold")))
     # a section ranks distinct sellers, so it never has more rows than the agent table: a

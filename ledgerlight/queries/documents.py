@@ -99,3 +99,20 @@ UNION ALL SELECT 2, 0, CASE WHEN (SELECT count(*) FROM totals) = 0 THEN '' ELSE
 UNION ALL SELECT 1, item_no, CASE WHEN item_no > 1 THEN ',' ELSE '' END || doc FROM items"""))
 def agent_totals_json_array(spark, sf_dir):
     return report_json.agent_stats_document(model(spark, sf_dir, up_to=AS_OF), AS_OF)
+
+
+@register("json_document_read", with_views(NAMED_CTE + """
+SELECT a.agent_id, a.agent_name, n.product_id, n.product_name, """ + ", ".join(f"n.{m}" for m in MEASURES) + """
+FROM agent a LEFT JOIN named n ON n.agent_id = a.agent_id"""))
+def json_document_read(spark, sf_dir):
+    docs = report_json.document_rows(model(spark, sf_dir, up_to=AS_OF), AS_OF)
+    return report_json.read_documents(docs)
+
+
+@register("profit_grouped_by_product", with_views(NAMED_CTE + """
+SELECT product_id, product_name, agent_id, agent_name, profit,
+       row_number() OVER (PARTITION BY product_id ORDER BY agent_name, agent_id) AS agent_no
+FROM named"""))
+def profit_grouped_by_product(spark, sf_dir):
+    m = model(spark, sf_dir, up_to=AS_OF)
+    return report_json.profit_per_product(report_json.read_documents(report_json.document_rows(m, AS_OF)), m.agent)

@@ -57,7 +57,7 @@ owned AS (
 
 
 TERRITORY_CTE = territory_cte()
-FIRST_OWNER_SQL = "WHERE t.agent_id = (SELECT min(agent_id) FROM territory)"
+LAST_OWNER_SQL = "WHERE t.agent_id = (SELECT max(agent_id) FROM territory)"
 
 
 def markdown_sql(h: report_md.Headings = report_md.ENGLISH, owner_filter: str = "") -> str:
@@ -118,12 +118,12 @@ def territory_markdown(spark, sf_dir):
     return report_md.territory_markdown(model(spark, sf_dir, up_to=AS_OF), AS_OF)
 
 
-def first_owner(m) -> int:
-    """Lowest owner id among the territories (a single aggregated value)."""
-    return int(m.territory.agg(F.min("agent_id").alias("o")).first()["o"])
+def last_owner(m) -> int:
+    """Highest owner id among the territories (a single aggregated value)."""
+    return int(m.territory.agg(F.max("agent_id").alias("o")).first()["o"])
 
 
-@register("territory_markdown_one", markdown_sql(owner_filter=FIRST_OWNER_SQL))
+@register("territory_markdown_one", markdown_sql(owner_filter=LAST_OWNER_SQL))
 def territory_markdown_one(spark, sf_dir):
     m = model(spark, sf_dir, up_to=AS_OF)
-    return report_md.territory_markdown(m, AS_OF, agent_id=first_owner(m))
+    return report_md.territory_markdown(m, AS_OF, agent_id=last_owner(m))

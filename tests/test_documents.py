@@ -76,3 +76,23 @@ def test_written_parts_concatenate_to_the_document(spark, workdir):
     report_md.write_lines(lines, f"{workdir}/md")
     text = "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(f"{workdir}/md/part-*")))
     assert text == render.markdown(lines)
+
+
+def test_document_rows_read_back(spark):
+    m = edge_model(spark)
+    rows = report_json.document_rows(m, "2024-03-31", products=1)
+    assert rows.count() == 4  # A's two products are split, C's data is null
+    read = report_json.read_documents(rows)
+    assert [r.agent_name for r in read.filter("product_id IS NULL").collect()] == ["C"]
+    cols = ["agent_id", "agent_name", "product_id", "product_name", *stats.MEASURES]
+    named = stats.agent_product_named(m, "2024-03-31")
+    assert sorted(read.filter("product_id IS NOT NULL").select(cols).collect()) == sorted(named.select(cols).collect())
+    by_product = report_json.profit_per_product(read, m.agent).orderBy("product_name", "agent_no")
+    assert [(r.product_name, r.agent_no, r.agent_name) for r in by_product.collect()] == [
+        ("P1", 1, "A"), ("P1", 2, "B"), ("P2", 1, "A")]
+
+
+def test_documents_that_hold_nothing(spark):
+    docs = spark.createDataFrame([(None,), ("",), ("no json",), ('{"agents":null}',),
+                                  ('{"agents":[{"agent_id":7,"agent_name":"G","data":[]}]}',)], "doc string")
+    assert [(r.agent_id, r.product_id) for r in report_json.read_documents(docs).collect()] == [(7, None)]

@@ -119,3 +119,13 @@ def test_district_order_ignores_punctuation_and_accents(spark):
     for limit in (None, 1):  # window path, then the distributed path
         rolled = territory.territory_rollup(m, "2024-01-01", small_limit=limit).orderBy("line_no")
         assert [r.district for r in rolled.collect()] == want
+
+
+def test_one_owner_sums_only_the_owned_territories(spark):
+    m = edge_model(spark)
+    for owner in [r.agent_id for r in m.agent.collect()]:
+        whole = territory.district_sales(m, "2024-03-31").filter(f"owner_id = {owner}")
+        one = territory.district_sales(m, "2024-03-31", agent_id=owner)
+        assert sorted(one.collect()) == sorted(whole.collect())
+        ranks = territory.seller_ranking(m, "2024-03-31").filter(f"owner_id = {owner}")
+        assert sorted(territory.seller_ranking(m, "2024-03-31", agent_id=owner).collect()) == sorted(ranks.collect())
