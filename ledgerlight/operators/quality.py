@@ -181,3 +181,28 @@ def cascade_delete_agent(model: Model, agent_id: int) -> tuple[Model, DataFrame]
     for c in counts[1:]:
         out = out.unionByName(c)
     return kept, out.select("table_name", F.col("n").cast("bigint").alias("n_deleted"))
+
+
+def _without(model: Model, column: str, value: int, tables: list[str]) -> tuple[Model, DataFrame]:
+    """The model without the rows of ``tables`` whose ``column`` is ``value``, and how many each loses."""
+    gone = F.col(column) == F.lit(value)
+    kept, counts = dict(model.tables()), []
+    for name in tables:
+        table = kept[name]
+        kept[name] = table.filter(~gone | F.col(column).isNull())
+        counts.append(table.agg(F.count(F.when(gone, 1)).alias("n_deleted"))
+                      .select(F.lit(name).alias("table_name"), F.col("n_deleted").cast("bigint")))
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return Model(**kept), out
+
+
+def cascade_delete_product(model: Model, product_id: int) -> tuple[Model, DataFrame]:
+    """The model without one product, its purchases and its sales, plus per-table counts (K6)."""
+    return _without(model, "product_id", product_id, ["product", "purchase", "sale"])
+
+
+def cascade_delete_territory(model: Model, territory_id: int) -> tuple[Model, DataFrame]:
+    """The model without one territory and the sales in it, plus per-table counts (K6)."""
+    return _without(model, "territory_id", territory_id, ["territory", "sale"])

@@ -31,6 +31,16 @@ def _known_pairs(df: DataFrame, model: Model) -> DataFrame:
     return keep_known(keep_known(df, model.agent, "agent_id"), model.product, "product_id")
 
 
+def purchase_months(model: Model) -> tuple[dt.date, int]:
+    """The month of the first purchase and the number of months to the last one (one aggregated row)."""
+    row = model.purchase.agg(F.trunc(F.min("date_bought"), "month").alias("first"),
+                             F.max("date_bought").alias("last")).first()
+    if row["first"] is None:
+        raise ValueError("no purchase, so no month series")
+    first, last = row["first"], row["last"]
+    return first, 12 * (last.year - first.year) + last.month - first.month + 1
+
+
 def outstanding_stock(model: Model, as_of: DateLike | None = None, only_positive: bool = True) -> DataFrame:
     """(agent_id, product_id, debt) strictly before ``as_of``."""
     day = as_date(as_of)

@@ -106,3 +106,22 @@ UNION ALL SELECT 'sale', CAST(count(*) AS BIGINT) FROM sale
   WHERE agent_id = {CASCADE_AGENT} OR territory_id IN (SELECT territory_id FROM gone_places)"""))
 def cascade_delete_counts(spark, sf_dir):
     return quality.cascade_delete_agent(model(spark, sf_dir), CASCADE_AGENT)[1]
+
+
+CASCADE_PRODUCT, CASCADE_TERRITORY = 1, 1
+
+
+def _counts_sql(column: str, value: int, tables: list[str]) -> str:
+    return with_views("\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS n_deleted FROM {t} WHERE {column} = {value}"
+        for t in tables))
+
+
+@register("cascade_delete_product", _counts_sql("product_id", CASCADE_PRODUCT, ["product", "purchase", "sale"]))
+def cascade_delete_product(spark, sf_dir):
+    return quality.cascade_delete_product(model(spark, sf_dir), CASCADE_PRODUCT)[1]
+
+
+@register("cascade_delete_territory", _counts_sql("territory_id", CASCADE_TERRITORY, ["territory", "sale"]))
+def cascade_delete_territory(spark, sf_dir):
+    return quality.cascade_delete_territory(model(spark, sf_dir), CASCADE_TERRITORY)[1]

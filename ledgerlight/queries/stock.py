@@ -59,11 +59,11 @@ groups AS (
 )
 SELECT agent_id, month, product_id, qty, CAST(pick_no AS BIGINT) AS pick_no FROM ranked WHERE pick_no <= k""")
 
-GRID_SQL = with_views(f"""
+GRID_SQL = with_views("""
 months AS (
-  SELECT CAST(m AS DATE) AS month
-  FROM generate_series(DATE '{SERIES_START}', DATE '{SERIES_START}' + INTERVAL {SERIES_MONTHS - 1} MONTH,
-                       INTERVAL 1 MONTH) t(m)
+  SELECT CAST(unnest(generate_series(date_trunc('month', min(date_bought)), date_trunc('month', max(date_bought)),
+                                     INTERVAL 1 MONTH)) AS DATE) AS month
+  FROM purchase
 ), activity AS (
   SELECT agent_id, CAST(date_trunc('month', date_bought) AS DATE) AS month,
          CAST(count(DISTINCT product_id) AS BIGINT) AS n_products, CAST(sum(amount_bought) AS BIGINT) AS qty
@@ -110,8 +110,10 @@ def sample_products_per_agent(spark, sf_dir):
 
 @register("month_agent_grid", GRID_SQL)
 def month_agent_grid(spark, sf_dir):
-    series_end = shift_months(SERIES_START, SERIES_MONTHS) - dt.timedelta(days=1)  # last day of the series
-    return sampling.agent_month_grid(model(spark, sf_dir, up_to=series_end), SERIES_START, SERIES_MONTHS)
+    """All months from the first purchase to the last."""
+    m = model(spark, sf_dir)
+    first, months = stock.purchase_months(m)
+    return sampling.agent_month_grid(m, first, months)
 
 
 @register("noisy_revenue", NOISE_SQL)

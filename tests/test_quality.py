@@ -13,6 +13,21 @@ def test_cascade_delete(spark):
     assert kept.sale.count() == 1 and kept.territory.count() == 2
 
 
+def test_cascade_delete_product_and_territory(spark):
+    m = edge_model(spark)
+    for column, cascade, tables in (("product_id", quality.cascade_delete_product, ["product", "purchase", "sale"]),
+                                    ("territory_id", quality.cascade_delete_territory, ["territory", "sale"])):
+        for value in (1, 99):
+            kept, counts = cascade(m, value)
+            lost = {r.table_name: r.n_deleted for r in counts.collect()}
+            assert sorted(lost) == sorted(tables)
+            for name, table in m.tables().items():
+                left = kept.tables()[name]
+                assert table.count() - left.count() == lost.get(name, 0)
+                if name in tables:
+                    assert left.filter(f"{column} = {value}").count() == 0 and (value == 99) == (lost[name] == 0)
+
+
 def test_assign_keys(spark):
     m = edge_model(spark)
     names = spark.createDataFrame([("Z",), ("B",), ("D",), ("Z",)], "agent_name string")
