@@ -14,6 +14,14 @@ for all chunks, texts once by document and then only for candidates.
 Null text is one empty line.  Rows that share a doc_id count as one document.  Rows
 with a null doc_id only lose repeats of their own.  An empty table gives no rows;
 other columns are kept (a clash with the added names replaces that column).
+
+The borders of chunks are a lottery for short passages, so ``dedup_runs`` does without
+them: it compares every two successive lines that are not blank, whatever blank lines
+are between them, and removes a line (with the blank lines after it) when it is in a
+pair that a document with a smaller doc_id has too, or that its own document has
+earlier.  So every run of two or more lines that an earlier document has goes, wherever
+it lies; the first place of each line always stays.  Pairs are chosen by hash and
+compared as text before they go; within one document a pair is told by 64 hash bits.
 """
 
 from __future__ import annotations
@@ -104,3 +112,60 @@ def dedup_lines(docs: DataFrame, text: str = "text") -> DataFrame:
             .withColumn("n_chunks", F.size("_chunks")).withColumn("n_chunks_removed", gone)
             .withColumn(text, F.array_join(kept, "\n"))
             .drop("_chunks", "_texts", "_gone", "_places"))
+
+
+def pair_columns(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with ``_units`` (a line and the blank lines after it), and ``_pairs``: the lines of successive units."""
+    out = docs.withColumn("_units", F.split(F.coalesce(F.col(text), F.lit("")), r"\n(?= *[^ \n])"))
+    out = out.withColumn("_lines", F.transform("_units", lambda u: F.substring_index(u, "\n", 1)))
+    rest = F.size("_lines") - 1
+    return out.withColumn("_pairs", F.zip_with(
+        F.slice("_lines", F.lit(1), rest), F.slice("_lines", F.lit(2), rest),
+        lambda a, b: F.when(F.length(F.trim(a)) > 0, F.concat(a, F.lit("\n"), b)))).drop("_lines")
+
+
+def repeated_pairs(docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id, _repeated: hashes of the pairs that a document with a smaller id has too."""
+    keyed = docs.filter("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    key = [F.xxhash64("pair").alias("h1"), F.xxhash64(F.lit(1), F.col("pair")).alias("h2")]
+    # outer explodes, as above
+    rows = pair_columns(keyed).select("doc_id", F.explode_outer(F.array_distinct("_pairs")).alias("pair"))
+    hashed = stage(rows.filter("pair IS NOT NULL").select("doc_id", *key), "pair-hashes")
+    first = (hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+             .filter("first < last").drop("last"))
+    name = F.concat_ws(":", "h1", "h2")
+    wanted = (hashed.join(first, ["h1", "h2"]).groupBy("doc_id")
+              .agg(F.map_from_entries(F.collect_set(F.struct(name, "first"))).alias("wanted")))
+    found = pair_columns(keyed.join(wanted, "doc_id")).select(
+        "doc_id", "wanted", F.explode_outer(F.array_distinct("_pairs")).alias("pair")).filter("pair IS NOT NULL")
+    found = (found.select("*", *key).select("doc_id", "h1", "h2", "pair", F.try_element_at("wanted", name).alias("first"))
+             .filter("first IS NOT NULL"))
+    source = found.filter("doc_id = first").groupBy("h1", "h2").agg(F.min("pair").alias("source"))
+    later = found.filter("doc_id > first").join(source, ["h1", "h2"]).filter("pair = source")
+    return later.groupBy("doc_id").agg(F.collect_set("h1").alias("_repeated"))
+
+
+def dedup_runs(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with the kept ``text`` and n_lines, n_removed, n_left (kept lines that are not blank)."""
+    base = docs.drop("n_lines", "n_removed", "n_left").withColumn(text, F.col(text).cast("string"))
+    keyed = (pair_columns(base, text).withColumn("_keys", F.transform("_pairs", lambda p: F.when(p.isNotNull(), F.xxhash64(p))))
+             .drop("_pairs").withColumn("_id", F.col("doc_id").cast("bigint")))
+    # keys and units come out of the join as columns, so the lambdas below don't compute them again for each line
+    out = keyed.join(repeated_pairs(base, text).withColumnRenamed("doc_id", "_id"), "_id", "left").drop("_id")
+    own = F.when(F.size(F.array_distinct("_keys")) < F.size("_keys"), F.transform(
+        "_keys", lambda k, j: F.coalesce(F.array_position(F.col("_keys"), k) < j + 1, F.lit(False)))).otherwise(
+            F.transform("_keys", lambda k: F.lit(False)))
+    known = F.when(F.col("_repeated").isNull(), F.transform("_keys", lambda k: F.lit(False))).otherwise(
+        F.transform("_keys", lambda k: F.coalesce(F.array_contains("_repeated", k), F.lit(False))))
+    out = out.withColumn("_pair", F.zip_with(own, known, lambda a, b: a | b))
+    no = F.array(F.lit(False))
+    out = out.withColumn("_gone", F.zip_with(F.concat("_pair", no), F.concat(no, "_pair"), lambda a, b: a | b))
+    lines = lambda c: F.regexp_count(c, F.lit("\n")) + 1
+    total = lambda each: F.aggregate(each, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return (out.withColumn("n_lines", total(F.transform("_units", lines)))
+            .withColumn("n_removed", total(F.zip_with("_units", "_gone", lambda u, g: F.when(g, lines(u)).otherwise(0))))
+            .withColumn("n_left", total(F.zip_with("_units", "_gone", lambda u, g: F.when(
+                g | (F.length(F.trim(F.substring_index(u, "\n", 1))) == 0), 0).otherwise(1))))
+            .withColumn(text, F.array_join(F.zip_with("_units", "_gone", lambda u, g: F.when(~g, u)), "\n"))
+            .drop("_units", "_keys", "_repeated", "_pair", "_gone"))

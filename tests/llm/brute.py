@@ -51,3 +51,17 @@ def near_groups(rows, k, percent):
             x, y = top(a), top(b)
             up[max(x, y)] = min(x, y)
     return {i: (len(s), top(i)) for i, s in sets.items()}
+
+
+def run_lines(rows):
+    """doc_id, numbers of the lines that are in two or more successive non-blank lines an earlier text has (blank lines are passed over)."""
+    docs = [(i, [(n, x) for n, x in enumerate((t or "").split("\n")) if x.strip(" ")]) for i, t in sorted(rows)]
+    seen, out = set(), {}
+    for i, w in docs:
+        gone = set()
+        for (m, a), (n, b) in zip(w, w[1:]):
+            if (a, b) in seen:
+                gone |= {m, n}
+            seen.add((a, b))
+        out[i] = gone
+    return out

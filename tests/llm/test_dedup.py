@@ -10,7 +10,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
 
-from brute import near_groups, repeated_windows  # noqa: E402
+from brute import near_groups, repeated_windows, run_lines  # noqa: E402
 
 from ledgerlight.llm import line_dedup, minhash_dedup, substring_dedup
 from ledgerlight.llm.components import connected_components
@@ -126,3 +126,54 @@ def test_line_dedup(spark):
 def test_line_dedup_runs_without_python(spark):
     plan = line_dedup.dedup_lines(frame(spark, [(1, "a")]).select("doc_id", "text"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def run_corpus(seed=7):
+    """Short passages repeated at the start, in the middle and at the end of otherwise different texts."""
+    rng = random.Random(seed)
+    passages = [lines(f"passage {p}", 2 + p % 5) for p in range(10)]
+    texts = []
+    for i in range(60):
+        own = [f"own {i} line {n}" for n in range(rng.randint(0, 12))]
+        for p in rng.sample(passages, rng.randint(0, 2)):
+            own.insert(rng.randint(0, len(own)), p)
+        for _ in range(rng.randint(0, 2)):
+            own.insert(rng.randint(0, len(own)), rng.choice(["", "  ", "common line"]))
+        texts.append((i, "\n".join(own)))
+    return texts + [(100, texts[3][1]), (101, "x\nx\nx\nx"), (102, "\n\na\n\nb\n\n"), (103, "a\nb"), (104, None), (105, "\n"),
+                    (106, "a"), (107, "common line")]
+
+
+def test_line_runs_against_brute_force(spark):
+    texts = run_corpus()
+    want = run_lines(texts)
+    rows = {r.doc_id: r for r in line_dedup.dedup_runs(frame(spark, texts)).collect()}
+    assert sum(map(len, want.values())) > 100
+    for i, t in texts:
+        whole = (t or "").split("\n")
+        kept = [x for n, x in enumerate(whole) if n not in want[i] and x.strip(" ")]
+        assert [x for x in rows[i].text.split("\n") if x.strip(" ")] == kept
+        assert rows[i].n_lines == len(whole) and rows[i].n_left == len(kept)
+        if not want[i]:
+            assert rows[i].text == (t or "") and rows[i].n_removed == 0
+
+
+def test_pipeline_removes_repeated_runs_inside_texts(spark):
+    import corpus_pipeline
+    run = "first shared line\nsecond shared line"
+    texts = [(n, f"{lines(f'top {n}', 5)}\n{run}\n{lines(f'end {n}', 5)}") for n in range(1, 9)] + [(20, run)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_deduplication(spark, docs, "").collect()}
+    assert got == {n: f"{lines(f'top {n}', 5)}\n{run + chr(10) if n == 1 else ''}{lines(f'end {n}', 5)}" for n in range(1, 9)}
+
+
+def test_line_runs_edges(spark):
+    a, b = lines("a", 4), lines("b", 3)
+    docs = frame(spark, [(9, a), (9, b), (5, a + "\n" + b), (None, a), (None, a), (None, b + "\n" + b)])
+    got = {}
+    for r in line_dedup.dedup_runs(docs).collect():
+        got.setdefault(r.doc_id, []).append(r.text)
+    assert got[9] == ["", ""] and got[5] == [a + "\n" + b] and sorted(got[None]) == [a, a, b]
+    assert line_dedup.dedup_runs(frame(spark, [])).count() == 0
+    plan = line_dedup.dedup_runs(docs.select("doc_id", "text"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
