@@ -12,7 +12,10 @@ to that are skipped, which loses nothing.
 
 A hit is confirmed when the passage holds enough of the item's word trigrams, in
 its question (all but the last sentence) and in its answer (the last sentence; the
-last third of a one-sentence item).
+last third of a one-sentence item), or, whatever the parts, at least ``WHOLE`` of the
+item: both shares weighted by the words of the part.  A part of fewer than ``SHORT``
+words counts by its words in a stretch of its own length and one word more, where that
+is the better share, as one changed word takes most of its trigrams.
 
 Only the index is broadcast.  Items are split into shards of at most
 ``SHARD_ITEMS`` items and ``SHARD_BYTES`` bytes, and each shard makes its own pass
@@ -34,6 +37,8 @@ from ledgerlight.llm.text_arrays import ragged_take, span_hashes, utf8_buffer, w
 
 K1, B = 1.2, 0.75
 THRESHOLD, QUESTION, ANSWER = 0.5, 0.6, 0.6
+WHOLE = 0.7  # share of an item that is enough without its other part
+SHORT = 8  # words from which a part is told by trigrams alone
 BLOCK = 16  # postings per block
 BOUND_ITEMS = 4  # items per block of the batch bound
 GRAM = 3
@@ -83,8 +88,11 @@ class Index:
         self.ids = [i for i, _, _ in words]
         self.longest = max((len(w) for _, _, w in words), default=0)
         parts = [split_item(t) for _, t, _ in words]
-        self.question = [_grams(_text_words(q)) for q, _ in parts]
-        self.answer = [_grams(_text_words(a)) for _, a in parts]
+        split = [(_text_words(q), _text_words(a)) for q, a in parts]
+        self.question = [_grams(q) for q, _ in split]
+        self.answer = [_grams(a) for _, a in split]
+        self.short = [[p if GRAM <= len(p) < SHORT else None for p in pair] for pair in split]
+        self.answer_part = [len(a) / max(1, len(q) + len(a)) for q, a in split]
         lengths = np.array([len(w) for _, _, w in words], float)
         flat = np.concatenate([w for _, _, w in words]) if words else np.zeros(0, np.uint64)
         item = np.repeat(np.arange(len(words)), lengths.astype(int))
@@ -162,14 +170,29 @@ class Index:
 def _confirm(index: Index, item: int, passage: np.ndarray) -> tuple[float, float]:
     """Shares of the item's question and answer trigrams (words, where shorter) that the passage holds."""
     grams, shares = np.unique(window_hashes(passage, GRAM)), []
-    for part in (index.question[item], index.answer[item]):
+    for part, short in zip((index.question[item], index.answer[item]), index.short[item]):
         own = int(np.isin(part, grams).sum())
         if not own and len(part):
             own = int(np.isin(part, passage).sum())
-        shares.append(own / len(part) if len(part) else 1.0)
+        share = own / len(part) if len(part) else 1.0
+        shares.append(share if short is None else max(share, _nearby(short, passage)))
     return shares[0], shares[1]
 
 
+def _nearby(part: np.ndarray, passage: np.ndarray) -> float:
+    """Largest share of the part's distinct words in a stretch of the passage one word longer than the part."""
+    words = np.unique(part)
+    found = np.cumsum(np.pad(passage[None, :] == words[:, None], ((0, 0), (1, 0))), axis=1)
+    begin = np.arange(len(passage))
+    end = np.minimum(begin + len(part) + 1, len(passage))
+    return float(((found[:, end] - found[:, begin]) > 0).sum(axis=0).max(initial=0) / len(words))
+
+
+def _held(index: Index, item: int, question: float, answer: float) -> bool:
+    part = index.answer_part[item]
+    return (question >= QUESTION and answer >= ANSWER) or question * (1 - part) + answer * part >= WHOLE
+
+
 def scan_column(index: Index, column: pa.Array) -> Iterator[tuple[int, int, int, float, float, float]]:
     """(document, item, first word of the passage, score, question share, answer share) of confirmed hits."""
     size = max(MIN_PASSAGE, 2 * index.longest)
@@ -190,7 +213,7 @@ def scan_column(index: Index, column: pa.Array) -> Iterator[tuple[int, int, int,
             distinct = np.unique(own[own >= 0])
             for item, score in index.search(distinct):
                 q, a = _confirm(index, item, words[begin[p]:end[p]])
-                if q >= QUESTION and a >= ANSWER:
+                if _held(index, item, q, a):
                     yield i + int(doc[p]), item, int(begin[p] - first[doc[p]]), score, q, a
         i = j
 

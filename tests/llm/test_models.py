@@ -90,6 +90,23 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(docs.limit(0), items).count() == 0
 
 
+def test_decontamination_of_cut_and_edited_items(spark):
+    question = "Long ago the keeper of the northern light wrote down every ship that passed the stony cape in winter."
+    item = [(1, question + " Seven. Yes."), (2, "Count all grey herons between both weirs before sunrise every spring morning. Nearly forty herons nest there."),
+            (3, "Which baker sold warm rye loaves beside the chapel gate on market days? Old Marten did.")]
+    words = [t.split() for _, t in item]
+    texts = {(100 + n): (n, " ".join(w[:cut])) for n, w, cut in ((1, words[0], -1), (2, words[1], -5), (3, words[2], -3))}
+    for n, w in enumerate(words, 1):
+        for p in range(len(w)):
+            texts[1000 * n + p] = (n, " ".join([*w[:p], "changedword", *w[p + 1:]]))
+    rest = " ".join(f"filler{i}" for i in range(90))
+    docs = spark.createDataFrame([(i, f"{rest} {t} {rest}") for i, (_, t) in texts.items()] + [(1, rest), (2, f"{rest} Seven. Yes. {rest}")],
+                                 "doc_id bigint, text string")
+    items = spark.createDataFrame(item, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == {(i, n) for i, (n, _) in texts.items()}
+
+
 def test_block_max_wand_finds_all_above_threshold():
     rng = random.Random(8)
     vocab = [f"t{i}" for i in range(60)]
