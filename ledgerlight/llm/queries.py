@@ -169,3 +169,28 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All licence notices in all documents."""
     from ledgerlight.llm import license_scan
     return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
+TOPK_SQL = """
+WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score FROM s QUALIFY rank <= 5
+"""
+
+
+@register("op11_exact_topk", TOPK_SQL)
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 largest integer products of every fiftieth id, against all vectors."""
+    from ledgerlight.llm import exact_topk
+    return exact_topk.search(read(spark, sf_dir, "embeddings"), every=50, k=5, scale=256)
+
+
+@register("op13_vector_codes")
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as codes of four codebooks of 256 entries after four rounds."""
+    from ledgerlight.llm import vector_codes
+    return vector_codes.report(read(spark, sf_dir, "embeddings"))

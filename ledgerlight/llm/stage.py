@@ -2,22 +2,48 @@
 
 from __future__ import annotations
 
+import io
 import os
+import zipfile
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from ledgerlight.plans.session import scratch_path
 
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_shared: dict[str, str] = {}
+
+
+def _zipped() -> bytes:
+    """The package's modules as a zip archive."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in sorted(os.walk(_PACKAGE)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(_PACKAGE)))
+    return out.getvalue()
 
 
 def share_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it (installed or shipped copies come first)."""
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if _ROOT not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
+    """Ship this package to the Python workers, once a session: an archive in the shared folder that executors fetch.
+
+    Call it before a function of this package is handed to Spark.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shared:
+        return
+    target = sc._jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'package')}/ledgerlight.zip")
+    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(target)
+    try:
+        out.write(_zipped())
+    finally:
+        out.close()
+    sc.addPyFile(fs.makeQualified(target).toString())
+    _shared[sc.applicationId] = target.toString()
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
