@@ -239,7 +239,8 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, bl
     routed = asked.mapInArrow(route, "qcell int, qblock int, qids binary, qvectors binary, least binary, needed array<int>")
     groups = max(1, -(-size.n // (every * QUERY_GROUP)))
     listed = packed.select(F.col("cell").alias("cell"), F.col("block").alias("block"))  # the numbers alone
-    sent = (routed.withColumn("cell", F.explode("needed")).drop("needed").join(listed, "cell")
+    sent = (routed.withColumn("cell", F.explode("needed")).drop("needed")
+            .hint("merge").join(listed, "cell")  # copies of query blocks: never a broadcast side
             .withColumn("part", F.pmod(F.xxhash64("qcell", "qblock"), F.lit(groups)).cast("int")))
     held = packed.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
 

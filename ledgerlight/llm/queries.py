@@ -194,3 +194,41 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors as codes of four codebooks of 256 entries after four rounds."""
     from ledgerlight.llm import vector_codes
     return vector_codes.report(read(spark, sf_dir, "embeddings"))
+
+
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+numbered AS (SELECT lang, row_number() OVER () AS p, piece FROM pieces),
+split AS (SELECT lang, p, [w FOR w IN string_split_regex(piece, '[\x20\x09]+') IF w <> ''] AS ws FROM numbered),
+words AS (SELECT lang, p, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM split),
+total AS (SELECT lang, count(*) AS n FROM words GROUP BY 1),
+grown AS (SELECT lang, w AS w1, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4
+  FROM words WINDOW o AS (PARTITION BY p ORDER BY i)),
+counted AS (
+  SELECT lang, [w1] AS ws, count(*) AS f FROM grown GROUP BY ALL
+  UNION ALL SELECT lang, [w1, w2], count(*) FROM grown WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+  UNION ALL SELECT lang, [w1, w2, w3], count(*) FROM grown WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+  UNION ALL SELECT lang, [w1, w2, w3, w4], count(*) FROM grown WHERE w4 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30),
+known AS (SELECT lang, ws, len(ws) AS m, array_to_string(ws, ' ') AS phrase, f FROM counted),
+cut AS (SELECT lang, ws, phrase, f AS a, unnest(range(1, m)) AS k FROM known WHERE m >= 2 AND f >= 30),
+cuts AS MATERIALIZED (SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS tail FROM cut),
+scored AS (SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, CAST(2000000::HUGEINT * c.a // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN known x ON x.lang = c.lang AND x.phrase = c.head JOIN known y ON y.lang = c.lang AND y.phrase = c.tail),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+runs AS (SELECT lang, f, array_to_string(ws[i:i + s - 1], ' ') AS phrase FROM known, range(1, 4) AS a(i), range(2, 4) AS b(s)
+  WHERE m >= 3 AND f >= 30 AND s < m AND i + s - 1 <= m),
+held AS (SELECT lang, phrase, max(f) AS inside FROM runs GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank, b.phrase,
+  b.a, b.l, b.r, t.n, b.score
+FROM best b JOIN total t ON t.lang = b.lang LEFT JOIN held h ON h.lang = b.lang AND h.phrase = b.phrase
+WHERE h.inside IS NULL OR 100 * h.inside < 80 * b.a QUALIFY rank <= 2000
+"""
+
+
+@register("op12_collocations", COLLOCATIONS_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best collocations of every language in all documents."""
+    from ledgerlight.llm import collocations
+    return collocations.mine(read(spark, sf_dir, "documents"))
