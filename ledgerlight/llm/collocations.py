@@ -6,7 +6,7 @@ spaces and tabs into words.  Everything is counted per language.  A phrase of tw
 word shorter, do (Apriori); so each level starts from the frequent phrases one word shorter.
 
 One pass a level and shard: the frequent phrases of the shard are a double-array trie over
-words (first symbol the language), built in a task, broadcast, and held by every task.  Numpy
+words (first symbol the language), broadcast to all tasks.  Numpy
 advances the states of all word positions of a stretch of text together, one word a step; an
 accepting state at a position together with the word behind the phrase names one candidate.
 A fixed-size bitmap of all frequent phrases of that length drops candidates whose last part
@@ -38,7 +38,7 @@ from ledgerlight.llm.text_arrays import ragged_take, utf8_buffer
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 SHARD = 200_000            # phrases a trie
-STRETCH = 8 << 20          # bytes of text whose positions advance together
+STRETCH = 4 << 20          # bytes of text whose positions advance together
 BITS = 1 << 24             # of the bitmap of frequent phrases
 SHARES = 16                # first-phase shares of a language's ranking
 
@@ -114,51 +114,71 @@ class DoubleArray:
     def build(cls, keys: np.ndarray) -> "DoubleArray":
         """``keys``: distinct sequences of equal length as sorted rows of symbols from 1 on; the value is the row number."""
         depth = keys.shape[1]
-        size = 2 * (len(keys) * depth + int(keys.max(initial=0))) + 16
+        size = 2 * (len(keys) * depth + int(keys.max(initial=0))) + 1024
         base, check, value = np.zeros(size, np.int64), np.full(size, -1, np.int64), np.full(size, -1, np.int64)
-        check[0] = 0  # the root's own place
-        taken = check >= 0
-        level = [(0, 0, len(keys))]  # state and its rows
-        lowest = 1
+        taken = np.zeros(size, bool)
+        taken[0] = True  # the root's own place
+        top, rng = 0, np.random.default_rng(1)
+        states, low, high = np.zeros(1, np.int64), np.zeros(1, np.int64), np.full(1, len(keys))
         for d in range(depth):
             column = keys[:, d]
-            nodes = []
-            for state, lo, hi in level:
-                heads = lo + np.flatnonzero(np.diff(column[lo:hi], prepend=-1))
-                nodes.append((state, heads, hi))
-            nodes.sort(key=lambda n: -len(n[1]))  # wide nodes first: they are hardest to place
-            level = []
-            for state, heads, hi in nodes:
-                symbols = column[heads]
-                b = max(lowest - int(symbols[0]), 1)
-                while True:
-                    if b + int(symbols[-1]) >= len(check):
-                        more = len(check)
-                        base, check, value = (np.concatenate([a, np.full(more, f, np.int64)])
-                                              for a, f in ((base, 0), (check, -1), (value, -1)))
-                        taken = np.concatenate([taken, np.zeros(more, bool)])
-                    if not taken[b + symbols].any():
-                        break
-                    free = np.flatnonzero(~taken[b + 1 + int(symbols[0]):b + 4097 + int(symbols[0])])
-                    b += 1 + (int(free[0]) if len(free) else 4096)
-                base[state] = b
-                places = b + symbols
-                check[places] = state
-                taken[places] = True
-                while lowest < len(taken) and taken[lowest]:
-                    lowest += 1
-                ends = np.append(heads[1:], hi)
-                if d + 1 == depth:
-                    value[places] = heads
-                else:
-                    level.extend(zip(places.tolist(), heads.tolist(), ends.tolist()))
-        used = int(np.flatnonzero(check >= 0).max()) + 1
+            new = np.zeros(len(keys), bool)  # rows where a child begins
+            new[1:] = column[1:] != column[:-1]
+            new[low] = True
+            heads = np.flatnonzero(new)
+            first = np.searchsorted(heads, low)
+            width = np.append(first[1:], len(heads)) - first
+            place = np.empty(len(heads), np.int64)
+            for i in np.argsort(-width, kind="stable")[:int((width > 1).sum())]:  # wide nodes are hardest to place
+                mine = slice(first[i], first[i] + width[i])
+                symbols = column[heads[mine]]
+                b = cls._room(taken, symbols, rng)
+                if b is None:  # behind everything taken so far
+                    b = top + 1 - int(symbols[0])
+                    more = max(0, b + int(symbols[-1]) + 1024 - len(taken))
+                    base, value = (np.concatenate([a, np.full(more, f, np.int64)]) for a, f in ((base, 0), (value, -1)))
+                    check = np.concatenate([check, np.full(more, -1, np.int64)])
+                    taken = np.concatenate([taken, np.zeros(more, bool)])
+                place[mine] = b + symbols
+                taken[place[mine]] = True
+                top = max(top, b + int(symbols[-1]))
+            single = first[width == 1]  # these fit anywhere
+            free = np.flatnonzero(~taken)[:len(single)]
+            if len(free) < len(single):
+                extra = np.arange(len(taken), len(taken) + len(single) - len(free) + 1024)
+                base, value = (np.concatenate([a, np.full(len(extra), f, np.int64)]) for a, f in ((base, 0), (value, -1)))
+                check = np.concatenate([check, np.full(len(extra), -1, np.int64)])
+                taken = np.concatenate([taken, np.zeros(len(extra), bool)])
+                free = np.flatnonzero(~taken)[:len(single)]
+            place[single] = free
+            taken[free] = True
+            top = max(top, int(free.max(initial=0)))
+            check[place] = np.repeat(states, width)
+            base[states] = place[first] - column[heads[first]]
+            states, low, high = place, heads, np.append(heads[1:], len(keys))
+        value[states] = low
+        used = int(np.flatnonzero(taken)[-1]) + 1
         return cls(base[:used], check[:used], value[:used])
 
+    @staticmethod
+    def _room(taken: np.ndarray, symbols: np.ndarray, rng: np.random.Generator, batch: int = 64, batches: int = 16) -> int | None:
+        """A base at which all ``symbols`` find free places, from some places tried for the first of them."""
+        away = symbols - symbols[0]
+        last = len(taken) - 1 - int(away[-1])
+        if last < 1:
+            return None
+        some = away[np.linspace(0, len(away) - 1, min(len(away), 64)).astype(np.int64)]
+        for _ in range(batches):
+            at = rng.integers(1, last + 1, batch)
+            for b in at[~taken[at[:, None] + some].any(axis=1)].tolist():
+                if not taken[b + away].any():
+                    return b - int(symbols[0])
+        return None
+
     def step(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """The next states, -1 where there is none (or was none, or the symbol is 0)."""
         place = self.base[states] + symbols
-        known = (states >= 0) & (symbols > 0) & (place < len(self.check))
+        known = (states >= 0) & (symbols > 0) & (place > 0) & (place < len(self.check))
         place = np.where(known, place, 0)
         return np.where(known & (self.check[place] == states), place, -1)
 
