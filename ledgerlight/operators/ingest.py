@@ -3,10 +3,10 @@
 A load takes a purchase invoice and a sale invoice.  Both are resolved
 against the dimensions (exact, case-sensitive names; territories by
 (city, district)) and checked in full before anything is written, so a
-load that fails writes nothing.  Both tables are then appended (as
-independent, concurrently submitted jobs), and a sale load is followed by
-a refresh of the statistics snapshot, which therefore sees the purchases
-of the same load, as with purchases loaded first.
+load that fails writes nothing.  Both tables, their summaries, the rejected rows and, for
+a sale load, the statistics snapshot are then written into folders of their own, and one
+log entry makes all of them count: a load is one transaction.  The snapshot
+sees the purchases of the same load, as with purchases loaded first.
 
 ``mode="fail"`` rejects the whole load when any row breaks a rule (what a
 transactional bulk load does); ``mode="quarantine"`` loads the good rows
@@ -18,7 +18,6 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -26,10 +25,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlight.functions.dates import DateLike, as_date
 from ledgerlight.model import Model
-from ledgerlight.operators import quality, stats
+from ledgerlight.operators import quality
+from ledgerlight.operators.maintenance import write_snapshot_part
+from ledgerlight.plans.commits import token
 from ledgerlight.plans.joins import maybe_broadcast
 from ledgerlight.plans.session import ensure_checkpoint_dir
-from ledgerlight.plans.sinks import Warehouse, write_snapshot
+from ledgerlight.plans.sinks import Warehouse, run_concurrently
 from ledgerlight.sources.invoices import read_purchase_invoice, read_sale_invoice
 
 
@@ -142,26 +143,30 @@ def _write_checked(spark: SparkSession, warehouse: Warehouse, checked: dict[str,
                    batch_id: str, refresh_as_of: DateLike | None, refresh: bool) -> LoadResult:
     # independent Spark jobs (one per table and output) are submitted from a few threads so
     # the scheduler runs them side by side; every count finishes before the first write
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        counted = dict(zip(checked, pool.map(outcome_counts, checked.values())))
-        loaded = {table: counts.pop(LOADED, 0) for table, counts in counted.items()}
-        rejected = counted
-        if mode == "fail":
-            for table, counts in rejected.items():
-                if counts:
-                    raise IngestError(table, counts)
-        writes = []
-        for table, frame in checked.items():
-            good = frame.filter(F.col(quality.REASON).isNull())
-            if rejected[table] or warehouse.exists(spark, warehouse.path("quarantine", table, f"batch={batch_id}")):
-                bad = frame.filter(F.col(quality.REASON).isNotNull())
-                writes.append(pool.submit(warehouse.write_quarantine, bad, table, batch_id))
-            writes.append(pool.submit(warehouse.append_fact, good, table, batch_id))
-            writes.append(pool.submit(warehouse.write_summary, good, table, batch_id))
-        for done in writes:
-            done.result()  # re-raises a failed write; a re-run of the batch replaces its folders
+    counted = dict(zip(checked, run_concurrently(*[lambda f=f: outcome_counts(f) for f in checked.values()])))
+    loaded = {table: counts.pop(LOADED, 0) for table, counts in counted.items()}
+    rejected = counted
+    if mode == "fail":
+        for table, counts in rejected.items():
+            if counts:
+                raise IngestError(table, counts)
+    state, part = warehouse.state(spark), token()
+    done = state.batches.get(batch_id)
+    replaced = warehouse.replaced(state, batch_id)
+    if done is not None and sum(done["loaded"].values()) and not any(t in replaced for t in checked):
+        return LoadResult(batch_id, done["loaded"], done["rejected"])  # loaded before, its rows merged since
+    added = warehouse.write_rows({t: f.filter(F.col(quality.REASON).isNull()) for t, f in checked.items()}, part)
+    for table, frame in checked.items():
+        if rejected[table]:
+            warehouse.write_quarantine(frame.filter(F.col(quality.REASON).isNotNull()), table, part)
+            added[f"quarantine/{table}"] = {part: ["all"]}
+    entry = {"kind": "load", "batch": batch_id, "part": part, "loaded": loaded, "rejected": rejected,
+             "add": added, "drop": replaced}
     if refresh and "sale" in checked:
-        refresh_snapshot(spark, warehouse, refresh_as_of)
+        # computed from what the commit will add, so facts, summaries and snapshot count from the same moment
+        day = as_date(refresh_as_of)
+        entry["snapshots"] = {day.isoformat(): write_snapshot_part(spark, warehouse, state.apply(entry), day)}
+    warehouse.log(spark).commit(entry, state)
     return LoadResult(batch_id, loaded, rejected)
 
 
@@ -204,13 +209,14 @@ def ingest_invoices(spark: SparkSession, purchase_path: str | None, sale_path: s
 
 def refresh_snapshot(spark: SparkSession, warehouse: Warehouse, as_of: DateLike | None = None,
                      lag_months: int = 1) -> dt.date:
-    """Recompute the statistics snapshot at ``as_of`` (default today) from the loaded facts.
+    """Bring the statistics snapshot up to ``as_of`` (default today) with the loaded facts.
 
-    Reads the monthly summaries for complete months and the raw facts only
-    for the two cut-off months, so a refresh after every sale batch does
-    not rescan the whole history.
+    Only pairs that loads or a later cut-off touched since the last snapshot are recomputed
+    (``maintenance.snapshot_rows``), from the monthly summaries for complete months and the raw
+    facts for the two cut-off months; the other rows are taken over.
     """
     day = as_date(as_of)
-    model = warehouse.stats_model(spark, day, lag_months)
-    write_snapshot(stats.agent_product_stats(model, day, lag_months), warehouse.snapshot_path(), day)
+    state = warehouse.state(spark)
+    part = write_snapshot_part(spark, warehouse, state, day, lag_months)
+    warehouse.log(spark).commit({"kind": "snapshot", "snapshots": {day.isoformat(): part}}, state)
     return day

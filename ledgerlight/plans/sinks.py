@@ -1,22 +1,27 @@
-"""Warehouse layout: dimension tables, append-only fact tables, snapshots.
+"""Warehouse layout: dimension tables, fact tables, summaries, snapshots, and the log that says what counts.
 
 ```
-<root>/agent, <root>/product, <root>/territory        Parquet dimensions
-<root>/purchase/batch=<id>/month=<yyyy-MM-01>/...      appended facts
-<root>/sale/batch=<id>/month=<yyyy-MM-01>/...
-<root>/summary/<table>/batch=<id>/...                  per (agent, product, month) sums of a batch
-<root>/snapshot/as_of=<date>/...                       statistics snapshots
-<root>/quarantine/<table>/batch=<id>/...               rejected invoice rows
+<root>/agent, <root>/product, <root>/territory         Parquet dimensions
+<root>/purchase/part=<token>/month=<yyyy-MM-01>/...    facts
+<root>/sale/part=<token>/month=<yyyy-MM-01>/...
+<root>/summary/<table>/part=<token>/month=<...>/...    per (agent, product, month) sums of a part
+<root>/snapshot/part=<token>/as_of=<date>/...          statistics snapshots
+<root>/quarantine/<table>/part=<token>/...             rejected invoice rows
+<root>/dimension/<name>/part=<token>/...               dimensions rewritten by a delete
+<root>/_log/<number>.entry.json                        commits
 ```
 
-Every batch is written into its own ``batch=<id>`` folder with overwrite,
-so re-running a batch (a retried stream micro-batch, a re-submitted load)
-replaces its own rows instead of appending them twice.  Snapshots
-overwrite the folder of their ``as_of`` only.
+Every load, compaction or delete writes folders under a new token and then commits one
+log entry; a load that dies before leaves everything as it was.  The log lists the month
+folders of each part, so a read opens the months it needs and lists nothing else, and
+writers never share an output folder.  Files are sorted by (agent, product), so their
+min/max statistics skip row groups for one agent.  ``compact`` merges the parts of a
+month, ``delete_*`` (``operators.maintenance``) rewrites the months that lose rows.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -25,7 +30,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
+from ledgerlight.functions.dates import as_date, shift_months
 from ledgerlight.model import Model
+from ledgerlight.plans.commits import CommitLog, State, token
 from ledgerlight.schema import AGENT, PRODUCT, PURCHASE, SALE, TERRITORY
 
 FACT_SCHEMAS = {"purchase": PURCHASE, "sale": SALE}
@@ -44,6 +51,13 @@ DIM_SCHEMAS = {"agent": AGENT, "product": PRODUCT, "territory": TERRITORY}
 DATE_COLUMN = {"purchase": "date_bought", "sale": "date_sold"}
 
 
+def summary_schema(table: str) -> StructType:
+    kinds = {f.name: f.dataType for f in FACT_SCHEMAS[table].fields}
+    keys = ["agent_id", "product_id", *(["territory_id"] if table == "sale" else [])]
+    sums = ["amount", *(["price"] if table == "sale" else [])]
+    return StructType([*(StructField(k, kinds[k]) for k in keys), *(StructField(c, LongType()) for c in sums)])
+
+
 @dataclass(frozen=True)
 class Warehouse:
     root: str
@@ -52,37 +66,53 @@ class Warehouse:
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
-    def dim_path(self, name: str) -> str:
+    # commits --------------------------------------------------------------
+    def log(self, spark: SparkSession) -> CommitLog:
+        return CommitLog(spark, self.path("_log"))
+
+    def state(self, spark: SparkSession) -> State:
+        return self.log(spark).state()
+
+    # dimensions -----------------------------------------------------------
+    def dim_path(self, name: str, state: State | None = None) -> str:
+        if state is not None and name in state.dims:
+            return self.path("dimension", name, f"part={state.dims[name]}")
         base = (self.dims_root or self.root).rstrip("/")
         return f"{base}/{name}"
 
-    # dimensions -----------------------------------------------------------
     def write_dimensions(self, model: Model) -> None:
+        """Replace the dimension tables; later refreshes recompute everything (prices may differ)."""
+        spark = model.agent.sparkSession
         run_concurrently(*[
             (lambda n=name: getattr(model, n).write.mode("overwrite").parquet(self.dim_path(n)))
             for name in DIM_SCHEMAS])
+        state = self.state(spark)
+        if state.version >= 0:
+            self.log(spark).commit({"kind": "dimensions"}, state)
 
-    def read_dimension(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.schema(DIM_SCHEMAS[name]).parquet(self.dim_path(name))
+    def write_dimension_part(self, df: DataFrame, name: str, part: str) -> None:
+        df.select(*[f.name for f in DIM_SCHEMAS[name].fields]).write.parquet(
+            self.path("dimension", name, f"part={part}"))
+
+    def read_dimension(self, spark: SparkSession, name: str, state: State | None = None) -> DataFrame:
+        state = state or self.state(spark)
+        return spark.read.schema(DIM_SCHEMAS[name]).parquet(self.dim_path(name, state))
 
     # facts ----------------------------------------------------------------
-    def append_fact(self, df: DataFrame, table: str, batch_id: str) -> None:
-        """Write one batch of fact rows under ``batch=<id>``, partitioned by month.
+    def write_fact(self, df: DataFrame, table: str, part: str) -> list[str]:
+        """Write fact rows as one part, by month; returns the months.  Nothing counts before the commit.
 
         ``REBALANCE(month)`` groups each month's rows into few tasks (few
         files per month folder) while AQE splits a large month into chunks
         of the advisory partition size, so file and task sizes stay bounded
-        whatever the batch volume.
+        whatever the volume.  Each file is sorted by (agent, product).
         """
         cols = [f.name for f in FACT_SCHEMAS[table].fields]
-        (df.select(*cols)
-         .withColumn("month", F.trunc(F.col(DATE_COLUMN[table]), "month"))
-         .hint("rebalance", "month")
-         .write.mode("overwrite").partitionBy("month")
-         .parquet(self.path(table, f"batch={batch_id}")))
+        return self._write_part(df.select(*cols).withColumn("month", F.trunc(F.col(DATE_COLUMN[table]), "month")),
+                                table, part)
 
-    def write_summary(self, df: DataFrame, table: str, batch_id: str) -> None:
-        """Per (agent, product[, territory], month) sums of one batch (overwritten with the batch).
+    def write_summary(self, df: DataFrame, table: str, part: str) -> list[str]:
+        """Per (agent, product[, territory], month) sums of one part's rows.
 
         Sales keep their territory, so the same summary serves the agent /
         product statistics and the territory report.
@@ -93,19 +123,39 @@ class Warehouse:
         if table == "sale":
             sums.append(F.sum("price").alias("price"))
             keys.append("territory_id")
-        (df.groupBy(*keys, F.trunc(F.col(DATE_COLUMN[table]), "month").alias("month"))
-         .agg(*sums)
-         .write.mode("overwrite").parquet(self.path("summary", table, f"batch={batch_id}")))
-
-    def read_summary(self, spark: SparkSession, table: str) -> DataFrame | None:
-        if not self.exists(spark, self.path("summary", table)):
-            return None
-        kinds = {f.name: f.dataType for f in FACT_SCHEMAS[table].fields}
-        keys = ["agent_id", "product_id", *(["territory_id"] if table == "sale" else [])]
-        sums = ["amount", *(["price"] if table == "sale" else [])]
-        stored = StructType([*(StructField(k, kinds[k]) for k in keys), StructField("month", DateType()),
-                             *(StructField(c, LongType()) for c in sums), StructField("batch", StringType())])
-        return spark.read.schema(stored).parquet(self.path("summary", table)).drop("batch")
+        rows = df.groupBy(*keys, F.trunc(F.col(DATE_COLUMN[table]), "month").alias("month")).agg(*sums)
+        return self._write_part(rows, f"summary/{table}", part)
+
+    def _write_part(self, rows: DataFrame, table: str, part: str) -> list[str]:
+        folder = self.path(*table.split("/"), f"part={part}")
+        (rows.hint("rebalance", "month").sortWithinPartitions("month", "agent_id", "product_id")
+         .write.partitionBy("month").parquet(folder))
+        return self._months(rows.sparkSession, folder)
+
+    def _months(self, spark: SparkSession, folder: str) -> list[str]:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(path)]
+        return sorted(n.removeprefix("month=") for n in names if n.startswith("month="))
+
+    def read_parts(self, spark: SparkSession, table: str, folders: list[tuple[str, str]]) -> DataFrame:
+        """The rows of some (month, part) folders of a fact or summary table, with ``month`` and ``part``."""
+        kind = table.split("/")[-1]
+        schema = summary_schema(kind) if table.startswith("summary/") else FACT_SCHEMAS[kind]
+        # declared, never inferred: a token may look like a number
+        stored = StructType([*schema.fields, StructField("part", StringType()), StructField("month", DateType())])
+        if not folders:
+            return spark.createDataFrame([], stored)
+        base = self.path(*table.split("/"))
+        return (spark.read.schema(stored).option("basePath", base)
+                .parquet(*[f"{base}/part={p}/month={m}" for m, p in folders]))
+
+    def read_summary(self, spark: SparkSession, table: str, state: State | None = None, before: dt.date | None = None
+                     ) -> DataFrame:
+        state = state or self.state(spark)
+        keep = None if before is None else (lambda m: m < before.isoformat())
+        rows = self.read_parts(spark, f"summary/{table}", state.parts(f"summary/{table}", keep))
+        return rows.drop("part")
 
     def exists(self, spark: SparkSession, path: str) -> bool:
         jvm = spark.sparkContext._jvm
@@ -113,25 +163,21 @@ class Warehouse:
         fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         return bool(fs.exists(hadoop_path))
 
-    def has_fact(self, spark: SparkSession, table: str) -> bool:
-        return self.exists(spark, self.path(table))
-
     def read_fact(self, spark: SparkSession, table: str, exclude_batch: str | None = None,
-                  between: tuple | None = None, up_to=None) -> DataFrame:
-        """Loaded rows of a fact table.
+                  between: tuple | None = None, up_to=None, state: State | None = None) -> DataFrame:
+        """Committed rows of a fact table.
 
         ``exclude_batch`` hides one batch's own earlier output; ``between``
-        (first, last date) and ``up_to`` (last date) prune month partitions
-        before any file is read.
+        (first, last date) and ``up_to`` (last date) choose month folders
+        before any file is listed.
         """
-        schema = FACT_SCHEMAS[table]
-        if not self.has_fact(spark, table):
-            return spark.createDataFrame([], schema)
-        # declared, never inferred: a batch may have left a folder without files, and its id may look like a number
-        stored = StructType([*schema.fields, StructField("batch", StringType()), StructField("month", DateType())])
-        df = spark.read.schema(stored).option("basePath", self.path(table)).parquet(self.path(table))
-        if exclude_batch is not None:
-            df = df.filter(F.col("batch").cast("string") != F.lit(exclude_batch))
+        state = state or self.state(spark)
+        hidden = state.batches.get(exclude_batch or "", {}).get("part")
+        lo = None if between is None else as_date(between[0]).replace(day=1).isoformat()
+        hi = None if between is None and up_to is None else as_date(between[1] if between else up_to).isoformat()
+        folders = [(m, p) for m, p in state.parts(table, lambda m: (lo is None or m >= lo) and (hi is None or m <= hi))
+                   if p != hidden]
+        df = self.read_parts(spark, table, folders)
         day = F.col(DATE_COLUMN[table])
         if between is not None:
             lo, hi = between
@@ -139,90 +185,109 @@ class Warehouse:
                            & day.between(F.lit(lo), F.lit(hi)))
         if up_to is not None:
             df = df.filter((F.col("month").cast("date") <= F.lit(up_to)) & (day <= F.lit(up_to)))
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in FACT_SCHEMAS[table].fields])
 
-    def model(self, spark: SparkSession, exclude_batch: str | None = None, up_to=None) -> Model:
+    def model(self, spark: SparkSession, exclude_batch: str | None = None, up_to=None, state: State | None = None) -> Model:
         """Dimensions and facts; ``up_to`` (a date) reads only the months up to it."""
+        state = state or self.state(spark)
         return Model(
-            agent=self.read_dimension(spark, "agent"),
-            product=self.read_dimension(spark, "product"),
-            territory=self.read_dimension(spark, "territory"),
-            purchase=self.read_fact(spark, "purchase", exclude_batch, up_to=up_to),
-            sale=self.read_fact(spark, "sale", exclude_batch, up_to=up_to),
+            **{n: self.read_dimension(spark, n, state) for n in DIM_SCHEMAS},
+            purchase=self.read_fact(spark, "purchase", exclude_batch, up_to=up_to, state=state),
+            sale=self.read_fact(spark, "sale", exclude_batch, up_to=up_to, state=state),
         )
 
-    def facts_up_to(self, spark: SparkSession, table: str, cutoff) -> DataFrame:
+    def facts_up_to(self, spark: SparkSession, table: str, cutoff, state: State | None = None) -> DataFrame:
         """Fact rows up to ``cutoff`` (inclusive), read cheaply for the statistics.
 
-        Whole months before the cutoff's month come from the per-batch
+        Whole months before the cutoff's month come from the
         monthly summaries (one row per pair [and territory] and month, dated
-        the 1st); only the cutoff's own month is read from the raw facts,
-        the other month partitions pruned.
+        the 1st); only the cutoff's own month is read from the raw facts.
         """
+        state = state or self.state(spark)
         date_col = DATE_COLUMN[table]
         amount_col = "amount_bought" if table == "purchase" else "amount_sold"
         extra = ["price"] if table == "sale" else []
         keys = ["agent_id", "product_id"] + (["territory_id"] if table == "sale" else [])
-        cols = [date_col, *keys, amount_col, *extra]
-        summary = self.read_summary(spark, table)
-        if summary is None:
-            rows = self.read_fact(spark, table).select(*cols)
-        else:
-            first = cutoff.replace(day=1)
-            recent = self.read_fact(spark, table, between=(first, cutoff)).select(*cols)
-            older = (summary.filter(F.col("month") < F.lit(first))
-                     .select(F.col("month").alias(date_col), *keys,
-                             F.col("amount").cast("bigint").alias(amount_col),
-                             *[F.col(c).cast("bigint").alias(c) for c in extra]))
-            rows = older.unionByName(recent)
-        return rows
-
-    def report_model(self, spark: SparkSession, as_of) -> Model:
+        first = cutoff.replace(day=1)
+        recent = self.read_fact(spark, table, between=(first, cutoff), state=state).select(date_col, *keys, amount_col, *extra)
+        older = (self.read_summary(spark, table, state, before=first)
+                 .select(F.col("month").alias(date_col), *keys,
+                         F.col("amount").cast("bigint").alias(amount_col),
+                         *[F.col(c).cast("bigint").alias(c) for c in extra]))
+        return older.unionByName(recent)
+
+    def report_model(self, spark: SparkSession, as_of, state: State | None = None) -> Model:
         """A model for the territory report at ``as_of`` (sales strictly before it) from summaries."""
-        import datetime as _dt
-
-        from ledgerlight.functions.dates import as_date
-        day = as_date(as_of)
+        day, state = as_date(as_of), state or self.state(spark)
         return Model(
-            agent=self.read_dimension(spark, "agent"),
-            product=self.read_dimension(spark, "product"),
-            territory=self.read_dimension(spark, "territory"),
+            **{n: self.read_dimension(spark, n, state) for n in DIM_SCHEMAS},
             purchase=spark.createDataFrame([], FACT_SCHEMAS["purchase"]),
-            sale=self.facts_up_to(spark, "sale", day - _dt.timedelta(days=1)),
+            sale=self.facts_up_to(spark, "sale", day - dt.timedelta(days=1), state),
         )
 
-    def stats_model(self, spark: SparkSession, as_of, lag_months: int = 1) -> Model:
+    def stats_model(self, spark: SparkSession, as_of, lag_months: int = 1, state: State | None = None) -> Model:
         """A model for ``operators.stats`` at ``as_of`` reading summaries for whole months."""
-        from ledgerlight.functions.dates import as_date, shift_months
-        day = as_date(as_of)
+        day, state = as_date(as_of), state or self.state(spark)
         return Model(
-            agent=self.read_dimension(spark, "agent"),
-            product=self.read_dimension(spark, "product"),
-            territory=self.read_dimension(spark, "territory"),
-            purchase=self.facts_up_to(spark, "purchase", shift_months(day, -lag_months)),
-            sale=self.facts_up_to(spark, "sale", day),
+            **{n: self.read_dimension(spark, n, state) for n in DIM_SCHEMAS},
+            purchase=self.facts_up_to(spark, "purchase", shift_months(day, -lag_months), state),
+            sale=self.facts_up_to(spark, "sale", day, state),
         )
 
+    def write_rows(self, rows: dict[str, DataFrame], part: str) -> dict[str, dict[str, list[str]]]:
+        """Facts and their summaries as one part; what a log entry adds."""
+        jobs, names = [], []
+        for table, frame in rows.items():
+            jobs += [lambda r=frame, t=table: self.write_fact(r, t, part),
+                     lambda r=frame, t=table: self.write_summary(r, t, part)]
+            names += [table, f"summary/{table}"]
+        return {n: {part: months} for n, months in zip(names, run_concurrently(*jobs))}
+
     def materialize(self, model: Model, batch_id: str = "initial") -> None:
-        """Write a whole model (dimensions and facts) into this warehouse once.
+        """Write a whole model (dimensions and facts) into this warehouse as one commit.
 
         Queries then read the month-partitioned facts instead of re-deriving
         them from their sources on every run.
         """
-        jobs = [lambda: self.write_dimensions(model)]
-        for table in ("purchase", "sale"):
-            rows = getattr(model, table)
-            jobs.append(lambda r=rows, t=table: self.append_fact(r, t, batch_id))
-            jobs.append(lambda r=rows, t=table: self.write_summary(r, t, batch_id))
-        run_concurrently(*jobs)
+        spark = model.agent.sparkSession
+        self.write_dimensions(model)
+        state, part = self.state(spark), token()
+        added = self.write_rows({"purchase": model.purchase, "sale": model.sale}, part)
+        self.log(spark).commit({"kind": "load", "batch": batch_id, "part": part, "loaded": {}, "rejected": {},
+                                "add": added, "drop": self.replaced(state, batch_id)}, state)
+
+    def replaced(self, state: State, batch_id: str) -> dict[str, dict[str, list[str]]]:
+        """What a repeated batch takes out of the state: the folders of its earlier run."""
+        old = state.batches.get(batch_id, {}).get("part")
+        out: dict[str, dict[str, list[str]]] = {}
+        for table in state.live:
+            for month, part in state.parts(table):
+                if part == old:
+                    out.setdefault(table, {}).setdefault(month, []).append(part)
+        return out
 
     # quarantine -----------------------------------------------------------
-    def write_quarantine(self, df: DataFrame, table: str, batch_id: str) -> None:
-        df.write.mode("overwrite").parquet(self.path("quarantine", table, f"batch={batch_id}"))
+    def write_quarantine(self, df: DataFrame, table: str, part: str) -> None:
+        df.write.parquet(self.path("quarantine", table, f"part={part}"))
+
+    def read_quarantine(self, spark: SparkSession, table: str, state: State | None = None) -> DataFrame | None:
+        """Committed rejected rows of a table, None when there are none."""
+        state = state or self.state(spark)
+        parts = [p for _, p in state.parts(f"quarantine/{table}")]
+        return spark.read.parquet(*[self.path("quarantine", table, f"part={p}") for p in parts]) if parts else None
 
     # snapshots ------------------------------------------------------------
-    def snapshot_path(self) -> str:
-        return self.path("snapshot")
+    def snapshot_path(self, as_of=None, state: State | None = None) -> str:
+        """The folder of the committed snapshot at ``as_of`` (default: of the one committed last)."""
+        state = state or self.state(SparkSession.getActiveSession())
+        known = state.snapshots
+        day = str(as_of) if as_of is not None else max(known, key=lambda d: (known[d]["version"], d), default=None)
+        if day not in known:
+            raise FileNotFoundError(f"no snapshot at {day} in {self.root}")
+        return self.path("snapshot", f"part={known[day]['part']}")
+
+    def read_snapshot(self, spark: SparkSession, as_of, state: State | None = None) -> DataFrame:
+        return spark.read.parquet(f"{self.snapshot_path(as_date(as_of), state or self.state(spark))}/as_of={as_date(as_of)}")
 
 
 def write_snapshot(snapshot: DataFrame, path: str, as_of) -> None:

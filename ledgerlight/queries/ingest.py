@@ -138,7 +138,7 @@ def snapshot_after_load(spark, sf_dir):
     wh, folder, inbox = _warehouse(spark, sf_dir, "snapshot")
     run_invoice_streams(spark, f"{inbox}/purchase", f"{inbox}/sale", wh, f"{folder}/checkpoints", files_per_batch=None,
                         mode="quarantine", refresh_as_of=AS_OF)
-    return (spark.read.parquet(wh.snapshot_path()).filter(F.col("as_of") == F.lit(AS_OF)).drop("as_of"))
+    return wh.read_snapshot(spark, AS_OF)
 
 
 @register("agent_totals_warehouse", _agent_totals_sql(None))
