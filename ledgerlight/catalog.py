@@ -58,14 +58,15 @@ def _load_all() -> None:
 # stores them), as the two ``*_warehouse`` queries always do.
 USE_WAREHOUSE = False
 
-_WAREHOUSES: dict[tuple[int, str], tuple[SparkSession, object]] = {}
+_WAREHOUSES: dict[tuple[int, str, str], tuple[SparkSession, object]] = {}
 
 
 def materialized(spark: SparkSession, sf_dir: str):
     """The generated tables written once per session as a warehouse (facts by month, summaries)."""
+    from ledgerlight.operators.ingest import files_batch_id
     from ledgerlight.plans.session import scratch_path
     from ledgerlight.plans.sinks import Warehouse
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (id(spark), sf_dir.rstrip("/"), files_batch_id(spark, [sf_dir]))  # changed files: written anew
     hit = _WAREHOUSES.get(key)
     if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
         return hit[1]

@@ -5,15 +5,18 @@ from __future__ import annotations
 import calendar
 import datetime as dt
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 DateLike = dt.date | str
 
 
 def as_date(value: DateLike | None) -> dt.date:
-    """Resolve an as-of argument once on the driver; None means today."""
+    """Resolve an as-of argument once on the driver; None means today in the session's time zone."""
     if value is None:
-        return dt.date.today()
+        spark = SparkSession.getActiveSession()
+        if spark is None:
+            return dt.datetime.now(dt.timezone.utc).date()
+        return spark.sql("SELECT current_date() AS d").first().d
     if isinstance(value, dt.datetime):
         return value.date()
     if isinstance(value, dt.date):

@@ -10,7 +10,9 @@ sees the purchases of the same load, as with purchases loaded first.
 
 ``mode="fail"`` rejects the whole load when any row breaks a rule (what a
 transactional bulk load does); ``mode="quarantine"`` loads the good rows
-and writes the rejected ones, with their reasons, next to the facts.
+and writes the rejected ones, with their reasons, next to the facts;
+``mode="set_aside"`` also rejects the whole load when any row breaks a rule, but
+records it: all its rows are quarantined and later loads go on.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from ledgerlight.plans.commits import token
 from ledgerlight.plans.joins import maybe_broadcast
 from ledgerlight.plans.session import ensure_checkpoint_dir
 from ledgerlight.plans.sinks import Warehouse, run_concurrently
-from ledgerlight.sources.invoices import read_purchase_invoice, read_sale_invoice
+from ledgerlight.sources.invoices import MALFORMED, read_purchase_invoice, read_sale_invoice
 
 
 class IngestError(ValueError):
@@ -42,6 +44,10 @@ class IngestError(ValueError):
         super().__init__(f"{table} invoice rejected ({detail})")
 
 
+def _malformed(stage: DataFrame) -> list[str]:
+    return [c for c in stage.columns if c == MALFORMED]
+
+
 def _agent_lookup(agent: DataFrame) -> DataFrame:
     return maybe_broadcast(agent.select(F.col("agent_name").alias("_ll_an"), "agent_id"))
 
@@ -56,7 +62,8 @@ def resolve_purchases(stage: DataFrame, model: Model) -> DataFrame:
     return (stage
             .join(agents, stage["agent_name"] == agents["_ll_an"], "left")
             .join(products, stage["product_name"] == products["_ll_pn"], "left")
-            .select("date_bought", "product_name", "agent_name", "amount_bought", "agent_id", "product_id"))
+            .select("date_bought", "product_name", "agent_name", "amount_bought", "agent_id", "product_id",
+                    *_malformed(stage)))
 
 
 def resolve_sales(stage: DataFrame, model: Model) -> DataFrame:
@@ -70,10 +77,12 @@ def resolve_sales(stage: DataFrame, model: Model) -> DataFrame:
             .join(places, (stage["city"] == places["_ll_city"]) & (stage["district"] == places["_ll_district"]),
                   "left")
             .select("date_sold", "product_name", "agent_name", "city", "district", "amount_sold", "price",
-                    "agent_id", "product_id", "territory_id"))
+                    "agent_id", "product_id", "territory_id", *_malformed(stage)))
 
 
 LOADED = "loaded"
+MODES = ("fail", "quarantine", "set_aside")
+SET_ASIDE = "set aside with its file"
 
 
 def outcome_counts(flagged: DataFrame) -> dict[str, int]:
@@ -115,10 +124,13 @@ def load_batch(model: Model, warehouse: Warehouse, purchase_stage: DataFrame | N
     ``model`` supplies the dimensions; keys already loaded are looked up in
     the warehouse's facts, reading only the months the batch covers.
     """
-    if mode not in ("fail", "quarantine"):
-        raise ValueError("mode must be 'fail' or 'quarantine'")
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
     spark = (purchase_stage if purchase_stage is not None else sale_stage).sparkSession
     batch_id = batch_id or f"load-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    done = warehouse.state(spark).batches.get(batch_id)
+    if done is not None and done.get("merged"):  # loaded before, and its rows compacted since
+        return LoadResult(batch_id, done["loaded"], done["rejected"])
     checked: dict[str, DataFrame] = {}
     if purchase_stage is not None:
         resolved = _checked(resolve_purchases(purchase_stage, model))  # the file is parsed once
@@ -150,11 +162,13 @@ def _write_checked(spark: SparkSession, warehouse: Warehouse, checked: dict[str,
         for table, counts in rejected.items():
             if counts:
                 raise IngestError(table, counts)
+    if mode == "set_aside" and any(rejected.values()):
+        checked = {t: f.withColumn(quality.REASON, F.coalesce(quality.REASON, F.lit(SET_ASIDE))) for t, f in checked.items()}
+        for table, n in loaded.items():
+            rejected[table] = rejected[table] | ({SET_ASIDE: n} if n else {})
+        loaded = dict.fromkeys(loaded, 0)
     state, part = warehouse.state(spark), token()
-    done = state.batches.get(batch_id)
     replaced = warehouse.replaced(state, batch_id)
-    if done is not None and sum(done["loaded"].values()) and not any(t in replaced for t in checked):
-        return LoadResult(batch_id, done["loaded"], done["rejected"])  # loaded before, its rows merged since
     added = warehouse.write_rows({t: f.filter(F.col(quality.REASON).isNull()) for t, f in checked.items()}, part)
     for table, frame in checked.items():
         if rejected[table]:

@@ -20,6 +20,7 @@ from ledgerlight.model import Model
 from ledgerlight.plans.indexing import global_row_number
 from ledgerlight.plans.joins import maybe_broadcast
 from ledgerlight.schema import MAX_NAME_LENGTH, PURCHASE_KEY, SALE_KEY
+from ledgerlight.sources.invoices import MALFORMED
 
 REASON = "reason"
 
@@ -65,6 +66,10 @@ def any_null(*cols: str) -> Column:
     return out
 
 
+def _is_malformed(df: DataFrame) -> Column:
+    return F.col(MALFORMED).isNotNull() if MALFORMED in df.columns else F.lit(False)
+
+
 def flag_purchases(resolved: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
     """Resolved purchase stage with a ``reason`` column (NULL = row may be loaded)."""
     df = with_duplicate_flag(resolved, PURCHASE_KEY)
@@ -73,6 +78,7 @@ def flag_purchases(resolved: DataFrame, loaded: DataFrame | None = None) -> Data
     else:
         df = df.withColumn("_ll_loaded", F.lit(None).cast("boolean"))
     flagged = df.withColumn(REASON, reasons(
+        (_is_malformed(df), "malformed row"),
         (any_null("date_bought", "product_name", "agent_name", "amount_bought"), "missing value"),
         (too_long("product_name", "agent_name"), "name too long"),
         (F.col("agent_id").isNull(), "unknown agent"),
@@ -91,6 +97,7 @@ def flag_sales(resolved: DataFrame, loaded: DataFrame | None = None) -> DataFram
     else:
         df = df.withColumn("_ll_loaded", F.lit(None).cast("boolean"))
     flagged = df.withColumn(REASON, reasons(
+        (_is_malformed(df), "malformed row"),
         (any_null("date_sold", "product_name", "agent_name", "city", "district", "amount_sold", "price"),
          "missing value"),
         (too_long("product_name", "agent_name", "city", "district"), "name too long"),
@@ -115,34 +122,30 @@ def duplicate_names(dim: DataFrame, name_cols: list[str]) -> DataFrame:
 
 
 def orphan_rows(model: Model) -> DataFrame:
-    """Fact rows whose agent, product or territory does not exist (K4)."""
-    agents = maybe_broadcast(model.agent.select("agent_id"))
-    products = maybe_broadcast(model.product.select("product_id"))
-    places = maybe_broadcast(model.territory.select("territory_id"))
-    cols = ["table_name", "reason", "agent_id", "product_id", "territory_id", "row_date"]
-
-    def frame(df: DataFrame, table: str, reason: str, date_col: str, territory: bool) -> DataFrame:
-        return df.select(
-            F.lit(table).alias("table_name"), F.lit(reason).alias("reason"), "agent_id", "product_id",
-            (F.col("territory_id") if territory else F.lit(None).cast("bigint")).alias("territory_id"),
-            F.col(date_col).alias("row_date"))
-
-    parts = [
-        frame(model.purchase.join(agents, "agent_id", "left_anti"), "purchase", "unknown agent", "date_bought", False),
-        frame(model.purchase.join(products, "product_id", "left_anti"), "purchase", "unknown product",
-              "date_bought", False),
-        frame(model.sale.join(agents, "agent_id", "left_anti"), "sale", "unknown agent", "date_sold", True),
-        frame(model.sale.join(products, "product_id", "left_anti"), "sale", "unknown product", "date_sold", True),
-        frame(model.sale.join(places, "territory_id", "left_anti"), "sale", "unknown territory", "date_sold", True),
-    ]
-    owners = model.territory.filter(F.col("agent_id").isNotNull()).join(agents, "agent_id", "left_anti")
-    parts.append(owners.select(F.lit("territory").alias("table_name"), F.lit("unknown owner").alias("reason"),
-                               "agent_id", F.lit(None).cast("bigint").alias("product_id"), "territory_id",
-                               F.lit(None).cast("date").alias("row_date")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*cols)
+    """Fact rows whose agent, product or territory does not exist, a row per missing reference (K4).
+
+    Each table is read once: its references are looked up side by side, and the reasons of a
+    row are exploded.
+    """
+    def looked_up(rows: DataFrame, table: str, date_col: str | None, checks: list[tuple[str, DataFrame, str]]) -> DataFrame:
+        missing = []
+        for i, (column, dim, reason) in enumerate(checks):
+            keys = dim.select(F.col(column).alias(f"_ll_k{i}")).distinct()
+            rows = rows.join(maybe_broadcast(keys), F.col(column) == F.col(f"_ll_k{i}"), "left")
+            missing.append(F.when(F.col(f"_ll_k{i}").isNull(), F.lit(reason)))
+        found = rows.withColumn("reason", F.explode(F.array_compact(F.array(*missing))))
+        return found.select(
+            F.lit(table).alias("table_name"), "reason", "agent_id",
+            (F.col("product_id") if "product_id" in rows.columns else F.lit(None).cast("bigint")).alias("product_id"),
+            (F.col("territory_id") if "territory_id" in rows.columns else F.lit(None).cast("bigint")).alias("territory_id"),
+            (F.col(date_col) if date_col else F.lit(None).cast("date")).alias("row_date"))
+
+    agent, product = ("agent_id", model.agent, "unknown agent"), ("product_id", model.product, "unknown product")
+    place = ("territory_id", model.territory, "unknown territory")
+    owned = model.territory.filter(F.col("agent_id").isNotNull())
+    return (looked_up(model.purchase, "purchase", "date_bought", [agent, product])
+            .unionByName(looked_up(model.sale, "sale", "date_sold", [agent, product, place]))
+            .unionByName(looked_up(owned, "territory", None, [("agent_id", model.agent, "unknown owner")])))
 
 
 def assign_keys(candidates: DataFrame, dim: DataFrame, name_col: str, id_col: str) -> DataFrame:

@@ -6,6 +6,11 @@
   LIMIT k per group.  One window pass while the product table bounds every
   group (a group holds distinct products), else a salted two-phase top-k
   so a hot group is ranked in pieces.
+* ``random_rows``: ORDER BY random LIMIT k over a whole frame, without sorting it: only
+  rows with a key below a limit that lets about 2k pass are sorted, and the limit is
+  raised when fewer than k do.
+* ``random_territory_per_owner``: one pseudo-random territory of each owner, as the
+  minimum of (key, id) in a plain aggregate, so a hot owner is combined map-side.
 * ``agent_month_grid``: every agent x month of a calendar series with what
   the agent bought that month (zeros when it skipped the month).
 * ``restock_revenue``: the revenue of selling each outstanding pair's stock
@@ -15,10 +20,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlight.functions.dates import DateLike, as_date, shift_months
-from ledgerlight.functions.random import day_number, month_number, rand_key
+from ledgerlight.functions.random import MODULUS, day_number, month_number, rand_key
 from ledgerlight.model import Model
 from ledgerlight.operators.stock import outstanding_stock
 from ledgerlight.plans.indexing import top_k_per_group
@@ -42,6 +47,32 @@ def sample_products_per_agent_month(model: Model, seed: int = 7, max_k: int = 7,
             .select("agent_id", "month", "product_id", "qty", F.col("pick_no").cast("bigint").alias("pick_no")))
 
 
+def random_rows(df: DataFrame, k: int, seed: int, key_cols: list[str]) -> DataFrame:
+    """``k`` pseudo-random rows of ``df`` (all, if fewer), with their place ``pick_no``.
+
+    ``key_cols`` (non-negative integers) draw the order; equal keys are ordered by the other
+    columns.  The rows that pass the limit are counted until ``k`` do, two counts as a rule.
+    """
+    keyed = df.withColumn("_ll_rand", rand_key(seed, *[F.col(c) for c in key_cols]))
+    total = df.count()
+    share, some = min(1.0, 2 * k / max(total, 1)), keyed
+    while share < 1:
+        some = keyed.filter(F.col("_ll_rand") < int(share * MODULUS))
+        if some.count() >= k:
+            break
+        some, share = keyed, share * 8
+    picked = some.orderBy("_ll_rand", *df.columns).limit(k)  # a top-k per task, then of those
+    number = F.row_number().over(Window.orderBy("_ll_rand", *df.columns)).cast("bigint")  # k rows
+    return picked.withColumn("pick_no", number).drop("_ll_rand")
+
+
+def random_territory_per_owner(model: Model, seed: int = 13) -> DataFrame:
+    """One territory of each owner, drawn by seed."""
+    owned = model.territory.filter(F.col("agent_id").isNotNull())
+    draw = F.min(F.struct(rand_key(seed, F.col("agent_id"), F.col("territory_id")).alias("r"), "territory_id", "city", "district"))
+    return owned.groupBy("agent_id").agg(draw.alias("d")).select("agent_id", "d.territory_id", "d.city", "d.district")
+
+
 def agent_month_grid(model: Model, start: DateLike, months: int) -> DataFrame:
     first = as_date(start).replace(day=1)
     last = shift_months(first, months - 1)

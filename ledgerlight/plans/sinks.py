@@ -271,10 +271,12 @@ class Warehouse:
         df.write.parquet(self.path("quarantine", table, f"part={part}"))
 
     def read_quarantine(self, spark: SparkSession, table: str, state: State | None = None) -> DataFrame | None:
-        """Committed rejected rows of a table, None when there are none."""
+        """Committed rejected rows of a table with the ``part`` of their load, None when there are none."""
         state = state or self.state(spark)
-        parts = [p for _, p in state.parts(f"quarantine/{table}")]
-        return spark.read.parquet(*[self.path("quarantine", table, f"part={p}") for p in parts]) if parts else None
+        base = self.path("quarantine", table)
+        folders = [f"{base}/part={p}" for _, p in state.parts(f"quarantine/{table}")]
+        reader = spark.read.option("basePath", base).option("mergeSchema", "true")  # bad lines have a column more
+        return reader.parquet(*folders).withColumn("part", F.col("part").cast("string")) if folders else None
 
     # snapshots ------------------------------------------------------------
     def snapshot_path(self, as_of=None, state: State | None = None) -> str:

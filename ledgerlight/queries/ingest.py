@@ -9,14 +9,18 @@ warehouse.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
-from ledgerlight.catalog import AS_OF, materialized, model, register, with_views
-from ledgerlight.operators import ingest, report_md, stats
+from ledgerlight.catalog import AS_OF, ONE_AGENT, materialized, model, register, with_views
+from ledgerlight.operators import ingest, maintenance, report_md, stats
+from ledgerlight.plans.commits import token
+from ledgerlight.plans.joins import maybe_broadcast
 from ledgerlight.queries.stats import _agent_totals_sql
 from ledgerlight.queries.territory import markdown_sql
 from ledgerlight.plans.session import scratch_path
-from ledgerlight.plans.sinks import Warehouse, run_concurrently
+from ledgerlight.plans.sinks import DATE_COLUMN, Warehouse, run_concurrently
 from ledgerlight.sources import invoices
 from ledgerlight.streaming.invoices import run_invoice_streams
 
@@ -60,16 +64,16 @@ def csv_scan(spark, sf_dir):
     return invoices.read_purchase_invoice(spark, f"{folder}/purchase")
 
 
-_INPUTS: dict[tuple[int, str], tuple[object, str]] = {}
+_INPUTS: dict[tuple[int, str, str], tuple[object, str]] = {}
 
 
 def _inputs(spark, sf_dir) -> str:
-    """Dimensions and both invoices of the generated tables, written once per session and data set.
+    """Dimensions and both invoices of the generated tables, written once per session and state of the files.
 
     ``<folder>/dims/{agent,product,territory}``, ``<folder>/in/purchase``,
     ``<folder>/in/sale``; the ingest queries only read them.
     """
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (id(spark), sf_dir.rstrip("/"), ingest.files_batch_id(spark, [sf_dir]))  # changed files: written anew
     hit = _INPUTS.get(key)
     if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
         return hit[1]
@@ -116,7 +120,7 @@ def invoice_load_report(spark, sf_dir):
     return spark.createDataFrame(rows, "table_name string, outcome string, n_rows bigint")
 
 
-@register("snapshot_after_load", with_views(STAGE_CTE + """,
+_ORACLES_SNAPSHOT = with_views(STAGE_CTE + """,
 clean_sale AS (
   SELECT s.* FROM sale s JOIN sale_key_counts k
     ON k.date_sold = s.date_sold AND k.product_id = s.product_id AND k.agent_id = s.agent_id
@@ -132,7 +136,10 @@ clean_sale AS (
 )
 SELECT b.agent_id, b.product_id, b.qty_bought, b.cost, s.qty_sold, s.revenue,
        b.qty_bought - coalesce(s.qty_sold, 0) AS debt, s.revenue - b.cost AS profit
-FROM bought_pairs b LEFT JOIN sold_pairs s ON s.agent_id = b.agent_id AND s.product_id = b.product_id"""))
+FROM bought_pairs b LEFT JOIN sold_pairs s ON s.agent_id = b.agent_id AND s.product_id = b.product_id""")
+
+
+@register("snapshot_after_load", _ORACLES_SNAPSHOT)
 def snapshot_after_load(spark, sf_dir):
     """Stream both invoices in (purchases first), then read the refreshed snapshot."""
     wh, folder, inbox = _warehouse(spark, sf_dir, "snapshot")
@@ -153,3 +160,165 @@ def territory_markdown_warehouse(spark, sf_dir):
     """The territory report over the warehouse: monthly summaries plus the cut-off month."""
     wh = materialized(spark, sf_dir)
     return report_md.territory_markdown(wh.report_model(spark, AS_OF), AS_OF)
+
+
+SPLIT_DAY = "1996-01-01"
+
+CLEAN_SALE = """,
+clean_sale AS (
+  SELECT s.* FROM sale s JOIN sale_key_counts k
+    ON k.date_sold = s.date_sold AND k.product_id = s.product_id AND k.agent_id = s.agent_id
+  WHERE k.n = 1
+)"""
+
+
+def _two_files(spark, sf_dir, label: str, first, second) -> tuple[Warehouse, str, str]:
+    """A fresh warehouse and an inbox whose older sale invoice is ``first`` and whose newer one is ``second``."""
+    wh, folder, _ = _warehouse(spark, sf_dir, label)
+    invoices.write_invoice(first, f"{folder}/in")
+    time.sleep(1.1)  # the stream takes files by modification time, which may be in whole seconds
+    invoices.write_invoice(second, f"{folder}/in", mode="append")
+    return wh, folder, f"{folder}/in"
+
+
+@register("stream_duplicate_across_files", with_views(STAGE_CTE + CLEAN_SALE + f"""
+SELECT date_sold, product_id, agent_id, territory_id, amount_sold,
+  CASE WHEN date_sold < DATE '{SPLIT_DAY}' THEN price + 1 ELSE price END AS price FROM clean_sale"""))
+def stream_duplicate_across_files(spark, sf_dir):
+    """Two invoices with common keys, one transaction a file: of a key in both, the older file's row is loaded."""
+    stage = invoices.sale_stage(model(spark, sf_dir))
+    early = stage.filter(F.col("date_sold") < SPLIT_DAY).withColumn("price", F.col("price") + 1)
+    wh, folder, inbox = _two_files(spark, sf_dir, "twice", early.coalesce(1), stage.coalesce(1))
+    run_invoice_streams(spark, None, inbox, wh, f"{folder}/checkpoints", mode="quarantine", refresh_as_of=AS_OF)
+    return wh.read_fact(spark, "sale")
+
+
+@register("snapshot_delta", _ORACLES_SNAPSHOT)
+def snapshot_delta(spark, sf_dir):
+    """Two sale loads: the second refresh recomputes only the pairs that it touched."""
+    wh, _, inbox = _warehouse(spark, sf_dir, "delta")
+    dims = wh.model(spark)
+    purchases = invoices.read_purchase_invoice(spark, f"{inbox}/purchase")
+    sales = invoices.read_sale_invoice(spark, f"{inbox}/sale")
+    early, late = F.col("date_sold") < SPLIT_DAY, F.col("date_sold") >= SPLIT_DAY
+    ingest.load_batch(dims, wh, purchases, sales.filter(early), "quarantine", "first", refresh_as_of=AS_OF)
+    ingest.load_batch(dims, wh, None, sales.filter(late), "quarantine", "second", refresh_as_of=AS_OF)
+    return wh.read_snapshot(spark, AS_OF)
+
+
+POISONED = """,
+poisoned AS (
+  SELECT date_sold, product_id, agent_id, CASE
+    WHEN agent_id = 1 THEN 'unknown agent'
+    WHEN agent_id = 2 THEN 'unknown product'
+    WHEN agent_id = 3 THEN 'unknown territory' || CASE WHEN n > 1 THEN '; duplicate key in batch' ELSE '' END
+    WHEN agent_id = 4 THEN 'name too long; unknown agent'
+    WHEN agent_id = 5 THEN 'missing value' || CASE WHEN n > 1 THEN '; duplicate key in batch' ELSE '' END
+    WHEN agent_id = 6 THEN 'malformed row; missing value' || CASE WHEN n > 1 THEN '; duplicate key in batch' ELSE '' END
+    WHEN n > 1 THEN 'duplicate key in batch'
+    WHEN agent_id = 7 THEN 'key already loaded' END AS reason
+  FROM sale JOIN sale_key_counts k USING (date_sold, product_id, agent_id)
+)"""
+
+
+def _poisoned(m):
+    """The sales of the tables as an invoice in which agents 1 to 6 each show one kind of fault (all columns text)."""
+    who = m.agent.select("agent_id", "agent_name")
+    rows = invoices.sale_stage(m).join(maybe_broadcast(who), "agent_name")
+    one = lambda n, column, value: F.when(F.col("agent_id") == n, value).otherwise(F.col(column).cast("string"))
+    return rows.select(
+        "date_sold", one(2, "product_name", F.concat("product_name", F.lit(" ?"))).alias("product_name"),
+        F.when(F.col("agent_id") == 1, F.concat("agent_name", F.lit(" ?"))).otherwise(
+            one(4, "agent_name", F.lit("n" * 257))).alias("agent_name"), "city",
+        one(3, "district", F.concat("district", F.lit(" ?"))).alias("district"),
+        F.when(F.col("agent_id") == 5, F.lit(None).cast("string")).otherwise(
+            one(6, "amount_sold", F.concat(F.col("amount_sold").cast("string"), F.lit("x")))).alias("amount_sold"), "price")
+
+
+@register("invoice_reject_reasons", with_views(STAGE_CTE + POISONED + """
+SELECT 'loaded' AS outcome, CAST(count(*) AS BIGINT) AS n_rows FROM poisoned WHERE reason IS NULL
+UNION ALL SELECT reason, CAST(count(*) AS BIGINT) FROM poisoned WHERE reason IS NOT NULL GROUP BY 1"""))
+def invoice_reject_reasons(spark, sf_dir):
+    """Every reject reason in one streamed invoice, bad lines included; good rows are loaded."""
+    wh, folder, _ = _warehouse(spark, sf_dir, "poison")
+    m = model(spark, sf_dir)
+    mine = invoices.sale_stage(m.with_facts(sale=m.sale.filter(F.col("agent_id") == 7)))
+    ingest.load_batch(wh.model(spark), wh, None, mine, "quarantine", "before", refresh=False)
+    before = wh.read_fact(spark, "sale").count()
+    invoices.write_invoice(_poisoned(m), f"{folder}/in")
+    run_invoice_streams(spark, None, f"{folder}/in", wh, f"{folder}/checkpoints", mode="quarantine",
+                        refresh_as_of=AS_OF, files_per_batch=None)
+    latest = {p for b, k in wh.state(spark).batches.items() if b != "before" for p in [k["part"]]}
+    bad = wh.read_quarantine(spark, "sale").filter(F.col("part").isin(list(latest)))
+    loaded = wh.read_fact(spark, "sale").agg(F.lit("loaded").alias("outcome"), (F.count(F.lit(1)) - before).alias("n_rows"))
+    return loaded.unionByName(bad.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@register("invoice_files_set_aside", with_views(STAGE_CTE + CLEAN_SALE + f"""
+SELECT date_sold, product_id, agent_id, territory_id, amount_sold, price FROM clean_sale
+WHERE date_sold >= DATE '{SPLIT_DAY}'"""))
+def invoice_files_set_aside(spark, sf_dir):
+    """Whole-file aborts: nothing of an invoice with a bad row is loaded, the next invoice is."""
+    m = model(spark, sf_dir)
+    bad = _poisoned(m).filter(F.col("date_sold") < SPLIT_DAY)
+    key = ["date_sold", "product_name", "agent_name"]
+    late = invoices.sale_stage(m).filter(F.col("date_sold") >= SPLIT_DAY)
+    good = late.join(late.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n = 1").drop("n"), key, "left_semi")
+    wh, folder, inbox = _two_files(spark, sf_dir, "aside", bad.coalesce(1), good.select(*late.columns).coalesce(1))
+    run_invoice_streams(spark, None, inbox, wh, f"{folder}/checkpoints", mode="set_aside", refresh_as_of=AS_OF)
+    return wh.read_fact(spark, "sale")
+
+
+@register("delete_agent_warehouse", with_views(f"""
+gone_places AS (SELECT territory_id FROM territory WHERE agent_id = {ONE_AGENT}),
+left_sale AS (SELECT * FROM sale WHERE agent_id <> {ONE_AGENT} AND territory_id NOT IN (SELECT territory_id FROM gone_places)),
+left_purchase AS (SELECT * FROM purchase WHERE agent_id <> {ONE_AGENT}),
+bought AS (SELECT agent_id, product_id, sum(amount_bought) AS q FROM left_purchase WHERE date_bought <= DATE '1998-12-01' GROUP BY 1, 2),
+sold AS (SELECT agent_id, product_id, sum(amount_sold) AS q FROM left_sale WHERE date_sold <= DATE '1999-01-01' GROUP BY 1, 2)
+SELECT 'agent' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, CAST(NULL AS BIGINT) AS amount
+FROM agent WHERE agent_id <> {ONE_AGENT}
+UNION ALL SELECT 'territory', count(*), NULL FROM territory WHERE agent_id IS NULL OR agent_id <> {ONE_AGENT}
+UNION ALL SELECT 'purchase', count(*), CAST(sum(amount_bought) AS BIGINT) FROM left_purchase
+UNION ALL SELECT 'sale', count(*), CAST(sum(amount_sold) AS BIGINT) FROM left_sale
+UNION ALL SELECT 'summary/purchase', NULL, CAST(sum(amount_bought) AS BIGINT) FROM left_purchase
+UNION ALL SELECT 'summary/sale', NULL, CAST(sum(amount_sold) AS BIGINT) FROM left_sale
+UNION ALL SELECT 'snapshot', count(*), CAST(sum(b.q - coalesce(s.q, 0)) AS BIGINT)
+FROM bought b LEFT JOIN sold s ON s.agent_id = b.agent_id AND s.product_id = b.product_id"""))
+def delete_agent_warehouse(spark, sf_dir):
+    """An agent deleted from stored tables with all that depends on it; what is left, with repaired summaries and snapshot."""
+    wh = Warehouse(scratch_path(spark, "delete"))
+    wh.materialize(model(spark, sf_dir))
+    ingest.refresh_snapshot(spark, wh, AS_OF)
+    maintenance.delete_agent(spark, wh, ONE_AGENT)
+    state = wh.state(spark)
+    m = wh.model(spark, state=state)
+
+    def counted(df, name, amount):
+        return df.agg(F.count(F.lit(1)).alias("n_rows"),
+                      (F.sum(amount) if amount else F.lit(None)).cast("bigint").alias("amount")).select(
+            F.lit(name).alias("table_name"), "n_rows", "amount")
+
+    out = counted(m.agent, "agent", None).unionByName(counted(m.territory, "territory", None))
+    out = out.unionByName(counted(m.purchase, "purchase", "amount_bought")).unionByName(counted(m.sale, "sale", "amount_sold"))
+    for table in ("purchase", "sale"):
+        summary = counted(wh.read_summary(spark, table, state), f"summary/{table}", "amount")
+        out = out.unionByName(summary.withColumn("n_rows", F.lit(None).cast("bigint")))
+    return out.unionByName(counted(wh.read_snapshot(spark, AS_OF, state), "snapshot", "debt"))
+
+
+@register("compacted_totals", _agent_totals_sql(None))
+def compacted_totals(spark, sf_dir):
+    """Loads of several batches merged month by month; totals from the merged summaries."""
+    wh, _, inbox = _warehouse(spark, sf_dir, "compact")
+    m = model(spark, sf_dir)
+    state = wh.state(spark)
+    for i, (lo, hi) in enumerate((("0001-01-01", SPLIT_DAY), (SPLIT_DAY, "9999-12-31"))):
+        for share in (0, 1):  # rows of one month in two parts
+            part = token()
+            mine = {t: getattr(m, t).filter(F.col(c).between(lo, hi) & (F.col(c) < hi) & (F.pmod("product_id", F.lit(2)) == share))
+                    for t, c in DATE_COLUMN.items()}
+            entry = {"kind": "load", "batch": f"{i}-{share}", "part": part, "loaded": {}, "rejected": {},
+                     "add": wh.write_rows(mine, part)}
+            state = wh.log(spark).commit(entry, state)
+    maintenance.compact(spark, wh, "9999-01-01")
+    return stats.agent_stats(wh.stats_model(spark, AS_OF), AS_OF)

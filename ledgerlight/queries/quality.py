@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ledgerlight.catalog import model, read_raw, register, with_views
@@ -67,6 +69,29 @@ def orphan_rows(spark, sf_dir):
     return quality.orphan_rows(model(spark, sf_dir))
 
 
+LOST_AGENT, LOST_PRODUCT, LOST_TERRITORY = 7, 5, 3
+
+
+@register("orphan_rows_found", with_views(f"""
+SELECT 'purchase' AS table_name, 'unknown agent' AS reason, agent_id, product_id,
+       CAST(NULL AS BIGINT) AS territory_id, date_bought AS row_date FROM purchase WHERE agent_id = {LOST_AGENT}
+UNION ALL SELECT 'purchase', 'unknown product', agent_id, product_id, NULL, date_bought
+FROM purchase WHERE product_id = {LOST_PRODUCT}
+UNION ALL SELECT 'sale', 'unknown agent', agent_id, product_id, territory_id, date_sold FROM sale WHERE agent_id = {LOST_AGENT}
+UNION ALL SELECT 'sale', 'unknown product', agent_id, product_id, territory_id, date_sold
+FROM sale WHERE product_id = {LOST_PRODUCT}
+UNION ALL SELECT 'sale', 'unknown territory', agent_id, product_id, territory_id, date_sold
+FROM sale WHERE territory_id = {LOST_TERRITORY}
+UNION ALL SELECT 'territory', 'unknown owner', agent_id, NULL, territory_id, NULL
+FROM territory WHERE agent_id = {LOST_AGENT} AND territory_id <> {LOST_TERRITORY}"""))
+def orphan_rows_found(spark, sf_dir):
+    """Dimension rows taken out without their facts: every kind of orphan is found."""
+    m = model(spark, sf_dir)
+    return quality.orphan_rows(replace(m, agent=m.agent.filter(F.col("agent_id") != LOST_AGENT),
+                                       product=m.product.filter(F.col("product_id") != LOST_PRODUCT),
+                                       territory=m.territory.filter(F.col("territory_id") != LOST_TERRITORY)))
+
+
 @register("dimension_duplicate_names", with_views("""
 SELECT 'agent' AS table_name, agent_name AS name, CAST(count(*) AS BIGINT) AS n_rows
 FROM agent GROUP BY 1, 2 HAVING count(*) > 1

@@ -119,3 +119,25 @@ def month_agent_grid(spark, sf_dir):
 @register("noisy_revenue", NOISE_SQL)
 def noisy_revenue(spark, sf_dir):
     return sampling.restock_revenue(model(spark, sf_dir, up_to=AS_OF), AS_OF, NOISE_SEED)
+
+
+RANDOM_ROWS, RANDOM_SEED, TERRITORY_SEED = 25, 17, 13
+
+
+@register("random_rows", with_views(f"""
+keyed AS (SELECT date_bought, agent_id, product_id, amount_bought,
+  {rand_key_sql(RANDOM_SEED, "agent_id", "product_id", "amount_bought")} AS r FROM purchase)
+SELECT date_bought, agent_id, product_id, amount_bought,
+  CAST(row_number() OVER (ORDER BY r, date_bought, agent_id, product_id, amount_bought) AS BIGINT) AS pick_no
+FROM keyed QUALIFY pick_no <= {RANDOM_ROWS}"""))
+def random_rows(spark, sf_dir):
+    return sampling.random_rows(model(spark, sf_dir).purchase, RANDOM_ROWS, RANDOM_SEED,
+                                ["agent_id", "product_id", "amount_bought"])
+
+
+@register("random_territory_per_owner", with_views(f"""
+SELECT agent_id, territory_id, city, district FROM territory WHERE agent_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY agent_id ORDER BY {rand_key_sql(TERRITORY_SEED, "agent_id", "territory_id")},
+  territory_id) = 1"""))
+def random_territory_per_owner(spark, sf_dir):
+    return sampling.random_territory_per_owner(model(spark, sf_dir), TERRITORY_SEED)

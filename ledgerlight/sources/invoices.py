@@ -1,13 +1,16 @@
 """Monthly invoice files (CSV) and their staging frames.
 
 Invoices are comma separated with one header line; columns are taken by
-position under a fixed schema (the header's own spelling is ignored) and
-a malformed row fails the whole read, as a bulk load would.
+position under a fixed schema (the header's own spelling is ignored).  A malformed
+row fails the whole read, as a bulk load would, or (``malformed="reject"``) arrives
+with its text in ``MALFORMED``, for the checks to reject; so one bad line can't stop
+a stream for good.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlight.model import Model
 from ledgerlight.plans.joins import maybe_broadcast
@@ -24,18 +27,30 @@ CSV_OPTIONS = {
 }
 
 
-def read_purchase_invoice(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.schema(PURCHASE_INVOICE).options(**CSV_OPTIONS).csv(path)
+MALFORMED = "_malformed"  # text of a line that does not fit the schema, else null
 
 
-def read_sale_invoice(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.schema(SALE_INVOICE).options(**CSV_OPTIONS).csv(path)
+def _reader(reader, schema: StructType, malformed: str):
+    if malformed not in ("fail", "reject"):
+        raise ValueError("malformed must be 'fail' or 'reject'")
+    if malformed == "fail":
+        return reader.schema(schema).options(**CSV_OPTIONS)
+    return (reader.schema(StructType([*schema.fields, StructField(MALFORMED, StringType())]))
+            .options(**{**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}))
 
 
-def stream_invoice(spark: SparkSession, kind: str, directory: str, files_per_batch: int | None = None) -> DataFrame:
+def read_purchase_invoice(spark: SparkSession, path: str | list[str], malformed: str = "fail") -> DataFrame:
+    return _reader(spark.read, PURCHASE_INVOICE, malformed).csv(path)
+
+
+def read_sale_invoice(spark: SparkSession, path: str | list[str], malformed: str = "fail") -> DataFrame:
+    return _reader(spark.read, SALE_INVOICE, malformed).csv(path)
+
+
+def stream_invoice(spark: SparkSession, kind: str, directory: str, files_per_batch: int | None = None,
+                   malformed: str = "fail") -> DataFrame:
     """A file stream of invoices, oldest files first; ``files_per_batch`` bounds a micro-batch."""
-    schema = PURCHASE_INVOICE if kind == "purchase" else SALE_INVOICE
-    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS)
+    reader = _reader(spark.readStream, PURCHASE_INVOICE if kind == "purchase" else SALE_INVOICE, malformed)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.csv(directory)
@@ -58,6 +73,6 @@ def sale_stage(model: Model) -> DataFrame:
             .select("date_sold", "product_name", "agent_name", "city", "district", "amount_sold", "price"))
 
 
-def write_invoice(stage: DataFrame, path: str) -> None:
+def write_invoice(stage: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a stage frame as invoice CSV files (header in every part file)."""
-    stage.write.mode("overwrite").option("header", "true").option("dateFormat", "yyyy-MM-dd").csv(path)
+    stage.write.mode(mode).option("header", "true").option("dateFormat", "yyyy-MM-dd").csv(path)

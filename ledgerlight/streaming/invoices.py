@@ -7,8 +7,8 @@ step per batch.  Sale batches refresh the statistics snapshot afterwards;
 purchase batches do not.
 
 Exactly-once: the stream checkpoint records which files each batch_id
-consumed, and ``load_batch`` writes each batch into its own
-``batch=<stream>-<query id>-<batch_id>`` folder with overwrite, so a batch
+consumed, and ``load_batch`` commits each batch as one log entry under the id
+``<stream>-<query id>-<batch_id>``, so a batch
 replayed after a failure replaces its earlier output instead of duplicating it.
 The query id lives in the checkpoint, so a stream with a new checkpoint, whose
 batch ids begin at 0 again, never touches what another one has loaded.
@@ -36,7 +36,11 @@ def start_invoice_stream(spark: SparkSession, kind: str, in_dir: str, warehouse:
                          checkpoint: str, mode: str = "quarantine", available_now: bool = True,
                          refresh_as_of: DateLike | None = None, name: str | None = None,
                          processing_time: str | None = None, files_per_batch: int | None = 1) -> StreamingQuery:
-    """Start ingesting ``kind`` ('purchase' or 'sale') invoices from ``in_dir``."""
+    """Start ingesting ``kind`` ('purchase' or 'sale') invoices from ``in_dir``.
+
+    In modes ``quarantine`` and ``set_aside`` a malformed line is a rejected row; in mode
+    ``fail`` it stops the stream, as any other bad row does.
+    """
     if kind not in ("purchase", "sale"):
         raise ValueError("kind must be 'purchase' or 'sale'")
     label = name or kind
@@ -54,7 +58,8 @@ def start_invoice_stream(spark: SparkSession, kind: str, in_dir: str, warehouse:
             refresh_as_of=refresh_as_of, refresh=(kind == "sale"),
         )
 
-    writer = (stream_invoice(spark, kind, in_dir, files_per_batch).writeStream
+    malformed = "fail" if mode == "fail" else "reject"
+    writer = (stream_invoice(spark, kind, in_dir, files_per_batch, malformed).writeStream
               .foreachBatch(handle)
               .option("checkpointLocation", checkpoint)
               .queryName(f"ingest-{label}"))
