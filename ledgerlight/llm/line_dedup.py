@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlight.llm.stage import stage
+from ledgerlight.llm.stage import put_back, set_apart, stage
 
 MIN_LINES = 2
 
@@ -94,7 +94,13 @@ def repeated_places(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the kept ``text`` and n_lines, n_removed (lines), n_chunks, n_chunks_removed."""
+    """``docs`` with the kept ``text`` and n_lines, n_removed (lines), n_chunks, n_chunks_removed (instead of columns of these names)."""
+    counts = ["n_lines", "n_removed", "n_chunks", "n_chunks_removed"]
+    out = _dedup_lines(set_apart(docs, "doc_id", text), text)
+    return out.select(*put_back(out, [c for c in docs.columns if c not in counts], "doc_id", text), *counts)
+
+
+def _dedup_lines(docs: DataFrame, text: str) -> DataFrame:
     base = docs.drop("n_lines", "n_removed", "n_chunks", "n_chunks_removed")
     base = base.withColumn(text, F.col(text).cast("string"))
     places = repeated_places(base, text)
@@ -147,7 +153,13 @@ def repeated_pairs(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def dedup_runs(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the kept ``text`` and n_lines, n_removed, n_left (kept lines that are not blank)."""
+    """``docs`` with the kept ``text`` and n_lines, n_removed, n_left (kept lines that are not blank; instead of columns of these names)."""
+    counts = ["n_lines", "n_removed", "n_left"]
+    out = _dedup_runs(set_apart(docs, "doc_id", text), text)
+    return out.select(*put_back(out, [c for c in docs.columns if c not in counts], "doc_id", text), *counts)
+
+
+def _dedup_runs(docs: DataFrame, text: str) -> DataFrame:
     base = docs.drop("n_lines", "n_removed", "n_left").withColumn(text, F.col(text).cast("string"))
     keyed = (pair_columns(base, text).withColumn("_keys", F.transform("_pairs", lambda p: F.when(p.isNotNull(), F.xxhash64(p))))
              .drop("_pairs").withColumn("_id", F.col("doc_id").cast("bigint")))

@@ -18,7 +18,8 @@ and no link.  Documents are linked when ``100 * |A & B| >= percent * |A | B|``.
    exhaustively, on full sets, in bounded blocks, so no link is lost and no bucket is
    ever held by one task.
 
-Rows that share a doc_id are one vertex.  A null doc_id takes no part (component
+Rows that share a doc_id are one vertex: their sets are compared each, and the components of
+all of them are one.  ``copies`` judges texts instead, for a filter that must lose none.  A null doc_id takes no part (component
 null, kept).  Null text is an empty text.  An empty table gives no rows.
 """
 
@@ -31,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlight.llm.components import connected_components
-from ledgerlight.llm.stage import stage
+from ledgerlight.llm.stage import share_package, stage
 from ledgerlight.llm.text_arrays import mix, span_hashes, utf8_buffer, window_hashes, word_spans
 
 BANDS, ROWS = 32, 4
 SLACK = 0.2
 GROUP_BYTES = 1 << 20
+SALTS = (0, 0x5851F42D4C957F2D)  # of the two halves of a set's fingerprint
 BLOCK_MINORS, BLOCK_MEMBERS, ELEMENTS = 256, 512, 8192
 _U = np.uint64
 
@@ -93,7 +95,7 @@ def _sketch(k: int):
                 if not len(full):
                     continue
                 at = offs[:-1][full]
-                for which, salt in enumerate((0, 0x5851F42D4C957F2D)):
+                for which, salt in enumerate(SALTS):
                     fp[which, base + full] = np.add.reduceat(mix(sets ^ _U(salt)), at).view(np.int64)
                 key = sets >> _U(32)
                 for m in range(BANDS * ROWS):
@@ -108,9 +110,9 @@ def _sketch(k: int):
             flat = pa.array(keys.ravel().view(np.int64))
             bounds = pa.array(np.arange(n + 1, dtype=np.int32) * BANDS)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(size), pa.array(fp[0]), pa.array(fp[1]),
+                [batch.column("doc_id").cast(pa.int64()), batch.column("th"), pa.array(size), pa.array(fp[0]), pa.array(fp[1]),
                  bytes_.cast(pa.binary()), pa.ListArray.from_arrays(bounds, flat)],
-                ["doc_id", "n_shingles", "fp1", "fp2", "minima", "bands"])
+                ["doc_id", "th", "n_shingles", "fp1", "fp2", "minima", "bands"])
     return run
 
 
@@ -126,27 +128,26 @@ def _agreement(column_a: str, column_b: str, least: float) -> Column:
 
 
 def _full_sets(texts: DataFrame, ids: DataFrame, k: int, repeats: bool) -> DataFrame:
-    """(id, elements): the full shingle sets of some documents, written once."""
+    """(id, elements): the full shingle sets of some (id, doc_id, fp1, fp2), written once."""
     def sets(batches):
         for batch in batches:
-            keys = batch.column("doc_id")
+            want = [batch.column(c).to_numpy() for c in ("fp1", "fp2")]
             for base, hashes, offs in shingle_sets(batch.column("text"), k):
-                full = np.diff(offs)
-                full = np.flatnonzero(full)
-                fp = np.zeros(len(offs) - 1, np.int64)
-                if len(full):
-                    fp[full] = np.add.reduceat(mix(hashes), offs[:-1][full]).view(np.int64)
+                n = len(offs) - 1
+                full = np.flatnonzero(np.diff(offs))
+                mine = np.zeros(n, bool)
+                mine[full] = True
+                for which, salt in enumerate(SALTS):
+                    if len(full):
+                        fp = np.add.reduceat(mix(hashes ^ _U(salt)), offs[:-1][full]).view(np.int64)
+                        mine[full] &= fp == want[which][base + full]
                 bound = pa.array((offs * 8).astype(np.int32))
-                column = pa.BinaryArray.from_buffers(pa.binary(), len(offs) - 1,
-                                                     [None, bound.buffers()[1], pa.py_buffer(hashes.tobytes())])
-                yield pa.RecordBatch.from_arrays([keys.slice(base, len(offs) - 1), pa.array(fp), column],
-                                                 ["id", "fp1", "elements"])
+                column = pa.BinaryArray.from_buffers(pa.binary(), n, [None, bound.buffers()[1], pa.py_buffer(hashes.tobytes())])
+                found = pa.RecordBatch.from_arrays([batch.column("id").slice(base, n), column], ["id", "elements"])
+                yield found.filter(pa.array(mine))  # a doc_id may have other texts too
 
-    found = (texts.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-             .mapInArrow(sets, "id bigint, fp1 bigint, elements binary"))
-    if repeats:  # several texts under one doc_id: the representative's
-        found = found.join(ids, ["id", "fp1"], "left_semi").dropDuplicates(["id"])
-    return stage(found.select("id", "elements"), "sets")
+    found = texts.join(ids, "doc_id").select("id", "text", "fp1", "fp2").mapInArrow(sets, "id bigint, elements binary")
+    return stage(found.dropDuplicates(["id"]) if repeats else found, "sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -247,22 +248,28 @@ def _across_components(members: DataFrame, found: DataFrame, sets: DataFrame, pe
     return dealt.groupBy("cluster", "x", "m").applyInArrow(_block_links(percent), "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
+def _components_of_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, bool]:
+    """The sketches of all rows, (fp1, fp2, doc_id, component) of the sets that are not empty, whether a doc_id is repeated.
+
+    Each distinct set is a vertex with an id of its own, so a doc_id with several texts has several;
+    ``doc_id`` is the smallest that has the set.
+    """
+    share_package(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = stage(texts.mapInArrow(_sketch(k), "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, "
-                                                "minima binary, bands array<bigint>"), "sketch")
+    sketch = stage(texts.withColumn("th", F.xxhash64("text")).mapInArrow(
+        _sketch(k), "doc_id bigint, th bigint, n_shingles bigint, fp1 bigint, fp2 bigint, minima binary, bands array<bigint>"),
+        "sketch")
     linkable = sketch.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    same = linkable.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("id"))
-    reps = stage(linkable.join(same.withColumnRenamed("id", "doc_id"), ["fp1", "fp2", "doc_id"])
-                 .dropDuplicates(["fp1", "fp2"])
-                 .select(F.col("doc_id").alias("id"), "fp1", "fp2", "n_shingles", "minima", "bands"), "reps")
+    repeats = bool(sketch.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count())
+    same = linkable.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("doc_id"))
+    # written before it is used: the ids stay what they are
+    reps = stage(linkable.drop("th").join(same, ["fp1", "fp2", "doc_id"]).dropDuplicates(["fp1", "fp2"])
+                 .withColumn("id", F.monotonically_increasing_id()), "reps")
     members = reps.select("id", F.explode("bands").alias("bucket"))
     centres = members.groupBy("bucket").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = stage(members.join(centres, "bucket"), "members")
-    repeats = bool(linkable.groupBy("doc_id").count().filter("count > 1").limit(1).count())
-    ids = members.select("id").distinct()
-    sets = _full_sets(texts, ids.join(reps.select("id", "fp1"), "id") if repeats else ids, k, repeats)
+    ids = members.select("id").distinct().join(reps.select("id", "doc_id", "fp1", "fp2"), "id")
+    sets = _full_sets(texts, ids, k, repeats)
     star = members.select(F.col("centre").alias("a"), F.col("id").alias("b"))
     links = stage(_confirmed(stage(_plausible(star, reps, percent), "pairs"), sets, percent), "links")
     found = stage(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "found")
@@ -270,9 +277,47 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     if rest.limit(1).count():
         found = connected_components(rest.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             found.select(F.col("id").alias("u"), F.col("component").alias("v"))))
-    # a doc_id repeated with different texts stands for each of them; min() joins what its rows say
-    named = same.join(found, "id", "left").select("fp1", "fp2", F.coalesce("component", "id").alias("component_id"))
-    return (sketch.select("doc_id", "n_shingles", "fp1", "fp2")
-            .join(named, (sketch.n_shingles > 0) & sketch.doc_id.isNotNull() & (sketch.fp1 == named.fp1) & (sketch.fp2 == named.fp2), "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = reps.select("id", "doc_id", "fp1", "fp2").join(found, "id", "left")
+    return sketch, named.select("fp1", "fp2", "doc_id", F.coalesce("component", "id").alias("component")), repeats
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
+    sketch, named, repeats = _components_of_sets(docs, k, percent)
+    rows = sketch.select("doc_id", "n_shingles", "fp1", "fp2")
+    own = None
+    if repeats:  # a doc_id is one vertex: its sets' components are one, and its rows without words belong there
+        named = stage(named, "named")
+        placed = stage(rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(
+            named.select("fp1", "fp2", "component"), ["fp1", "fp2"]).select("doc_id", "component").distinct(), "placed")
+        lowest = placed.groupBy("doc_id").agg(F.min("component").alias("to"))
+        edges = placed.join(lowest, "doc_id").filter("component <> to").select(F.col("component").alias("u"), F.col("to").alias("v"))
+        merged = stage(connected_components(edges).toDF("component", "to"), "merged")
+        joined = lambda rows: (rows.join(merged, "component", "left")
+                               .withColumn("component", F.coalesce("to", "component")).drop("to"))
+        named, own = joined(named), joined(placed).distinct()
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    by_set = named.select("fp1", "fp2", "component").join(least, "component").drop("component")
+    has_set = (sketch.n_shingles > 0) & sketch.doc_id.isNotNull()
+    out = (rows.join(by_set.toDF("g1", "g2", "component_id"),
+                     has_set & (rows.fp1 == F.col("g1")) & (rows.fp2 == F.col("g2")), "left")
+           .select("doc_id", "n_shingles", "component_id"))
+    if own is not None:
+        of_id = own.join(least, "component").select("doc_id", F.col("component_id").alias("own"))
+        out = out.join(of_id, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "own")).drop("own")
+    return (out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, th = xxhash64 of the text) of the texts that go when one text of each group of near duplicates stays.
+
+    Of a group the text with the smallest (doc_id, th) stays.  Texts are judged one by one, so a text that
+    is like no other stays whatever its doc_id also names.
+    """
+    sketch, named, _ = _components_of_sets(docs, k, percent)
+    texts = (sketch.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "th", "fp1", "fp2")
+             .join(named.select("fp1", "fp2", "component"), ["fp1", "fp2"]))
+    first = texts.groupBy("component").agg(F.min(F.struct("doc_id", "th")).alias("first"))
+    return (texts.join(first, "component").filter("doc_id <> first.doc_id OR th <> first.th")
+            .select("doc_id", "th").distinct())

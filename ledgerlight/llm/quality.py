@@ -27,6 +27,7 @@ import pyarrow as pa
 from numpy.lib.stride_tricks import as_strided
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerlight.llm.stage import share_package
 from ledgerlight.llm.text_arrays import utf8_buffer
 
 CHUNK, STEP, WIDTH, HOP = 400, 384, 12, 4
@@ -196,6 +197,7 @@ def score_column(model: Model | None, column: pa.Array) -> np.ndarray:
 def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL,
                     fit_chunks: int = FIT_CHUNKS) -> tuple[list[list[bytes]], list[int]]:
     """Chunks and labels of the bounded sample (at most ``2 * per_label * fit_chunks * CHUNK`` bytes)."""
+    share_package(docs.sparkSession)
     known = (labels.filter(~held_out("doc_id") & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
              .groupBy("doc_id").agg(F.min("quality").alias("quality")))
     key = F.xxhash64(F.col("doc_id"))
@@ -215,7 +217,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = PER_LAB
 
     picked = [known.filter(F.col("quality") == q).orderBy(key, "doc_id").limit(per_label) for q in (0, 1)]
     ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * per_label rows
-    rows = (texts.join(ids, "doc_id").mapInArrow(run, "doc_id bigint, quality int, chunks array<binary>")
+    # of a doc_id with several rows one, by the hash of its text
+    one = (texts.join(ids, "doc_id").withColumn("t", F.struct(F.xxhash64("text").alias("h"), "text"))
+           .groupBy("doc_id", "quality").agg(F.min("t").alias("t")).select("doc_id", "quality", "t.text"))
+    rows = (one.mapInArrow(run, "doc_id bigint, quality int, chunks array<binary>")
             .orderBy(key, "doc_id", F.xxhash64("chunks")).collect())
     return [[bytes(c) for c in r.chunks] for r in rows], [int(r.quality) for r in rows]
 
@@ -226,6 +231,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL)
 
 def score_documents(docs: DataFrame, model: Model | None, column: str = "score") -> DataFrame:
     """``docs`` with one more column, the probability of label 1 (replaces a column of that name)."""
+    share_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # about 60 kB, fixed by the network's shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ import io
 import os
 import zipfile
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ledgerlight.plans.session import scratch_path
 
@@ -59,6 +59,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_apart(df: DataFrame, *names: str) -> DataFrame:
+    """``names`` as columns of their own and all others in one struct, so no name of theirs can clash."""
+    others = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    return df.select(*names, (F.struct(*others) if others else F.lit(None).cast("int")).alias("others"))
+
+
+def put_back(df: DataFrame, columns: list[str], *names: str) -> list[Column]:
+    """The select list that gives ``set_apart`` frames their ``columns`` back, ``names`` as they are now."""
+    return [df[c] if c in names else df["others"].getField(c).alias(c) for c in columns]
+
+
 def smallest_keys(rows: DataFrame, key: str, count: int, n: int) -> list[Row]:
     """The ``n`` distinct rows with the smallest 64-bit hashes ``key``, ties by the other columns.
 

@@ -2,9 +2,9 @@
 
 A batch of documents is one UTF-8 buffer plus offsets.  Words are maximal runs
 of bytes other than space, tab, newline, vertical tab, form feed and carriage
-return; a document border always ends a word.  Hashes come from prefix sums of
-a polynomial modulo 2**64, so a whole batch is hashed without a Python loop
-over words.
+return; a document border always ends a word.  Words are hashed eight bytes at a time;
+hashes of windows of words come from prefix sums of a polynomial modulo 2**64 over word
+hashes, so a whole batch is hashed without a Python loop over words.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ _WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
+_TAIL = np.array([(1 << (8 * n)) - 1 for n in range(9)], _U)  # the first n of eight bytes
+
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -98,18 +100,29 @@ def span_blocks(starts: np.ndarray, ends: np.ndarray, limit: int = BLOCK_BYTES)
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASE_A,
                 lower: bool = False) -> np.ndarray:
-    """One 64-bit hash per byte span; ``lower`` maps A-Z to a-z first."""
+    """One 64-bit hash per byte span; ``lower`` maps A-Z to a-z first.
+
+    A span is read in groups of eight bytes; each group is mixed by a bijection that depends on its
+    place and on ``base``, and the sum is mixed with the length.  Hashes under different bases are
+    independent.  (A polynomial of the bytes modulo 2**64 won't do: some texts, such as the Thue-Morse
+    sequence and its complement, are equal under every multiplier.)
+    """
     out = np.empty(len(starts), dtype=_U)
+    seed = mix(np.array([base], _U))[0]
     for i, j in span_blocks(starts, ends):
         lo, hi = int(starts[i]), int(ends[j - 1])
-        part = data[lo:hi]
-        if lower:
-            part = _LOWER[part]
-        up, down = powers(base, hi - lo + 1)
-        sums = np.zeros(hi - lo + 1, dtype=_U)
-        np.cumsum((part.astype(_U) + _U(1)) * up[:hi - lo], out=sums[1:])
-        s, e = starts[i:j] - lo, ends[i:j] - lo
-        out[i:j] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(_U))
+        part = np.zeros(hi - lo + 8, np.uint8)
+        part[:hi - lo] = _LOWER[data[lo:hi]] if lower else data[lo:hi]
+        eights = np.ndarray((hi - lo + 1,), "<u8", part, strides=(1,))  # the eight bytes from each place on
+        size = ends[i:j] - starts[i:j]
+        groups = np.maximum((size + 7) >> 3, 1)
+        first = np.cumsum(groups) - groups
+        place = np.arange(int(groups.sum())) - np.repeat(first, groups)
+        at = np.repeat(starts[i:j] - lo, groups) + 8 * place
+        left = np.clip(np.repeat(size, groups) - 8 * place, 0, 8)
+        value = eights[at] & _TAIL[left]
+        value = mix(value ^ mix(place.astype(_U) * _U(BASE_A) + seed))
+        out[i:j] = mix(np.add.reduceat(value, first) + size.astype(_U) * _U(BASE_B) ^ seed) if j > i else 0
     return out
 
 

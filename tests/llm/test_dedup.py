@@ -6,13 +6,15 @@ import os
 import random
 import sys
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
 
 from brute import near_groups, repeated_windows, run_lines  # noqa: E402
 
-from ledgerlight.llm import line_dedup, minhash_dedup, substring_dedup
+from ledgerlight.llm import line_dedup, minhash_dedup, substring_dedup, text_arrays
 from ledgerlight.llm.components import connected_components
 
 SCHEMA = "doc_id bigint, text string, chunk string, bucket int, n_removed string, minima binary"
@@ -177,3 +179,84 @@ def test_line_runs_edges(spark):
     assert line_dedup.dedup_runs(frame(spark, [])).count() == 0
     plan = line_dedup.dedup_runs(docs.select("doc_id", "text"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def thue_morse(n):
+    word, other = "a", "b"
+    for _ in range(n):
+        word, other = word + other, other + word
+    return word, other
+
+
+def test_words_that_collide_under_polynomials(spark):
+    a, b = thue_morse(10)
+    column = pa.array([a, b, a.upper()])
+    data, offsets = text_arrays.utf8_buffer(column)
+    for base in (text_arrays.BASE_A, text_arrays.BASE_B):
+        h = text_arrays.span_hashes(data, offsets[:-1], offsets[1:], base, lower=True)
+        assert h[0] != h[1] and h[0] == h[2]
+    # near duplicates of one word
+    got = minhash_dedup.near_duplicates(frame(spark, [(1, a), (2, b), (3, a)]), 3, 85).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 1}
+    # windows that differ in that word alone
+    rest = " ".join(f"w{i}" for i in range(34))
+    gone = substring_dedup.remove_repeats(frame(spark, [(1, f"{a} {rest}"), (2, f"{b} {rest}")])).collect()
+    assert [r.n_removed for r in gone] == [0, 0]
+    # tokens
+    from ledgerlight.llm import tokens
+    ids, offs = tokens.encode_column(pa.array([a, b]), tokens.default_tokenizer())
+    tok = tokens._load(tokens.default_tokenizer())[0]
+    assert [ids[offs[i]:offs[i + 1]].tolist() for i in (0, 1)] == [tok.encode(t, add_special_tokens=False).ids for t in (a, b)]
+
+
+def test_span_hashes_see_every_byte():
+    rng = np.random.default_rng(2)
+    seen = set()
+    texts = [b"", b"\0", b"\0\0", b"\0" * 8, b"\0" * 9] + [rng.integers(0, 256, n).astype(np.uint8).tobytes() for n in range(1, 40)]
+    for t in list(texts):
+        for i in range(len(t)):
+            texts.append(t[:i] + bytes([t[i] ^ 1]) + t[i + 1:])
+    texts = sorted(set(texts))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    h = text_arrays.span_hashes(data, ends - [len(t) for t in texts], ends)
+    seen.update(h.tolist())
+    assert len(seen) == len(texts)
+
+
+def test_repeated_ids_with_different_texts(spark):
+    a, b, c = ("alpha beta gamma delta", "one two three four five", "red green blue white")
+    rows = [(1, a), (9, a), (9, b), (12, b), (20, c), (20, ""), (30, ""), (40, c), (None, a)]
+    got = minhash_dedup.near_duplicates(frame(spark, rows), 3, 85).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (9, 1), (12, 1), (20, 20), (30, 30), (40, 20), (None, None)}
+    assert len(got) == len(rows)
+    import corpus_pipeline
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, th string")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_deduplication(spark, docs, "").collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (9, b), (20, c), (20, ""), (30, ""), (None, a)], key=str)
+
+
+def test_clashing_names_in_line_stages(spark):
+    names = ["_id", "_lines", "_units", "_pair", "_pairs", "_keys", "_repeated", "_places", "_chunks", "_hash", "_texts", "_gone",
+             "n_left", "n_lines", "n_removed", "others", "th", "score", "quality_score", "h1", "wanted", "first"]
+    text = "one line here\nand another\nthird one"
+    docs = spark.createDataFrame([(1, text, *names), (2, text + "\nown end", *names)],
+                                 "doc_id bigint, text string, " + ", ".join(f"`{n}` string" for n in names))
+    import corpus_pipeline
+    from ledgerlight.llm import line_dedup
+    for step in (corpus_pipeline.line_deduplication, corpus_pipeline.near_deduplication):
+        out = step(spark, docs, "")
+        assert out.columns == docs.columns
+        assert all([r[n] for n in names] == names for r in out.collect()) and out.count()
+    out = line_dedup.dedup_lines(docs)
+    left = [n for n in names if n not in ("n_lines", "n_removed")]
+    assert all([r[n] for n in left] == left for r in out.collect())
+
+
+def test_sample_takes_one_row_of_an_id(spark):
+    from ledgerlight.llm import quality
+    docs = spark.createDataFrame([(3, f"text {i}") for i in range(3000)] + [(i, "other text") for i in range(4, 30)],
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3, 30)], "doc_id bigint, quality int")
+    chunks, known = quality.training_sample(docs, labels, per_label=50)
+    assert len(known) <= 27
