@@ -13,8 +13,7 @@ def district_sort_key(col: Column | str) -> Column:
     """Accent-aware order that ignores spaces and punctuation.
 
     Letters and digits only, compared under the ``UNICODE`` (ICU root)
-    collation: "El Médano" sorts before "El Medano Ejidal" and "Riberas del
-    Bravo" before "Riberas de Sacramento".  Callers add the raw value as a
+    collation: "Stanford" sorts before "St. Anne Quay", and "Pier-10" before "Pier 9".  Callers add the raw value as a
     tie-break so equal keys still order deterministically.
     """
     return F.collate(F.regexp_replace(_c(col), r"[^\p{L}\p{N}]", ""), "UNICODE")

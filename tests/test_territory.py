@@ -110,12 +110,12 @@ def test_czech_headings(spark):
 
 
 def test_district_order_ignores_punctuation_and_accents(spark):
-    names = ["Lomas de Tarrun", "El Zevano Nuevo", "Lomas del Quirr", "El Zévano", "Amberley"]
+    names = ["St. Anne Quay", "Pier 9", "stäube", "Stanford", "Pier-10", "Sta. Mira"]
     rows = [(i + 1, 1, "Town", n) for i, n in enumerate(names)]
     base = edge_model(spark)
     m = Model(agent=base.agent, product=base.product, territory=spark.createDataFrame(rows, TERRITORY),
               purchase=base.purchase.limit(0), sale=base.sale.limit(0))
-    want = ["Amberley", "El Zévano", "El Zevano Nuevo", "Lomas del Quirr", "Lomas de Tarrun", None]
+    want = ["Pier-10", "Pier 9", "Sta. Mira", "Stanford", "St. Anne Quay", "stäube", None]
     for limit in (None, 1):  # window path, then the distributed path
         rolled = territory.territory_rollup(m, "2024-01-01", small_limit=limit).orderBy("line_no")
         assert [r.district for r in rolled.collect()] == want
