@@ -1,16 +1,24 @@
 """Licence notices in paragraphs: a trained classifier, confirmed by comparison with templates.
 
-Paragraphs are lines.  Words are normalised (ASCII case and punctuation dropped);
-features are the distinct hashed word one- and two-grams of a paragraph.  A softmax
-regression over these sparse features tells licence families from an unknown class.  It is
+Paragraphs are blocks of lines between blank lines, their lines joined, so a notice may be
+wrapped, commented out or lie inside a long line.  Words are normalised (ASCII case and
+punctuation dropped, so comment marks vanish).  Each paragraph is cut into overlapping word
+windows of every length in ``SCALES``, one every quarter of the length; a paragraph shorter
+than that is one window.  A notice of up to three quarters of the longest length lies whole in some window.
+Features are the hashed word one- and two-grams of a window.  A softmax
+regression over these sparse features tells licence families from an unknown class; as it is
+linear, running sums of the weights give the scores of all windows.  It is
 trained on variants of the templates below (words dropped, changed or added) and on
 a bounded sample of corpus paragraphs as unknown (``NEGATIVES`` distinct ones, those with the
-smallest hashes, without ones that match a template).  A temperature, fitted on the held-out third of the
-training rows, calibrates the probabilities.
+smallest hashes, of each ``EXCERPT`` words at a place given by its hash, without ones like a
+template).  A temperature, fitted on the held-out third of the training rows, calibrates the
+probabilities.
 
-A paragraph is reported when a family is most probable with at least ``LEAST`` and the
-paragraph holds at least ``CONFIRM`` of the word bigrams of a template of that family.
-All paragraphs of all documents are scored.  Null or empty texts have no notices;
+A window counts when a family is most probable with at least ``LEAST`` and the
+window holds at least ``CONFIRM`` of the word bigrams of a template of that family.  Where
+windows of different families meet on the same words, the one most like its template counts.
+A paragraph gives one row for each family found in it, with its best window's figures.
+All windows of all paragraphs of all documents are scored.  Null or empty texts have no notices;
 rows that share a doc_id are reported separately; an empty table gives no rows.
 """
 
@@ -51,41 +59,84 @@ TEMPLATES = {
 FAMILIES = ["unknown", *TEMPLATES]
 BITS = 15
 NEGATIVES, VARIANTS = 3000, 40
+EXCERPT = 64
 LEAST, CONFIRM = 0.5, 0.7
+PARTLY = 0.5  # sampled paragraphs that hold so much of a template are not used as unknown
+SCALES = (8, 16, 32, 48)
+SPAN = 1 << 16  # words whose running sums are held at once
 GROUP_BYTES = 1 << 20
 _U = np.uint64
 
 
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+
+
 def paragraphs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Offsets of the lines of all texts, and for each its document and number there."""
+    """Starts of the paragraphs of all texts, and for each its document and number there.
+
+    What lies between a paragraph's end and the next one's start is white space.
+    """
     cuts = np.flatnonzero(data == 0x0A) + 1
     bounds = np.unique(np.concatenate([offsets, cuts]))
-    begin = bounds[:-1]
-    doc = np.searchsorted(offsets, begin, side="right") - 1
-    first = np.searchsorted(begin, offsets[:-1])
-    return bounds, doc, np.arange(len(begin)) - first[doc]
+    ink = np.concatenate([[0], np.cumsum(~_SPACE[data])])
+    filled = np.diff(ink[bounds]) > 0
+    doc = np.searchsorted(offsets, bounds[:-1], side="right") - 1
+    joined = np.zeros(len(filled), bool)
+    joined[1:] = filled[:-1] & (doc[1:] == doc[:-1])
+    heads = np.flatnonzero(filled & ~joined)
+    doc = doc[heads]
+    return bounds[:-1][heads], doc, np.arange(len(doc)) - np.searchsorted(doc, doc)
+
+
+def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end word and paragraph of every window; ``first`` holds the first word of each paragraph."""
+    size = np.diff(first)
+    starts, ends, owners = [], [], []
+    for scale in SCALES:
+        step = scale // 4
+        n = np.where(size > 0, 1 + np.maximum(0, -(-(size - scale) // step)), 0)
+        owner = np.repeat(np.arange(len(size)), n)
+        begin = first[owner] + step * (np.arange(len(owner)) - (np.cumsum(n) - n)[owner])
+        starts.append(begin)
+        ends.append(np.minimum(begin + scale, first[owner + 1]))
+        owners.append(owner)
+    return np.concatenate(starts), np.concatenate(ends), np.concatenate(owners)
+
+
+def grams(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers of the words, and of each word with the next one."""
+    mask = _U((1 << BITS) - 1)
+    return (words & mask).astype(np.int64), (mix(words[:-1] * _U(3) + words[1:]) & mask).astype(np.int64)
 
 
 def features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed one- and two-grams of consecutive texts: feature numbers and offsets per text."""
+    """Feature numbers of consecutive texts, and offsets per text."""
     words, first = _words(data, bounds)
-    texts = len(bounds) - 1
-    of = np.repeat(np.arange(texts), np.diff(first))
+    one, two = grams(words)
+    of = np.repeat(np.arange(len(bounds) - 1), np.diff(first))
     pair = of[1:] == of[:-1]
-    two = mix(words[:-1] * _U(3) + words[1:])[pair] if len(words) > 1 else np.zeros(0, _U)
-    grams = np.concatenate([words, two]) & _U((1 << BITS) - 1)
-    owner = np.concatenate([of, of[:-1][pair] if len(words) > 1 else of[:0]])
-    key = np.unique((owner.astype(np.int64) << BITS) | grams.astype(np.int64))
-    return key & ((1 << BITS) - 1), np.searchsorted(key >> BITS, np.arange(texts + 1))
-
-
-def logits(model: dict, feats: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    size = np.diff(offs)
-    out = np.tile(model["bias"], (len(size), 1))
-    full = np.flatnonzero(size)
-    if len(full):
-        sums = np.add.reduceat(model["weights"][feats], offs[:-1][full], axis=0)
-        out[full] += sums / np.sqrt(size[full])[:, None]
+    owner = np.concatenate([of, of[:-1][pair]])
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate([one, two[pair]])[order], np.searchsorted(owner[order], np.arange(len(bounds)))
+
+
+def logits(model: dict, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Scores of the windows [start, end) of ``words``, from running sums over stretches of ``SPAN`` words."""
+    out = np.empty((len(starts), len(FAMILIES)), np.float32)
+    order = np.argsort(starts, kind="stable")
+    at = np.searchsorted(starts[order], np.arange(0, len(words) + SPAN, SPAN))
+    for k in range(len(at) - 1):
+        mine = order[at[k]:at[k + 1]]
+        if len(mine) == 0:
+            continue
+        low = k * SPAN
+        one, two = grams(words[low:low + SPAN + max(SCALES)])
+        sums = np.zeros((len(one) + 1, len(FAMILIES)))
+        pairs = np.zeros((len(one), len(FAMILIES)), np.float32)
+        pairs[:-1] = model["weights"][two]
+        np.cumsum(model["weights"][one] + pairs, axis=0, dtype=np.float64, out=sums[1:])
+        s, e = starts[mine] - low, ends[mine] - low
+        out[mine] = (sums[e] - sums[s] - pairs[e - 1]) / np.sqrt(2 * (e - s) - 1)[:, None] + model["bias"]
     return out
 
 
@@ -109,12 +160,25 @@ def similarity(family: str, text: str) -> float:
     return max((len(g & own) / len(g) for g in _TEMPLATE_GRAMS.get(family, []) if g), default=0.0)
 
 
+def likeness(family: str, words: list) -> tuple[float, int, int]:
+    """Largest share of a template's bigrams among ``words``, and the stretch of words that holds them."""
+    best = (0.0, 0, 0)
+    own = list(zip(words, words[1:]))
+    for template in _TEMPLATE_GRAMS[family]:
+        at = [i for i, gram in enumerate(own) if gram in template]
+        share = len({own[i] for i in at}) / len(template)
+        if share > best[0]:
+            best = (share, at[0], at[-1] + 2)
+    return best
+
+
 def fit(negatives: list[str], seed: int = 3, steps: int = 300) -> dict:
     """Softmax regression by Adam; the temperature comes from rows not trained on."""
     rng = np.random.default_rng(seed)
-    negatives = [t for t in negatives if max(similarity(f, t) for f in TEMPLATES) < CONFIRM]
+    negatives = [t for t in negatives if max(similarity(f, t) for f in TEMPLATES) < PARTLY]
     filler = [w for t in negatives[:300] for w in t.split()] or ["text"]
-    texts, labels = list(negatives), [0] * len(negatives)
+    texts = [" ".join(t.split()[:rng.choice(SCALES)]) for t in negatives]
+    labels = [0] * len(texts)
     for f, family in enumerate(TEMPLATES, 1):
         for template in TEMPLATES[family]:
             for v in range(VARIANTS):
@@ -163,25 +227,50 @@ def scan_column(model: dict, column: pa.Array) -> Iterator[tuple[int, int, str,
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + GROUP_BYTES, side="right")) - 1)
         part = data[offsets[i]:offsets[j]]
-        bounds, doc, number = paragraphs(part, offsets[i:j + 1] - offsets[i])
-        p = probabilities(logits(model, *features(part, bounds)))
-        best = p.argmax(axis=1)
-        for r in np.flatnonzero((best > 0) & (p.max(axis=1) >= LEAST)):
-            family = FAMILIES[best[r]]
-            like = similarity(family, part[bounds[r]:bounds[r + 1]].tobytes().decode())
-            if like >= CONFIRM:
-                yield i + int(doc[r]), int(number[r]), family, float(p[r, best[r]]), like
+        heads, doc, number = paragraphs(part, offsets[i:j + 1] - offsets[i])
+        if len(heads):
+            words, first = _words(part, np.concatenate([[0], heads[1:], [len(part)]]))
+            starts, ends, owner = windows(first)
+            z = logits(model, words, starts, ends)
+            likely = np.flatnonzero(z.argmax(axis=1) > 0)
+            p = probabilities(z[likely])
+            sure = p.max(axis=1) >= LEAST
+            hits: dict[int, list] = {}
+            for r, q in zip(likely[sure], p[sure]):
+                family = FAMILIES[q.argmax()]
+                share, a, b = likeness(family, words[starts[r]:ends[r]].tolist())
+                if share >= CONFIRM:
+                    a, b = int(starts[r]) + a, int(starts[r]) + b
+                    hits.setdefault(int(owner[r]), []).append((-share, b - a, -float(q.max()), a, b, family))
+            for block in sorted(hits):
+                for family, share, probability in chosen(hits[block]):
+                    yield i + int(doc[block]), int(number[block]), family, probability, share
         i = j
 
 
+def chosen(hits: list) -> list[tuple[str, float, float]]:
+    """The families of a paragraph's hits, where stretches of different families meet only the most alike one."""
+    kept: dict[int, str] = {}  # word -> family that holds it
+    out: dict[str, tuple[float, float]] = {}
+    for share, _, probability, a, b, family in sorted(hits):
+        if all(kept.get(w, family) == family for w in range(a, b)):
+            kept.update(dict.fromkeys(range(a, b), family))
+            out.setdefault(family, (-share, -probability))
+    return [(family, *figures) for family, figures in sorted(out.items())]
+
+
 def fit_licenses(docs: DataFrame, negatives: int = NEGATIVES) -> dict:
-    """The model, with a bounded sample of corpus paragraphs (cut to 2,000 characters) as unknown."""
-    lines = F.split("text", "\n")
-    count = docs.agg(F.sum(F.size(lines)).alias("n")).first().n or 0
-    rows = (docs.select(F.explode(lines).alias("line")).filter(F.length(F.trim("line")) > 0)
-            .select(F.substring("line", 1, 2000).alias("line"), F.xxhash64("line").alias("key")))
+    """The model, with excerpts of a bounded sample of corpus paragraphs as unknown."""
+    blocks = F.split("text", r"\n[ \t\r\f\x0B]*\n")
+    count = docs.agg(F.sum(F.size(blocks)).alias("n")).first().n or 0
+    rows = (docs.select(F.explode(blocks).alias("block")).filter(F.length(F.trim("block")) > 0)
+            .select("block", F.xxhash64("block").alias("key")))
+    words = F.split("block", r"\s+")
+    at = F.pmod("key", F.greatest(F.size(words) - EXCERPT + 1, F.lit(1))) + 1
+    text = F.array_join(F.slice(words, at.cast("int"), EXCERPT), " ")
+    rows = rows.select("key", F.substring(text, 1, 2000).alias("excerpt"))  # a bound on words of any length
     rows = smallest_keys(rows, "key", count, negatives)
-    return fit([r.line for r in rows])
+    return fit([r.excerpt for r in rows])
 
 
 def scan(docs: DataFrame, model: dict | None = None) -> DataFrame:
