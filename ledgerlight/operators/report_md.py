@@ -107,28 +107,35 @@ def section_lines(secs: DataFrame, h: Headings) -> DataFrame:
             .select("section_no", "p.block", "p.line_no", "p.line"))
 
 
-def table_lines(secs: DataFrame, rollup: DataFrame, h: Headings, bound: DataFrame | None = None) -> DataFrame:
+def table_lines(secs: DataFrame, rollup: DataFrame, h: Headings, bound: DataFrame | None = None,
+                on: list[str] = terr.SECTION) -> DataFrame:
     detail = F.concat(F.lit("| "), F.col("district"), F.lit(" | "), _s("qty_own"), F.lit(" | "),
                       _s("qty_competitor"), F.lit(" | "), _s("qty_total"), F.lit(" |"))
     total = F.concat(F.lit(f"| **{h.total}** | **"), _s("qty_own"), F.lit("** | **"),
                      _s("qty_competitor"), F.lit("** | **"), _s("qty_total"), F.lit("** |"))
-    keys = maybe_broadcast(secs.select("section_no", *terr.SECTION), bounded_by=bound)
-    return (rollup.join(keys, terr.SECTION)
+    keys = maybe_broadcast(secs.select("section_no", *on), bounded_by=bound)
+    return (rollup.join(keys, on)
             .select("section_no", F.lit(1).alias("block"), "line_no",
                     F.when(F.col("is_total") == 1, total).otherwise(detail).alias("line")))
 
 
-def ranking_lines(secs: DataFrame, ranking: DataFrame, bound: DataFrame | None = None) -> DataFrame:
-    keys = maybe_broadcast(secs.select("section_no", *terr.SECTION), bounded_by=bound)
-    return (ranking.join(keys, terr.SECTION)
+def ranking_lines(secs: DataFrame, ranking: DataFrame, bound: DataFrame | None = None,
+                  on: list[str] = terr.SECTION) -> DataFrame:
+    keys = maybe_broadcast(secs.select("section_no", *on), bounded_by=bound)
+    return (ranking.join(keys, on)
             .select("section_no", F.lit(3).alias("block"), F.col("rank_no").alias("line_no"),
                     F.concat(_s("rank_no"), F.lit(") "), F.col("seller_name"), F.lit(" - "),
                              _s("qty_sold")).alias("line")))
 
 
 def territory_markdown(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
-                       headings: Headings = ENGLISH) -> DataFrame:
-    """All lines of the report: (section_no, block, line_no, line)."""
+                       headings: Headings = ENGLISH, by_owner: bool = False) -> DataFrame:
+    """All lines of the report: (section_no, block, line_no, line).
+
+    Sections are one per (owner, city) and show what belongs to both.  With ``by_owner``
+    each section shows the owner's holding in all cities (``territory.owner_rollup`` and
+    ``owner_seller_ranking``); both are computed once per owner and joined to the sections.
+    """
     spark = model.sale.sparkSession
     # the owned territories (a few rows, possibly derived from big tables) feed the
     # sections, the table and the ranking: materialise them once
@@ -141,12 +148,18 @@ def territory_markdown(model: Model, as_of: DateLike | None = None, agent_id: in
         model, as_of, owned if agent_id is not None else None).checkpoint(eager=True)
     secs = terr.sections(model, agent_id, owned=owned)
     districts = terr.district_sales(model, as_of, agent_id, per_seller, owned=owned)
-    rollup = terr.territory_rollup(model, districts=districts)
-    ranking = terr.seller_ranking(model, as_of, agent_id, per_seller, owned=owned)
+    if by_owner:
+        on = ["owner_id"]
+        rollup = terr.owner_rollup(model, districts=districts)
+        ranking = terr.owner_seller_ranking(model, as_of, agent_id, per_seller, owned=owned)
+    else:
+        on = terr.SECTION
+        rollup = terr.territory_rollup(model, districts=districts)
+        ranking = terr.seller_ranking(model, as_of, agent_id, per_seller, owned=owned)
     return (heading_lines(spark, headings)
             .unionByName(section_lines(secs, headings))
-            .unionByName(table_lines(secs, rollup, headings, bound=model.territory))
-            .unionByName(ranking_lines(secs, ranking, bound=model.territory)))
+            .unionByName(table_lines(secs, rollup, headings, bound=model.territory, on=on))
+            .unionByName(ranking_lines(secs, ranking, bound=model.territory, on=on)))
 
 
 def ordered_lines(lines: DataFrame) -> DataFrame:

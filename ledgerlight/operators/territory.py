@@ -82,16 +82,8 @@ def district_sales(model: Model, as_of: DateLike | None = None, agent_id: int |
             .withColumn("qty_total", F.col("qty_own") + F.col("qty_competitor")))
 
 
-def territory_rollup(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
-                     districts: DataFrame | None = None, small_limit: int | None = None) -> DataFrame:
-    """District rows plus one total row per section, with the table line number.
-
-    ``ROLLUP(owner, city, district)`` keeps the (owner, city, district) and
-    (owner, city) levels; the owner-only and grand-total levels are
-    dropped.  ``line_no`` orders districts by ``district_sort_key`` and puts
-    the total last.
-    """
-    rows = districts if districts is not None else district_sales(model, as_of, agent_id)
+def _rolled(rows: DataFrame) -> DataFrame:
+    """District rows and one total row per (owner, city)."""
     rolled = (rows.rollup("owner_id", "city", "district")
               .agg(F.sum("qty_own").alias("qty_own"),
                    F.sum("qty_competitor").alias("qty_competitor"),
@@ -100,12 +92,25 @@ def territory_rollup(model: Model, as_of: DateLike | None = None, agent_id: int
                    F.grouping("district").alias("is_total"))
               .filter(F.col("_g_city") == 0)
               .drop("_g_city"))
-    shaped = rolled.select(
+    return rolled.select(
         "owner_id", "city", "district", F.col("is_total").cast("int").alias("is_total"),
         F.col("qty_own").cast("bigint").alias("qty_own"),
         F.col("qty_competitor").cast("bigint").alias("qty_competitor"),
         F.col("qty_total").cast("bigint").alias("qty_total"),
     )
+
+
+def territory_rollup(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
+                     districts: DataFrame | None = None, small_limit: int | None = None) -> DataFrame:
+    """District rows plus one total row per section, with the table line number.
+
+    ``ROLLUP(owner, city, district)`` keeps the (owner, city, district) and
+    (owner, city) levels; the owner-only and grand-total levels are
+    dropped.  ``line_no`` orders districts by ``district_sort_key`` and puts
+    the total last.
+    """
+    rows = districts if districts is not None else district_sales(model, as_of, agent_id)
+    shaped = _rolled(rows)
     order = [F.col("is_total"), district_sort_key("district"), F.col("district")]
     # one line per territory plus one total per section: bounded by the territory table
     bound = model.territory if small_limit is None else None
@@ -128,3 +133,43 @@ def seller_ranking(model: Model, as_of: DateLike | None = None, agent_id: int |
     return row_number_within(per_section, SECTION,
                              [F.col("qty_sold").desc(), F.col("seller_name"), F.col("seller_id")], "rank_no",
                              small_limit=small_limit, group_bounded_by=model.agent)
+
+
+def district_sales_by_name(districts: DataFrame) -> DataFrame:
+    """``district_sales`` rows with districts of one owner matched by name, whatever their city.
+
+    An owner's districts of the same name in several cities each show the sum over all of
+    them; a null name matches nothing and shows zeros.
+    """
+    sums = ["qty_own", "qty_competitor", "qty_total"]
+    names = districts.groupBy("owner_id", "district").agg(*[F.sum(c).alias(c) for c in sums])
+    return (districts.drop(*sums).join(names, ["owner_id", "district"], "left")
+            .select("territory_id", "owner_id", "owner_name", "city", "district",
+                    *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in sums]))
+
+
+def owner_rollup(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
+                 districts: DataFrame | None = None, small_limit: int | None = None) -> DataFrame:
+    """The roll-up of an owner's whole holding: districts of all cities by name, then one total per city.
+
+    This is the table that every section of the owner shows when sections are kept by owner
+    alone; ``line_no`` counts within the owner.
+    """
+    rows = district_sales_by_name(districts if districts is not None else district_sales(model, as_of, agent_id))
+    order = [F.col("is_total"), district_sort_key("district"), F.col("district"), F.col("city")]
+    bound = model.territory if small_limit is None else None
+    return row_number_within(_rolled(rows), ["owner_id"], order, "line_no", small_limit=small_limit, bounded_by=bound)
+
+
+def owner_seller_ranking(model: Model, as_of: DateLike | None = None, agent_id: int | None = None,
+                         per_seller: DataFrame | None = None, small_limit: int | None = None,
+                         owned: DataFrame | None = None) -> DataFrame:
+    """Sellers per city in all cities of an owner, in one ranking per owner: by quantity, then name, id and city."""
+    owned = (owned if owned is not None else owned_territories(model, agent_id)).select("territory_id", *SECTION)
+    if per_seller is None:
+        per_seller = sales_by_territory_seller(model, as_of, maybe_broadcast(owned) if agent_id is not None else None)
+    per_city = (per_seller.join(maybe_broadcast(owned), "territory_id")
+                .groupBy(*SECTION, "seller_id", "seller_name")
+                .agg(F.sum("qty").cast("bigint").alias("qty_sold")))
+    order = [F.col("qty_sold").desc(), F.col("seller_name"), F.col("seller_id"), F.col("city")]
+    return row_number_within(per_city, ["owner_id"], order, "rank_no", small_limit=small_limit)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerlight.catalog import AS_OF, model, register, with_views
 from ledgerlight.operators import report_json, stats
 from ledgerlight.queries.stats import MEASURES, snapshot_cte
@@ -25,7 +27,7 @@ def _json_obj(name_col: str, as_text: bool, q: str = "") -> str:
     return "json_object(" + ", ".join(parts) + ")::VARCHAR"
 
 
-DOCUMENT_SQL = with_views(NAMED_CTE + f""",
+DOCUMENT_CTE = NAMED_CTE + f""",
 agents_num AS (
   SELECT *, row_number() OVER (ORDER BY agent_name, agent_id) AS agent_no, {_json_obj('agent_name', True)} AS j
   FROM totals
@@ -49,7 +51,13 @@ SELECT 1, a.agent_no, k.agent_id, 1, k.product_name, k.product_id,
 FROM kids k JOIN agents_num a ON a.agent_id = k.agent_id
 UNION ALL
 SELECT 1, a.agent_no, a.agent_id, 2, NULL, NULL, ']}}'
-FROM agents_num a JOIN has_kids h ON h.agent_id = a.agent_id""")
+FROM agents_num a JOIN has_kids h ON h.agent_id = a.agent_id"""
+DOCUMENT_SQL = with_views(DOCUMENT_CTE)
+# the agent with the lowest id, by filters on both frames that the document is made of
+ONE_AGENT = "(SELECT min(agent_id) FROM agent)"
+ONE_DOCUMENT_SQL = with_views(
+    DOCUMENT_CTE.replace("GROUP BY a.agent_id, a.agent_name\n), named", f"WHERE a.agent_id = {ONE_AGENT}\n  GROUP BY a.agent_id, a.agent_name\n), named")
+    .replace("ON p.product_id = x.product_id\n)", f"ON p.product_id = x.product_id\n  WHERE x.agent_id = {ONE_AGENT}\n)"))
 
 
 @register("agent_documents", DOCUMENT_SQL)
@@ -116,3 +124,28 @@ FROM named"""))
 def profit_grouped_by_product(spark, sf_dir):
     m = model(spark, sf_dir, up_to=AS_OF)
     return report_json.profit_per_product(report_json.read_documents(report_json.document_rows(m, AS_OF)), m.agent)
+
+
+def first_agent(m) -> int:
+    """Lowest agent id (a single aggregated value)."""
+    return int(m.agent.agg(F.min("agent_id").alias("a")).first()["a"])
+
+
+@register("agent_documents_one", ONE_DOCUMENT_SQL)
+def agent_documents_one(spark, sf_dir):
+    m = model(spark, sf_dir, up_to=AS_OF)
+    return report_json.agent_documents(m, AS_OF, agent_id=first_agent(m))
+
+
+@register("agent_product_json_array", with_views(NAMED_CTE + """
+, items AS (
+  SELECT row_number() OVER (ORDER BY agent_name, agent_id, product_name, product_id) AS item_no,
+         json_object('agent_name', agent_name, 'product_name', product_name, """
+          + ", ".join(f"'{m}', {m}" for m in MEASURES) + """)::VARCHAR AS doc FROM named
+)
+SELECT 0 AS doc_part, CAST(0 AS BIGINT) AS item_no,
+       CASE WHEN (SELECT count(*) FROM named) = 0 THEN 'null' ELSE '[' END AS fragment
+UNION ALL SELECT 2, 0, CASE WHEN (SELECT count(*) FROM named) = 0 THEN '' ELSE ']' END
+UNION ALL SELECT 1, item_no, CASE WHEN item_no > 1 THEN ',' ELSE '' END || doc FROM items"""))
+def agent_product_json_array(spark, sf_dir):
+    return report_json.agent_product_document(model(spark, sf_dir, up_to=AS_OF), AS_OF)

@@ -44,6 +44,12 @@ SELECT b.month, b.agent_id, b.product_id, CAST(b.q - coalesce(s.q, 0) AS BIGINT)
 FROM bought b LEFT JOIN sold s ON s.month = b.month AND s.agent_id = b.agent_id AND s.product_id = b.product_id
 WHERE b.q - coalesce(s.q, 0) > 0""")
 
+# the same at every month start from the first purchase's month to the month after the last one
+HISTORY_SQL = MONTHLY_SQL.replace(f"""SELECT CAST(m AS DATE) AS month
+  FROM generate_series(DATE '{SERIES_START}', DATE '{SERIES_START}' + INTERVAL {SERIES_MONTHS - 1} MONTH,
+                       INTERVAL 1 MONTH) t(m)""", """SELECT CAST(unnest(generate_series(date_trunc('month', min(date_bought)),
+    date_trunc('month', max(date_bought)) + INTERVAL 1 MONTH, INTERVAL 1 MONTH)) AS DATE) AS month FROM purchase""")
+
 _MONTH_NO = "(year(month) * 12 + month(month) - 1)"
 SAMPLE_SQL = with_views(f"""
 groups AS (
@@ -103,6 +109,14 @@ def outstanding_stock_monthly(spark, sf_dir):
     return stock.outstanding_stock_monthly(model(spark, sf_dir, up_to=last), SERIES_START, SERIES_MONTHS)
 
 
+@register("outstanding_stock_history", HISTORY_SQL)
+def outstanding_stock_history(spark, sf_dir):
+    """Every month start that the purchases span, and the one after."""
+    m = model(spark, sf_dir)
+    first, months = stock.purchase_months(m)
+    return stock.outstanding_stock_monthly(m, first, months + 1)
+
+
 @register("sample_products_per_agent", SAMPLE_SQL)
 def sample_products_per_agent(spark, sf_dir):
     return sampling.sample_products_per_agent_month(model(spark, sf_dir), SAMPLE_SEED, 7)

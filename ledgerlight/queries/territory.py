@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlight.catalog import AS_OF, d, model, register, with_views
+from ledgerlight.model import Model
 from ledgerlight.operators import report_md, territory
 
 
@@ -60,7 +61,34 @@ TERRITORY_CTE = territory_cte()
 LAST_OWNER_SQL = "WHERE t.agent_id = (SELECT max(agent_id) FROM territory)"
 
 
-def markdown_sql(h: report_md.Headings = report_md.ENGLISH, owner_filter: str = "") -> str:
+# by owner alone: nations as cities and their initials as districts, so owners have several cities and shared names
+BY_OWNER_CTE = """territory_by_initial AS (
+  SELECT territory_id, agent_id, district AS city, substr(district, 1, 1) AS district FROM territory
+),""" + TERRITORY_CTE.replace("FROM territory t", "FROM territory_by_initial t") + """,
+by_name AS (
+  SELECT owner_id, district, sum(qty_own) AS qty_own, sum(qty_competitor) AS qty_competitor
+  FROM district_sales GROUP BY owner_id, district
+), owner_rolled AS (
+  SELECT o.owner_id, o.city, o.district, CAST(GROUPING(o.district) AS INTEGER) AS is_total,
+         CAST(sum(b.qty_own) AS BIGINT) AS qty_own, CAST(sum(b.qty_competitor) AS BIGINT) AS qty_competitor,
+         CAST(sum(b.qty_own + b.qty_competitor) AS BIGINT) AS qty_total
+  FROM district_sales o JOIN by_name b ON b.owner_id = o.owner_id AND b.district = o.district
+  GROUP BY ROLLUP (o.owner_id, o.city, o.district)
+  HAVING GROUPING(o.city) = 0
+), owner_lines AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY owner_id
+                 ORDER BY is_total, regexp_replace(district, '[^\\p{L}\\p{N}]', '', 'g'), district, city) AS BIGINT)
+              AS line_no
+  FROM owner_rolled
+), owner_ranking AS (
+  SELECT owner_id, city, seller_id, seller_name, qty_sold,
+         CAST(row_number() OVER (PARTITION BY owner_id ORDER BY qty_sold DESC, seller_name, seller_id, city) AS BIGINT)
+           AS rank_no
+  FROM ranking
+)"""
+
+
+def markdown_sql(h: report_md.Headings = report_md.ENGLISH, owner_filter: str = "", by_owner: bool = False) -> str:
     parts = []
     heading = [h.title, "", *h.intro, ""]
     for i, line in enumerate(heading):
@@ -83,11 +111,13 @@ def markdown_sql(h: report_md.Headings = report_md.ENGLISH, owner_filter: str =
             || CAST(r.qty_competitor AS VARCHAR) || '** | **' || CAST(r.qty_total AS VARCHAR) || '** |'
        ELSE '| ' || r.district || ' | ' || CAST(r.qty_own AS VARCHAR) || ' | ' || CAST(r.qty_competitor AS VARCHAR)
             || ' | ' || CAST(r.qty_total AS VARCHAR) || ' |' END
-FROM rollup_lines r JOIN sections s ON s.owner_id = r.owner_id AND s.city = r.city""")
-    parts.append("""SELECT s.section_no, 3, k.rank_no,
+FROM {"owner_lines" if by_owner else "rollup_lines"} r JOIN sections s ON s.owner_id = r.owner_id
+  {"" if by_owner else "AND s.city = r.city"}""")
+    parts.append(f"""SELECT s.section_no, 3, k.rank_no,
   CAST(k.rank_no AS VARCHAR) || ') ' || k.seller_name || ' - ' || CAST(k.qty_sold AS VARCHAR)
-FROM ranking k JOIN sections s ON s.owner_id = k.owner_id AND s.city = k.city""")
-    return with_views(territory_cte(owner_filter) + "\n" + "\nUNION ALL\n".join(parts))
+FROM {"owner_ranking" if by_owner else "ranking"} k JOIN sections s ON s.owner_id = k.owner_id
+  {"" if by_owner else "AND s.city = k.city"}""")
+    return with_views((BY_OWNER_CTE if by_owner else territory_cte(owner_filter)) + "\n" + "\nUNION ALL\n".join(parts))
 
 
 @register("territory_district_sales", with_views(TERRITORY_CTE + """
@@ -127,3 +157,25 @@ def last_owner(m) -> int:
 def territory_markdown_one(spark, sf_dir):
     m = model(spark, sf_dir, up_to=AS_OF)
     return report_md.territory_markdown(m, AS_OF, agent_id=last_owner(m))
+
+
+def by_initial(m):
+    """The model with nations as cities and their initials as districts."""
+    t = m.territory.select("territory_id", "agent_id", F.col("district").alias("city"),
+                           F.substring("district", 1, 1).alias("district"))
+    return Model(agent=m.agent, product=m.product, territory=t, purchase=m.purchase, sale=m.sale)
+
+
+@register("owner_rollup", with_views(BY_OWNER_CTE + "\nSELECT * FROM owner_lines"))
+def owner_rollup(spark, sf_dir):
+    return territory.owner_rollup(by_initial(model(spark, sf_dir, up_to=AS_OF)), AS_OF)
+
+
+@register("owner_seller_ranking", with_views(BY_OWNER_CTE + "\nSELECT * FROM owner_ranking"))
+def owner_seller_ranking(spark, sf_dir):
+    return territory.owner_seller_ranking(by_initial(model(spark, sf_dir, up_to=AS_OF)), AS_OF)
+
+
+@register("territory_markdown_owner", markdown_sql(by_owner=True))
+def territory_markdown_owner(spark, sf_dir):
+    return report_md.territory_markdown(by_initial(model(spark, sf_dir, up_to=AS_OF)), AS_OF, by_owner=True)

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import datetime as dt
+
 import render
 from fixtures import edge_model, invoice_model
 from pyspark.sql import functions as F
 
 from ledgerlight.model import Model
 from ledgerlight.operators import report_md, territory
-from ledgerlight.schema import TERRITORY
+from ledgerlight.schema import SALE, TERRITORY
 
 
 def district_table(df):
@@ -129,3 +131,40 @@ def test_one_owner_sums_only_the_owned_territories(spark):
         assert sorted(one.collect()) == sorted(whole.collect())
         ranks = territory.seller_ranking(m, "2024-03-31").filter(f"owner_id = {owner}")
         assert sorted(territory.seller_ranking(m, "2024-03-31", agent_id=owner).collect()) == sorted(ranks.collect())
+
+
+def _two_city_model(spark):
+    """Agent 1 owns Lake and Oak in two towns (Lake in both) and Fern; agent 2 owns another Lake."""
+    base = edge_model(spark)
+    places = [(1, 1, "East", "Lake"), (2, 1, "East", "Oak"), (3, 1, "West", "Lake"), (4, 1, "West", "Fern"), (5, 2, "West", "Lake")]
+    day = dt.date(2024, 1, 5)
+    sales = [(day, 1, 1, 1, 5, 1), (day, 1, 2, 1, 2, 1), (day, 1, 1, 3, 7, 1), (day, 1, 3, 4, 9, 1), (day, 1, 1, 5, 4, 1),
+             (dt.date(2024, 2, 1), 1, 1, 1, 100, 1)]
+    names = ["date_sold", "product_id", "agent_id", "territory_id", "amount_sold", "price"]
+    order = [f.name for f in SALE.fields] if hasattr(SALE, "fields") else [c.split()[0] for c in SALE.split(",")]
+    rows = [tuple(dict(zip(names, r))[c] for c in order) for r in sales]
+    return Model(agent=base.agent, product=base.product, territory=spark.createDataFrame(places, TERRITORY),
+                 purchase=base.purchase.limit(0), sale=spark.createDataFrame(rows, SALE))
+
+
+def test_sections_by_owner_alone(spark):
+    m = _two_city_model(spark)
+    for limit in (None, 1):  # window path, then the distributed path
+        lines = territory.owner_rollup(m, "2024-02-01", small_limit=limit).filter("owner_id = 1").orderBy("line_no").collect()
+        assert [(r.city, r.district, r.qty_own, r.qty_competitor) for r in lines] == [
+            ("West", "Fern", 0, 9), ("East", "Lake", 12, 2), ("West", "Lake", 12, 2), ("East", "Oak", 0, 0),
+            ("East", None, 12, 2), ("West", None, 12, 11)]
+        ranks = territory.owner_seller_ranking(m, "2024-02-01", small_limit=limit).filter("owner_id = 1").orderBy("rank_no")
+        assert [(r.city, r.seller_id, r.qty_sold) for r in ranks.collect()] == [
+            ("West", 3, 9), ("West", 1, 7), ("East", 1, 5), ("East", 2, 2)]
+    other = territory.owner_rollup(m, "2024-02-01").filter("owner_id = 2").orderBy("line_no").collect()
+    assert [(r.district, r.qty_own, r.qty_competitor) for r in other] == [("Lake", 0, 4), (None, 0, 4)]
+    text = render.markdown(report_md.territory_markdown(m, "2024-02-01", by_owner=True))
+    assert text.count("| Lake | 12 | 2 | 14 |\n| Lake | 12 | 2 | 14 |\n| Oak | 0 | 0 | 0 |\n") == 2  # both sections of agent 1
+    assert "## 1) East" in text and "## 2) West" in text and "## 3) West" in text
+
+
+def test_by_owner_equals_sections_when_owners_have_one_city(spark):
+    m = invoice_model(spark)
+    both = [render.markdown(report_md.territory_markdown(m, "2024-04-02", by_owner=flag)) for flag in (False, True)]
+    assert both[0] == both[1]
