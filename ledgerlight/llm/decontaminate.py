@@ -19,7 +19,8 @@ is the better share, as one changed word takes most of its trigrams.
 
 Only the index is broadcast.  Items are split into shards of at most
 ``SHARD_ITEMS`` items and ``SHARD_BYTES`` bytes, and each shard makes its own pass
-over the documents.  Items without words and null texts take no part.  Null
+over the documents.  Document frequencies, mean length and passage size are those of all
+items, counted by Spark, so a pair's result does not depend on the number of shards.  Items without words and null texts take no part.  Null
 document texts have no hits.  Rows that share a doc_id give one row per item.
 """
 
@@ -27,12 +28,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlight.llm.stage import share_package
+from ledgerlight.llm.stage import share_package, stage
 from ledgerlight.llm.text_arrays import ragged_take, span_hashes, utf8_buffer, window_hashes, word_spans
 
 K1, B = 1.2, 0.75
@@ -78,15 +80,28 @@ def _grams(words: np.ndarray) -> np.ndarray:
     return np.unique(window_hashes(words, GRAM) if len(words) >= GRAM else words)
 
 
+@dataclass(frozen=True)
+class Overall:
+    """Figures of all items: how many have words, their words, the longest, and how many items hold each of ``terms``."""
+
+    items: int
+    words: int
+    longest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+
 class Index:
     """Inverted index of some items, small enough to broadcast."""
 
-    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD) -> None:
+    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD,
+                 overall: Overall | None = None) -> None:
+        """``overall`` has the figures of all items where ``items`` are only a part of them."""
         self.threshold = threshold
         words = [(i, t, _text_words(t)) for i, t in sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1]))]
         words = sorted((x for x in words if len(x[2])), key=lambda x: len(x[2]))  # blocks of like items bound tightly
         self.ids = [i for i, _, _ in words]
-        self.longest = max((len(w) for _, _, w in words), default=0)
+        self.longest = overall.longest if overall else max((len(w) for _, _, w in words), default=0)
         parts = [split_item(t) for _, t, _ in words]
         split = [(_text_words(q), _text_words(a)) for q, a in parts]
         self.question = [_grams(q) for q, _ in split]
@@ -100,8 +115,12 @@ class Index:
         pair, tf = np.unique(term.astype(np.int64) * max(1, len(words)) + item, return_counts=True)
         term, self.items = pair // max(1, len(words)), pair % max(1, len(words))
         df = np.bincount(term, minlength=len(self.terms))
-        idf = np.log(1 + (len(words) - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths / lengths.mean()) if words else lengths
+        all_items, all_df, mean = len(words), df, lengths.mean() if words else 1.0
+        if overall:
+            all_items, mean = overall.items, overall.words / max(1, overall.items)
+            all_df = overall.df[np.searchsorted(overall.terms, self.terms)]
+        idf = np.log(1 + (all_items - all_df + 0.5) / (all_df + 0.5))
+        norm = K1 * (1 - B + B * lengths / mean)
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[self.items])
         own = np.bincount(self.items, weight, minlength=len(words))
         self.weight = weight / own[self.items]
@@ -243,15 +262,46 @@ def _possible(index: Index, term: np.ndarray, begin: np.ndarray, end: np.ndarray
     return np.union1d(key[bound >= least] // max(1, n), np.flatnonzero((rest >= least).any(axis=1)))
 
 
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, term, length) of each distinct word of each item; the item's length is on one of its rows."""
+    for batch in batches:
+        words, first = _words(*utf8_buffer(batch.column("text")))
+        size = np.diff(first)
+        item = np.repeat(np.arange(len(size)), size)
+        order = np.lexsort((words, item))
+        words, item = words[order], item[order]
+        new = np.ones(len(words), bool)
+        new[1:] = (words[1:] != words[:-1]) | (item[1:] != item[:-1])
+        words, item = words[new], item[new]
+        length = np.where(np.diff(item, prepend=-1) != 0, size[item], 0)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("shard").take(pa.array(item)), pa.array(words.view(np.int64)), pa.array(length, pa.int64())],
+            ["shard", "term", "length"])
+
+
 def _indexes(items: DataFrame, threshold: float) -> Iterator[Index]:
     """One index per shard of the items; shards are bounded in rows and bytes."""
     rows = items.filter("text IS NOT NULL").select(F.col("item_id").cast("bigint").alias("item_id"),
                                                    F.col("text").cast("string").alias("text"))
     n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     shards = max(1, -(-n // (SHARD_ITEMS // 2)), -(-size // (SHARD_BYTES // 2)))
+    if shards == 1:
+        yield Index([(r.item_id, r.text) for r in rows.collect()], threshold)
+        return
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int"))
+    terms = stage(rows.mapInArrow(_item_terms, "shard int, term bigint, length bigint"), "item_terms")
+    whole = terms.agg(F.count(F.when(F.col("length") > 0, 1)), F.coalesce(F.sum("length"), F.lit(0)),
+                      F.coalesce(F.max("length"), F.lit(0))).first()
+    held = terms.groupBy("shard", "term").agg(F.count(F.lit(1)).alias("n"))
+    df = held.groupBy("term").agg(F.sum("n").alias("df"))
+    counted = stage(held.join(df, "term").select("shard", "term", "df").repartition("shard"), "item_df")
     for s in range(shards):
-        part = rows if shards == 1 else rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == s)
-        yield Index([(r.item_id, r.text) for r in part.collect()], threshold)
+        mine = counted.filter(F.col("shard") == s).select("term", "df").toPandas()  # a shard's distinct words
+        key = mine["term"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(key)
+        overall = Overall(*map(int, whole), key[order], mine["df"].to_numpy(np.int64)[order])
+        part = rows.filter(F.col("shard") == s).select("item_id", "text")
+        yield Index([(r.item_id, r.text) for r in part.collect()], threshold, overall)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

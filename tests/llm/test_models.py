@@ -281,3 +281,26 @@ def test_pipeline_of_nothing(spark):
         docs = step(spark, docs, SF)
         assert docs.count() == 0
         docs = empty
+
+
+def test_scores_do_not_depend_on_shards(spark, monkeypatch):
+    rng = random.Random(12)
+    vocabulary = ["w%d" % i for i in range(120)]
+    some = lambda k: " ".join(rng.choices(vocabulary, range(120, 0, -1), k=k))
+    tests = [(i, some(rng.randint(6, 50)) + ". " + some(rng.randint(1, 12))) for i in range(60)]
+    tests += [(60, None), (61, ""), (None, some(20)), (5, some(30)), (62, some(300))]
+    rows = [(i, some(rng.randint(0, 90)) + " " + (rng.choice(tests)[1] or "") + " " + some(rng.randint(0, 90)), "x") for i in range(150)]
+    items = spark.createDataFrame(tests, "item_id bigint, text string")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, shard string")
+
+    def found():
+        got = decontaminate.contaminated(docs, items).collect()
+        kept = sorted(r.doc_id for r in decontaminate.clean(docs, items).collect())
+        return {(r.doc_id, r.item_id, r.n_passages, r.first_word): (r.score, r.question_share, r.answer_share) for r in got}, kept
+
+    whole, kept = found()
+    monkeypatch.setattr(decontaminate, "SHARD_ITEMS", 20)
+    assert len(list(decontaminate._indexes(items, 0.5))) > 4
+    parts, kept_by_parts = found()
+    assert len(whole) > 100 and set(whole) == set(parts) and kept == kept_by_parts
+    assert all(np.allclose(whole[k], parts[k], atol=1e-9) for k in whole)
