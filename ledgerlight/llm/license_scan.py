@@ -62,7 +62,7 @@ NEGATIVES, VARIANTS = 3000, 40
 EXCERPT = 64
 LEAST, CONFIRM = 0.5, 0.7
 PARTLY = 0.5  # sampled paragraphs that hold so much of a template are not used as unknown
-SCALES = (8, 16, 32, 48)
+SCALES = (4, 8, 16, 32, 48)
 SPAN = 1 << 16  # words whose running sums are held at once
 GROUP_BYTES = 1 << 20
 _U = np.uint64

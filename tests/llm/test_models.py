@@ -201,6 +201,13 @@ def test_every_notice_at_any_place_in_a_text():
     assert sum(families.get(d) == f for d, f in enumerate(want)) >= 0.97 * len(want)
 
 
+def test_short_notices_between_other_lines():
+    model, plain = _license_model()
+    rng = random.Random(9)
+    texts = ["\n".join([plain(rng.randint(1, 12)), "All rights reserved.", plain(rng.randint(1, 12))]) for _ in range(200)]
+    assert _found(model, texts) == [(d, 0, "proprietary") for d in range(200)]
+
+
 def test_window_scores_equal_brute_force(monkeypatch):
     model, plain = _license_model(100)
     monkeypatch.setattr(license_scan, "SPAN", 37)
