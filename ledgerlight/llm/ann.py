@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by learned partitions.
 
-On a bounded sample (the ``SAMPLE`` distinct vectors with the smallest hashes) an exact
-neighbour graph is built and cut into balanced parts: balanced clustering, then
+On a bounded sample (an eighth of the rows, but ``SAMPLE`` to ``MAX_SAMPLE``: the distinct
+vectors with the smallest hashes) an exact neighbour graph is built and cut into balanced
+parts, one for every 40 vectors of the sample at most: balanced clustering, then
 sweeps that move vertices to the part of most of their neighbours while parts stay
 near equal size.  A small network learns, for a vector, how its neighbours spread
 over the parts.  Every vector is indexed in its most probable part; a query goes to
@@ -11,12 +12,13 @@ the smaller id).
 
 Equal vectors score alike, so for each distinct vector only its smallest ``k + 1`` ids
 can be answers; a window limit drops the others before the shuffle.  Distinct query
-vectors are searched once.  Parts are split into blocks of ``BLOCK_ROWS`` vectors, so
-a task holds one block and the queries sent to it in batches.
+vectors are searched once.  The vectors of a part are dealt into blocks of about
+``BLOCK_ROWS``, its queries likewise; a task holds one block of each.
 
 Vectors that are null, empty, all zero, hold null or non-finite components, or differ
-in length from the most common length take no part.  Rows that share an id are answers
-of their own but no row is an answer to its own id.  Empty tables give no rows.
+in length from the most common length take no part.  Rows that share an id
+are one answer, at the best score of them; no row is an answer to its own id.  Empty tables
+give no rows.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlight.llm.stage import share_package, smallest_keys, stage
 
-SAMPLE, NEIGHBOURS = 6000, 20
-PART_ROWS, MAX_PARTS = 1000, 1024
+SAMPLE, MAX_SAMPLE, NEIGHBOURS = 6000, 24_000, 20
+PART_ROWS, MIN_PARTS = 1000, 16
 TARGET = 0.97
 BLOCK_ROWS = 4096
 HIDDEN, STEPS, RATE = 128, 300, 4e-3
@@ -135,19 +137,20 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit_router(sample: np.ndarray, rows: int, target: float = TARGET) -> tuple[Router | None, int]:
-    """The router for about ``rows`` vectors and the number of parts a query visits."""
-    parts = int(min(MAX_PARTS, rows // PART_ROWS, len(sample) // 40))
-    if parts < 2:
-        return None, 1
+def fit_router(sample: np.ndarray, rows: int, target: float = TARGET) -> tuple[Router, int]:
+    """The router for about ``rows`` vectors and the number of parts a query visits.
+
+    A part has 40 or more vectors of the sample, so samples under 80 vectors make one part.
+    """
+    parts = max(1, min(max(MIN_PARTS, rows // PART_ROWS), len(sample) // 40))
     graph = neighbour_graph(sample, NEIGHBOURS)
     part = balanced_parts(sample, graph, parts)
     router = Router(sample, part, graph, parts)
     ranked = router.ranked(sample)
     place = np.argsort(ranked, axis=1)  # rank of each part for each query
     depth = np.take_along_axis(place, ranked[:, 0][graph], axis=1)
-    found = np.array([(depth < m).mean() for m in range(1, parts + 1)])
-    return router, int(np.argmax(found >= target)) + 1
+    found = np.array([(depth < m).sum() >= target * depth.size for m in range(1, parts + 1)])
+    return router, int(np.argmax(found)) + 1
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -156,20 +159,25 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def _rerank(k: int):
-    """The ``k`` best of one block for each query sent to it, by exact scores in double precision."""
+    """The ``k`` best ids of one block for each query sent to it, by exact scores in double precision."""
     def run(table: pa.Table) -> pa.Table:
         query = np.array(table["is_query"].to_pylist(), bool)
         x, ids = _matrix(table["vector"]), table["id"].to_numpy()
         rows, asked = np.flatnonzero(~query), np.flatnonzero(query)
+        # the best row of an id is among so many best rows, however often other ids repeat
+        wide = k + len(rows) - len(np.unique(ids[rows]))
         out = {"qid": [], "best": []}
         for i in range(0, len(asked) if len(rows) else 0, 256):
             some = asked[i:i + 256]
             rough = x[some] @ x[rows].T
             for q, r in zip(some, rough):
-                least = np.partition(r, len(r) - k)[len(r) - k] if len(r) > k else -np.inf
+                least = np.partition(r, len(r) - wide)[len(r) - wide] if len(r) > wide else -np.inf
                 near = rows[r >= least - 1e-9 * max(1.0, np.abs(r).max())]  # rounding may hide ties
                 score = (x[near] * x[q]).sum(axis=1)
-                order = np.lexsort((ids[near], -score))[:k]
+                order = np.lexsort((ids[near], -score))
+                if wide > k:
+                    order = order[np.sort(np.unique(ids[near][order], return_index=True)[1])]
+                order = order[:k]
                 out["qid"].append(int(ids[q]))
                 out["best"].append([{"neg": -float(score[o]), "vec_id": int(ids[near[o]])} for o in order])
         best = pa.list_(pa.struct([("neg", pa.float64()), ("vec_id", pa.int64())]))
@@ -183,7 +191,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, target: float = TAR
     share_package(spark)
     rows = usable(vectors)
     count = rows.count()
-    picked = smallest_keys(rows.select("vector", F.xxhash64("vector").alias("key")), "key", count, SAMPLE)
+    picked = smallest_keys(rows.select("vector", F.xxhash64("vector").alias("key")), "key", count, min(MAX_SAMPLE, max(SAMPLE, count // 8)))
     sample = np.array([r.vector for r in picked], float)
     router, probes = fit_router(sample, count, target) if count else (None, 1)
     shared = spark.sparkContext.broadcast(router)  # a fixed number of weights per part
@@ -192,13 +200,13 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, target: float = TAR
         for batch in batches:
             x = _matrix(batch.column("vector"))
             many = probes if batch.num_rows and batch.column("is_query")[0].as_py() else 1
-            ranked = shared.value.ranked(x)[:, :many] if shared.value is not None else np.zeros((len(x), 1), int)
+            ranked = shared.value.ranked(x)[:, :many]
             bounds = pa.array(np.arange(len(x) + 1, dtype=np.int32) * ranked.shape[1])
             parts = pa.ListArray.from_arrays(bounds, pa.array(ranked.ravel().astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*batch.columns, parts], [*batch.schema.names, "parts"])
 
     same = Window.partitionBy("vector").orderBy("vec_id")
-    index = (rows.withColumn("n", F.row_number().over(same)).filter(F.col("n") <= k + 1)
+    index = (rows.dropDuplicates().withColumn("n", F.row_number().over(same)).filter(F.col("n") <= k + 1)
              .select(F.col("vec_id").alias("id"), "vector", F.lit(False).alias("is_query")))
     asking = rows.filter(F.col("vec_id") % every == 0)
     distinct = (asking.withColumn("n", F.row_number().over(same)).filter(F.col("n") <= 1)
@@ -206,15 +214,21 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, target: float = TAR
     schema = "id bigint, vector array<double>, is_query boolean, parts array<int>"
     routed = stage(index.mapInArrow(route, schema).unionByName(distinct.mapInArrow(route, schema)), "routed")
     routed = routed.select("id", "vector", "is_query", F.explode("parts").alias("part"))
-    blocks = (routed.filter("NOT is_query").groupBy("part").count()
-              .select("part", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("blocks")))  # a row per part
-    placed = routed.join(blocks, "part")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = placed.withColumn("block", F.explode(F.when(F.col("is_query"), F.sequence(
-        F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own)))).drop("blocks")
-    found = dealt.groupBy("part", "block").applyInArrow(
+    blocks_of = lambda asked: F.ceil(F.count_if(F.col("is_query") == asked) / BLOCK_ROWS).cast("int")
+    sizes = (routed.groupBy("part").agg(blocks_of(False).alias("rows"), blocks_of(True).alias("asks"))
+             .filter("rows > 0 AND asks > 0"))  # a row per part
+    placed = routed.join(sizes, "part")
+    deal = lambda own, n: F.explode(F.when(own, F.array(F.pmod(F.xxhash64("id"), F.col(n)).cast("int"))).otherwise(
+        F.sequence(F.lit(0), F.col(n) - 1)))
+    dealt = (placed.withColumn("block", deal(~F.col("is_query"), "rows"))
+             .withColumn("ask", deal(F.col("is_query"), "asks")).drop("rows", "asks"))
+    found = dealt.groupBy("part", "block", "ask").applyInArrow(
         _rerank(k + 1), "qid bigint, best array<struct<neg:double,vec_id:bigint>>")
-    best = found.groupBy("qid").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, 2 * k + 1).alias("best"))
+    best = found.groupBy("qid").agg(F.array_sort(F.flatten(F.collect_list("best"))).alias("best"))
+    ids = F.col("best.vec_id")
+    once = F.filter("best", lambda b, i: F.array_position(ids, b["vec_id"]) == i + 1)  # an id may come from several blocks
+    best = best.select("qid", F.slice(F.when(F.size(F.array_distinct(ids)) < F.size(ids), once).otherwise(F.col("best")),
+                                      1, k + 1).alias("best"))
     answers = best.join(distinct.select(F.col("id").alias("qid"), "vector"), "qid").select("vector", "best")
     own_out = F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("query_id")), 1, k)
     listed = asking.select(F.col("vec_id").alias("query_id"), "vector").distinct().join(answers, "vector")

@@ -146,6 +146,54 @@ def test_vector_search(spark):
     assert sorted((r["rank"]) for r in few) == [1, 2]
 
 
+def _best(ids, x, q, k):
+    """The ``k`` best other ids of id ``q`` at the vector ``x[q's first row]``, each at its best row."""
+    score = (x * x[ids.index(q)]).sum(axis=1)
+    best = {}
+    for i, s in zip(ids, score):
+        if i != q:
+            best[i] = max(best.get(i, -np.inf), s)
+    return sorted(best, key=lambda i: (-best[i], i))[:k]
+
+
+@pytest.mark.parametrize("n", [1, 2, 21, 79, 100, 500, 2000])
+def test_router_at_any_size(n):
+    x = np.random.default_rng(n).normal(size=(n, 8))
+    router, probes = ann.fit_router(x, n)
+    assert router.parts == max(1, min(16, n // 40)) and 1 <= probes <= router.parts
+    graph, ranked = ann.neighbour_graph(x, 20), router.ranked(x)
+    found = (ranked[:, None, :probes] == ranked[:, 0][graph][:, :, None]).any(axis=2)
+    assert found.size == 0 or found.mean() >= 0.9
+
+
+def test_vector_search_in_small_tables(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 7)  # several blocks of vectors and of queries in each part
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(12, 16))[rng.integers(0, 12, 600)] + 0.3 * rng.normal(size=(600, 16))
+    frame = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id bigint, embedding array<double>")
+    hits = {}
+    for r in ann.search(frame, every=5, k=20).collect():
+        hits.setdefault(r.query_id, []).append(r.vec_id)
+    assert set(hits) == set(range(0, 600, 5)) and {len(set(v)) for v in hits.values()} == {20}
+    true = {q: set(_best(list(range(600)), x, q, 20)) for q in hits}
+    assert sum(len(true[q] & set(v)) for q, v in hits.items()) >= 0.9 * 20 * len(hits)
+
+
+@pytest.mark.parametrize("block", [4096, 8])
+def test_repeated_ids_hide_no_answers(spark, monkeypatch, block):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", block)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(30, 4)).round(1)
+    ids = list(range(30)) + [20] * 50 + [0] * 40 + [7] * 30  # copies of a row, and rows of one id that differ
+    x = np.vstack([x, np.repeat(x[20:21], 50, axis=0), np.repeat(x[:1], 40, axis=0), rng.normal(size=(30, 4)).round(1)])
+    # fewer than 80 distinct vectors make one part, so the search is exact
+    frame = spark.createDataFrame([(i, r.tolist()) for i, r in zip(ids, x)], "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in ann.search(frame, every=20, k=20).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {q: _best(ids, x, q, 20) for q in (0, 20)}
+
+
 def test_license_scan(spark):
     texts = [(1, "intro text here\nReleased under the MIT License.\nmore words"), (2, "All rights reserved."), (3, None), (4, ""),
              (5, "the general public may visit the library under the old bridge"), (6, "a\nLicensed under CC BY-NC 4.0!\n\nend")]
