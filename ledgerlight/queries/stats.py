@@ -55,6 +55,16 @@ SELECT x.agent_id, a.agent_name, x.product_id, p.product_name,
 FROM snapshot x JOIN agent a ON a.agent_id = x.agent_id JOIN product p ON p.product_id = x.product_id""")
 
 
+# no as-of day given: today in the session's time zone, which is UTC
+_TODAY = "CAST(now() AT TIME ZONE 'UTC' AS DATE)"
+
+
+@register("agent_totals_today", _agent_totals_sql(None).replace(d(AS_OF), _TODAY).replace(
+    d(PURCHASE_CUTOFF), f"CAST({_TODAY} - INTERVAL 1 MONTH AS DATE)"))
+def agent_totals_today(spark, sf_dir):
+    return stats.agent_stats(model(spark, sf_dir))
+
+
 @register("sales_by_pair", with_views(f"""{snapshot_cte()}
 SELECT agent_id, product_id, qty_sold, revenue FROM sold_pairs"""))
 def sales_by_pair(spark, sf_dir):

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from ledgerlight.catalog import AS_OF, d, model, register, with_views
+from ledgerlight.catalog import AS_OF, d, model, read_raw, register, with_views
 from ledgerlight.model import Model
 from ledgerlight.operators import report_md, territory
 
@@ -133,6 +135,42 @@ def territory_rollup(spark, sf_dir):
     return territory.territory_rollup(model(spark, sf_dir, up_to=AS_OF), AS_OF)
 
 
+# one territory per customer, with names that differ in accents, case and punctuation before they differ in digits
+BY_CUSTOMER_CTE = """territory_by_customer AS (
+  SELECT CAST(c_custkey AS BIGINT) AS territory_id, CAST(c_nationkey % 10 + 1 AS BIGINT) AS agent_id,
+         c_mktsegment AS city, CASE c_custkey % 4
+           WHEN 0 THEN c_name WHEN 1 THEN replace(c_name, 'Customer', 'Cústomér')
+           WHEN 2 THEN replace(c_name, 'Customer#', 'cust. omer-') ELSE replace(c_name, 'Customer', 'CUSTOMER ') END AS district
+  FROM customer
+), sale_by_customer AS (
+  SELECT CAST(l.l_shipdate AS DATE) AS date_sold, CAST(l.l_suppkey AS BIGINT) AS agent_id,
+         CAST(o.o_custkey AS BIGINT) AS territory_id, CAST(round(l.l_quantity) AS BIGINT) AS amount_sold
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+),""" + (TERRITORY_CTE.replace("FROM territory t", "FROM territory_by_customer t").replace("FROM sale s", "FROM sale_by_customer s")
+         .replace("regexp_replace(district, '[^\\p{L}\\p{N}]', '', 'g')",
+                  "strip_accents(lower(regexp_replace(district, '[^\\p{L}\\p{N}]', '', 'g')))"))
+
+
+@register("territory_rollup_customers", with_views(BY_CUSTOMER_CTE + "\nSELECT * FROM rollup_lines"))
+def territory_rollup_customers(spark, sf_dir):
+    """The roll-up of one territory per customer: many lines a section, in an order that binary comparison does not give."""
+    name = F.col("c_name")
+    label = (F.when(F.col("c_custkey") % 4 == 0, name)
+             .when(F.col("c_custkey") % 4 == 1, F.replace(name, F.lit("Customer"), F.lit("Cústomér")))
+             .when(F.col("c_custkey") % 4 == 2, F.replace(name, F.lit("Customer#"), F.lit("cust. omer-")))
+             .otherwise(F.replace(name, F.lit("Customer"), F.lit("CUSTOMER "))))
+    territories = read_raw(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("bigint").alias("territory_id"),
+        (F.col("c_nationkey") % 10 + 1).cast("bigint").alias("agent_id"),
+        F.col("c_mktsegment").alias("city"), label.alias("district"))
+    sales = (read_raw(spark, sf_dir, "lineitem").join(read_raw(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+             .select(F.to_date("l_shipdate").alias("date_sold"), F.col("l_suppkey").cast("bigint").alias("agent_id"),
+                     F.col("o_custkey").cast("bigint").alias("territory_id"),
+                     F.round("l_quantity").cast("bigint").alias("amount_sold")))
+    m = replace(model(spark, sf_dir, up_to=AS_OF), territory=territories, sale=sales)
+    return territory.territory_rollup(m, AS_OF)
+
+
 @register("territory_sections", with_views(TERRITORY_CTE + "\nSELECT * FROM sections"))
 def territory_sections(spark, sf_dir):
     return territory.sections(model(spark, sf_dir, up_to=AS_OF))

@@ -5,6 +5,7 @@ import datetime as dt
 from fixtures import edge_model, invoice_model
 from pyspark.sql import functions as F
 
+from ledgerlight.functions.dates import as_date
 from ledgerlight.operators import stats
 
 MEASURES = stats.MEASURES
@@ -76,3 +77,27 @@ def test_totals_equal_sum_of_pairs_on_generated_data(spark):
     assert all(all(r[c] for c in MEASURES) for r in joined.collect())
     bad = named.filter(F.col("debt") != F.col("qty_bought") - F.col("qty_sold")).count()
     assert bad == 0
+
+
+def test_no_day_means_today_in_the_session_time_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    days = {}
+    try:
+        for name, hours in [("Pacific/Kiritimati", 14), ("Etc/GMT+12", -12), ("UTC", 0)]:
+            spark.conf.set("spark.sql.session.timeZone", name)
+            here = dt.timezone(dt.timedelta(hours=hours))
+            before = dt.datetime.now(here).date()
+            days[name] = as_date(None)
+            assert before <= days[name] <= dt.datetime.now(here).date()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert days["Pacific/Kiritimati"] > days["Etc/GMT+12"]  # 26 hours apart
+
+
+def test_sales_of_tomorrow_do_not_count_today(spark):
+    model = edge_model(spark)
+    today = as_date(None)
+    later = model.sale.withColumn("date_sold", F.lit(today + dt.timedelta(days=2)))
+    sold = lambda sale: stats.sales_by_pair(model.with_facts(sale=sale)).count()
+    assert sold(later) == 0
+    assert sold(model.sale.withColumn("date_sold", F.lit(today))) > 0
