@@ -22,11 +22,17 @@ pair that a document with a smaller doc_id has too, or that its own document has
 earlier.  So every run of two or more lines that an earlier document has goes, wherever
 it lies; the first place of each line always stays.  Pairs are chosen by hash and
 compared as text before they go; within one document a pair is told by 64 hash bits.
+
+``dedup_chunks_and_runs`` does both on one input: repeated chunks go as in ``dedup_lines``,
+and of the lines outside them those go that ``dedup_runs`` finds, so that a short passage
+whose borders fell badly goes too.  Chunks and pairs share one pass over hashes and texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlight.llm.stage import put_back, set_apart, stage
 
@@ -132,26 +138,47 @@ def pair_columns(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def repeated_pairs(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, _repeated: hashes of the pairs that a document with a smaller id has too."""
+    return _repeated(docs, text, pair_columns, F.array_distinct("_pairs"))
+
+
+def _repeated(docs: DataFrame, text: str, columns: Callable[[DataFrame], DataFrame], pieces: Column) -> DataFrame:
+    """doc_id, _repeated: hashes of the ``pieces`` (distinct strings over ``columns`` of a row) that a document with a smaller id has too."""
     keyed = docs.filter("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    key = [F.xxhash64("pair").alias("h1"), F.xxhash64(F.lit(1), F.col("pair")).alias("h2")]
+    key = [F.xxhash64("piece").alias("h1"), F.xxhash64(F.lit(1), F.col("piece")).alias("h2")]
     # outer explodes, as above
-    rows = pair_columns(keyed).select("doc_id", F.explode_outer(F.array_distinct("_pairs")).alias("pair"))
-    hashed = stage(rows.filter("pair IS NOT NULL").select("doc_id", *key), "pair-hashes")
+    rows = columns(keyed).select("doc_id", F.explode_outer(pieces).alias("piece"))
+    hashed = stage(rows.filter("piece IS NOT NULL").select("doc_id", *key), "piece-hashes")
     first = (hashed.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
              .filter("first < last").drop("last"))
     name = F.concat_ws(":", "h1", "h2")
     wanted = (hashed.join(first, ["h1", "h2"]).groupBy("doc_id")
               .agg(F.map_from_entries(F.collect_set(F.struct(name, "first"))).alias("wanted")))
-    found = pair_columns(keyed.join(wanted, "doc_id")).select(
-        "doc_id", "wanted", F.explode_outer(F.array_distinct("_pairs")).alias("pair")).filter("pair IS NOT NULL")
-    found = (found.select("*", *key).select("doc_id", "h1", "h2", "pair", F.try_element_at("wanted", name).alias("first"))
+    found = columns(keyed.join(wanted, "doc_id")).select(
+        "doc_id", "wanted", F.explode_outer(pieces).alias("piece")).filter("piece IS NOT NULL")
+    found = (found.select("*", *key).select("doc_id", "h1", "h2", "piece", F.try_element_at("wanted", name).alias("first"))
              .filter("first IS NOT NULL"))
-    source = found.filter("doc_id = first").groupBy("h1", "h2").agg(F.min("pair").alias("source"))
-    later = found.filter("doc_id > first").join(source, ["h1", "h2"]).filter("pair = source")
+    source = found.filter("doc_id = first").groupBy("h1", "h2").agg(F.min("piece").alias("source"))
+    later = found.filter("doc_id > first").join(source, ["h1", "h2"]).filter("piece = source")
     return later.groupBy("doc_id").agg(F.collect_set("h1").alias("_repeated"))
 
 
+def _seen(keys: str) -> Column:
+    """Per hash of a document's array ``keys``: it is one of ``_repeated``, or came earlier in the array."""
+    own = F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.transform(
+        keys, lambda k, j: F.coalesce(F.array_position(F.col(keys), k) < j + 1, F.lit(False)))).otherwise(
+            F.transform(keys, lambda k: F.lit(False)))
+    known = F.when(F.col("_repeated").isNull(), F.transform(keys, lambda k: F.lit(False))).otherwise(
+        F.transform(keys, lambda k: F.coalesce(F.array_contains("_repeated", k), F.lit(False))))
+    return F.zip_with(own, known, lambda a, b: a | b)
+
+
+def _of_pairs(pair: str) -> Column:
+    """Per unit: the pair that it begins or the one that it ends goes."""
+    no = F.array(F.lit(False))
+    return F.zip_with(F.concat(pair, no), F.concat(no, pair), lambda a, b: a | b)
+
+
 def dedup_runs(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the kept ``text`` and n_lines, n_removed, n_left (kept lines that are not blank; instead of columns of these names)."""
     counts = ["n_lines", "n_removed", "n_left"]
@@ -165,14 +192,8 @@ def _dedup_runs(docs: DataFrame, text: str) -> DataFrame:
              .drop("_pairs").withColumn("_id", F.col("doc_id").cast("bigint")))
     # keys and units come out of the join as columns, so the lambdas below don't compute them again for each line
     out = keyed.join(repeated_pairs(base, text).withColumnRenamed("doc_id", "_id"), "_id", "left").drop("_id")
-    own = F.when(F.size(F.array_distinct("_keys")) < F.size("_keys"), F.transform(
-        "_keys", lambda k, j: F.coalesce(F.array_position(F.col("_keys"), k) < j + 1, F.lit(False)))).otherwise(
-            F.transform("_keys", lambda k: F.lit(False)))
-    known = F.when(F.col("_repeated").isNull(), F.transform("_keys", lambda k: F.lit(False))).otherwise(
-        F.transform("_keys", lambda k: F.coalesce(F.array_contains("_repeated", k), F.lit(False))))
-    out = out.withColumn("_pair", F.zip_with(own, known, lambda a, b: a | b))
-    no = F.array(F.lit(False))
-    out = out.withColumn("_gone", F.zip_with(F.concat("_pair", no), F.concat(no, "_pair"), lambda a, b: a | b))
+    out = out.withColumn("_pair", _seen("_keys"))
+    out = out.withColumn("_gone", _of_pairs("_pair"))
     lines = lambda c: F.regexp_count(c, F.lit("\n")) + 1
     total = lambda each: F.aggregate(each, F.lit(0).cast("bigint"), lambda a, x: a + x)
     return (out.withColumn("n_lines", total(F.transform("_units", lines)))
@@ -181,3 +202,44 @@ def _dedup_runs(docs: DataFrame, text: str) -> DataFrame:
                 g | (F.length(F.trim(F.substring_index(u, "\n", 1))) == 0), 0).otherwise(1))))
             .withColumn(text, F.array_join(F.zip_with("_units", "_gone", lambda u, g: F.when(~g, u)), "\n"))
             .drop("_units", "_keys", "_repeated", "_pair", "_gone"))
+
+
+def dedup_chunks_and_runs(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` without repeated chunks and, outside those, without repeated pairs of lines; columns as of ``dedup_runs``.
+
+    Both are judged on the input, so it makes no difference that the removal of a chunk brings other lines together.
+    """
+    counts = ["n_lines", "n_removed", "n_left"]
+    out = _dedup_chunks_and_runs(set_apart(docs, "doc_id", text), text)
+    return out.select(*put_back(out, [c for c in docs.columns if c not in counts], "doc_id", text), *counts)
+
+
+def _chunks_and_pairs(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with ``_chunks``, ``_units`` and ``_pairs``, and the texts to compare of both kinds, each with a letter before it."""
+    out = pair_columns(chunk_columns(docs, text), text)
+    return (out.withColumn("_chunk_texts", F.transform("_chunks", lambda c: F.when(c["full"], F.concat(F.lit("C"), c["text"]))))
+            .withColumn("_pair_texts", F.transform("_pairs", lambda p: F.concat(F.lit("P"), p))).drop("_pairs"))
+
+
+def _dedup_chunks_and_runs(docs: DataFrame, text: str) -> DataFrame:
+    base = docs.drop("n_lines", "n_removed", "n_left").withColumn(text, F.col(text).cast("string"))
+    hashes = lambda c: F.transform(c, lambda x: F.when(x.isNotNull(), F.xxhash64(x)))
+    keyed = (_chunks_and_pairs(base, text).withColumn("_chunk_keys", hashes("_chunk_texts")).withColumn("_keys", hashes("_pair_texts"))
+             .withColumn("_chunk_lines", F.transform("_chunks", lambda c: c["lines"]))
+             .withColumn("_unit_lines", F.transform("_units", lambda u: F.regexp_count(u, F.lit("\n")) + 1))
+             .withColumn("_id", F.col("doc_id").cast("bigint")).drop("_chunks", "_units", "_chunk_texts", "_pair_texts"))
+    repeated = _repeated(base, text, _chunks_and_pairs, F.array_distinct(F.concat("_chunk_texts", "_pair_texts")))
+    # as in dedup_runs, keys and sizes come out of the join as columns
+    out = keyed.join(repeated.withColumnRenamed("doc_id", "_id"), "_id", "left").drop("_id")
+    out = out.withColumn("_chunk", _seen("_chunk_keys")).withColumn("_pair", _seen("_keys"))
+    by_line = lambda gone, lines: F.flatten(F.zip_with(gone, lines, lambda g, n: F.array_repeat(g, n)))
+    out = out.withColumn("_gone", F.zip_with(by_line("_chunk", "_chunk_lines"), by_line(_of_pairs("_pair"), "_unit_lines"),
+                                             lambda a, b: a | b))
+    out = out.withColumn("_kept", F.zip_with(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), "_gone",
+                                             lambda x, g: F.when(~g, x)))
+    number = lambda c, test: F.size(F.filter(c, test)).cast("bigint")
+    return (out.withColumn("n_lines", F.size("_gone").cast("bigint"))
+            .withColumn("n_removed", number("_gone", lambda g: g))
+            .withColumn("n_left", number("_kept", lambda x: F.length(F.trim(x)) > 0))
+            .withColumn(text, F.array_join("_kept", "\n"))
+            .drop("_chunk_keys", "_keys", "_chunk_lines", "_unit_lines", "_repeated", "_chunk", "_pair", "_gone", "_kept"))

@@ -169,6 +169,35 @@ def test_pipeline_removes_repeated_runs_inside_texts(spark):
     assert got == {n: f"{lines(f'top {n}', 5)}\n{run + chr(10) if n == 1 else ''}{lines(f'end {n}', 5)}" for n in range(1, 9)}
 
 
+def test_pipeline_removes_repeated_chunks_and_then_runs(spark, monkeypatch):
+    """The pipeline's line stage takes the chunks of ``dedup_lines`` out, whole, and the repeated pairs of lines outside them."""
+    import corpus_pipeline
+    body = [x for n in range(40) for x in (f"body line {n} of text", "")]  # blank lines at the heads of chunks
+    texts = run_corpus() + [(200, "\n".join(body)), (201, "own first\n" + "\n".join(body) + "\nown last")]
+    docs = frame(spark, texts).select("doc_id", "text")
+    chunks = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
+    runs = {r.doc_id: r for r in line_dedup.dedup_runs(docs).collect()}
+    both = {r.doc_id: r for r in line_dedup.dedup_chunks_and_runs(docs).collect()}
+    assert sum(r.n_chunks_removed for r in chunks.values()) > 3
+    want = run_lines(texts)
+    for i, t in texts:
+        whole = (t or "").split("\n")
+        kept = both[i].text.split("\n")
+        assert [x for x in kept if x.strip(" ")] == [x for n, x in enumerate(whole) if n not in want[i] and x.strip(" ")]
+        assert both[i].n_lines == len(whole) and both[i].n_left == runs[i].n_left
+        if both[i].n_left:
+            assert both[i].n_removed == len(whole) - len(kept) >= max(chunks[i].n_removed, runs[i].n_removed)
+        if not want[i]:
+            assert both[i].text == (t or "") and both[i].n_removed == 0
+    calls, chunked = [], line_dedup.chunk_columns
+    monkeypatch.setattr(line_dedup, "chunk_columns", lambda *args: calls.append(1) or chunked(*args))
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_deduplication(spark, docs, "").collect()}
+    assert calls and got == {i: r.text for i, r in both.items() if not r.n_removed or r.n_left}
+    plan = line_dedup.dedup_chunks_and_runs(docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert line_dedup.dedup_chunks_and_runs(frame(spark, [])).count() == 0
+
+
 def test_line_runs_edges(spark):
     a, b = lines("a", 4), lines("b", 3)
     docs = frame(spark, [(9, a), (9, b), (5, a + "\n" + b), (None, a), (None, a), (None, b + "\n" + b)])
