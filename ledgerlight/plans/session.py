@@ -68,6 +68,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+BYTES_PER_PARTITION = 16 << 20  # of compressed input; a shuffle of its rows is about as large
+_initial: dict[str, str] = {}
+
+
+def scale_partitions(spark: SparkSession, input_bytes: int) -> None:
+    """Let shuffles begin with a partition per ``BYTES_PER_PARTITION`` of input where the session has fewer.
+
+    The session's number is fixed, so the memory of a task (and what it spills) would grow with the
+    tables; adaptive execution merges partitions that turn out small.  A number that the
+    user has set is left alone.
+    """
+    known = spark.conf.get(INITIAL_PARTITIONS, None)
+    if known is not None and known != _initial.get(spark.sparkContext.applicationId):
+        return
+    wanted = -(-input_bytes // BYTES_PER_PARTITION)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+        _initial[spark.sparkContext.applicationId] = str(wanted)
+    elif known is not None:
+        spark.conf.unset(INITIAL_PARTITIONS)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path under the checkpoint root for one job's files, deleted with the session's JVM."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlight.model import Model
+from ledgerlight.plans.joins import estimated_size_bytes, maybe_broadcast
+from ledgerlight.plans.session import scale_partitions
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -106,8 +108,9 @@ def sale_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
           .select("l_orderkey", "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return (li.join(orders, li.l_orderkey == orders.o_orderkey)
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    # the two small tables first: lineitem's rows are shuffled once, by the order
+    buyers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    return (li.join(maybe_broadcast(buyers, bounded_by=orders), li.l_orderkey == F.col("o_orderkey"))
             .select(
                 F.to_date("l_shipdate").alias("date_sold"),
                 F.col("l_partkey").cast("bigint").alias("product_id"),
@@ -119,6 +122,8 @@ def sale_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_model(spark: SparkSession, sf_dir: str) -> Model:
+    facts = [estimated_size_bytes(read_table(spark, sf_dir, t)) or 0 for t in ("lineitem", "orders")]
+    scale_partitions(spark, sum(facts))
     return Model(
         agent=agent_frame(spark, sf_dir),
         product=product_frame(spark, sf_dir),
