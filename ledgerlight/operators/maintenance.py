@@ -111,11 +111,15 @@ def compact(spark: SparkSession, warehouse: Warehouse, before: DateLike) -> dict
         months = {m: ps for m, ps in state.live.get(table, {}).items() if m < limit and len(ps) > 1}
         if not months:
             continue
-        rows = warehouse.read_parts(spark, table, [(m, p) for m, ps in months.items() for p in ps]).drop("part")
+        folders = [(m, p) for m, ps in months.items() for p in ps]
+        rows = warehouse.read_parts(spark, table, folders).drop("part")
         if table.startswith("summary/"):
             sums = [c for c in ("amount", "price") if c in rows.columns]
-            rows = rows.groupBy(*[c for c in rows.columns if c not in sums]).agg(*[F.sum(c).alias(c) for c in sums])
-        entry["add"][table] = {part: warehouse._write_part(rows, table, part)}
+            keys = [c for c in rows.columns if c not in ("month", *sums)]
+            entry["add"][table] = {part: warehouse.write_sums(rows, keys, [F.sum(c).alias(c) for c in sums], table, part,
+                                                                    warehouse.blocks(spark, table, folders))}
+        else:
+            entry["add"][table] = {part: warehouse._write_part(rows, table, part)}
         entry["drop"][table] = months
         saved[table] = sum(len(ps) - 1 for ps in months.values())
     if saved:

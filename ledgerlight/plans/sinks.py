@@ -26,7 +26,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
@@ -35,6 +35,7 @@ from ledgerlight.model import Model
 from ledgerlight.plans.commits import CommitLog, State, token
 from ledgerlight.schema import AGENT, PRODUCT, PURCHASE, SALE, TERRITORY
 
+BLOCK_BYTES = 16 << 20  # of stored rows of a month that one task sums up
 FACT_SCHEMAS = {"purchase": PURCHASE, "sale": SALE}
 
 
@@ -123,14 +124,37 @@ class Warehouse:
         if table == "sale":
             sums.append(F.sum("price").alias("price"))
             keys.append("territory_id")
-        rows = df.groupBy(*keys, F.trunc(F.col(DATE_COLUMN[table]), "month").alias("month")).agg(*sums)
-        return self._write_part(rows, f"summary/{table}", part)
+        rows = df.withColumn("month", F.trunc(F.col(DATE_COLUMN[table]), "month"))
+        folder = self.path(table, f"part={part}")
+        stored = [(m, part) for m in self._months(df.sparkSession, folder)] if self.exists(df.sparkSession, folder) else []
+        return self.write_sums(rows, keys, sums, f"summary/{table}", part, self.blocks(df.sparkSession, table, stored))
+
+    def blocks(self, spark: SparkSession, table: str, folders: list[tuple[str, str]]) -> int:
+        """The number of ``BLOCK_BYTES`` in the largest month of some (month, part) folders, 1 at least."""
+        base, sizes = self.path(*table.split("/")), {}
+        for month, part in folders:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/part={part}/month={month}")
+            fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            sizes[month] = sizes.get(month, 0) + fs.getContentSummary(path).getLength()
+        return max(1, -(-max(sizes.values(), default=0) // BLOCK_BYTES))
+
+    def write_sums(self, rows: DataFrame, keys: list[str], sums: list[Column], table: str, part: str, blocks: int = 1) -> list[str]:
+        """Write ``sums`` per ``keys`` and ``month`` as one part.
+
+        The rows are dealt by month and block of pairs (``blocks`` a month), which serves the grouping
+        and the folders alike: one shuffle, and a task's memory doesn't grow with the table.
+        """
+        block = F.pmod(F.hash("agent_id", "product_id"), F.lit(blocks)).alias("_ll_block")
+        dealt = rows.select("*", block).repartition("month", "_ll_block")
+        return self._write_files(dealt.groupBy("month", "_ll_block", *keys).agg(*sums).drop("_ll_block"), table, part)
 
     def _write_part(self, rows: DataFrame, table: str, part: str) -> list[str]:
+        return self._write_files(rows.hint("rebalance", "month"), table, part)
+
+    def _write_files(self, dealt: DataFrame, table: str, part: str) -> list[str]:
         folder = self.path(*table.split("/"), f"part={part}")
-        (rows.hint("rebalance", "month").sortWithinPartitions("month", "agent_id", "product_id")
-         .write.partitionBy("month").parquet(folder))
-        return self._months(rows.sparkSession, folder)
+        dealt.sortWithinPartitions("month", "agent_id", "product_id").write.partitionBy("month").parquet(folder)
+        return self._months(dealt.sparkSession, folder)
 
     def _months(self, spark: SparkSession, folder: str) -> list[str]:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
@@ -235,13 +259,17 @@ class Warehouse:
         )
 
     def write_rows(self, rows: dict[str, DataFrame], part: str) -> dict[str, dict[str, list[str]]]:
-        """Facts and their summaries as one part; what a log entry adds."""
-        jobs, names = [], []
-        for table, frame in rows.items():
-            jobs += [lambda r=frame, t=table: self.write_fact(r, t, part),
-                     lambda r=frame, t=table: self.write_summary(r, t, part)]
-            names += [table, f"summary/{table}"]
-        return {n: {part: months} for n, months in zip(names, run_concurrently(*jobs))}
+        """Facts and their summaries as one part; what a log entry adds.
+
+        The summary is made of the facts just written, so whatever ``rows`` are derived from is read once.
+        """
+        def write(table: str, frame: DataFrame) -> dict[str, dict[str, list[str]]]:
+            months = self.write_fact(frame, table, part)
+            stored = self.read_parts(frame.sparkSession, table, [(m, part) for m in months])
+            return {table: {part: months}, f"summary/{table}": {part: self.write_summary(stored, table, part)}}
+
+        done = run_concurrently(*[lambda t=t, f=f: write(t, f) for t, f in rows.items()])
+        return {name: added for one in done for name, added in one.items()}
 
     def materialize(self, model: Model, batch_id: str = "initial") -> None:
         """Write a whole model (dimensions and facts) into this warehouse as one commit.
