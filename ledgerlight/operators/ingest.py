@@ -30,7 +30,7 @@ from ledgerlight.model import Model
 from ledgerlight.operators import quality
 from ledgerlight.operators.maintenance import write_snapshot_part
 from ledgerlight.plans.commits import token
-from ledgerlight.plans.joins import maybe_broadcast
+from ledgerlight.plans.joins import broadcast_limit, maybe_broadcast
 from ledgerlight.plans.session import ensure_checkpoint_dir
 from ledgerlight.plans.sinks import Warehouse, run_concurrently
 from ledgerlight.sources.invoices import MALFORMED, read_purchase_invoice, read_sale_invoice
@@ -106,6 +106,15 @@ def _checked(resolved: DataFrame) -> DataFrame:
     return resolved.checkpoint(eager=True)
 
 
+KEY_BYTES = 64  # of a marked key in a broadcast table, at most
+
+
+def _settled(marks: DataFrame) -> DataFrame:
+    """The marked keys of a batch, computed first: where they are few, no row of the batch is shuffled for them."""
+    marks = marks.checkpoint(eager=True)
+    return F.broadcast(marks) if marks.count() * KEY_BYTES <= broadcast_limit(marks) else marks
+
+
 def _loaded_rows(warehouse: Warehouse, table: str, stage: DataFrame, date_col: str,
                  batch_id: str) -> DataFrame:
     """Rows already loaded in the stage's date span (month partitions pruned)."""
@@ -135,11 +144,11 @@ def load_batch(model: Model, warehouse: Warehouse, purchase_stage: DataFrame | N
     if purchase_stage is not None:
         resolved = _checked(resolve_purchases(purchase_stage, model))  # the file is parsed once
         loaded_p = _loaded_rows(warehouse, "purchase", resolved, "date_bought", batch_id)
-        checked["purchase"] = quality.flag_purchases(resolved, loaded_p)
+        checked["purchase"] = quality.flag_purchases(resolved, loaded_p, _settled)
     if sale_stage is not None:
         resolved = _checked(resolve_sales(sale_stage, model))
         loaded_s = _loaded_rows(warehouse, "sale", resolved, "date_sold", batch_id)
-        checked["sale"] = quality.flag_sales(resolved, loaded_s)
+        checked["sale"] = quality.flag_sales(resolved, loaded_s, _settled)
     # the flags feed the counts and up to three writes; keep them cached (their lineage is
     # short and starts at the reliable checkpoint above, so a lost block recomputes the same rows)
     for frame in checked.values():

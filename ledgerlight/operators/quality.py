@@ -14,6 +14,8 @@ nothing is collected except per-reason counts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlight.model import Model
@@ -31,25 +33,27 @@ def reasons(*checks: tuple[Column, str]) -> Column:
     return F.when(text == "", F.lit(None).cast("string")).otherwise(text)
 
 
-def with_duplicate_flag(df: DataFrame, key: list[str]) -> DataFrame:
-    """Adds ``_ll_dup``: the row's key occurs more than once in the frame.
-
-    Keys are counted with a partial aggregate (a hot key is pre-counted on
-    the map side), and only the repeated keys are joined back.
-    """
-    repeated = duplicate_keys(df, key).select(*key, F.lit(True).alias("_ll_dup"))
-    return (df.join(maybe_broadcast(repeated), key, "left")
-            .withColumn("_ll_dup", F.coalesce(F.col("_ll_dup"), F.lit(False))))
-
-
-def existing_keys(fact: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
-    """Keys of ``batch`` already present in ``fact``.
+def key_marks(batch: DataFrame, loaded: DataFrame | None, key: list[str]) -> DataFrame:
+    """Keys of ``batch`` that occur in it more than once (``_ll_dup``) or are in ``loaded`` (``_ll_loaded``).
 
+    A row per such key, so usually few.  Only keys are shuffled, pre-counted on the map side.
     Callers pass the facts already limited to the batch's date span (see
     ``ingest.load_batch``) so only those partitions are scanned.
     """
-    loaded = fact.select(*key).join(batch.select(*key), key, "left_semi").distinct()
-    return loaded.withColumn("_ll_loaded", F.lit(True))
+    keys = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("_ll_n"))
+    if loaded is None:
+        keys = keys.withColumn("_ll_loaded", F.lit(False))
+    else:
+        known = loaded.select(*key).distinct().withColumn("_ll_loaded", F.lit(True))
+        keys = keys.join(known, key, "left").withColumn("_ll_loaded", F.coalesce("_ll_loaded", F.lit(False)))
+    return keys.filter("_ll_n > 1 OR _ll_loaded").select(*key, (F.col("_ll_n") > 1).alias("_ll_dup"), "_ll_loaded")
+
+
+def with_key_flags(batch: DataFrame, loaded: DataFrame | None, key: list[str],
+                   settle: Callable[[DataFrame], DataFrame] = maybe_broadcast) -> DataFrame:
+    """``batch`` with ``_ll_dup`` and ``_ll_loaded``; ``settle`` decides how the marked keys are joined."""
+    flagged = batch.join(settle(key_marks(batch, loaded, key)), key, "left")
+    return flagged.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("_ll_dup", "_ll_loaded")})
 
 
 def too_long(*cols: str) -> Column:
@@ -70,13 +74,10 @@ def _is_malformed(df: DataFrame) -> Column:
     return F.col(MALFORMED).isNotNull() if MALFORMED in df.columns else F.lit(False)
 
 
-def flag_purchases(resolved: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
+def flag_purchases(resolved: DataFrame, loaded: DataFrame | None = None,
+                   settle: Callable[[DataFrame], DataFrame] = maybe_broadcast) -> DataFrame:
     """Resolved purchase stage with a ``reason`` column (NULL = row may be loaded)."""
-    df = with_duplicate_flag(resolved, PURCHASE_KEY)
-    if loaded is not None:
-        df = df.join(existing_keys(loaded, resolved, PURCHASE_KEY), PURCHASE_KEY, "left")
-    else:
-        df = df.withColumn("_ll_loaded", F.lit(None).cast("boolean"))
+    df = with_key_flags(resolved, loaded, PURCHASE_KEY, settle)
     flagged = df.withColumn(REASON, reasons(
         (_is_malformed(df), "malformed row"),
         (any_null("date_bought", "product_name", "agent_name", "amount_bought"), "missing value"),
@@ -84,18 +85,15 @@ def flag_purchases(resolved: DataFrame, loaded: DataFrame | None = None) -> Data
         (F.col("agent_id").isNull(), "unknown agent"),
         (F.col("product_id").isNull(), "unknown product"),
         (F.col("_ll_dup"), "duplicate key in batch"),
-        (F.coalesce(F.col("_ll_loaded"), F.lit(False)), "key already loaded"),
+        (F.col("_ll_loaded"), "key already loaded"),
     ))
     return flagged.drop("_ll_dup", "_ll_loaded")
 
 
-def flag_sales(resolved: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
+def flag_sales(resolved: DataFrame, loaded: DataFrame | None = None,
+               settle: Callable[[DataFrame], DataFrame] = maybe_broadcast) -> DataFrame:
     """Resolved sale stage with a ``reason`` column (NULL = row may be loaded)."""
-    df = with_duplicate_flag(resolved, SALE_KEY)
-    if loaded is not None:
-        df = df.join(existing_keys(loaded, resolved, SALE_KEY), SALE_KEY, "left")
-    else:
-        df = df.withColumn("_ll_loaded", F.lit(None).cast("boolean"))
+    df = with_key_flags(resolved, loaded, SALE_KEY, settle)
     flagged = df.withColumn(REASON, reasons(
         (_is_malformed(df), "malformed row"),
         (any_null("date_sold", "product_name", "agent_name", "city", "district", "amount_sold", "price"),
@@ -105,7 +103,7 @@ def flag_sales(resolved: DataFrame, loaded: DataFrame | None = None) -> DataFram
         (F.col("product_id").isNull(), "unknown product"),
         (F.col("territory_id").isNull(), "unknown territory"),
         (F.col("_ll_dup"), "duplicate key in batch"),
-        (F.coalesce(F.col("_ll_loaded"), F.lit(False)), "key already loaded"),
+        (F.col("_ll_loaded"), "key already loaded"),
     ))
     return flagged.drop("_ll_dup", "_ll_loaded")
 

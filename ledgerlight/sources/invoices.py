@@ -73,6 +73,7 @@ def sale_stage(model: Model) -> DataFrame:
             .select("date_sold", "product_name", "agent_name", "city", "district", "amount_sold", "price"))
 
 
-def write_invoice(stage: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a stage frame as invoice CSV files (header in every part file)."""
-    stage.write.mode(mode).option("header", "true").option("dateFormat", "yyyy-MM-dd").csv(path)
+def write_invoice(stage: DataFrame, path: str, mode: str = "overwrite", compression: str = "none") -> None:
+    """Write a stage frame as invoice CSV files (header in every part file); the readers take compressed files too."""
+    (stage.write.mode(mode).option("header", "true").option("dateFormat", "yyyy-MM-dd")
+     .option("compression", compression).csv(path))
