@@ -13,7 +13,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from ledgerlight.catalog import AS_OF, ONE_AGENT, materialized, model, register, with_views
+from ledgerlight.catalog import AS_OF, ONE_AGENT, materialized, model, read_raw, register, with_views
 from ledgerlight.operators import ingest, maintenance, report_md, stats
 from ledgerlight.plans.commits import token
 from ledgerlight.plans.joins import maybe_broadcast
@@ -64,32 +64,35 @@ def csv_scan(spark, sf_dir):
     return invoices.read_purchase_invoice(spark, f"{folder}/purchase")
 
 
-_INPUTS: dict[tuple[int, str, str], tuple[object, str]] = {}
+_INPUTS: dict[tuple[int, str, str], tuple[object, str, set[str]]] = {}
 
 
-def _inputs(spark, sf_dir) -> str:
-    """Dimensions and both invoices of the generated tables, written once per session and state of the files.
+def _inputs(spark, sf_dir, kinds: tuple[str, ...]) -> str:
+    """Dimensions and the named invoices of the generated tables, each written once per session and state of the files.
 
     ``<folder>/dims/{agent,product,territory}``, ``<folder>/in/purchase``,
     ``<folder>/in/sale``; the ingest queries only read them.
     """
     key = (id(spark), sf_dir.rstrip("/"), ingest.files_batch_id(spark, [sf_dir]))  # changed files: written anew
     hit = _INPUTS.get(key)
-    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
-        return hit[1]
-    folder = scratch_path(spark, "inputs")
+    if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
+        hit = (spark, scratch_path(spark, "inputs"), set())
+    _, folder, written = hit
     m = model(spark, sf_dir)
-    run_concurrently(
-        lambda: Warehouse(folder, dims_root=f"{folder}/dims").write_dimensions(m),
-        lambda: invoices.write_invoice(invoices.purchase_stage(m), f"{folder}/in/purchase"),
-        lambda: invoices.write_invoice(invoices.sale_stage(m), f"{folder}/in/sale"))
-    _INPUTS[key] = (spark, folder)
+    jobs = {
+        "dims": lambda: Warehouse(folder, dims_root=f"{folder}/dims").write_dimensions(m),
+        "purchase": lambda: invoices.write_invoice(invoices.purchase_stage(m), f"{folder}/in/purchase", compression="gzip"),
+        "sale": lambda: invoices.write_invoice(invoices.sale_stage(m), f"{folder}/in/sale", compression="gzip")}
+    missing = [k for k in ("dims", *kinds) if k not in written]
+    run_concurrently(*[jobs[k] for k in missing])
+    written.update(missing)
+    _INPUTS[key] = hit
     return folder
 
 
-def _warehouse(spark, sf_dir, label: str) -> tuple[Warehouse, str, str]:
-    """A fresh, empty warehouse over the shared dimensions, plus the invoice folder."""
-    inputs = _inputs(spark, sf_dir)
+def _warehouse(spark, sf_dir, label: str, *kinds: str) -> tuple[Warehouse, str, str]:
+    """A fresh, empty warehouse over the shared dimensions, plus the folder of the invoices named in ``kinds``."""
+    inputs = _inputs(spark, sf_dir, kinds)
     folder = scratch_path(spark, label)
     return Warehouse(f"{folder}/warehouse", dims_root=f"{inputs}/dims"), folder, f"{inputs}/in"
 
@@ -100,7 +103,7 @@ FROM sale s JOIN sale_key_counts k
   ON k.date_sold = s.date_sold AND k.product_id = s.product_id AND k.agent_id = s.agent_id
 WHERE k.n = 1"""))
 def stream_ingest_sales(spark, sf_dir):
-    wh, folder, inbox = _warehouse(spark, sf_dir, "stream")
+    wh, folder, inbox = _warehouse(spark, sf_dir, "stream", "sale")
     run_invoice_streams(spark, None, f"{inbox}/sale", wh, f"{folder}/checkpoints", files_per_batch=None,
                         mode="quarantine", refresh_as_of=AS_OF)
     return wh.read_fact(spark, "sale")
@@ -112,7 +115,7 @@ UNION ALL
 SELECT 'sale', CASE WHEN k.n = 1 THEN 'loaded' ELSE 'duplicate key in batch' END, CAST(sum(k.n) AS BIGINT)
 FROM sale_key_counts k GROUP BY 1, 2"""))
 def invoice_load_report(spark, sf_dir):
-    wh, _, inbox = _warehouse(spark, sf_dir, "load")
+    wh, _, inbox = _warehouse(spark, sf_dir, "load", "purchase", "sale")
     result = ingest.ingest_invoices(spark, f"{inbox}/purchase", f"{inbox}/sale", wh,
                                     mode="quarantine", refresh_as_of=AS_OF)
     rows = [(t, "loaded", n) for t, n in result.loaded.items()]
@@ -142,7 +145,7 @@ FROM bought_pairs b LEFT JOIN sold_pairs s ON s.agent_id = b.agent_id AND s.prod
 @register("snapshot_after_load", _ORACLES_SNAPSHOT)
 def snapshot_after_load(spark, sf_dir):
     """Stream both invoices in (purchases first), then read the refreshed snapshot."""
-    wh, folder, inbox = _warehouse(spark, sf_dir, "snapshot")
+    wh, folder, inbox = _warehouse(spark, sf_dir, "snapshot", "purchase", "sale")
     run_invoice_streams(spark, f"{inbox}/purchase", f"{inbox}/sale", wh, f"{folder}/checkpoints", files_per_batch=None,
                         mode="quarantine", refresh_as_of=AS_OF)
     return wh.read_snapshot(spark, AS_OF)
@@ -172,31 +175,43 @@ clean_sale AS (
 )"""
 
 
-def _two_files(spark, sf_dir, label: str, first, second) -> tuple[Warehouse, str, str]:
-    """A fresh warehouse and an inbox whose older sale invoice is ``first`` and whose newer one is ``second``."""
+ROWS_PER_FILE = 1_000_000
+INVOICE_KEY = ["date_sold", "product_name", "agent_name"]
+
+
+def _two_invoices(spark, sf_dir, label: str, first, second) -> tuple[Warehouse, str, str, int]:
+    """A fresh warehouse, an inbox whose older sale invoice is ``first`` and whose newer one is ``second``, and files an invoice.
+
+    An invoice has a file per ``ROWS_PER_FILE`` lines of the source, so that no task writes or reads a whole
+    one; the newer one has at most as many as the older one.  So a stream that takes that many files at
+    a time loads the older invoice as one transaction and then the newer one as another.
+    """
     wh, folder, _ = _warehouse(spark, sf_dir, label)
-    invoices.write_invoice(first, f"{folder}/in")
+    files = max(1, -(-read_raw(spark, sf_dir, "lineitem").count() // ROWS_PER_FILE))
+    invoices.write_invoice(first.repartition(files, *INVOICE_KEY), f"{folder}/in", compression="gzip")
+    files = max(1, spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/in").select("path").count())
     time.sleep(1.1)  # the stream takes files by modification time, which may be in whole seconds
-    invoices.write_invoice(second, f"{folder}/in", mode="append")
-    return wh, folder, f"{folder}/in"
+    invoices.write_invoice(second.repartition(files, *INVOICE_KEY), f"{folder}/in", mode="append", compression="gzip")
+    return wh, folder, f"{folder}/in", files
 
 
 @register("stream_duplicate_across_files", with_views(STAGE_CTE + CLEAN_SALE + f"""
 SELECT date_sold, product_id, agent_id, territory_id, amount_sold,
   CASE WHEN date_sold < DATE '{SPLIT_DAY}' THEN price + 1 ELSE price END AS price FROM clean_sale"""))
 def stream_duplicate_across_files(spark, sf_dir):
-    """Two invoices with common keys, one transaction a file: of a key in both, the older file's row is loaded."""
+    """Two invoices with common keys, one transaction an invoice: of a key in both, the row of the older one's files is loaded."""
     stage = invoices.sale_stage(model(spark, sf_dir))
     early = stage.filter(F.col("date_sold") < SPLIT_DAY).withColumn("price", F.col("price") + 1)
-    wh, folder, inbox = _two_files(spark, sf_dir, "twice", early.coalesce(1), stage.coalesce(1))
-    run_invoice_streams(spark, None, inbox, wh, f"{folder}/checkpoints", mode="quarantine", refresh_as_of=AS_OF)
+    wh, folder, inbox, files = _two_invoices(spark, sf_dir, "twice", early, stage)
+    run_invoice_streams(spark, None, inbox, wh, f"{folder}/checkpoints", mode="quarantine", refresh_as_of=AS_OF,
+                        files_per_batch=files)
     return wh.read_fact(spark, "sale")
 
 
 @register("snapshot_delta", _ORACLES_SNAPSHOT)
 def snapshot_delta(spark, sf_dir):
     """Two sale loads: the second refresh recomputes only the pairs that it touched."""
-    wh, _, inbox = _warehouse(spark, sf_dir, "delta")
+    wh, _, inbox = _warehouse(spark, sf_dir, "delta", "purchase", "sale")
     dims = wh.model(spark)
     purchases = invoices.read_purchase_invoice(spark, f"{inbox}/purchase")
     sales = invoices.read_sale_invoice(spark, f"{inbox}/sale")
@@ -245,7 +260,7 @@ def invoice_reject_reasons(spark, sf_dir):
     mine = invoices.sale_stage(m.with_facts(sale=m.sale.filter(F.col("agent_id") == 7)))
     ingest.load_batch(wh.model(spark), wh, None, mine, "quarantine", "before", refresh=False)
     before = wh.read_fact(spark, "sale").count()
-    invoices.write_invoice(_poisoned(m), f"{folder}/in")
+    invoices.write_invoice(_poisoned(m), f"{folder}/in", compression="gzip")
     run_invoice_streams(spark, None, f"{folder}/in", wh, f"{folder}/checkpoints", mode="quarantine",
                         refresh_as_of=AS_OF, files_per_batch=None)
     latest = {p for b, k in wh.state(spark).batches.items() if b != "before" for p in [k["part"]]}
@@ -258,14 +273,14 @@ def invoice_reject_reasons(spark, sf_dir):
 SELECT date_sold, product_id, agent_id, territory_id, amount_sold, price FROM clean_sale
 WHERE date_sold >= DATE '{SPLIT_DAY}'"""))
 def invoice_files_set_aside(spark, sf_dir):
-    """Whole-file aborts: nothing of an invoice with a bad row is loaded, the next invoice is."""
+    """Whole-invoice aborts: nothing of an invoice with a bad row is loaded, the next invoice is."""
     m = model(spark, sf_dir)
     bad = _poisoned(m).filter(F.col("date_sold") < SPLIT_DAY)
-    key = ["date_sold", "product_name", "agent_name"]
     late = invoices.sale_stage(m).filter(F.col("date_sold") >= SPLIT_DAY)
-    good = late.join(late.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n = 1").drop("n"), key, "left_semi")
-    wh, folder, inbox = _two_files(spark, sf_dir, "aside", bad.coalesce(1), good.select(*late.columns).coalesce(1))
-    run_invoice_streams(spark, None, inbox, wh, f"{folder}/checkpoints", mode="set_aside", refresh_as_of=AS_OF)
+    good = late.join(late.groupBy(*INVOICE_KEY).agg(F.count(F.lit(1)).alias("n")).filter("n = 1").drop("n"), INVOICE_KEY, "left_semi")
+    wh, folder, inbox, files = _two_invoices(spark, sf_dir, "aside", bad, good.select(*late.columns))
+    run_invoice_streams(spark, None, inbox, wh, f"{folder}/checkpoints", mode="set_aside", refresh_as_of=AS_OF,
+                        files_per_batch=files)
     return wh.read_fact(spark, "sale")
 
 
