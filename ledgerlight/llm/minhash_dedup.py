@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlight.llm.components import connected_components
-from ledgerlight.llm.stage import share_package, stage
+from ledgerlight.llm.stage import share_package, small_batches, stage
 from ledgerlight.llm.text_arrays import mix, span_hashes, utf8_buffer, window_hashes, word_spans
 
 BANDS, ROWS = 32, 4
@@ -249,6 +249,12 @@ def _across_components(members: DataFrame, found: DataFrame, sets: DataFrame, pe
 
 
 def _components_of_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, bool]:
+    """``_linked_sets`` in small Arrow batches; all its Python stages are written inside."""
+    with small_batches(docs.sparkSession):
+        return _linked_sets(docs, k, percent)
+
+
+def _linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, bool]:
     """The sketches of all rows, (fp1, fp2, doc_id, component) of the sets that are not empty, whether a doc_id is repeated.
 
     Each distinct set is a vertex with an id of its own, so a doc_id with several texts has several;

@@ -5,6 +5,8 @@ from __future__ import annotations
 import io
 import os
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
@@ -59,6 +61,26 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what is computed inside; the session's own number is put back.
+
+    A batch is held by the JVM outside its heap and by the Python worker at once, in several copies.
+    """
+    before = spark.conf.get(BATCH_ROWS)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def set_apart(df: DataFrame, *names: str) -> DataFrame:
     """``names`` as columns of their own and all others in one struct, so no name of theirs can clash."""
     others = [F.col(f"`{c}`") for c in df.columns if c not in names]

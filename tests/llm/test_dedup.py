@@ -210,6 +210,17 @@ def test_line_runs_edges(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_near_duplicates_run_in_small_batches(spark, monkeypatch):
+    from ledgerlight.llm import stage as stages
+    seen, stage = [], minhash_dedup.stage
+    before = spark.conf.get(stages.BATCH_ROWS)
+    monkeypatch.setattr(minhash_dedup, "stage", lambda df, label: seen.append(int(spark.conf.get(stages.BATCH_ROWS))) or stage(df, label))
+    texts = [(i, f"one two three four five six seven eight nine w{i % 3}") for i in range(6)]
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(frame(spark, texts), 3, 85).collect()}
+    assert got == {i: i % 3 for i in range(6)} and set(seen) == {1000}
+    assert spark.conf.get(stages.BATCH_ROWS) == before
+
+
 def thue_morse(n):
     word, other = "a", "b"
     for _ in range(n):
