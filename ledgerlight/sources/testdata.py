@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlight.model import Model
-from ledgerlight.plans.joins import estimated_size_bytes, maybe_broadcast
+from ledgerlight.plans.joins import broadcast_limit, estimated_size_bytes
 from ledgerlight.plans.session import scale_partitions
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -110,7 +110,10 @@ def sale_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     # the two small tables first: lineitem's rows are shuffled once, by the order
     buyers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
-    return (li.join(maybe_broadcast(buyers, bounded_by=orders), li.l_orderkey == F.col("o_orderkey"))
+    size = estimated_size_bytes(orders)  # a buyer is a row of two keys, as an order is; Spark has no estimate of the join
+    if size is not None and 0 <= size <= broadcast_limit(orders):
+        buyers = F.broadcast(buyers)
+    return (li.join(buyers, li.l_orderkey == F.col("o_orderkey"))
             .select(
                 F.to_date("l_shipdate").alias("date_sold"),
                 F.col("l_partkey").cast("bigint").alias("product_id"),
