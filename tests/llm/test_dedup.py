@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import re
 import sys
 
 import numpy as np
@@ -198,6 +199,21 @@ def test_pipeline_removes_repeated_chunks_and_then_runs(spark, monkeypatch):
     assert line_dedup.dedup_chunks_and_runs(frame(spark, [])).count() == 0
 
 
+def test_line_stage_writes_no_texts_of_its_own(spark, monkeypatch):
+    """Only hashes are written on the way; the filter reads the counts and does not compute the lines once more."""
+    import corpus_pipeline
+    labels = []
+    for module in (corpus_pipeline, line_dedup):
+        monkeypatch.setattr(module, "stage", lambda df, label, real=module.stage: labels.append(label) or real(df, label))
+    docs = frame(spark, run_corpus()).select("doc_id", "text")
+    out = corpus_pipeline.line_deduplication(spark, docs, "")
+    assert labels == ["piece-hashes"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Filter \(\(_row#\d+L >= 0\) AND \(\(n_removed#\d+L = 0\) OR \(n_left#\d+L > 0\)\)\)", plan)
+    both = line_dedup.dedup_chunks_and_runs(docs).collect()
+    assert sorted(out.collect()) == sorted((r.doc_id, r.text) for r in both if not r.n_removed or r.n_left)
+
+
 def test_line_runs_edges(spark):
     a, b = lines("a", 4), lines("b", 3)
     docs = frame(spark, [(9, a), (9, b), (5, a + "\n" + b), (None, a), (None, a), (None, b + "\n" + b)])
