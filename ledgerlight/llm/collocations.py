@@ -30,17 +30,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerlight.llm.stage import share_package, stage
-from ledgerlight.llm.text_arrays import ragged_take, utf8_buffer
+from ledgerlight.llm.stage import share_package, small_batches, stage
+from ledgerlight.llm.text_arrays import ragged_take, span_hashes, utf8_buffer
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 SHARD = 200_000            # phrases a trie
 STRETCH = 4 << 20          # bytes of text whose positions advance together
 BITS = 1 << 24             # of the bitmap of frequent phrases
 SHARES = 16                # first-phase shares of a language's ranking
+HELD = 1 << 20             # rows of word counts that a task holds to add them up
+ROWS_OUT = 1 << 16         # rows of a batch that a task gives back
 
 _SPLIT = np.zeros(256, bool)
 _SPLIT[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
@@ -84,24 +85,29 @@ def stretches(texts: pa.Array, langs: np.ndarray) -> Iterator[Stretch]:
 def _words(data: np.ndarray, cut: np.ndarray, offsets: np.ndarray, langs: np.ndarray) -> Stretch | None:
     n = len(data)
     solid = _SOLID[data]
-    border = np.zeros(n + 1, bool)
-    border[offsets[(offsets >= 0) & (offsets <= n)]] = True
+    offsets = np.clip(offsets, 0, n)
+    inner = offsets[offsets < n]
     begins = solid.copy()
-    begins[1:] &= ~solid[:-1] | border[1:n]
+    begins[1:] &= ~solid[:-1]
+    begins[inner] = solid[inner]
     starts = np.flatnonzero(begins)
     if not len(starts):
         return None
+    stops = solid.copy()
+    stops[:-1] &= ~solid[1:]
+    behind = inner[inner > 0] - 1
+    stops[behind] = solid[behind]
     kept = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(np.add.reduceat(solid.astype(np.int64), starts), out=kept[1:])
+    np.cumsum(np.flatnonzero(stops) + 1 - starts, out=kept[1:])
     body = _LOWER[data[solid]]
     words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(kept), pa.py_buffer(body)])
     words = words.dictionary_encode()
-    breaks = np.zeros(n + 1, np.int64)  # piece borders before a position
-    np.cumsum(cut | border[:n], out=breaks[1:])
-    follows = np.zeros(len(starts), bool)
-    follows[:-1] = breaks[starts[:-1] + 1] == breaks[starts[1:] + 1]
-    text = np.searchsorted(offsets, starts, side="right") - 1
-    return Stretch(words.dictionary, words.indices.to_numpy().astype(np.int64), langs[text], follows)
+    follows = np.ones(len(starts) + 1, bool)  # of the word before each word, and of the last
+    follows[np.searchsorted(starts, np.flatnonzero(cut))] = False
+    follows[np.searchsorted(starts, inner)] = False
+    follows[-1] = False
+    lang = np.repeat(langs, np.diff(np.searchsorted(starts, offsets)))
+    return Stretch(words.dictionary, words.indices.to_numpy().astype(np.int64), lang, follows[1:])
 
 
 class DoubleArray:
@@ -232,7 +238,8 @@ def _hashes(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
 
 
 def _word_hashes(words: pa.Array) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w.encode()) for w in words.to_pylist()], np.uint64)
+    data, offsets = utf8_buffer(words)
+    return span_hashes(data, offsets[:-1], offsets[1:])
 
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,6 +273,28 @@ def _encoded(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(language, word, count) of a task, counts of a word added up over stretches and batches."""
+    held, rows = [], 0
+    for counted in _stretch_words(batches):
+        held.append(counted)
+        rows += counted.num_rows
+        if rows >= HELD:
+            held = _added(held)
+            rows = sum(x.num_rows for x in held)
+            if 2 * rows > HELD:  # mostly different words
+                yield from held
+                held, rows = [], 0
+    if held:
+        yield from _added(held)
+
+
+def _added(counts: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """One row per language and word."""
+    table = pa.Table.from_batches(counts).group_by(["lang", "phrase"], use_threads=False).aggregate([("f", "sum")])
+    return table.rename_columns({"f_sum": "f"}).select(["lang", "phrase", "f"]).combine_chunks().to_batches(max_chunksize=ROWS_OUT)
+
+
+def _stretch_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names, lang = _encoded(batch)
         for part in stretches(batch.column("text"), lang):
@@ -298,10 +327,11 @@ def _count_candidates(shard, bitmap):
                 key = first[at] * len(part.words) + part.ids[at + m]
                 candidates, number = np.unique(key, return_inverse=True)
                 count = np.bincount(number, minlength=len(candidates))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(candidates // len(part.words)),
-                     part.words.take(pa.array(candidates % len(part.words))).cast(pa.string()), pa.array(count)],
-                    ["id", "word", "f"])
+                for i in range(0, len(candidates), ROWS_OUT):
+                    some = candidates[i:i + ROWS_OUT]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(some // len(part.words)), part.words.take(pa.array(some % len(part.words))).cast(pa.string()),
+                         pa.array(count[i:i + ROWS_OUT])], ["id", "word", "f"])
     return run
 
 
@@ -319,6 +349,11 @@ def _numbered(phrases: DataFrame, shard: int) -> tuple[DataFrame, int]:
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f) of all phrases of up to ``longest`` words with ``f >= least``, and (lang, n) of all words."""
+    with small_batches(docs.sparkSession):
+        return _frequent_phrases(docs, least, longest, shard)
+
+
+def _frequent_phrases(docs: DataFrame, least: int, longest: int, shard: int) -> tuple[DataFrame, DataFrame]:
     share_package(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))

@@ -213,6 +213,45 @@ def test_stretches_cut_at_pieces():
     assert [lang for p in parts for lang in p.lang][-3:] == [0, 1, 1]
 
 
+@pytest.mark.parametrize("held", [1 << 20, 100])
+def test_a_task_adds_its_word_counts_up(monkeypatch, held):
+    """A word leaves a task once, not once per stretch; with little room it may come out again."""
+    import pyarrow as pa
+    from collections import Counter
+    monkeypatch.setattr(collocations, "STRETCH", 64)
+    monkeypatch.setattr(collocations, "HELD", held, raising=False)
+    rows = [(lang or "und", text) for lang, text in texts()] + [("en", f"the word{i}. The word{i}, the end") for i in range(500)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i:i + 50])], ["lang", "text"]) for i in range(0, len(rows), 50)]
+    got = [r for b in collocations._count_words(iter(batches)) for r in zip(*b.to_pydict().values())]
+    want, total = Counter(), Counter()
+    for lang, text in rows:
+        want.update((lang, w) for w in re.findall("[^ \t\n,.]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")))
+    for lang, word, f in got:
+        total[lang, word] += f
+    assert total == want
+    assert len(got) == len(want) if held > len(got) else len(got) < 3 * len(want)
+
+
+def test_phrases_are_counted_in_small_batches(spark, monkeypatch):
+    from ledgerlight.llm import stage as stages
+    seen, stage = [], collocations.stage
+    before = spark.conf.get(stages.BATCH_ROWS)
+    monkeypatch.setattr(collocations, "stage", lambda df, label: seen.append(int(spark.conf.get(stages.BATCH_ROWS))) or stage(df, label))
+    docs = spark.createDataFrame([("en", "new york city " * 10)], "lang string, text string")
+    known, total = collocations.frequent_phrases(docs, least=8)
+    assert len(known.collect()) == 3 + 3 + 3 + 3 and total.collect()[0].n == 30 and set(seen) == {1000}
+    assert spark.conf.get(stages.BATCH_ROWS) == before
+
+
+def test_word_hashes_tell_words_apart_and_fit_the_bitmap():
+    """Hashes of the words of a stretch equal those of the phrases in the bitmap, whatever the array's type and place."""
+    import pyarrow as pa
+    words = [f"w{i}" for i in range(5000)] + ["", "é", "日本", "x" * 1000, "x" * 1001]
+    small, large = pa.array(words), pa.array(["other", *words], pa.large_string()).slice(1)
+    assert len(set(collocations._word_hashes(small).tolist())) == len(words)
+    assert (collocations._word_hashes(small) == collocations._word_hashes(large)).all()
+
+
 def test_double_array():
     rng = np.random.default_rng(2)
     for n, v, depth in ((1, 1, 1), (300, 6, 3), (4000, 900, 2)):
