@@ -252,6 +252,70 @@ def test_word_hashes_tell_words_apart_and_fit_the_bitmap():
     assert (collocations._word_hashes(small) == collocations._word_hashes(large)).all()
 
 
+@pytest.mark.parametrize("shard", [1, 3])
+def test_a_level_is_one_pass_however_many_shards(spark, monkeypatch, shard):
+    """The texts are read twice and their symbols once a level; with a phrase a shard a task also reads tries again."""
+    labels, reads = [], []
+    stage, kind = collocations.stage, type(spark.range(0))
+    monkeypatch.setattr(collocations, "stage", lambda df, label: labels.append(label) or stage(df, label))
+    as_arrow = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **b: reads.append({"text", "symbols"} & {*self.columns}) or as_arrow(self, *a, **b))
+    rows = texts()
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = sorted(tuple(r) for r in collocations.mine(docs, least=8, top=15, shard=shard).collect())
+    assert got == sorted(brute_phrases(rows, 8, 15))
+    assert labels.count("level") == 3
+    assert reads.count({"text"}) == 2 and reads.count({"symbols"}) == 3
+
+
+def test_frequent_words_are_compared_not_only_hashed(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(collocations, "_hashes", lambda langs, lang, words, word: np.full(len(word), 7, np.uint64))
+    table = pa.table({"lang": ["en", "de", "en"], "phrase": ["a", "a", "b"], "id": [1, 2, 3]})
+    langs, words = pa.array(["fr", "de", "en"]), pa.array(["b", "c", "a"], pa.large_string())
+    lang, word = np.repeat(np.arange(3), 3), np.tile(np.arange(3), 3)
+    found = collocations.Words(table).find(np.full(9, 7, np.uint64), langs, lang, words, word)
+    assert found.tolist() == [0, 0, 0, 0, 0, 2, 3, 0, 1]
+
+
+@pytest.mark.parametrize("row", [1, 4, 1000])
+@pytest.mark.parametrize("held", [1 << 20, 3])
+def test_symbols_are_whole_runs_and_candidates_added_up(monkeypatch, row, held):
+    import pyarrow as pa
+    from collections import Counter
+    monkeypatch.setattr(collocations, "ROW", row)
+    monkeypatch.setattr(collocations, "HELD_KEYS", held)
+    table = pa.table({"lang": ["en"] * 3 + ["de"], "phrase": ["a", "b", "c", "a"], "id": [1, 2, 3, 4]})
+
+    class Here:
+        def __init__(self, value):
+            self.value = value
+
+    words = collocations.Shards({0: Here(collocations.Words(table))}, 1)
+    docs = pa.RecordBatch.from_arrays([pa.array(["en", "de", "en", "en"]), pa.array(["A b a b. x a b  c x x, ,", "a a b", None, "c a b"])], ["lang", "text"])
+    written = list(collocations._write_symbols(words)(iter([docs])))
+    rows = [np.frombuffer(x, np.int32).tolist() for b in written for x in b.column("symbols").to_pylist()]
+    assert all(r[-1] == 0 for r in rows) and (len(rows) == 1 if row == 1000 else len(rows) > 1)
+    assert sum(rows, []) == [1, 2, 1, 2, 0, 1, 2, 3, 0, 4, 4, 0, 3, 1, 2, 0]
+    pairs = Counter()
+    for b in collocations._count_candidates(None, 1, 10)(iter(written)):
+        for key, f in zip(*b.to_pydict().values()):
+            pairs[key] += f
+    assert pairs == {12: 4, 21: 1, 23: 1, 44: 1, 31: 1}
+    # pairs 12 and 31 frequent, in shards of their own
+    shard_of = {tuple(k): int(collocations._shard_of(collocations._symbol_hashes([np.array([c]) for c in k[:-1]]), 2)[0]) for k in ((1, 2), (3, 1), (2, 1), (2, 3))}
+    parts = {}
+    for number in (0, 1):
+        mine = sorted(k for k, s in shard_of.items() if s == number and k != (2, 3))
+        if mine:
+            parts[number] = Here(collocations.DoubleArray.build(np.array(mine), np.array([10 * a + b for a, b in mine])))
+    got = Counter()
+    for b in collocations._count_candidates(collocations.Shards(parts, 2), 2, 10)(iter(written)):
+        for key, f in zip(*b.to_pydict().values()):
+            got[key] += f
+    assert got == {121: 1, 212: 1, 312: 1}  # not 123, whose last part is not frequent
+
+
 def test_double_array():
     rng = np.random.default_rng(2)
     for n, v, depth in ((1, 1, 1), (300, 6, 3), (4000, 900, 2)):
